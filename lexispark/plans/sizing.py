@@ -1,0 +1,31 @@
+"""Broadcast only behind a size check.
+
+A side is broadcast when its row count is *proven* small: either known on
+the driver by construction (the tokens of a query string are at most two per
+character), or counted. Beyond the limit the caller's shuffle join is kept.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: largest row count broadcast to every executor (query-side tables only)
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, known_rows: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    ``known_rows`` is an upper bound the caller can prove without running a
+    job; otherwise the rows are counted (one small job on the query side)."""
+    n = known_rows
+    if n is None:
+        n = df.count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def query_token_bound(query: str) -> int:
+    """Upper bound of the number of tokens a query string can give: one per
+    character plus one bigram per character."""
+    return 2 * len(query) + 1
