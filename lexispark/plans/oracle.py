@@ -74,41 +74,50 @@ def tfnorm_sql(tf: str, dl: str) -> str:
     )
 
 
-def scored_clauses_cte(queries_sql: str, whole_phrase: bool = False) -> str:
-    """``cs(query_id, id, header_key, tf, score)``: one row per matching
+def scored_clauses_cte(queries_sql: str, whole_phrase: bool = False, p: str = "") -> str:
+    """``{p}cs(query_id, id, header_key, tf, score)``: one row per matching
     (query, clause, document) for queries ``queries_sql`` giving
     ``(query_id, query)``. Plain queries: each white-space literal is a
     clause (one token: term clause, more: phrase). ``whole_phrase``: the
     whole query is one phrase clause. Phrases match by relational division
-    over token positions. Needs the ``d`` and ``st`` CTEs."""
+    over token positions. Needs the ``d`` and ``st`` CTEs; ``p`` prefixes the
+    CTE names so that several blocks fit in one statement."""
     if whole_phrase:
-        lits = "lits AS (SELECT query_id, 1 AS cid, query AS lit FROM qs)"
+        lits = f"{p}lits AS (SELECT query_id, 1 AS cid, query AS lit FROM {p}qs)"
     else:
         lits = (
-            f"l0 AS (SELECT query_id, {literals('query')} AS ls FROM qs), "
-            "lits AS (SELECT query_id, generate_subscripts(ls, 1) AS cid, unnest(ls) AS lit FROM l0)"
+            f"{p}l0 AS (SELECT query_id, {literals('query')} AS ls FROM {p}qs), "
+            f"{p}lits AS (SELECT query_id, generate_subscripts(ls, 1) AS cid, unnest(ls) AS lit FROM {p}l0)"
         )
     return f"""
-    qs AS ({queries_sql}),
+    {p}qs AS ({queries_sql}),
     {lits},
-    lq AS (SELECT query_id, cid, {tok('lit')} AS qt FROM lits),
-    lqn AS (SELECT * FROM lq WHERE len(qt) > 0),
-    qterms AS (SELECT DISTINCT unnest(qt) AS term FROM lqn),
-    tpos AS MATERIALIZED (SELECT * FROM (SELECT id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM d)
-                          WHERE term IN (SELECT term FROM qterms)),
-    dfs AS (SELECT term, count(DISTINCT id) AS df FROM tpos GROUP BY term),
-    w AS MATERIALIZED (SELECT lqn.query_id, lqn.cid, lqn.qt,
-                 (SELECT sum({idf_sql('coalesce(dfs.df, 0)')}) FROM unnest(lqn.qt) AS u(term) LEFT JOIN dfs USING (term), st) AS w
-          FROM lqn),
-    qtok AS (SELECT query_id, cid, w, len(qt) AS m, unnest(qt) AS term, generate_subscripts(qt, 1) - 1 AS off FROM w),
-    starts AS (SELECT qtok.query_id, qtok.cid, qtok.w, qtok.m, tpos.id, tpos.pos - qtok.off AS s, count(*) AS c
-               FROM qtok JOIN tpos USING (term) GROUP BY ALL),
-    mt AS (SELECT query_id, cid, w, id, count(*) AS tf FROM starts WHERE c = m GROUP BY ALL),
-    m AS MATERIALIZED (SELECT mt.query_id, mt.w, mt.id, d.header_key, len(d.toks) AS dl, mt.tf FROM mt JOIN d USING (id)),
-    cs AS (SELECT m.query_id, m.id, m.header_key, m.tf, m.w * {tfnorm_sql('m.tf', 'm.dl')} AS score FROM m, st WHERE m.tf > 0)
+    {p}lq AS (SELECT query_id, cid, {tok('lit')} AS qt FROM {p}lits),
+    {p}lqn AS (SELECT * FROM {p}lq WHERE len(qt) > 0),
+    {p}qterms AS (SELECT DISTINCT unnest(qt) AS term FROM {p}lqn),
+    {p}tpos AS MATERIALIZED (SELECT * FROM (SELECT id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM d)
+                          WHERE term IN (SELECT term FROM {p}qterms)),
+    {p}dfs AS (SELECT term, count(DISTINCT id) AS df FROM {p}tpos GROUP BY term),
+    {p}w AS MATERIALIZED (SELECT l.query_id, l.cid, l.qt,
+                 (SELECT sum({idf_sql('coalesce(x.df, 0)')}) FROM unnest(l.qt) AS u(term) LEFT JOIN {p}dfs x USING (term), st) AS w
+          FROM {p}lqn l),
+    {p}qtok AS (SELECT query_id, cid, w, len(qt) AS m, unnest(qt) AS term, generate_subscripts(qt, 1) - 1 AS off FROM {p}w),
+    {p}starts AS (SELECT a.query_id, a.cid, a.w, a.m, b.id, b.pos - a.off AS s, count(*) AS c
+               FROM {p}qtok a JOIN {p}tpos b USING (term) GROUP BY ALL),
+    {p}mt AS (SELECT query_id, cid, w, id, count(*) AS tf FROM {p}starts WHERE c = m GROUP BY ALL),
+    {p}m AS MATERIALIZED (SELECT mt.query_id, mt.w, mt.id, d.header_key, len(d.toks) AS dl, mt.tf FROM {p}mt mt JOIN d USING (id)),
+    {p}cs AS (SELECT m.query_id, m.id, m.header_key, m.tf, m.w * {tfnorm_sql('m.tf', 'm.dl')} AS score FROM {p}m m, st WHERE m.tf > 0)
     """
 
 
+def match_cte(name: str, text: str, whole_phrase: bool = False) -> str:
+    """``{name}(id, header_key, score)``: hits of one plain query (or phrase)."""
+    return (
+        scored_clauses_cte(one_query(text), whole_phrase, p=f"{name}_")
+        + f", {name} AS (SELECT id, header_key, sum(score) AS score FROM {name}_cs GROUP BY id, header_key)"
+    )
+
+
 def bm25_topk_sql(corpus: str, queries_sql: str, k: int) -> str:
     return f"""
     WITH {docs_cte(corpus)}, {stats_cte()}, {scored_clauses_cte(queries_sql)},
@@ -120,3 +129,103 @@ def bm25_topk_sql(corpus: str, queries_sql: str, k: int) -> str:
 
 def one_query(text: str) -> str:
     return f"SELECT 'q' AS query_id, {q(text)} AS query"
+
+
+def pos_cte() -> str:
+    """``pos(id, term, pos)``: every token with its position."""
+    return "pos AS MATERIALIZED (SELECT id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM d)"
+
+
+def composed_ctes(query, name: str) -> list[str]:
+    """CTEs ending in ``{name}(id, header_key, score)`` for a composed query
+    object of ``plans.query`` (needs ``d``, ``st`` and ``pos``)."""
+    from . import query as Q
+
+    if isinstance(query, Q.Match):
+        return [match_cte(name, query.text)]
+    if isinstance(query, Q.Phrase) and not query.prefix and query.slop == 0:
+        return [match_cte(name, query.text, whole_phrase=True)]
+    if isinstance(query, Q.Phrase) and query.prefix:
+        return [
+            f"""{name}_q AS (SELECT {tok(q(query.text))} AS qt),
+            {name}_qtok AS (SELECT unnest(qt) AS term, generate_subscripts(qt, 1) - 1 AS off, len(qt) AS m FROM {name}_q),
+            {name}_mt AS (SELECT p.id, p.pos - a.off AS s, count(*) AS c, any_value(a.m) AS m
+                          FROM pos p JOIN {name}_qtok a
+                          ON (a.off < a.m - 1 AND p.term = a.term) OR (a.off = a.m - 1 AND starts_with(p.term, a.term))
+                          GROUP BY p.id, p.pos - a.off),
+            {name}_cnt AS (SELECT id, count(*) AS tf, any_value(m) AS m FROM {name}_mt WHERE c = m GROUP BY id),
+            {name}_w AS (SELECT coalesce(sum({idf_sql('x.df')}), 0) AS w
+                         FROM (SELECT a.term, (SELECT count(DISTINCT p.id) FROM pos p WHERE p.term = a.term) AS df
+                               FROM {name}_qtok a WHERE a.off < a.m - 1) x, st),
+            {name} AS (SELECT c.id, d.header_key,
+                              CASE WHEN c.m = 1 THEN 1.0::DOUBLE ELSE w.w * {tfnorm_sql('c.tf', 'len(d.toks)')} END AS score
+                       FROM {name}_cnt c JOIN d USING (id), {name}_w w, st)"""
+        ]
+    if isinstance(query, Q.Phrase):  # sloppy, two tokens
+        return [
+            f"""{name}_q AS (SELECT {tok(q(query.text))} AS qt),
+            {name}_p1 AS (SELECT p.id, p.pos FROM pos p, {name}_q WHERE len(qt) = 2 AND p.term = qt[1]),
+            {name}_p2 AS (SELECT p.id, p.pos FROM pos p, {name}_q WHERE len(qt) = 2 AND p.term = qt[2]),
+            {name}_ch AS (SELECT a.id, a.pos AS p, min(b.pos) AS e FROM {name}_p1 a JOIN {name}_p2 b
+                          ON a.id = b.id AND b.pos > a.pos GROUP BY a.id, a.pos),
+            {name}_cnt AS (SELECT id, count(*) AS tf FROM {name}_ch WHERE e - p - 1 <= {int(query.slop)} GROUP BY id),
+            {name}_w AS (SELECT sum({idf_sql('x.df')}) AS w
+                         FROM (SELECT u.term, (SELECT count(DISTINCT p.id) FROM pos p WHERE p.term = u.term) AS df
+                               FROM {name}_q, unnest(qt) AS u(term)) x, st),
+            {name} AS (SELECT c.id, d.header_key, w.w * {tfnorm_sql('c.tf', 'len(d.toks)')} AS score
+                       FROM {name}_cnt c JOIN d USING (id), {name}_w w, st)"""
+        ]
+    if isinstance(query, Q.Field):
+        f, v = query.field, q(query.value)
+        return [
+            f"""{name} AS (SELECT d.id, d.header_key, {idf_sql('x.df')} AS score
+                FROM d, st, (SELECT count(*) AS df FROM d WHERE {f} = {v}) x WHERE d.{f} = {v})"""
+        ]
+    if isinstance(query, (Q.Range, Q.InSet)):
+        col = "x" if query.field == "text" else query.field
+        if isinstance(query, Q.Range):
+            conds = []
+            if query.lower is not None:
+                conds.append(f"{col} {'>=' if query.include_lower else '>'} {q(query.lower)}")
+            if query.upper is not None:
+                conds.append(f"{col} {'<=' if query.include_upper else '<'} {q(query.upper)}")
+            cond = " AND ".join(conds) or "TRUE"
+        else:
+            cond = f"{col} IN ({', '.join(q(v) for v in query.values)})"
+        if query.field == "text":
+            where = f"len(list_filter(toks, lambda x: {cond})) > 0"
+        else:
+            where = cond
+        return [f"{name} AS (SELECT id, header_key, 1.0::DOUBLE AS score FROM d WHERE {where})"]
+    if isinstance(query, Q.MatchAll):
+        return [f"{name} AS (SELECT id, header_key, 1.0::DOUBLE AS score FROM d)"]
+    if isinstance(query, Q.Boost):
+        inner = composed_ctes(query.query, f"{name}_b")
+        return inner + [f"{name} AS (SELECT id, header_key, score * {float(query.factor)}::DOUBLE AS score FROM {name}_b)"]
+    if isinstance(query, Q.Bool):
+        ctes, parts = [], []
+        for role, qs in (("must", query.must), ("should", query.should), ("not", query.must_not)):
+            for i, child in enumerate(qs):
+                cn = f"{name}_{role}{i}"
+                ctes += composed_ctes(child, cn)
+                parts.append(f"SELECT id, header_key, score, '{role}' AS role FROM {cn}")
+        need_should = "" if query.must else " AND ns > 0"
+        ctes.append(
+            f"""{name}_g AS (SELECT id, header_key,
+                    sum(CASE WHEN role <> 'not' THEN score ELSE 0 END) AS score,
+                    sum(CASE WHEN role = 'must' THEN 1 ELSE 0 END) AS nm,
+                    sum(CASE WHEN role = 'should' THEN 1 ELSE 0 END) AS ns,
+                    sum(CASE WHEN role = 'not' THEN 1 ELSE 0 END) AS nn
+                FROM ({' UNION ALL '.join(parts)}) GROUP BY id, header_key),
+            {name} AS (SELECT id, header_key, score FROM {name}_g WHERE nm = {len(query.must)} AND nn = 0{need_should})"""
+        )
+        return ctes
+    raise TypeError(f"no SQL for {query!r}")
+
+
+def composed_sql(query, corpus: str = "documents") -> str:
+    ctes = composed_ctes(query, "res")
+    return (
+        f"WITH {docs_cte(corpus)}, {stats_cte()}, {pos_cte()}, {', '.join(ctes)} "
+        "SELECT id, header_key, round(score, 6) AS score FROM res"
+    )

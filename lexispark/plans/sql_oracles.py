@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..functions.tokenize import CJK_CLASS, WS_CLASS
 from . import workloads as W
 from .oracle import (
+    composed_sql,
     tfnorm_sql,
     SEGMENT_SQL_RE,
     bm25_topk_sql,
@@ -111,3 +112,101 @@ _reg(
     f"""WITH {docs_cte()}, {stats_cte()}, {scored_clauses_cte(one_query(W.PHRASE_QUERY), whole_phrase=True)}
     SELECT id, CAST(tf AS BIGINT) AS occurrences, round(score, 6) AS score FROM cs""",
 )
+
+
+# ---- E5 / E7 / E9 -------------------------------------------------------------
+
+
+def _hits_sql(corpus: str, text: str) -> str:
+    return f"""WITH {docs_cte(corpus)}, {stats_cte()}, {scored_clauses_cte(one_query(text))},
+    s AS (SELECT id, header_key, sum(score) AS score FROM cs GROUP BY id, header_key),
+    r AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, id) AS rn FROM s)"""
+
+
+_reg(
+    "facets",
+    f"""{_hits_sql('documents', W.BM25_QUERY)}
+    SELECT header_key, CAST(count(*) AS BIGINT) AS count FROM r GROUP BY header_key""",
+)
+_reg(
+    "facets_capped",
+    f"""{_hits_sql('documents_source', W.BM25_QUERY)}
+    SELECT header_key, CAST(count(*) AS BIGINT) AS count FROM r WHERE rn <= {W.FACET_LIMIT_REF} GROUP BY header_key""",
+)
+_reg(
+    "facets_top100",
+    f"""{_hits_sql('documents_source', W.BM25_QUERY)}
+    SELECT header_key, CAST(count(*) AS BIGINT) AS count FROM r WHERE rn <= {W.FACET_LIMIT_SMALL} GROUP BY header_key""",
+)
+_reg(
+    "result_map",
+    f"""{_hits_sql('documents', W.BM25_QUERY)}
+    SELECT id, round(score, 6) AS score FROM r WHERE rn <= {W.TOP_K}""",
+)
+
+# ---- E4: DuckDB's damerau_levenshtein is byte-based and unrestricted; fold
+# every non-ASCII character to one byte first (exact for ASCII queries) ------
+
+
+def _fuzzy_sql(text: str, dist: int) -> str:
+    return f"""WITH {docs_cte()},
+    qt0 AS (SELECT {tok(q(text))} AS qt),
+    qt AS (SELECT unnest(qt) AS qterm, generate_subscripts(qt, 1) AS cid FROM qt0),
+    vocab AS (SELECT DISTINCT unnest(toks) AS term FROM d),
+    mt AS (SELECT qt.cid, vocab.term FROM qt, vocab
+           WHERE abs(length(vocab.term) - length(qt.qterm)) <= {dist}
+             AND damerau_levenshtein(regexp_replace(vocab.term, '[^\x00-\x7F]', '~', 'g'), qt.qterm) <= {dist}),
+    occ AS (SELECT DISTINCT d.id, mt.cid FROM (SELECT id, unnest(toks) AS term FROM d) d JOIN mt USING (term)),
+    s AS (SELECT id, CAST(count(*) AS DOUBLE) AS score FROM occ GROUP BY id)"""
+
+
+_reg("fuzzy_search_d1", f"{_fuzzy_sql(W.FUZZY_D1_QUERY, 1)} SELECT id, score FROM s")
+_reg("fuzzy_search_d2", f"{_fuzzy_sql(W.FUZZY_D2_QUERY, 2)} SELECT id, score FROM s")
+_reg(
+    "fuzzy_top10",
+    f"""{_fuzzy_sql(W.FUZZY_D1_QUERY, 1)},
+    r AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, id) AS rank FROM s)
+    SELECT CAST(rank AS INTEGER) AS rank, id, score FROM r WHERE rank <= {W.TOP_K}""",
+)
+
+# ---- B ------------------------------------------------------------------------
+_UPS = (
+    "SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS seq, CAST(conv_id AS VARCHAR) AS id, "
+    "coalesce(role, '') AS header_key, coalesce(text, '') AS text FROM conversations"
+)
+_reg(
+    "upsert",
+    f"""WITH docs AS ({_DOCS}), ups AS ({_UPS}),
+    latest AS (SELECT * FROM ups QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC, header_key DESC, text DESC) = 1),
+    res AS (SELECT id, header_key, text FROM docs WHERE id NOT IN (SELECT id FROM latest)
+            UNION ALL SELECT id, header_key, text FROM latest)
+    SELECT id, header_key, md5(text) AS text_md5 FROM res""",
+)
+_reg(
+    "delete_by_header",
+    f"""SELECT rank, id, score FROM ({bm25_topk_sql(
+        f"SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(lang, '') AS header_key, coalesce(text, '') AS text "
+        f"FROM documents WHERE coalesce(lang, '') <> {q(W.DELETED_HEADER)}",
+        one_query(W.BM25_QUERY), W.TOP_K)})""",
+)
+# the change-feed rule stated directly: a row survives unless a later change
+# upserts its id or deletes its header_key
+_reg(
+    "change_feed",
+    f"""WITH docs AS ({_DOCS}), u AS ({_UPS}),
+    ch AS (SELECT seq,
+                  CASE WHEN header_key = 'system' THEN 'delete_header' ELSE 'upsert' END AS op,
+                  CASE WHEN header_key = 'system' THEN NULL ELSE id END AS id,
+                  CASE WHEN header_key = 'system' THEN 'assistant' ELSE header_key END AS header_key,
+                  CASE WHEN header_key = 'system' THEN NULL ELSE text END AS text FROM u),
+    allrows AS (SELECT -1 AS seq, id, header_key, text FROM docs
+                UNION ALL SELECT seq, id, header_key, text FROM ch WHERE op = 'upsert'),
+    res AS (SELECT * FROM allrows a
+            WHERE NOT EXISTS (SELECT 1 FROM ch c WHERE c.op = 'upsert' AND c.id = a.id AND c.seq > a.seq)
+              AND NOT EXISTS (SELECT 1 FROM ch c WHERE c.op = 'delete_header' AND c.header_key = a.header_key AND c.seq > a.seq))
+    SELECT id, header_key, md5(text) AS text_md5 FROM res""",
+)
+
+# ---- F ------------------------------------------------------------------------
+for _name, _query in W.COMPOSED.items():
+    _reg(_name, composed_sql(_query))

@@ -12,19 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tokenize import token_table_with_offsets, tokens
+from ..operators import changes as C
+from ..operators import facets as FC
+from ..operators import fuzzy as FZ
 from ..operators import search as S
 from ..operators.indexing import build_index, corpus_stats_df
 from ..sources.tables import (
     benchmark_queries,
     cjk_documents_corpus,
     documents_corpus,
+    table,
 )
+from . import query as Q
 
 #: fixed query strings of the registered searches
 BM25_QUERY = "the and anble"
 PHRASE_QUERY = "of the"
 CJK_QUERY = "北京 天気 学校"
 TOP_K = 10
+FACET_LIMIT_REF = 1000  # the reference's facet cap
+FACET_LIMIT_SMALL = 100
+FUZZY_D1_QUERY = "thtion anble"
+FUZZY_D2_QUERY = "thtion"
+DELETED_HEADER = "en"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -113,6 +123,138 @@ def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(S.all_hits(hits).select("id", "occurrences", "score"))
 
 
+
+
+# ---- E5/E7/E9 ---------------------------------------------------------------
+
+
+def facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx = build_index(documents_corpus(spark, sf_dir))
+    return FC.facet_counts(S.search_hits(idx, BM25_QUERY)).select("header_key", "count")
+
+
+def facets_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx = build_index(documents_corpus(spark, sf_dir, header="source"))
+    return FC.facet_counts(S.search_hits(idx, BM25_QUERY), FACET_LIMIT_REF).select("header_key", "count")
+
+
+def facets_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx = build_index(documents_corpus(spark, sf_dir, header="source"))
+    return FC.facet_counts(S.search_hits(idx, BM25_QUERY), FACET_LIMIT_SMALL).select("header_key", "count")
+
+
+def result_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx = build_index(documents_corpus(spark, sf_dir))
+    top = S.search(idx, BM25_QUERY, TOP_K).withColumn("query_id", F.lit("q"))
+    m = S.as_map(top)
+    return _rounded(m.select(F.explode("results").alias("id", "score")))
+
+
+# ---- E4 ---------------------------------------------------------------------
+
+
+def _fuzzy_all(spark: SparkSession, sf_dir: str, text: str, d: int) -> DataFrame:
+    idx = build_index(documents_corpus(spark, sf_dir))
+    hits = FZ.fuzzy_hits(idx, S.single_query(spark, text), d)
+    return S.all_hits(hits).select("id", "score")
+
+
+def fuzzy_search_d1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fuzzy_all(spark, sf_dir, FUZZY_D1_QUERY, 1)
+
+
+def fuzzy_search_d2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fuzzy_all(spark, sf_dir, FUZZY_D2_QUERY, 2)
+
+
+def fuzzy_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx = build_index(documents_corpus(spark, sf_dir))
+    return FZ.search_fuzzy(idx, FUZZY_D1_QUERY, 1, TOP_K)
+
+
+# ---- B: data change ---------------------------------------------------------
+
+
+def conversation_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation turn re-files document ``conv_id``: id = conv_id,
+    header_key = role, text = the turn, seq = conv_id * 1000 + turn."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).cast("long").alias("seq"),
+        F.col("conv_id").cast("string").alias("id"),
+        F.coalesce(F.col("role"), F.lit("")).alias("header_key"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+    )
+
+
+def conversation_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change feed from ``conversations``: user / assistant turns upsert
+    document ``conv_id``; a system turn retracts every ``assistant`` document
+    filed so far (delete by category)."""
+    u = conversation_upserts(spark, sf_dir)
+    is_sys = F.col("header_key") == "system"
+    return u.select(
+        "seq",
+        F.when(is_sys, F.lit("delete_header")).otherwise(F.lit("upsert")).alias("op"),
+        F.when(is_sys, F.lit(None).cast("string")).otherwise(F.col("id")).alias("id"),
+        F.when(is_sys, F.lit("assistant")).otherwise(F.col("header_key")).alias("header_key"),
+        F.when(is_sys, F.lit(None).cast("string")).otherwise(F.col("text")).alias("text"),
+    )
+
+
+def _corpus_digest(df: DataFrame) -> DataFrame:
+    return df.select("id", "header_key", F.md5("text").alias("text_md5"))
+
+
+def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _corpus_digest(C.upsert(documents_corpus(spark, sf_dir), conversation_upserts(spark, sf_dir)))
+
+
+def delete_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delete one language, then search the rest (statistics follow)."""
+    rest = C.delete_by_header(documents_corpus(spark, sf_dir), [DELETED_HEADER])
+    return _rounded(S.search(build_index(rest), BM25_QUERY, TOP_K))
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _corpus_digest(C.apply_changes(documents_corpus(spark, sf_dir), conversation_changes(spark, sf_dir)))
+
+
+# ---- F: composed queries ----------------------------------------------------
+
+
+def _all(spark: SparkSession, sf_dir: str, query: Q.Query) -> DataFrame:
+    idx = build_index(documents_corpus(spark, sf_dir))
+    return _rounded(Q.run(idx, query, k=None))
+
+
+COMPOSED = {
+    "bool_must": Q.Bool(must=(Q.Match("the"), Q.Match("and")), should=(Q.Match("anble"),)),
+    "bool_must_not": Q.Bool(should=(Q.Match("the"),), must_not=(Q.Match("and"),)),
+    "bool_nested": Q.Bool(
+        must=(Q.Bool(should=(Q.Match("of"), Q.Match("anble"))),),
+        must_not=(Q.Bool(must=(Q.Match("the"), Q.Match("in"))),),
+    ),
+    "field_term": Q.Bool(must=(Q.Field("header_key", "fr"),), should=(Q.Match("le"),)),
+    "quoted_phrase_clause": Q.Bool(should=(Q.Phrase("of the"), Q.Match("and"))),
+    "boost": Q.Bool(should=(Q.Boost(Q.Match("the"), 2.0), Q.Match("and"))),
+    "range_keyword": Q.Bool(must=(Q.Range("header_key", "de", "es", True, False),), should=(Q.Match("the"),)),
+    "range_term": Q.Range("text", "thea", "then"),
+    "in_set": Q.Bool(must=(Q.InSet("header_key", ("fr", "es")),), should=(Q.Match("la"),)),
+    "match_all": Q.MatchAll(),
+    "phrase_prefix": Q.Phrase("of th", prefix=True),
+    "phrase_slop": Q.Phrase("of in", slop=3),
+}
+
+
+def _composed(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _all(spark, sf_dir, COMPOSED[name])
+
+    run.__name__ = name
+    return run
+
+
 REGISTRY = {
     "token_counts": token_counts,
     "token_table": token_table,
@@ -125,4 +267,15 @@ REGISTRY = {
     "bm25_batch": bm25_batch,
     "cjk_search": cjk_search,
     "phrase_search": phrase_search,
+    "facets": facets,
+    "facets_capped": facets_capped,
+    "facets_top100": facets_top100,
+    "result_map": result_map,
+    "fuzzy_search_d1": fuzzy_search_d1,
+    "fuzzy_search_d2": fuzzy_search_d2,
+    "fuzzy_top10": fuzzy_top10,
+    "upsert": upsert,
+    "delete_by_header": delete_by_header,
+    "change_feed": change_feed,
+    **{name: _composed(name) for name in COMPOSED},
 }
