@@ -55,22 +55,35 @@ def delete_by_header(existing: DataFrame, header_keys: list[str] | DataFrame) ->
     return existing.filter(~F.col("header_key").isin(list(header_keys)))
 
 
-def apply_changes(existing: DataFrame, changes: DataFrame) -> DataFrame:
-    """Apply ``changes(seq, op, id, header_key, text)`` in ``seq`` order."""
+def split_changes(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(latest upsert per id, latest delete seq per header_key as _k)``."""
     ups = changes.filter(F.col("op") == "upsert").select("seq", *DOC_COLS)
     last_del = (
         changes.filter(F.col("op") == "delete_header").groupBy("header_key").agg(F.max("seq").alias("_k"))
     )
-    last_del = broadcast_if_small(last_del)
-    latest = latest_per_id(ups)
-    # stored rows: gone if their id is upserted at all, or their key deleted
-    old = (
-        existing.select(*DOC_COLS)
-        .join(latest.select("id"), "id", "left_anti")
-        .join(last_del, "header_key", "left_anti")
+    return latest_per_id(ups), broadcast_if_small(last_del)
+
+
+def survivors(stored: DataFrame, latest: DataFrame, last_del: DataFrame) -> DataFrame:
+    """Stored rows (any table carrying ``id`` and ``header_key``: documents,
+    document statistics, postings) that no change removes: their id is not
+    upserted and their header_key not deleted. Two anti joins; the deleted
+    keys are broadcast when counted small."""
+    return stored.join(latest.select("id"), "id", "left_anti").join(
+        last_del.select("header_key"), "header_key", "left_anti"
     )
-    # the latest upsert of an id: gone if its key is deleted later
+
+
+def incoming(latest: DataFrame, last_del: DataFrame) -> DataFrame:
+    """The latest upsert of each id, unless its key is deleted later."""
     new = latest.join(last_del, "header_key", "left").filter(
         F.col("_k").isNull() | (F.col("_k") <= F.col("seq"))
     )
-    return old.select(*DOC_COLS).unionByName(new.select(*DOC_COLS))
+    return new.select(*DOC_COLS)
+
+
+def apply_changes(existing: DataFrame, changes: DataFrame) -> DataFrame:
+    """Apply ``changes(seq, op, id, header_key, text)`` in ``seq`` order."""
+    latest, last_del = split_changes(changes)
+    old = survivors(existing.select(*DOC_COLS), latest, last_del)
+    return old.select(*DOC_COLS).unionByName(incoming(latest, last_del))

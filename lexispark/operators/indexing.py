@@ -26,12 +26,61 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.tokenize import tokens
 from ..schema import DEFAULT_BUCKETS
 
 DOC_KEY_COLS = ["doc_key", "id", "header_key"]
 
+# stored schemas (explicit, so that an empty version reads back)
+DOCS_SCHEMA = T.StructType(
+    [
+        T.StructField("doc_key", T.LongType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("header_key", T.StringType()),
+        T.StructField("text", T.StringType()),
+    ]
+)
+DOC_STATS_SCHEMA = T.StructType(
+    [
+        T.StructField("doc_key", T.LongType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("header_key", T.StringType()),
+        T.StructField("dl", T.IntegerType()),
+        T.StructField("copies", T.IntegerType()),
+    ]
+)
+POSTINGS_SCHEMA = T.StructType(
+    [
+        T.StructField("term", T.StringType()),
+        T.StructField("doc_key", T.LongType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("header_key", T.StringType()),
+        T.StructField("dl", T.IntegerType()),
+        T.StructField("tf", T.IntegerType()),
+        T.StructField("copies", T.IntegerType()),
+        T.StructField("positions", T.ArrayType(T.IntegerType())),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+TERM_STATS_SCHEMA = T.StructType(
+    [
+        T.StructField("term", T.StringType()),
+        T.StructField("df", T.LongType()),
+        T.StructField("cf", T.LongType()),
+        T.StructField("term_len", T.IntegerType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+CORPUS_STATS_SCHEMA = T.StructType(
+    [
+        T.StructField("n_docs", T.LongType()),
+        T.StructField("total_tokens", T.LongType()),
+        T.StructField("avgdl", T.DoubleType()),
+    ]
+)
+
 
 def term_bucket(term, n_buckets: int):
     """Bucket of a term: ``pmod(xxhash64(term), n_buckets)`` (INT)."""
@@ -162,51 +211,14 @@ def build_index(docs: DataFrame, n_buckets: int = DEFAULT_BUCKETS) -> Index:
     )
 
 
-def write_index(docs: DataFrame, path: str, n_buckets: int = DEFAULT_BUCKETS) -> None:
-    """Materialise an index under ``path`` (A1 build step).
-
-    * ``docs``: the stored rows with ``doc_key``.
-    * ``doc_stats``: small; no shuffle of text.
-    * ``postings``: the inversion shuffle, written partitioned by ``bucket``
-      and sorted by term inside each file, so a query reads only its buckets
-      and Parquet row-group statistics skip the rest. ``rebalance`` lets AQE
-      split the partition of a hot bucket instead of one task writing it.
-    * ``term_stats``: aggregated from the written postings.
-    """
-    spark = docs.sparkSession
-    keyed = with_doc_key(ensure_parallelism(docs.select("id", "header_key", "text")))
-    keyed.write.mode("error").parquet(f"{path}/docs")
-    stored = spark.read.parquet(f"{path}/docs")
-    doc_stats_of(stored).write.mode("error").parquet(f"{path}/doc_stats")
-    (
-        postings_of(stored, n_buckets)
-        .hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "term", "doc_key")
-        .write.mode("error")
-        .partitionBy("bucket")
-        .parquet(f"{path}/postings")
-    )
-    post = spark.read.parquet(f"{path}/postings")
-    (
-        term_stats_of(post)
-        .hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "term")
-        .write.mode("error")
-        .partitionBy("bucket")
-        .parquet(f"{path}/term_stats")
-    )
-    st = corpus_stats_df(spark.read.parquet(f"{path}/doc_stats"))
-    st.write.mode("error").parquet(f"{path}/corpus_stats")
-
-
 def read_index(spark: SparkSession, path: str, n_buckets: int = DEFAULT_BUCKETS) -> Index:
     """Open a materialised index (snapshot read)."""
-    cs = spark.read.parquet(f"{path}/corpus_stats").first()  # one row of metadata
+    cs = spark.read.schema(CORPUS_STATS_SCHEMA).parquet(f"{path}/corpus_stats").first()  # one row of metadata
     return Index(
-        docs=spark.read.parquet(f"{path}/docs"),
-        doc_stats=spark.read.parquet(f"{path}/doc_stats"),
-        postings=spark.read.parquet(f"{path}/postings"),
-        term_stats=spark.read.parquet(f"{path}/term_stats"),
+        docs=spark.read.schema(DOCS_SCHEMA).parquet(f"{path}/docs"),
+        doc_stats=spark.read.schema(DOC_STATS_SCHEMA).parquet(f"{path}/doc_stats"),
+        postings=spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings"),
+        term_stats=spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats"),
         n_buckets=n_buckets,
         stats_row=CorpusStats(int(cs.n_docs), int(cs.total_tokens), float(cs.avgdl)),
     )

@@ -210,3 +210,19 @@ _reg(
 # ---- F ------------------------------------------------------------------------
 for _name, _query in W.COMPOSED.items():
     _reg(_name, composed_sql(_query))
+
+# ---- A / G1 ---------------------------------------------------------------------
+ORACLES["corpus_rebuild"] = ORACLES["bm25_search"]
+_reg(
+    "open_or_create",
+    f"""WITH {docs_cte('conversations')}
+    SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(coalesce(sum(len(toks)), 0) AS BIGINT) AS total_tokens,
+           round(coalesce(avg(len(toks)), 0), 6) AS avgdl FROM d""",
+)
+_reg(
+    "snapshot_read",
+    f"""WITH v2 AS ({ORACLES['change_feed']})
+    SELECT 1 AS version, coalesce(lang, '') AS header_key, CAST(count(*) AS BIGINT) AS n_docs FROM documents GROUP BY 2
+    UNION ALL SELECT 2, header_key, CAST(count(*) AS BIGINT) FROM v2 GROUP BY 2""",
+)
+ORACLES["stream_upsert"] = ORACLES["change_feed"]

@@ -23,6 +23,10 @@ from ..sources.tables import (
     documents_corpus,
     table,
 )
+from ..session import fresh_path
+from ..sources.corpus import Corpus
+from ..sources.tables import conversations_corpus
+from ..streaming.maintain import change_stream, maintain
 from . import query as Q
 
 #: fixed query strings of the registered searches
@@ -255,6 +259,69 @@ def _composed(name: str):
     return run
 
 
+# ---- A / G1: durable corpus, versions, stream --------------------------------
+
+STREAM_BATCHES = 3
+
+
+def corpus_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A3 + A5: build a durable corpus version from ``documents`` and
+    search the committed snapshot."""
+    c = Corpus(spark, fresh_path(spark, "corpus"))
+    c.rebuild(documents_corpus(spark, sf_dir))
+    return _rounded(c.search(BM25_QUERY, TOP_K))
+
+
+def open_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: create, fill with ``conversations``, open again from the path."""
+    path = fresh_path(spark, "corpus")
+    Corpus(spark, path).rebuild(conversations_corpus(spark, sf_dir))
+    st = Corpus(spark, path).stats()
+    return spark.createDataFrame(
+        [(st.n_docs, st.total_tokens, round(st.avgdl, 6))], "n_docs long, total_tokens long, avgdl double"
+    )
+
+
+def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: version 1 (``documents``) stays readable after version 2 (the
+    conversation change feed) commits; documents per header_key in both."""
+    c = Corpus(spark, fresh_path(spark, "corpus"))
+    c.rebuild(documents_corpus(spark, sf_dir))
+    v1 = c.current_version()
+    c.apply_changes(conversation_changes(spark, sf_dir))
+    v2 = c.current_version()
+    parts = [
+        S.all_hits(c.index(v).doc_stats.withColumn("query_id", F.lit("q")))
+        .groupBy("header_key")
+        .agg(F.count(F.lit(1)).alias("n_docs"))
+        .withColumn("version", F.lit(i + 1))
+        for i, v in enumerate([v1, v2])
+    ]
+    return parts[0].unionByName(parts[1]).select("version", "header_key", "n_docs")
+
+
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: the conversation change feed arrives as files in ``seq`` order;
+    each arrival is drained by an ``availableNow`` run of the maintenance
+    stream (restarting from its checkpoint). Equal to the batch feed."""
+    changes = conversation_changes(spark, sf_dir)
+    cuts = changes.approxQuantile("seq", [i / STREAM_BATCHES for i in range(1, STREAM_BATCHES)], 0.0)
+    bounds = [None, *cuts, None]
+    base = fresh_path(spark, "stream")
+    c = Corpus(spark, f"{base}/corpus")
+    c.rebuild(documents_corpus(spark, sf_dir))
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = changes
+        if lo is not None:
+            part = part.filter(F.col("seq") > lo)
+        if hi is not None:
+            part = part.filter(F.col("seq") <= hi)
+        part.write.mode("append").parquet(f"{base}/changes")
+        q = maintain(c, change_stream(spark, f"{base}/changes"), f"{base}/checkpoint")
+        q.awaitTermination()
+    return _corpus_digest(c.documents())
+
+
 REGISTRY = {
     "token_counts": token_counts,
     "token_table": token_table,
@@ -278,4 +345,8 @@ REGISTRY = {
     "delete_by_header": delete_by_header,
     "change_feed": change_feed,
     **{name: _composed(name) for name in COMPOSED},
+    "corpus_rebuild": corpus_rebuild,
+    "open_or_create": open_or_create,
+    "snapshot_read": snapshot_read,
+    "stream_upsert": stream_upsert,
 }

@@ -64,8 +64,15 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
     """Read a small marker file (a version number) through Hadoop FS."""
     if not path_exists(spark, path):
         return None
-    rows = spark.read.text(path).collect()  # a one-line marker, not data
-    return "\n".join(r.value for r in rows)
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(hpath)
+    try:
+        data = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return str(data)
 
 
 def write_text_file(spark: SparkSession, path: str, content: str) -> None:
