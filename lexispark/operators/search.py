@@ -83,8 +83,47 @@ def _explode_clause_tokens(toks: DataFrame, boost: float) -> DataFrame:
 
 
 def single_query(spark: SparkSession, query: str, query_id: str = "q") -> DataFrame:
-    """A one-row query table."""
-    return spark.createDataFrame([(query_id, query)], "query_id string, query string")
+    """A one-row query table (a JVM literal: no Python round trip)."""
+    return spark.range(1).select(
+        F.lit(query_id).cast("string").alias("query_id"), F.lit(query).cast("string").alias("query")
+    )
+
+
+def clause_token_lists(spark: SparkSession, text: str, whole_phrase: bool = False) -> list[list[str]]:
+    """Tokens of each clause of one query string, on the driver: one small
+    job running the documents' tokeniser expression on the literal (bounded
+    by the query length)."""
+    q = single_query(spark, text)
+    if whole_phrase:
+        rows = q.select(tokens("query").alias("t")).collect()
+    else:
+        lits = F.regexp_extract_all(F.col("query"), F.lit(LITERAL_PATTERN), 0)
+        rows = q.select(F.explode(F.transform(lits, lambda x: tokens(x))).alias("t")).collect()
+    return [list(r.t) for r in rows if r.t]
+
+
+def clauses_literal(spark: SparkSession, clause_tokens: list[list[str]], boost: float = 1.0, query_id: str = "q") -> DataFrame:
+    """Clause table of one query from driver-side token lists, as a literal
+    ``inline`` (constant-folded, no Python data path)."""
+    rows = [
+        F.struct(
+            F.lit(query_id).alias("query_id"),
+            F.lit(ci).alias("clause_id"),
+            F.lit("term" if len(toks) == 1 else "phrase").alias("kind"),
+            F.lit(len(toks)).alias("n_tok"),
+            F.lit(off).alias("off"),
+            F.lit(t).alias("term"),
+            F.lit(float(boost)).alias("boost"),
+        )
+        for ci, toks in enumerate(clause_tokens)
+        for off, t in enumerate(toks)
+    ]
+    if not rows:
+        return spark.range(0).select(
+            F.lit(query_id).alias("query_id"), F.lit(0).alias("clause_id"), F.lit("term").alias("kind"),
+            F.lit(1).alias("n_tok"), F.lit(0).alias("off"), F.lit("").alias("term"), F.lit(float(boost)).alias("boost"),
+        )
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def query_terms(spark: SparkSession, text: str, n_buckets: int) -> list[tuple[str, int]]:
@@ -93,11 +132,22 @@ def query_terms(spark: SparkSession, text: str, n_buckets: int) -> list[tuple[st
     Runs the same tokeniser expression as the documents (one tiny job); the
     result is bounded by the query length. Used to prune postings to the
     query's buckets and terms (partition pruning + Parquet pushdown)."""
-    df = spark.createDataFrame([(text,)], "q string").select(F.explode(F.array_distinct(tokens("q"))).alias("term"))
+    df = spark.range(1).select(F.explode(F.array_distinct(tokens(F.lit(text)))).alias("term"))
     rows = df.select("term", term_bucket(F.col("term"), n_buckets).alias("bucket")).collect()
     return [(r.term, int(r.bucket)) for r in rows]
 
 
+def terms_with_buckets(spark: SparkSession, clause_tokens: list[list[str]], n_buckets: int) -> list[tuple[str, int]]:
+    """(term, bucket) of driver-side tokens; the bucket is computed by the
+    same Spark expression the index used (one constant-folded row)."""
+    uniq = sorted({t for toks in clause_tokens for t in toks})
+    if not uniq:
+        return []
+    arr = F.array(*[F.lit(t) for t in uniq])
+    row = spark.range(1).select(F.transform(arr, lambda t: term_bucket(t, n_buckets)).alias("b")).first()
+    return list(zip(uniq, [int(b) for b in row.b]))
+
+
 # --------------------------------------------------------------------------
 # scoring
 # --------------------------------------------------------------------------
@@ -120,46 +170,96 @@ def clause_scores(
     stats: CorpusStats | None = None,
     terms: list[tuple[str, int]] | None = None,
     clause_rows: int | None = None,
+    kinds: set[str] | None = None,
 ) -> DataFrame:
     """Score every (clause, document) match: ``HIT_COLS + clause_id, score``.
 
-    ``terms`` (driver-side, bounded by the query text) prunes postings;
-    ``clause_rows`` is a proven bound on the clause table for broadcasting."""
+    ``terms`` (driver-side, bounded by the query text) prunes postings to
+    the query's buckets and terms; ``clause_rows`` is a proven bound on the
+    clause table for broadcasting; ``kinds`` (when known) skips the branch
+    a query doesn't use."""
     stats = stats or index.stats()
     c = clauses.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
     c = broadcast_if_small(c, clause_rows)
     post, ts = prune_postings(index, terms)
-    qterms = c.select("bucket", "term").distinct()
-    ts = ts.join(qterms, ["bucket", "term"], "left_semi")
+    if terms is None:
+        qterms = c.select("bucket", "term").distinct()
+        ts = ts.join(qterms, ["bucket", "term"], "left_semi")
     # term stats of the query terms: at most one row per distinct query term
     ts = broadcast_if_small(ts, clause_rows) if clause_rows is not None else ts
     j = post.join(c, ["bucket", "term"]).join(ts, ["bucket", "term"])
     j = j.withColumn("w", idf(F.col("df"), stats))
-
-    term_hits = j.filter(F.col("kind") == "term").select(
-        *HIT_COLS,
-        "clause_id",
-        F.col("tf").alias("occurrences"),
-        (F.col("boost") * F.col("w") * tf_norm(F.col("tf"), F.col("dl"), stats)).alias("score"),
-    )
-    ph = (
-        j.filter(F.col("kind") == "phrase")
-        .groupBy(*HIT_COLS, "clause_id", "n_tok", "boost", "dl")
-        .agg(
-            F.collect_list(F.struct("off", "positions")).alias("pl"),
-            F.sum("w").alias("w"),
+    kinds = kinds or {"term", "phrase"}
+
+    out = []
+    if "term" in kinds:
+        out.append(
+            j.filter(F.col("kind") == "term").select(
+                *HIT_COLS,
+                "clause_id",
+                F.col("tf").alias("occurrences"),
+                (F.col("boost") * F.col("w") * tf_norm(F.col("tf"), F.col("dl"), stats)).alias("score"),
+            )
         )
-        .filter(F.size("pl") == F.col("n_tok"))
-        .withColumn("ptf", F.size(phrase_starts(F.col("pl"))))
-        .filter(F.col("ptf") > 0)
-    )
-    phrase_hits = ph.select(
-        *HIT_COLS,
-        "clause_id",
-        F.col("ptf").alias("occurrences"),
-        (F.col("boost") * F.col("w") * tf_norm(F.col("ptf"), F.col("dl"), stats)).alias("score"),
+    if "phrase" in kinds:
+        ph = (
+            j.filter(F.col("kind") == "phrase")
+            .groupBy(*HIT_COLS, "clause_id", "n_tok", "boost", "dl")
+            .agg(
+                F.collect_list(F.struct("off", "positions")).alias("pl"),
+                F.sum("w").alias("w"),
+            )
+            .filter(F.size("pl") == F.col("n_tok"))
+            .withColumn("ptf", F.size(phrase_starts(F.col("pl"))))
+            .filter(F.col("ptf") > 0)
+        )
+        out.append(
+            ph.select(
+                *HIT_COLS,
+                "clause_id",
+                F.col("ptf").alias("occurrences"),
+                (F.col("boost") * F.col("w") * tf_norm(F.col("ptf"), F.col("dl"), stats)).alias("score"),
+            )
+        )
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+
+
+_QUERY_EXPR_CACHE: dict[tuple, Column] = {}
+
+
+def _query_token_expr(spark: SparkSession, whole_phrase: bool, n_buckets: int) -> Column:
+    """Per-clause ``(token, bucket)`` lists of column ``q``; built once per
+    JVM and mode (building the lambdas costs hundreds of py4j calls)."""
+    key = (id(spark.sparkContext._gateway), whole_phrase, n_buckets)
+    if key not in _QUERY_EXPR_CACHE:
+        q = F.col("q")
+        if whole_phrase:
+            per_clause = F.array(tokens(q))
+        else:
+            per_clause = F.transform(F.regexp_extract_all(q, F.lit(LITERAL_PATTERN), 0), lambda x: tokens(x))
+        _QUERY_EXPR_CACHE[key] = F.transform(
+            per_clause,
+            lambda ts: F.transform(ts, lambda t: F.struct(t.alias("t"), term_bucket(t, n_buckets).alias("b"))),
+        ).alias("c")
+    return _QUERY_EXPR_CACHE[key]
+
+
+def single_clause_scores(index: Index, text: str, whole_phrase: bool = False, boost: float = 1.0) -> DataFrame:
+    """``clause_scores`` of one query string with everything the driver can
+    know up front: literal clause table, pruned buckets/terms, used branch.
+
+    One small job tokenises the query (the documents' expression, bounded by
+    the query length) and computes the terms' buckets."""
+    spark = index.spark
+    expr = _query_token_expr(spark, whole_phrase, index.n_buckets)
+    row = spark.range(1).select(F.lit(text).alias("q")).select(expr).first()
+    ctoks = [[e.t for e in cl] for cl in row.c if cl]
+    terms = sorted({(e.t, int(e.b)) for cl in row.c for e in cl})
+    kinds = {"term" if len(t) == 1 else "phrase" for t in ctoks} or {"term"}
+    n_rows = sum(len(t) for t in ctoks)
+    return clause_scores(
+        index, clauses_literal(spark, ctoks, boost), terms=terms, clause_rows=n_rows, kinds=kinds
     )
-    return term_hits.unionByName(phrase_hits)
 
 
 def phrase_starts(pl: Column) -> Column:
@@ -206,12 +306,7 @@ def search_batch(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
 def search_hits(index: Index, query: str) -> DataFrame:
     """All scored matches of one plain query (before top-k)."""
     index.check_open()
-    spark = index.spark
-    terms = query_terms(spark, query, index.n_buckets)
-    q = single_query(spark, query)
-    return sum_by_doc(
-        clause_scores(index, literal_clauses(q), terms=terms, clause_rows=query_token_bound(query))
-    )
+    return sum_by_doc(single_clause_scores(index, query))
 
 
 def search(index: Index, query: str, k: int = 5) -> DataFrame:
@@ -225,14 +320,7 @@ def search(index: Index, query: str, k: int = 5) -> DataFrame:
 def phrase_hits(index: Index, phrase: str) -> DataFrame:
     """E3 matches of one phrase: ``HIT_COLS, occurrences, score``."""
     index.check_open()
-    spark = index.spark
-    terms = query_terms(spark, phrase, index.n_buckets)
-    ch = clause_scores(
-        index,
-        phrase_clauses(single_query(spark, phrase)),
-        terms=terms,
-        clause_rows=query_token_bound(phrase),
-    )
+    ch = single_clause_scores(index, phrase, whole_phrase=True)
     return ch.groupBy(*HIT_COLS).agg(
         F.sum("occurrences").alias("occurrences"), F.sum("score").alias("score")
     )

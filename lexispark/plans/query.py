@@ -32,11 +32,9 @@ from ..operators.indexing import Index
 from ..operators.scoring import idf, tf_norm
 from ..operators.search import (
     HIT_COLS,
-    clause_scores,
-    phrase_clauses,
     phrase_starts,
-    query_terms,
     search_hits,
+    single_clause_scores,
     single_query,
     sum_by_doc,
     top_k,
@@ -72,14 +70,7 @@ class Phrase(Query):
         if self.prefix:
             return _prefix_phrase_hits(index, self.text)
         if self.slop == 0:
-            terms = query_terms(index.spark, self.text, index.n_buckets)
-            ch = clause_scores(
-                index,
-                phrase_clauses(single_query(index.spark, self.text, QID)),
-                terms=terms,
-                clause_rows=query_token_bound(self.text),
-            )
-            return sum_by_doc(ch)
+            return sum_by_doc(single_clause_scores(index, self.text, whole_phrase=True))
         return _sloppy_phrase_hits(index, self.text, self.slop)
 
 
