@@ -110,35 +110,47 @@ def token_table_with_offsets(
 
     Offsets are UTF-8 byte offsets into the text. The text is cut into
     segments that tile it (tokens and white-space runs); a running sum over
-    each document's segments (a window partitioned by the document key, so a
-    document never spans tasks and no task holds more than whole documents)
-    gives byte offset and first token position of every segment.
+    each document's segments gives byte offset and first token position of
+    every segment. Exact copies (same key and text) are collapsed first --
+    partial aggregation, so a hot group of copies never lands in one task --
+    and the window runs per distinct document (bounded by its length);
+    copies are expanded again at the end, one token row per stored row.
     """
     t = F.coalesce(F.col(text_col), F.lit(""))
-    seg = df.select(
-        *key_cols,
+    distinct_docs = (
+        df.select(*key_cols, t.alias("_t"))
+        .groupBy(*key_cols, "_t")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_h", F.xxhash64("_t"))
+    )
+    doc_key = [*key_cols, "_h"]
+    seg = distinct_docs.select(
+        *doc_key,
+        "_copies",
         F.arrays_zip(
-            F.regexp_extract_all(t, F.lit(SEGMENT_PATTERN), 1).alias("s"),
-            F.regexp_extract_all(t, F.lit(SEGMENT_PATTERN), 2).alias("n"),
+            F.regexp_extract_all("_t", F.lit(SEGMENT_PATTERN), 1).alias("s"),
+            F.regexp_extract_all("_t", F.lit(SEGMENT_PATTERN), 2).alias("n"),
         ).alias("segs"),
-    ).select(*key_cols, F.posexplode("segs").alias("idx", "sg"))
+    ).select(*doc_key, "_copies", F.posexplode("segs").alias("idx", "sg"))
     is_ws = F.col("sg.s").rlike(IS_WS)
     is_cjk_ch = F.col("sg.s").rlike(f"^[{CJK_CLASS}]$")
     seg = seg.select(
-        *key_cols,
+        *doc_key,
+        "_copies",
         "idx",
         F.col("sg.s").alias("s"),
         F.col("sg.n").alias("n"),
         F.octet_length("sg.s").alias("nbytes"),
         F.when(is_ws, 0).when(is_cjk_ch & (F.col("sg.n") != ""), 2).otherwise(1).alias("ntok"),
     )
-    w = Window.partitionBy(*key_cols).orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*doc_key).orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("byte0", F.coalesce(F.sum("nbytes").over(w), F.lit(0))).withColumn(
         "pos0", F.coalesce(F.sum("ntok").over(w), F.lit(0))
     )
     seg = seg.filter(F.col("ntok") > 0)
     uni = seg.select(
         *key_cols,
+        "_copies",
         F.col("pos0").cast("int").alias("pos"),
         F.col("s").alias("term"),
         F.lit(1).alias("pos_len"),
@@ -147,10 +159,12 @@ def token_table_with_offsets(
     )
     bi = seg.filter(F.col("ntok") == 2).select(
         *key_cols,
+        "_copies",
         (F.col("pos0") + 1).cast("int").alias("pos"),
         F.concat("s", "n").alias("term"),
         F.lit(2).alias("pos_len"),
         F.col("byte0").cast("int").alias("off_from"),
         (F.col("byte0") + F.col("nbytes") + F.octet_length("n")).cast("int").alias("off_to"),
     )
-    return uni.unionByName(bi)
+    out = uni.unionByName(bi)
+    return out.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_c", "_copies")

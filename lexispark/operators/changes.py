@@ -69,7 +69,7 @@ def survivors(stored: DataFrame, latest: DataFrame, last_del: DataFrame) -> Data
     document statistics, postings) that no change removes: their id is not
     upserted and their header_key not deleted. Two anti joins; the deleted
     keys are broadcast when counted small."""
-    return stored.join(latest.select("id"), "id", "left_anti").join(
+    return stored.join(broadcast_if_small(latest.select("id")), "id", "left_anti").join(
         last_del.select("header_key"), "header_key", "left_anti"
     )
 

@@ -19,6 +19,7 @@ Plan, all joins equi-joins:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,12 +69,33 @@ def matched_terms(index: Index, clauses: DataFrame, distance: int, clause_rows:
     return cand.select("query_id", "clause_id", "bucket", "term")
 
 
+#: matched vocabulary terms pushed into the postings scan as literals
+MAX_LITERAL_TERMS = 20_000
+
+
 def fuzzy_hits(index: Index, queries: DataFrame, distance: int, clause_rows: int | None = None) -> DataFrame:
-    """``HIT_COLS, score``: number of matching clauses per document."""
+    """``HIT_COLS, score``: number of matching clauses per document.
+
+    The matched (clause, term) pairs are computed once (persisted, one scan
+    of the vocabulary) and counted: up to ``MAX_LITERAL_TERMS`` distinct terms
+    they become ``bucket IN / term IN`` literals on the postings scan
+    (partition pruning + Parquet pushdown) and a broadcast; beyond, a
+    broadcast when counted small, else a shuffle join."""
     index.check_open()
     m = matched_terms(index, fuzzy_clauses(queries), distance, clause_rows)
-    m = broadcast_if_small(m)
-    hit = index.postings.select("bucket", "term", "doc_key", "id", "header_key", "copies").join(m, ["bucket", "term"])
+    m = m.persist(StorageLevel.MEMORY_AND_DISK)
+    n = m.count()
+    post = index.postings.select("bucket", "term", "doc_key", "id", "header_key", "copies")
+    if n <= MAX_LITERAL_TERMS:
+        pairs = m.select("bucket", "term").distinct().collect()  # bounded just above
+        post = post.filter(
+            F.col("bucket").isin(sorted({int(r.bucket) for r in pairs}))
+            & F.col("term").isin(sorted({r.term for r in pairs}))
+        )
+        m = F.broadcast(m)
+    else:
+        m = broadcast_if_small(m, n)
+    hit = post.join(m, ["bucket", "term"])
     per_clause = hit.select(*HIT_COLS, "clause_id").distinct()
     return per_clause.groupBy(*HIT_COLS).agg(F.count(F.lit(1)).cast("double").alias("score"))
 
