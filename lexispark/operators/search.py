@@ -180,16 +180,21 @@ def clause_scores(
     a query doesn't use."""
     stats = stats or index.stats()
     c = clauses.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
+    if clause_rows is None or kinds is None:
+        # one small job on the query side: its size (for the broadcast
+        # decision) and which clause kinds occur (to plan only those)
+        counts = {r.kind: int(r.n) for r in c.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+        clause_rows = sum(counts.values())
+        kinds = set(counts) or {"term"}
     c = broadcast_if_small(c, clause_rows)
     post, ts = prune_postings(index, terms)
     if terms is None:
         qterms = c.select("bucket", "term").distinct()
         ts = ts.join(qterms, ["bucket", "term"], "left_semi")
     # term stats of the query terms: at most one row per distinct query term
-    ts = broadcast_if_small(ts, clause_rows) if clause_rows is not None else ts
+    ts = broadcast_if_small(ts, clause_rows)
     j = post.join(c, ["bucket", "term"]).join(ts, ["bucket", "term"])
     j = j.withColumn("w", idf(F.col("df"), stats))
-    kinds = kinds or {"term", "phrase"}
 
     out = []
     if "term" in kinds:
@@ -346,3 +351,10 @@ def as_map(results: DataFrame) -> DataFrame:
     return last.groupBy("query_id").agg(
         F.map_from_entries(F.collect_list(F.struct("id", "score"))).alias("results")
     )
+
+
+def restrict(hits: DataFrame, allowed: DataFrame, on: str = "id") -> DataFrame:
+    """Keep hits whose ``on`` value appears in ``allowed`` (e.g. a label
+    table): a left-semi join, the allowed side broadcast when counted small."""
+    keys = allowed.select(on).distinct()
+    return hits.join(broadcast_if_small(keys), on, "left_semi")

@@ -155,7 +155,7 @@ def _fuzzy_sql(text: str, dist: int) -> str:
     vocab AS (SELECT DISTINCT unnest(toks) AS term FROM d),
     mt AS (SELECT qt.cid, vocab.term FROM qt, vocab
            WHERE abs(length(vocab.term) - length(qt.qterm)) <= {dist}
-             AND damerau_levenshtein(regexp_replace(vocab.term, '[^\x00-\x7F]', '~', 'g'), qt.qterm) <= {dist}),
+             AND damerau_levenshtein(regexp_replace(vocab.term, '[^\\x00-\\x7F]', '~', 'g'), qt.qterm) <= {dist}),
     occ AS (SELECT DISTINCT d.id, mt.cid FROM (SELECT id, unnest(toks) AS term FROM d) d JOIN mt USING (term)),
     s AS (SELECT id, CAST(count(*) AS DOUBLE) AS score FROM occ GROUP BY id)"""
 
@@ -226,3 +226,45 @@ _reg(
     UNION ALL SELECT 2, header_key, CAST(count(*) AS BIGINT) FROM v2 GROUP BY 2""",
 )
 ORACLES["stream_upsert"] = ORACLES["change_feed"]
+
+# ---- more corpora / query tables ------------------------------------------------
+_reg(
+    "conversation_search",
+    bm25_topk_sql(
+        "conversations",
+        "SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS query_id, text AS query "
+        "FROM conversations WHERE role = 'user'",
+        W.CONVERSATION_K,
+    ),
+)
+_reg(
+    "filtered_search",
+    f"""{_hits_sql('documents', W.BM25_QUERY)},
+    f AS (SELECT * FROM s WHERE id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE quality = 1)),
+    fr AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, id) AS rank FROM f)
+    SELECT CAST(rank AS INTEGER) AS rank, id, round(score, 6) AS score FROM fr WHERE rank <= {W.TOP_K}""",
+)
+# Non-ASCII query tokens: folding every non-ASCII character to one byte can
+# only shrink a distance, so the folded distance is a prefilter; survivors are
+# re-encoded pair by pair (each distinct character of the pair -> its own
+# single byte) and measured exactly. At distance 1 restricted = unrestricted.
+_reg(
+    "fuzzy_batch",
+    f"""WITH {docs_cte()},
+    qs AS (SELECT CAST(item_id AS VARCHAR) AS query_id, {tok('text')} AS qt FROM benchmark),
+    qt AS (SELECT query_id, unnest(qt) AS qterm, generate_subscripts(qt, 1) AS cid FROM qs),
+    vocab AS (SELECT DISTINCT unnest(toks) AS term FROM d),
+    mt0 AS (SELECT qt.query_id, qt.cid, qt.qterm, vocab.term FROM qt JOIN vocab
+           ON abs(length(vocab.term) - length(qt.qterm)) <= 1
+          AND damerau_levenshtein(regexp_replace(vocab.term, '[^\\x00-\\x7F]', '~', 'g'),
+                                  regexp_replace(qt.qterm, '[^\\x00-\\x7F]', '~', 'g')) <= 1),
+    mt1 AS (SELECT *, list_sort(list_distinct(string_split(qterm || term, ''))) AS alph FROM mt0),
+    mt AS (SELECT query_id, cid, term FROM mt1
+           WHERE damerau_levenshtein(
+                   array_to_string(list_transform(string_split(term, ''), lambda c: chr(32 + list_position(alph, c))), ''),
+                   array_to_string(list_transform(string_split(qterm, ''), lambda c: chr(32 + list_position(alph, c))), '')) <= 1),
+    occ AS (SELECT DISTINCT mt.query_id, d.id, mt.cid FROM (SELECT id, unnest(toks) AS term FROM d) d JOIN mt USING (term)),
+    s AS (SELECT query_id, id, CAST(count(*) AS DOUBLE) AS score FROM occ GROUP BY query_id, id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, id, score FROM r WHERE rank <= {W.TOP_K}""",
+)

@@ -25,7 +25,7 @@ from ..sources.tables import (
 )
 from ..session import fresh_path
 from ..sources.corpus import Corpus
-from ..sources.tables import conversations_corpus
+from ..sources.tables import conversations_corpus, user_turn_queries
 from ..streaming.maintain import change_stream, maintain
 from . import query as Q
 
@@ -322,6 +322,35 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _corpus_digest(c.documents())
 
 
+# ---- more corpora / query tables ---------------------------------------------
+
+CONVERSATION_K = 5
+
+
+def conversation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E11 on the second corpus: every user turn of ``conversations`` is a
+    query against all turns; top 5 each."""
+    idx = build_index(conversations_corpus(spark, sf_dir))
+    return _rounded(S.search_batch(idx, user_turn_queries(spark, sf_dir), CONVERSATION_K))
+
+
+def filtered_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 restricted to documents labelled good quality (``labels`` as the
+    join target), top 10."""
+    idx = build_index(documents_corpus(spark, sf_dir))
+    good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(
+        F.col("doc_id").cast("string").alias("id")
+    )
+    hits = S.restrict(S.search_hits(idx, BM25_QUERY), good)
+    return _rounded(S.top_k(hits, TOP_K).select("rank", "id", "score"))
+
+
+def fuzzy_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 + E11: every ``benchmark`` text as a fuzzy query (distance 1)."""
+    idx = build_index(documents_corpus(spark, sf_dir))
+    return FZ.search_fuzzy_batch(idx, benchmark_queries(spark, sf_dir), 1, TOP_K)
+
+
 REGISTRY = {
     "token_counts": token_counts,
     "token_table": token_table,
@@ -349,4 +378,7 @@ REGISTRY = {
     "open_or_create": open_or_create,
     "snapshot_read": snapshot_read,
     "stream_upsert": stream_upsert,
+    "conversation_search": conversation_search,
+    "filtered_search": filtered_search,
+    "fuzzy_batch": fuzzy_batch,
 }
