@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import chars, osa_distance
 from ..functions.tokenize import tokens
-from ..plans.sizing import broadcast_if_small, query_token_bound
+from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small, query_token_bound
 from ..schema import MAX_FUZZY_DISTANCE
 from .indexing import Index
 from .search import HIT_COLS, _check_k, single_query, top_k
 
 
+#: sub-keys of the length join when the query side is too big to broadcast
+SALTS = 64
+
+
 def _check_distance(d: int) -> None:
     if not isinstance(d, int) or d < 0 or d > MAX_FUZZY_DISTANCE:
         raise ValueError(f"distance must be an integer in 0..{MAX_FUZZY_DISTANCE}, got {d!r}")
@@ -58,9 +62,17 @@ def matched_terms(index: Index, clauses: DataFrame, distance: int, clause_rows:
         "*",
         F.explode(F.sequence(F.greatest(F.col("qlen") - d, F.lit(1)), F.col("qlen") + d)).alias("term_len"),
     )
-    q = broadcast_if_small(q, None if clause_rows is None else clause_rows * (2 * d + 1))
+    n_q = clause_rows * (2 * d + 1) if clause_rows is not None else q.count()
     vocab = index.term_stats.select("bucket", "term", "term_len")
-    cand = vocab.join(q, "term_len")
+    if n_q <= MAX_BROADCAST_ROWS:
+        cand = vocab.join(F.broadcast(q), "term_len")
+    else:
+        # a huge query table: term_len has few distinct values, so salt the
+        # join -- the vocabulary spreads over SALTS sub-keys, the query side
+        # is replicated to each
+        vocab = vocab.withColumn("_salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)))
+        q = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        cand = vocab.join(q, ["term_len", "_salt"]).drop("_salt")
     if d == 0:
         return cand.filter(F.col("term") == F.col("qterm")).select("query_id", "clause_id", "bucket", "term")
     cand = cand.filter(F.levenshtein("term", "qterm", 2 * d) >= 0)

@@ -158,3 +158,26 @@ def test_argument_checks(corpus):
     idx = corpus([("1", "a", "x")])
     with pytest.raises(ValueError):
         S.search(idx, "x", 0)
+
+
+def test_fuzzy_batch_and_salted_join(corpus, spark, monkeypatch):
+    from lexispark.operators import fuzzy as FZmod
+    from lexispark.plans import sizing
+
+    idx = corpus([("1", "a", "hello world programming"), ("2", "a", "help wanted")])
+    qs = spark.createDataFrame([("x", "helo"), ("y", "wrld programing")], "query_id string, query string")
+    want = {(r.query_id, r.id, r.score) for r in FZ.search_fuzzy_batch(idx, qs, 1, 5).collect()}
+    assert want == {("x", "1", 1.0), ("x", "2", 1.0), ("y", "1", 2.0)}
+    # force the non-broadcast, salted path: same answer
+    monkeypatch.setattr(FZmod, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(FZmod, "MAX_LITERAL_TERMS", 0)
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 0)
+    got = {(r.query_id, r.id, r.score) for r in FZ.search_fuzzy_batch(idx, qs, 1, 5).collect()}
+    assert got == want
+
+
+def test_restrict(corpus, spark):
+    idx = corpus([("1", "a", "x y"), ("2", "a", "x"), ("3", "a", "y")])
+    allowed = spark.createDataFrame([("2",), ("3",)], "id string")
+    hits = S.restrict(S.search_hits(idx, "x"), allowed)
+    assert ids(S.top_k(hits, 5).select("rank", "id", "score")) == ["2"]
