@@ -100,7 +100,9 @@ def token_table(df: DataFrame, key_cols: list[str], text_col: str = "text") -> D
     """One row per token: ``key_cols..., pos INT, term STRING``.
 
     ``posexplode`` keeps zero-token texts out (they have no tokens)."""
-    return df.select(*key_cols, F.posexplode(tokens(text_col)).alias("pos", "term"))
+    return df.select(*key_cols, F.posexplode_outer(tokens(text_col)).alias("pos", "term")).filter(
+        F.col("term").isNotNull()
+    )
 
 
 def token_table_with_offsets(

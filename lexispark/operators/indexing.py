@@ -117,11 +117,14 @@ def doc_stats_of(docs_keyed: DataFrame) -> DataFrame:
 def postings_of(docs_keyed: DataFrame, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """(term, document) postings with tf and sorted positions."""
     toks = docs_keyed.select(*DOC_KEY_COLS, tokens("text").alias("toks"))
+    # posexplode_outer + an explicit filter: with a plain posexplode Catalyst
+    # infers ``size(tokens(text)) > 0`` and pushes it below the repartition
+    # into the scan, tokenising everything once more in the scan's tasks
     rows = toks.select(
         *DOC_KEY_COLS,
         F.size("toks").cast("int").alias("dl"),
-        F.posexplode("toks").alias("pos", "term"),
-    )
+        F.posexplode_outer("toks").alias("pos", "term"),
+    ).filter(F.col("term").isNotNull())
     agg = rows.groupBy("term", *DOC_KEY_COLS, "dl").agg(
         F.sort_array(F.collect_set(F.col("pos").cast("int"))).alias("positions"),
         F.count(F.lit(1)).alias("n_rows"),
