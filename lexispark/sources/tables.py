@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tokenize import cjk_letter_map
+from ..operators.indexing import ensure_parallelism
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table; a scan with fewer splits than cores (a one-row-group
+    file) is spread over the cores, a many-split table is left as it is."""
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def documents_corpus(spark: SparkSession, sf_dir: str, header: str = "lang") -> DataFrame:
