@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.tokenize import WS_CLASS, tokens
-from ..plans.sizing import broadcast_if_small, query_token_bound
+from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small, query_token_bound
 from .indexing import CorpusStats, Index, term_bucket
 from .scoring import idf, order_key, tf_norm
 
@@ -102,9 +102,12 @@ def clause_token_lists(spark: SparkSession, text: str, whole_phrase: bool = Fals
     return [list(r.t) for r in rows if r.t]
 
 
-def clauses_literal(spark: SparkSession, clause_tokens: list[list[str]], boost: float = 1.0, query_id: str = "q") -> DataFrame:
+def clauses_literal(
+    spark: SparkSession, clause_tokens: list[list[str]], boost: float | list[float] = 1.0, query_id: str = "q"
+) -> DataFrame:
     """Clause table of one query from driver-side token lists, as a literal
     ``inline`` (constant-folded, no Python data path)."""
+    boosts = boost if isinstance(boost, list) else [boost] * len(clause_tokens)
     rows = [
         F.struct(
             F.lit(query_id).alias("query_id"),
@@ -113,7 +116,7 @@ def clauses_literal(spark: SparkSession, clause_tokens: list[list[str]], boost:
             F.lit(len(toks)).alias("n_tok"),
             F.lit(off).alias("off"),
             F.lit(t).alias("term"),
-            F.lit(float(boost)).alias("boost"),
+            F.lit(float(boosts[ci])).alias("boost"),
         )
         for ci, toks in enumerate(clause_tokens)
         for off, t in enumerate(toks)
@@ -121,7 +124,7 @@ def clauses_literal(spark: SparkSession, clause_tokens: list[list[str]], boost:
     if not rows:
         return spark.range(0).select(
             F.lit(query_id).alias("query_id"), F.lit(0).alias("clause_id"), F.lit("term").alias("kind"),
-            F.lit(1).alias("n_tok"), F.lit(0).alias("off"), F.lit("").alias("term"), F.lit(float(boost)).alias("boost"),
+            F.lit(1).alias("n_tok"), F.lit(0).alias("off"), F.lit("").alias("term"), F.lit(1.0).alias("boost"),
         )
     return spark.range(1).select(F.inline(F.array(*rows)))
 
@@ -171,6 +174,7 @@ def clause_scores(
     terms: list[tuple[str, int]] | None = None,
     clause_rows: int | None = None,
     kinds: set[str] | None = None,
+    terms_merged: bool = False,
 ) -> DataFrame:
     """Score every (clause, document) match: ``HIT_COLS + clause_id, score``.
 
@@ -186,29 +190,38 @@ def clause_scores(
         counts = {r.kind: int(r.n) for r in c.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
         clause_rows = sum(counts.values())
         kinds = set(counts) or {"term"}
-    c = broadcast_if_small(c, clause_rows)
+    small = clause_rows <= MAX_BROADCAST_ROWS
     post, ts = prune_postings(index, terms)
     if terms is None:
         qterms = c.select("bucket", "term").distinct()
-        ts = ts.join(qterms, ["bucket", "term"], "left_semi")
+        ts = ts.join(F.broadcast(qterms) if small else qterms, ["bucket", "term"], "left_semi")
     # term stats of the query terms: at most one row per distinct query term
-    ts = broadcast_if_small(ts, clause_rows)
-    j = post.join(c, ["bucket", "term"]).join(ts, ["bucket", "term"])
-    j = j.withColumn("w", idf(F.col("df"), stats))
+    ts = F.broadcast(ts) if small else ts
+    w = idf(F.col("df"), stats)
 
     out = []
     if "term" in kinds:
+        # a term written k times in one query is one clause of boost k
+        # (same score, k times fewer joined posting rows)
+        ct = c.filter(F.col("kind") == "term")
+        if not terms_merged:
+            ct = ct.groupBy("query_id", "bucket", "term").agg(
+                F.sum("boost").alias("boost"), F.min("clause_id").alias("clause_id")
+            )
+        jt = post.join(F.broadcast(ct) if small else ct, ["bucket", "term"]).join(ts, ["bucket", "term"])
         out.append(
-            j.filter(F.col("kind") == "term").select(
+            jt.select(
                 *HIT_COLS,
                 "clause_id",
                 F.col("tf").alias("occurrences"),
-                (F.col("boost") * F.col("w") * tf_norm(F.col("tf"), F.col("dl"), stats)).alias("score"),
+                (F.col("boost") * w * tf_norm(F.col("tf"), F.col("dl"), stats)).alias("score"),
             )
         )
     if "phrase" in kinds:
+        cp = c.filter(F.col("kind") == "phrase")
+        jp = post.join(F.broadcast(cp) if small else cp, ["bucket", "term"]).join(ts, ["bucket", "term"])
         ph = (
-            j.filter(F.col("kind") == "phrase")
+            jp.withColumn("w", w)
             .groupBy(*HIT_COLS, "clause_id", "n_tok", "boost", "dl")
             .agg(
                 F.collect_list(F.struct("off", "positions")).alias("pl"),
@@ -258,12 +271,29 @@ def single_clause_scores(index: Index, text: str, whole_phrase: bool = False, bo
     spark = index.spark
     expr = _query_token_expr(spark, whole_phrase, index.n_buckets)
     row = spark.range(1).select(F.lit(text).alias("q")).select(expr).first()
-    ctoks = [[e.t for e in cl] for cl in row.c if cl]
+    all_toks = [[e.t for e in cl] for cl in row.c if cl]
     terms = sorted({(e.t, int(e.b)) for cl in row.c for e in cl})
+    # a term written k times is one clause of boost k (same score)
+    ctoks: list[list[str]] = []
+    boosts: list[float] = []
+    seen: dict[str, int] = {}
+    for t in all_toks:
+        if len(t) == 1 and t[0] in seen:
+            boosts[seen[t[0]]] += boost
+            continue
+        if len(t) == 1:
+            seen[t[0]] = len(ctoks)
+        ctoks.append(t)
+        boosts.append(boost)
     kinds = {"term" if len(t) == 1 else "phrase" for t in ctoks} or {"term"}
     n_rows = sum(len(t) for t in ctoks)
     return clause_scores(
-        index, clauses_literal(spark, ctoks, boost), terms=terms, clause_rows=n_rows, kinds=kinds
+        index,
+        clauses_literal(spark, ctoks, boosts),
+        terms=terms,
+        clause_rows=n_rows,
+        kinds=kinds,
+        terms_merged=True,
     )
 
 

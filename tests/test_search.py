@@ -181,3 +181,17 @@ def test_restrict(corpus, spark):
     allowed = spark.createDataFrame([("2",), ("3",)], "id string")
     hits = S.restrict(S.search_hits(idx, "x"), allowed)
     assert ids(S.top_k(hits, 5).select("rank", "id", "score")) == ["2"]
+
+
+def test_repeated_literal_counts_twice(corpus, spark):
+    idx = corpus([("1", "a", "Rust programming language"), ("2", "a", "Rust is great")])
+    raw = lambda df: {r.id: r.score for r in df.collect()}
+    one = raw(S.search(idx, "Rust", 5))
+    two = raw(S.search(idx, "Rust language Rust", 5))
+    lang = raw(S.search(idx, "language", 5))
+    assert set(two) == set(one)
+    for k in one:
+        assert abs(two[k] - (2 * one[k] + lang.get(k, 0))) < 1e-9
+    qs = spark.createDataFrame([("x", "Rust language Rust")], "query_id string, query string")
+    batch = raw(S.search_batch(idx, qs, 5))
+    assert all(abs(batch[k] - two[k]) < 1e-9 for k in two)
