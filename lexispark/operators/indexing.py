@@ -114,28 +114,72 @@ def doc_stats_of(docs_keyed: DataFrame) -> DataFrame:
     )
 
 
-def postings_of(docs_keyed: DataFrame, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """(term, document) postings with tf and sorted positions."""
-    toks = docs_keyed.select(*DOC_KEY_COLS, tokens("text").alias("toks"))
-    # posexplode_outer + an explicit filter: with a plain posexplode Catalyst
-    # infers ``size(tokens(text)) > 0`` and pushes it below the repartition
-    # into the scan, tokenising everything once more in the scan's tasks
-    rows = toks.select(
+def per_document_postings(docs_keyed: DataFrame) -> DataFrame:
+    """``doc_key, id, header_key, dl, term, positions`` computed inside each
+    document row, without a shuffle: the (term, position) pairs are sorted,
+    cut where the term changes, and each run becomes one posting."""
+    t = docs_keyed.select(*DOC_KEY_COLS, tokens("text").alias("toks"))
+    t = t.select(
         *DOC_KEY_COLS,
         F.size("toks").cast("int").alias("dl"),
-        F.posexplode_outer("toks").alias("pos", "term"),
-    ).filter(F.col("term").isNotNull())
-    agg = rows.groupBy("term", *DOC_KEY_COLS, "dl").agg(
-        F.sort_array(F.collect_set(F.col("pos").cast("int"))).alias("positions"),
-        F.count(F.lit(1)).alias("n_rows"),
+        F.array_sort(F.transform("toks", lambda x, i: F.struct(x.alias("term"), i.alias("pos")))).alias("s"),
     )
-    return agg.select(
+    s = F.col("s")
+    t = t.select(
+        *DOC_KEY_COLS,
+        "dl",
+        "s",
+        F.filter(
+            F.transform(
+                s,
+                lambda x, i: F.when(i == 0, i).when(x["term"] != s[i - 1]["term"], i).otherwise(F.lit(-1)),
+            ),
+            lambda i: i >= 0,
+        ).alias("st"),
+    )
+    st = F.col("st")
+    runs = F.transform(
+        st,
+        lambda b, k: F.struct(
+            s[b]["term"].alias("term"),
+            F.transform(
+                F.slice(s, b + 1, F.when(k + 1 < F.size(st), st[k + 1]).otherwise(F.size(s)) - b),
+                lambda y: y["pos"],
+            ).alias("positions"),
+        ),
+    )
+    # explode_outer + an explicit filter: a plain explode lets Catalyst infer
+    # ``size(...) > 0`` and push it below the repartition into the scan
+    return (
+        t.select(*DOC_KEY_COLS, "dl", F.explode_outer(runs).alias("p"))
+        .filter(F.col("p").isNotNull())
+        .select(*DOC_KEY_COLS, "dl", F.col("p.term").alias("term"), F.col("p.positions").alias("positions"))
+    )
+
+
+def postings_of(docs_keyed: DataFrame, n_buckets: int = DEFAULT_BUCKETS, copies_possible: bool = True) -> DataFrame:
+    """(term, document) postings with tf and sorted positions.
+
+    Postings are built inside each document row. Exact copies of a document
+    (same id, header_key, text) give identical rows; with
+    ``copies_possible`` they are folded into one row with their count by a
+    hash aggregation keyed by the whole posting (partial map-side, so a hot
+    group of copies never reaches one task whole). Without copies -- known
+    from ``doc_stats`` -- there is no shuffle here at all."""
+    rows = per_document_postings(docs_keyed)
+    if copies_possible:
+        rows = rows.groupBy("term", *DOC_KEY_COLS, "dl", "positions").agg(
+            F.count(F.lit(1)).cast("int").alias("copies")
+        )
+    else:
+        rows = rows.withColumn("copies", F.lit(1))
+    return rows.select(
         term_bucket(F.col("term"), n_buckets).alias("bucket"),
         "term",
         *DOC_KEY_COLS,
         "dl",
         F.size("positions").cast("int").alias("tf"),
-        (F.col("n_rows") / F.size("positions")).cast("int").alias("copies"),
+        "copies",
         "positions",
     )
 

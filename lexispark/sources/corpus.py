@@ -104,13 +104,16 @@ class Corpus:
     def _commit(self, v: int, batch_id: int) -> None:
         write_text_file(self.spark, f"{self.path}/{MARKER}", f"{v},{batch_id}")
 
-    def _write_tables(self, v: int, docs: DataFrame | None, doc_stats: DataFrame, postings: DataFrame) -> None:
+    def _write_tables(
+        self, v: int, docs: DataFrame | None, doc_stats: DataFrame | None, postings: DataFrame
+    ) -> None:
         """Write one version from (lazy) documents, statistics and postings;
-        ``docs=None`` when ``v=N/docs`` is already written."""
+        ``None`` for a table already written under ``v=N/``."""
         out = self._vpath(v)
         if docs is not None:
             docs.write.mode("error").parquet(f"{out}/docs")
-        doc_stats.write.mode("error").parquet(f"{out}/doc_stats")
+        if doc_stats is not None:
+            doc_stats.write.mode("error").parquet(f"{out}/doc_stats")
         (
             postings.hint("rebalance", "bucket")
             .sortWithinPartitions("bucket", "term", "doc_key")
@@ -136,7 +139,13 @@ class Corpus:
         out = self._vpath(v)
         keyed.write.mode("error").parquet(f"{out}/docs")
         stored = self.spark.read.schema(DOCS_SCHEMA).parquet(f"{out}/docs")
-        self._write_tables(v, None, doc_stats_of(stored), postings_of(stored, self.n_buckets))
+        doc_stats_of(stored).write.mode("error").parquet(f"{out}/doc_stats")
+        # one small aggregate over the written statistics: are there copies?
+        max_copies = (
+            self.spark.read.schema(DOC_STATS_SCHEMA).parquet(f"{out}/doc_stats").agg(F.max("copies")).first()[0]
+        )
+        post = postings_of(stored, self.n_buckets, copies_possible=(max_copies or 0) > 1)
+        self._write_tables(v, None, None, post)
 
     def index(self, version: int | None = None) -> Index:
         """Snapshot of a version (default: the committed one)."""
