@@ -14,10 +14,9 @@ and, because ``id`` takes part in every grouping and join, two different
 documents only merge if both the id and the 64-bit hash agree.
 
 Exact copies (same id, header_key and text) are indexed once and carry their
-multiplicity in ``copies``: a group of copies, however large, never lands in
-one task -- partial aggregation collapses it map-side. ``copies`` is recovered
-in the postings aggregation as ``count(*) / tf`` (every copy contributes the
-same ``tf`` token rows at the same positions).
+multiplicity in ``copies``: every copy yields identical posting rows, which a
+hash aggregation keyed by the whole posting counts; a group of copies, however
+large, never lands in one task -- partial aggregation collapses it map-side.
 """
 
 from __future__ import annotations
