@@ -29,6 +29,7 @@ from ..operators import facets as FC
 from ..operators import fuzzy as FZ
 from ..operators import search as S
 from ..operators.indexing import (
+    build_index,
     DOC_STATS_SCHEMA,
     DOCS_SCHEMA,
     POSTINGS_SCHEMA,
@@ -72,9 +73,8 @@ class Corpus:
         self._cached: list[DataFrame] = []
         if self.path is None:
             self._set_memory(_empty_docs(spark))
-        elif self.current_version() is None:
-            self._write_full(0, _empty_docs(spark))
-            self._commit(0, -1)
+        # a durable corpus without a committed version reads as empty; the
+        # first rebuild or change commits version 0 (nothing is written before)
 
     # ---- versions (durable) ------------------------------------------------
 
@@ -153,8 +153,19 @@ class Corpus:
         if self.path is None:
             return self._mem
         v = self.current_version() if version is None else version
+        if v is None:
+            return self._empty_index()
         return read_index(self.spark, self._vpath(v), self.n_buckets)
 
+    def _empty_index(self) -> Index:
+        idx = build_index(_empty_docs(self.spark), self.n_buckets)
+        idx.stats_row = CorpusStats(0, 0, 0.0)
+        return idx
+
+    def _next_version(self) -> int:
+        v = self.current_version()
+        return 0 if v is None else v + 1
+
     # ---- memory corpus -----------------------------------------------------
 
     def _release(self) -> None:
@@ -182,7 +193,7 @@ class Corpus:
             shared_dir(self.spark)
             self._set_memory(docs.checkpoint())
             return
-        v = self.current_version() + 1
+        v = self._next_version()
         self._write_full(v, docs)
         self._commit(v, self.last_batch_id())
 
@@ -207,7 +218,7 @@ class Corpus:
         shared_dir(self.spark)
         latest = latest.checkpoint()
         old = self.index()
-        v = self.current_version() + 1
+        v = self._next_version()
         new_keyed = with_doc_key(C.incoming(latest, last_del))
         out = self._vpath(v)
         new_keyed.write.mode("error").parquet(f"{out}/docs.new")
