@@ -90,6 +90,11 @@ def tokens(text: Column | str) -> Column:
     return F.when(t.rlike(HAS_CJK), cjk).otherwise(heads)
 
 
+def lowercase_tokens(text: Column | str) -> Column:
+    """A plug-in analyzer (C10): the default rules on the lower-cased text."""
+    return tokens(F.lower(_c(text)))
+
+
 def cjk_letter_map(text: Column | str) -> Column:
     """Fixed letter map used to get CJK text at scale from the Latin test
     corpora: lower-case, then a..l -> 北京天気今日한국上海学校 (one char each)."""

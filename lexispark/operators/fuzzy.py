@@ -40,11 +40,11 @@ def _check_distance(d: int) -> None:
         raise ValueError(f"distance must be an integer in 0..{MAX_FUZZY_DISTANCE}, got {d!r}")
 
 
-def fuzzy_clauses(queries: DataFrame) -> DataFrame:
+def fuzzy_clauses(queries: DataFrame, tokenizer=tokens) -> DataFrame:
     """One clause per query token (repeats are separate clauses)."""
     return queries.select(
         F.col("query_id").cast("string").alias("query_id"),
-        F.posexplode(tokens("query")).alias("clause_id", "qterm"),
+        F.posexplode(tokenizer(F.col("query"))).alias("clause_id", "qterm"),
     )
 
 
@@ -94,7 +94,7 @@ def fuzzy_hits(index: Index, queries: DataFrame, distance: int, clause_rows: int
     (partition pruning + Parquet pushdown) and a broadcast; beyond, a
     broadcast when counted small, else a shuffle join."""
     index.check_open()
-    m = matched_terms(index, fuzzy_clauses(queries), distance, clause_rows)
+    m = matched_terms(index, fuzzy_clauses(queries, index.tokenizer), distance, clause_rows)
     m = m.persist(StorageLevel.MEMORY_AND_DISK)
     n = m.count()
     post = index.postings.select("bucket", "term", "doc_key", "id", "header_key", "copies")

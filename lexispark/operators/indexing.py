@@ -21,9 +21,10 @@ large, never lands in one task -- partial aggregation collapses it map-side.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,20 +105,24 @@ def with_doc_key(docs: DataFrame) -> DataFrame:
     )
 
 
-def doc_stats_of(docs_keyed: DataFrame) -> DataFrame:
+#: a tokeniser: text column -> ARRAY<STRING> column (C10 plug-in point)
+Tokenizer = Callable[[Column], Column]
+
+
+def doc_stats_of(docs_keyed: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
     """D3: one row per distinct document, zero-token documents kept."""
     return (
-        docs_keyed.select(*DOC_KEY_COLS, F.size(tokens("text")).cast("int").alias("dl"))
+        docs_keyed.select(*DOC_KEY_COLS, F.size(tokenizer(F.col("text"))).cast("int").alias("dl"))
         .groupBy(*DOC_KEY_COLS, "dl")
         .agg(F.count(F.lit(1)).cast("int").alias("copies"))
     )
 
 
-def per_document_postings(docs_keyed: DataFrame) -> DataFrame:
+def per_document_postings(docs_keyed: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
     """``doc_key, id, header_key, dl, term, positions`` computed inside each
     document row, without a shuffle: the (term, position) pairs are sorted,
     cut where the term changes, and each run becomes one posting."""
-    t = docs_keyed.select(*DOC_KEY_COLS, tokens("text").alias("toks"))
+    t = docs_keyed.select(*DOC_KEY_COLS, tokenizer(F.col("text")).alias("toks"))
     t = t.select(
         *DOC_KEY_COLS,
         F.size("toks").cast("int").alias("dl"),
@@ -156,7 +161,12 @@ def per_document_postings(docs_keyed: DataFrame) -> DataFrame:
     )
 
 
-def postings_of(docs_keyed: DataFrame, n_buckets: int = DEFAULT_BUCKETS, copies_possible: bool = True) -> DataFrame:
+def postings_of(
+    docs_keyed: DataFrame,
+    n_buckets: int = DEFAULT_BUCKETS,
+    copies_possible: bool = True,
+    tokenizer: Tokenizer = tokens,
+) -> DataFrame:
     """(term, document) postings with tf and sorted positions.
 
     Postings are built inside each document row. Exact copies of a document
@@ -165,7 +175,7 @@ def postings_of(docs_keyed: DataFrame, n_buckets: int = DEFAULT_BUCKETS, copies_
     hash aggregation keyed by the whole posting (partial map-side, so a hot
     group of copies never reaches one task whole). Without copies -- known
     from ``doc_stats`` -- there is no shuffle here at all."""
-    rows = per_document_postings(docs_keyed)
+    rows = per_document_postings(docs_keyed, tokenizer)
     if copies_possible:
         rows = rows.groupBy("term", *DOC_KEY_COLS, "dl", "positions").agg(
             F.count(F.lit(1)).cast("int").alias("copies")
@@ -226,6 +236,8 @@ class Index:
     n_buckets: int = DEFAULT_BUCKETS
     stats_row: CorpusStats | None = None
     closed: bool = field(default=False)
+    #: the analyzer of this corpus; queries are tokenised with the same one
+    tokenizer: Tokenizer = field(default=tokens)
 
     @property
     def spark(self) -> SparkSession:
@@ -244,20 +256,23 @@ class Index:
             raise RuntimeError("the corpus is closed")
 
 
-def build_index(docs: DataFrame, n_buckets: int = DEFAULT_BUCKETS) -> Index:
+def build_index(docs: DataFrame, n_buckets: int = DEFAULT_BUCKETS, tokenizer: Tokenizer = tokens) -> Index:
     """Ephemeral index (A2): lazy plans over ``docs(id, header_key, text)``."""
     keyed = with_doc_key(ensure_parallelism(docs.select("id", "header_key", "text")))
-    postings = postings_of(keyed, n_buckets)
+    postings = postings_of(keyed, n_buckets, tokenizer=tokenizer)
     return Index(
         docs=keyed,
-        doc_stats=doc_stats_of(keyed),
+        doc_stats=doc_stats_of(keyed, tokenizer),
         postings=postings,
         term_stats=term_stats_of(postings),
         n_buckets=n_buckets,
+        tokenizer=tokenizer,
     )
 
 
-def read_index(spark: SparkSession, path: str, n_buckets: int = DEFAULT_BUCKETS) -> Index:
+def read_index(
+    spark: SparkSession, path: str, n_buckets: int = DEFAULT_BUCKETS, tokenizer: Tokenizer = tokens
+) -> Index:
     """Open a materialised index (snapshot read)."""
     cs = spark.read.schema(CORPUS_STATS_SCHEMA).parquet(f"{path}/corpus_stats").first()  # one row of metadata
     return Index(
@@ -267,4 +282,5 @@ def read_index(spark: SparkSession, path: str, n_buckets: int = DEFAULT_BUCKETS)
         term_stats=spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats"),
         n_buckets=n_buckets,
         stats_row=CorpusStats(int(cs.n_docs), int(cs.total_tokens), float(cs.avgdl)),
+        tokenizer=tokenizer,
     )

@@ -42,7 +42,7 @@ def _check_k(k: int) -> None:
 # --------------------------------------------------------------------------
 
 
-def literal_clauses(queries: DataFrame, boost: float = 1.0) -> DataFrame:
+def literal_clauses(queries: DataFrame, boost: float = 1.0, tokenizer=tokens) -> DataFrame:
     """Split each query on white space into literals; a literal with
     one token is a term clause, a literal with more (CJK) a phrase clause."""
     lits = queries.select(
@@ -51,16 +51,16 @@ def literal_clauses(queries: DataFrame, boost: float = 1.0) -> DataFrame:
             F.regexp_extract_all(F.coalesce(F.col("query"), F.lit("")), F.lit(LITERAL_PATTERN), 0)
         ).alias("clause_id", "lit"),
     )
-    toks = lits.select("query_id", "clause_id", tokens("lit").alias("toks"))
+    toks = lits.select("query_id", "clause_id", tokenizer(F.col("lit")).alias("toks"))
     return _explode_clause_tokens(toks, boost)
 
 
-def phrase_clauses(queries: DataFrame, boost: float = 1.0) -> DataFrame:
+def phrase_clauses(queries: DataFrame, boost: float = 1.0, tokenizer=tokens) -> DataFrame:
     """The whole query is one phrase (a single token is a term clause)."""
     toks = queries.select(
         F.col("query_id").cast("string").alias("query_id"),
         F.lit(0).alias("clause_id"),
-        tokens("query").alias("toks"),
+        tokenizer(F.col("query")).alias("toks"),
     )
     return _explode_clause_tokens(toks, boost)
 
@@ -89,19 +89,6 @@ def single_query(spark: SparkSession, query: str, query_id: str = "q") -> DataFr
     )
 
 
-def clause_token_lists(spark: SparkSession, text: str, whole_phrase: bool = False) -> list[list[str]]:
-    """Tokens of each clause of one query string, on the driver: one small
-    job running the documents' tokeniser expression on the literal (bounded
-    by the query length)."""
-    q = single_query(spark, text)
-    if whole_phrase:
-        rows = q.select(tokens("query").alias("t")).collect()
-    else:
-        lits = F.regexp_extract_all(F.col("query"), F.lit(LITERAL_PATTERN), 0)
-        rows = q.select(F.explode(F.transform(lits, lambda x: tokens(x))).alias("t")).collect()
-    return [list(r.t) for r in rows if r.t]
-
-
 def clauses_literal(
     spark: SparkSession, clause_tokens: list[list[str]], boost: float | list[float] = 1.0, query_id: str = "q"
 ) -> DataFrame:
@@ -129,17 +116,6 @@ def clauses_literal(
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def query_terms(spark: SparkSession, text: str, n_buckets: int) -> list[tuple[str, int]]:
-    """Distinct tokens of a query string with their buckets, on the driver.
-
-    Runs the same tokeniser expression as the documents (one tiny job); the
-    result is bounded by the query length. Used to prune postings to the
-    query's buckets and terms (partition pruning + Parquet pushdown)."""
-    df = spark.range(1).select(F.explode(F.array_distinct(tokens(F.lit(text)))).alias("term"))
-    rows = df.select("term", term_bucket(F.col("term"), n_buckets).alias("bucket")).collect()
-    return [(r.term, int(r.bucket)) for r in rows]
-
-
 def terms_with_buckets(spark: SparkSession, clause_tokens: list[list[str]], n_buckets: int) -> list[tuple[str, int]]:
     """(term, bucket) of driver-side tokens; the bucket is computed by the
     same Spark expression the index used (one constant-folded row)."""
@@ -245,16 +221,16 @@ def clause_scores(
 _QUERY_EXPR_CACHE: dict[tuple, Column] = {}
 
 
-def _query_token_expr(spark: SparkSession, whole_phrase: bool, n_buckets: int) -> Column:
+def _query_token_expr(spark: SparkSession, whole_phrase: bool, n_buckets: int, tokenizer=tokens) -> Column:
     """Per-clause ``(token, bucket)`` lists of column ``q``; built once per
     JVM and mode (building the lambdas costs hundreds of py4j calls)."""
-    key = (id(spark.sparkContext._gateway), whole_phrase, n_buckets)
+    key = (id(spark.sparkContext._gateway), whole_phrase, n_buckets, tokenizer)
     if key not in _QUERY_EXPR_CACHE:
         q = F.col("q")
         if whole_phrase:
-            per_clause = F.array(tokens(q))
+            per_clause = F.array(tokenizer(q))
         else:
-            per_clause = F.transform(F.regexp_extract_all(q, F.lit(LITERAL_PATTERN), 0), lambda x: tokens(x))
+            per_clause = F.transform(F.regexp_extract_all(q, F.lit(LITERAL_PATTERN), 0), lambda x: tokenizer(x))
         _QUERY_EXPR_CACHE[key] = F.transform(
             per_clause,
             lambda ts: F.transform(ts, lambda t: F.struct(t.alias("t"), term_bucket(t, n_buckets).alias("b"))),
@@ -269,7 +245,7 @@ def single_clause_scores(index: Index, text: str, whole_phrase: bool = False, bo
     One small job tokenises the query (the documents' expression, bounded by
     the query length) and computes the terms' buckets."""
     spark = index.spark
-    expr = _query_token_expr(spark, whole_phrase, index.n_buckets)
+    expr = _query_token_expr(spark, whole_phrase, index.n_buckets, index.tokenizer)
     row = spark.range(1).select(F.lit(text).alias("q")).select(expr).first()
     all_toks = [[e.t for e in cl] for cl in row.c if cl]
     terms = sorted({(e.t, int(e.b)) for cl in row.c for e in cl})
@@ -334,7 +310,7 @@ def search_batch(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
     """``queries(query_id, query)`` -> ``query_id, rank, id, score``."""
     index.check_open()
     _check_k(k)
-    hits = sum_by_doc(clause_scores(index, literal_clauses(queries)))
+    hits = sum_by_doc(clause_scores(index, literal_clauses(queries, tokenizer=index.tokenizer)))
     return top_k(hits, k).select("query_id", "rank", "id", "score")
 
 
@@ -370,7 +346,7 @@ def search_phrase(index: Index, phrase: str, k: int = 5) -> DataFrame:
 def phrase_search_batch(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
     """E3 for a table of phrases: ``query_id, rank, id, score``."""
     index.check_open()
-    hits = sum_by_doc(clause_scores(index, phrase_clauses(queries)))
+    hits = sum_by_doc(clause_scores(index, phrase_clauses(queries, tokenizer=index.tokenizer)))
     return top_k(hits, k).select("query_id", "rank", "id", "score")
 
 

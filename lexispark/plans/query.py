@@ -225,7 +225,9 @@ def _phrase_token_rows(index: Index, text: str) -> tuple[DataFrame, int]:
     """``off, term, bucket`` rows of a phrase's tokens (bounded by the text)."""
     from ..operators.indexing import term_bucket
 
-    q = single_query(index.spark, text, QID).select(F.posexplode(tokens("query")).alias("off", "term"))
+    q = single_query(index.spark, text, QID).select(
+        F.posexplode(index.tokenizer(F.col("query"))).alias("off", "term")
+    )
     q = q.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
     return q, query_token_bound(text)
 

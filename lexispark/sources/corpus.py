@@ -28,7 +28,9 @@ from ..operators import changes as C
 from ..operators import facets as FC
 from ..operators import fuzzy as FZ
 from ..operators import search as S
+from ..functions.tokenize import tokens
 from ..operators.indexing import (
+    Tokenizer,
     build_index,
     DOC_STATS_SCHEMA,
     DOCS_SCHEMA,
@@ -64,8 +66,18 @@ def _as_docs(spark: SparkSession, docs) -> DataFrame:
 
 
 class Corpus:
-    def __init__(self, spark: SparkSession, path: str | None = None, n_buckets: int = DEFAULT_BUCKETS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str | None = None,
+        n_buckets: int = DEFAULT_BUCKETS,
+        tokenizer: Tokenizer = tokens,
+    ):
+        """``tokenizer`` (C10): the analyzer, a ``Column -> ARRAY<STRING>``
+        expression; documents and queries both use it. A durable corpus must
+        be reopened with the same tokenizer it was built with."""
         self.spark = spark
+        self.tokenizer = tokenizer
         self.path = path.rstrip("/") if path else None
         self.n_buckets = n_buckets
         self._closed = False
@@ -139,12 +151,14 @@ class Corpus:
         out = self._vpath(v)
         keyed.write.mode("error").parquet(f"{out}/docs")
         stored = self.spark.read.schema(DOCS_SCHEMA).parquet(f"{out}/docs")
-        doc_stats_of(stored).write.mode("error").parquet(f"{out}/doc_stats")
+        doc_stats_of(stored, self.tokenizer).write.mode("error").parquet(f"{out}/doc_stats")
         # one small aggregate over the written statistics: are there copies?
         max_copies = (
             self.spark.read.schema(DOC_STATS_SCHEMA).parquet(f"{out}/doc_stats").agg(F.max("copies")).first()[0]
         )
-        post = postings_of(stored, self.n_buckets, copies_possible=(max_copies or 0) > 1)
+        post = postings_of(
+            stored, self.n_buckets, copies_possible=(max_copies or 0) > 1, tokenizer=self.tokenizer
+        )
         self._write_tables(v, None, None, post)
 
     def index(self, version: int | None = None) -> Index:
@@ -155,10 +169,10 @@ class Corpus:
         v = self.current_version() if version is None else version
         if v is None:
             return self._empty_index()
-        return read_index(self.spark, self._vpath(v), self.n_buckets)
+        return read_index(self.spark, self._vpath(v), self.n_buckets, self.tokenizer)
 
     def _empty_index(self) -> Index:
-        idx = build_index(_empty_docs(self.spark), self.n_buckets)
+        idx = build_index(_empty_docs(self.spark), self.n_buckets, self.tokenizer)
         idx.stats_row = CorpusStats(0, 0, 0.0)
         return idx
 
@@ -177,11 +191,11 @@ class Corpus:
         self._release()
         keyed = with_doc_key(ensure_parallelism(docs.select("id", "header_key", "text")))
         keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-        ds = doc_stats_of(keyed).persist(StorageLevel.MEMORY_AND_DISK)
-        post = postings_of(keyed, self.n_buckets).persist(StorageLevel.MEMORY_AND_DISK)
+        ds = doc_stats_of(keyed, self.tokenizer).persist(StorageLevel.MEMORY_AND_DISK)
+        post = postings_of(keyed, self.n_buckets, tokenizer=self.tokenizer).persist(StorageLevel.MEMORY_AND_DISK)
         ts = term_stats_of(post).persist(StorageLevel.MEMORY_AND_DISK)
         self._cached = [keyed, ds, post, ts]
-        self._mem = Index(keyed, ds, post, ts, self.n_buckets)
+        self._mem = Index(keyed, ds, post, ts, self.n_buckets, tokenizer=self.tokenizer)
 
     # ---- A1 / A4 / B1-B3 ---------------------------------------------------
 
@@ -226,9 +240,9 @@ class Corpus:
         docs = C.survivors(old.docs, latest, last_del).select(*new_stored.columns).unionByName(new_stored)
         ds = C.survivors(old.doc_stats, latest, last_del).select(
             "doc_key", "id", "header_key", "dl", "copies"
-        ).unionByName(doc_stats_of(new_stored))
+        ).unionByName(doc_stats_of(new_stored, self.tokenizer))
         post_old = C.survivors(old.postings, latest, last_del)
-        post_new = postings_of(new_stored, self.n_buckets)
+        post_new = postings_of(new_stored, self.n_buckets, tokenizer=self.tokenizer)
         post = post_old.select(*post_new.columns).unionByName(post_new)
         self._write_tables(v, docs, ds, post)
         self._commit(v, self.last_batch_id() if batch_id is None else batch_id)

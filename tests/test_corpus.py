@@ -111,3 +111,18 @@ def test_stream_maintenance_idempotent(spark):
     maintain(c, change_stream(spark, f"{base}/changes/*"), f"{base}/ckpt").awaitTermination()
     assert sorted(r.id for r in c.documents().collect()) == ["1", "3"]
     assert c.last_batch_id() >= 1
+
+
+def test_tokenizer_plugin_and_truncate(spark):
+    from lexispark.functions.tokenize import lowercase_tokens
+
+    c = Corpus(spark, tokenizer=lowercase_tokens)
+    c.rebuild([("1", "a", "The Quick Brown Fox"), ("2", "a", "lazy dog")])
+    assert ids(c.search("fox", 5)) == ["1"]  # default analyzer is case-sensitive
+    assert ids(c.search_phrase("QUICK brown", 5)) == ["1"]
+    assert ids(c.search_fuzzy("foxx", 1, 5)) == ["1"]
+    d = Corpus(spark, fresh_path(spark, "t"), tokenizer=lowercase_tokens)
+    d.rebuild([("1", "a", "Hello World")])
+    assert ids(d.search("HELLO", 5)) == ["1"]
+    d.truncate()
+    assert ids(d.search("hello", 5)) == [] and d.documents().count() == 0
