@@ -88,6 +88,7 @@ def main() -> None:
     def facets():
         r = FC.search_with_facets(idx, "the and anble", 10)
         out = (r.results.collect(), r.facets.collect())
+        r.release()
         return out
 
     res["facets"], _ = timed(facets)

@@ -22,6 +22,12 @@ from .search import _check_k, search_hits, top_k
 class SearchResult(NamedTuple):
     results: DataFrame  # rank, id, score
     facets: DataFrame  # header_key, count
+    hits: DataFrame | None = None  # the shared scored hits (persisted)
+
+    def release(self) -> None:
+        """Drop the cached hits once both outputs have been consumed."""
+        if self.hits is not None:
+            self.hits.unpersist()
 
 
 def facet_counts(hits: DataFrame, facet_limit: int | None = None) -> DataFrame:
@@ -39,12 +45,11 @@ def search_with_facets(
     """E5: top-k results and facet counts of one query from one scoring.
 
     With ``persist`` the hits are kept (memory, spilling to disk) so the two
-    outputs don't score twice; call ``result.results.unpersist()``-style
-    cleanup through ``release(hits)`` when done."""
+    outputs don't score twice; ``result.release()`` drops them when done."""
     _check_k(k)
     hits = search_hits(index, query)
     if persist:
         hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
     res = top_k(hits, k).select("rank", "id", "score")
     fac = facet_counts(hits, facet_limit).select("header_key", "count")
-    return SearchResult(res, fac)
+    return SearchResult(res, fac, hits if persist else None)
