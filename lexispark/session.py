@@ -60,6 +60,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Sub-directories of ``path`` through Hadoop FS (empty if missing)."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [str(st.getPath()) for st in fs.listStatus(hpath) if st.isDirectory()]
+
+
 def read_text_file(spark: SparkSession, path: str) -> str | None:
     """Read a small marker file (a version number) through Hadoop FS."""
     if not path_exists(spark, path):

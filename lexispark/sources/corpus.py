@@ -47,7 +47,7 @@ from ..operators.indexing import (
 )
 from ..plans import query as Q
 from ..schema import CHANGE_SCHEMA, DEFAULT_BUCKETS, DOC_SCHEMA
-from ..session import read_text_file, shared_dir, write_text_file
+from ..session import list_dirs, read_text_file, shared_dir, write_text_file
 
 MARKER = "_CURRENT"
 
@@ -177,8 +177,16 @@ class Corpus:
         return idx
 
     def _next_version(self) -> int:
+        """One past both the committed version and any version directory
+        left by a writer that died before committing: an orphan is skipped,
+        never overwritten or read."""
         v = self.current_version()
-        return 0 if v is None else v + 1
+        top = -1 if v is None else v
+        for d in list_dirs(self.spark, self.path):
+            name = d.rsplit("/", 1)[-1]
+            if name.startswith("v=") and name[2:].isdigit():
+                top = max(top, int(name[2:]))
+        return top + 1
 
     # ---- memory corpus -----------------------------------------------------
 

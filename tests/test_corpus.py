@@ -126,3 +126,16 @@ def test_tokenizer_plugin_and_truncate(spark):
     assert ids(d.search("HELLO", 5)) == ["1"]
     d.truncate()
     assert ids(d.search("hello", 5)) == [] and d.documents().count() == 0
+
+
+def test_orphan_version_is_skipped(spark):
+    path = fresh_path(spark, "t")
+    c = Corpus(spark, path)
+    c.rebuild([("1", "a", "first")])
+    v = c.current_version()
+    # a writer died after writing the next version's files, before committing
+    spark.createDataFrame([("x",)], "a string").write.parquet(f"{path}/v={v + 1}/docs")
+    assert ids(c.search("first", 5)) == ["1"]  # readers ignore it
+    c.add_or_update([("2", "b", "second")])
+    assert c.current_version() == v + 2
+    assert sorted(ids(c.search("first second", 5))) == ["1", "2"]
