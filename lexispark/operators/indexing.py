@@ -161,6 +161,35 @@ def per_document_postings(docs_keyed: DataFrame, tokenizer: Tokenizer = tokens)
     )
 
 
+def postings_by_token_rows(
+    docs_keyed: DataFrame, n_buckets: int = DEFAULT_BUCKETS, tokenizer: Tokenizer = tokens
+) -> DataFrame:
+    """D1, the filter-friendly form for lazy (ephemeral) indexes: one row per
+    token, then ``groupBy(term, document)``. A query's ``term IN (...)``
+    filter lands right after the explode, so a search over raw documents
+    aggregates only its own terms' tokens. Copies: every copy adds the same
+    positions, so ``copies = rows / distinct positions``."""
+    toks = docs_keyed.select(*DOC_KEY_COLS, tokenizer(F.col("text")).alias("toks"))
+    rows = toks.select(
+        *DOC_KEY_COLS,
+        F.size("toks").cast("int").alias("dl"),
+        F.posexplode_outer("toks").alias("pos", "term"),
+    ).filter(F.col("term").isNotNull())
+    agg = rows.groupBy("term", *DOC_KEY_COLS, "dl").agg(
+        F.sort_array(F.collect_set(F.col("pos").cast("int"))).alias("positions"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+    return agg.select(
+        term_bucket(F.col("term"), n_buckets).alias("bucket"),
+        "term",
+        *DOC_KEY_COLS,
+        "dl",
+        F.size("positions").cast("int").alias("tf"),
+        (F.col("n_rows") / F.size("positions")).cast("int").alias("copies"),
+        "positions",
+    )
+
+
 def postings_of(
     docs_keyed: DataFrame,
     n_buckets: int = DEFAULT_BUCKETS,
@@ -259,7 +288,7 @@ class Index:
 def build_index(docs: DataFrame, n_buckets: int = DEFAULT_BUCKETS, tokenizer: Tokenizer = tokens) -> Index:
     """Ephemeral index (A2): lazy plans over ``docs(id, header_key, text)``."""
     keyed = with_doc_key(ensure_parallelism(docs.select("id", "header_key", "text")))
-    postings = postings_of(keyed, n_buckets, tokenizer=tokenizer)
+    postings = postings_by_token_rows(keyed, n_buckets, tokenizer)
     return Index(
         docs=keyed,
         doc_stats=doc_stats_of(keyed, tokenizer),
