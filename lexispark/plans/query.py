@@ -38,6 +38,7 @@ from ..operators.search import (
     single_query,
     sum_by_doc,
     top_k,
+    terms_with_buckets,
 )
 from .sizing import broadcast_if_small, query_token_bound
 
@@ -126,8 +127,13 @@ class Range(Query):
 
     def hits(self, index: Index) -> DataFrame:
         if self.field == "text":
-            terms = index.term_stats.filter(self._cond(F.col("term"))).select("bucket", "term")
-            return _docs_with_terms(index, terms)
+            # a term range is a filter on the postings themselves: pushed to
+            # Parquet, where files sorted by term skip row groups out of range
+            return _constant(
+                index.postings.filter(self._cond(F.col("term")))
+                .select("doc_key", "id", "header_key", "copies")
+                .distinct()
+            )
         _check_field(self.field)
         return _constant(index.doc_stats.filter(self._cond(F.col(self.field))))
 
@@ -140,8 +146,12 @@ class InSet(Query):
     def hits(self, index: Index) -> DataFrame:
         vals = list(self.values)
         if self.field == "text":
-            terms = index.term_stats.filter(F.col("term").isin(vals)).select("bucket", "term")
-            return _docs_with_terms(index, terms)
+            # the values are driver-side literals: prune buckets, push term IN
+            tb = terms_with_buckets(index.spark, [[v] for v in vals], index.n_buckets)
+            post = index.postings.filter(
+                F.col("bucket").isin(sorted({b for _, b in tb})) & F.col("term").isin(sorted({t for t, _ in tb}))
+            )
+            return _constant(post.select("doc_key", "id", "header_key", "copies").distinct())
         _check_field(self.field)
         return _constant(index.doc_stats.filter(F.col(self.field).isin(vals)))
 
@@ -214,13 +224,6 @@ def _constant(doc_rows: DataFrame) -> DataFrame:
     return doc_rows.withColumn("query_id", F.lit(QID)).select(*HIT_COLS, F.lit(1.0).alias("score"))
 
 
-def _docs_with_terms(index: Index, terms: DataFrame) -> DataFrame:
-    """Documents holding any of ``terms(bucket, term)``; constant score."""
-    t = broadcast_if_small(terms)
-    d = index.postings.join(t, ["bucket", "term"]).select("doc_key", "id", "header_key", "copies").distinct()
-    return _constant(d)
-
-
 def _phrase_token_rows(index: Index, text: str) -> tuple[DataFrame, int]:
     """``off, term, bucket`` rows of a phrase's tokens (bounded by the text)."""
     from ..operators.indexing import term_bucket
