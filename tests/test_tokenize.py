@@ -92,3 +92,17 @@ def test_random_against_python(spark, _):
     got = {r.i: list(r.t) for r in df.select("i", tokens("text").alias("t")).collect()}
     for i, t in enumerate(texts):
         assert got[i] == py_tokens(t), repr(t)
+
+
+def test_offsets_with_repeated_ids_and_copies(spark):
+    df = spark.createDataFrame(
+        [("1", "ab cd"), ("1", "北京 x"), ("1", "ab cd")], "id string, text string"
+    )
+    got = sorted(tuple(r) for r in token_table_with_offsets(df, ["id"]).collect())
+    assert got == sorted(
+        [
+            ("1", 0, "ab", 1, 0, 2), ("1", 1, "cd", 1, 3, 5),
+            ("1", 0, "ab", 1, 0, 2), ("1", 1, "cd", 1, 3, 5),
+            ("1", 0, "北", 1, 0, 3), ("1", 1, "北京", 2, 0, 6), ("1", 2, "京", 1, 3, 6), ("1", 3, "x", 1, 7, 8),
+        ]
+    )
