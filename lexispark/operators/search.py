@@ -285,9 +285,11 @@ def phrase_starts(pl: Column) -> Column:
     )
 
 
-def sum_by_doc(clause_hits: DataFrame) -> DataFrame:
-    """Sum of clause scores per (query, document)."""
-    return clause_hits.groupBy(*HIT_COLS).agg(F.sum("score").alias("score"))
+def sum_by_doc(clause_hits: DataFrame, with_header: bool = True) -> DataFrame:
+    """Sum of clause scores per (query, document). ``with_header=False``
+    leaves ``header_key`` out of the shuffled key when no facet needs it."""
+    keys = HIT_COLS if with_header else [c for c in HIT_COLS if c != "header_key"]
+    return clause_hits.groupBy(*keys).agg(F.sum("score").alias("score"))
 
 
 def top_k(hits: DataFrame, k: int) -> DataFrame:
@@ -310,7 +312,7 @@ def search_batch(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
     """``queries(query_id, query)`` -> ``query_id, rank, id, score``."""
     index.check_open()
     _check_k(k)
-    hits = sum_by_doc(clause_scores(index, literal_clauses(queries, tokenizer=index.tokenizer)))
+    hits = sum_by_doc(clause_scores(index, literal_clauses(queries, tokenizer=index.tokenizer)), with_header=False)
     return top_k(hits, k).select("query_id", "rank", "id", "score")
 
 
