@@ -83,6 +83,12 @@ def main() -> None:
     res["bm25_top10"], _ = timed(lambda: S.search(idx, "the and anble", 10).collect())
     res["bm25_top10_rerun"], _ = timed(lambda: S.search(idx, "the and anble", 10).collect())
     res["phrase_top10"], _ = timed(lambda: S.search_phrase(idx, "of the", 10).collect())
+    def fuzzy_prefilter():
+        q = S.single_query(spark, "thtion")
+        return FZ.candidate_terms(idx, FZ.fuzzy_clauses(q), 2, clause_rows=1).count()
+
+    res["fuzzy_prefilter_stored"], n = timed(fuzzy_prefilter)
+    info["fuzzy_candidates_thtion_d2"] = int(n)
     res["fuzzy_d2_top10"], _ = timed(lambda: FZ.search_fuzzy(idx, "thtion", 2, 10).collect())
 
     def facets():

@@ -48,9 +48,11 @@ def fuzzy_clauses(queries: DataFrame, tokenizer=tokens) -> DataFrame:
     )
 
 
-def matched_terms(index: Index, clauses: DataFrame, distance: int, clause_rows: int | None = None) -> DataFrame:
-    """``query_id, clause_id, bucket, term`` for every vocabulary term within
-    ``distance`` of the clause's token."""
+def candidate_terms(index: Index, clauses: DataFrame, distance: int, clause_rows: int | None = None) -> DataFrame:
+    """Stage 1: vocabulary terms that can be within ``distance`` of a clause
+    token -- equal length bucket and ``levenshtein(term, qterm, 2d) >= 0``
+    (transposition distance <= d implies Levenshtein <= 2d): a superset of
+    the matches. ``query_id, clause_id, qterm, bucket, term``."""
     _check_distance(distance)
     d = distance
     q = clauses.select(
@@ -74,10 +76,19 @@ def matched_terms(index: Index, clauses: DataFrame, distance: int, clause_rows:
         q = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         cand = vocab.join(q, ["term_len", "_salt"]).drop("_salt")
     if d == 0:
-        return cand.filter(F.col("term") == F.col("qterm")).select("query_id", "clause_id", "bucket", "term")
-    cand = cand.filter(F.levenshtein("term", "qterm", 2 * d) >= 0)
-    cand = cand.withColumn("_ca", chars(F.col("term"))).withColumn("_cb", chars(F.col("qterm")))
-    cand = cand.filter(osa_distance("_ca", "_cb") <= d)
+        cand = cand.filter(F.col("term") == F.col("qterm"))
+    else:
+        cand = cand.filter(F.levenshtein("term", "qterm", 2 * d) >= 0)
+    return cand.select("query_id", "clause_id", "qterm", "bucket", "term")
+
+
+def matched_terms(index: Index, clauses: DataFrame, distance: int, clause_rows: int | None = None) -> DataFrame:
+    """Stage 2: the exact transposition distance on the candidates only.
+    ``query_id, clause_id, bucket, term``."""
+    cand = candidate_terms(index, clauses, distance, clause_rows)
+    if distance > 0:
+        cand = cand.withColumn("_ca", chars(F.col("term"))).withColumn("_cb", chars(F.col("qterm")))
+        cand = cand.filter(osa_distance("_ca", "_cb") <= distance)
     return cand.select("query_id", "clause_id", "bucket", "term")
 
 
