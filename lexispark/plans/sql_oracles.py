@@ -268,3 +268,8 @@ _reg(
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM s)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, id, score FROM r WHERE rank <= {W.TOP_K}""",
 )
+_PAGES = (
+    "SELECT CAST(page_id AS VARCHAR) AS id, coalesce(regexp_extract(url, '://([^/]+)', 1), '') AS header_key, "
+    "coalesce(html, '') AS text FROM pages"
+)
+_reg("pages_search", f"SELECT rank, id, score FROM ({bm25_topk_sql(_PAGES, one_query(W.PAGES_QUERY), W.TOP_K)})")

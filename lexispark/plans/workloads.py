@@ -25,7 +25,7 @@ from ..sources.tables import (
 )
 from ..session import fresh_path
 from ..sources.corpus import Corpus
-from ..sources.tables import conversations_corpus, user_turn_queries
+from ..sources.tables import conversations_corpus, pages_corpus, user_turn_queries
 from ..streaming.maintain import change_stream, maintain
 from . import query as Q
 
@@ -352,6 +352,15 @@ def fuzzy_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FZ.search_fuzzy_batch(idx, benchmark_queries(spark, sf_dir), 1, TOP_K)
 
 
+PAGES_QUERY = "the and"
+
+
+def pages_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 on the markup corpus: whole raw pages as documents, top 10."""
+    idx = build_index(pages_corpus(spark, sf_dir))
+    return _rounded(S.search(idx, PAGES_QUERY, TOP_K))
+
+
 REGISTRY = {
     "token_counts": token_counts,
     "token_table": token_table,
@@ -382,4 +391,5 @@ REGISTRY = {
     "conversation_search": conversation_search,
     "filtered_search": filtered_search,
     "fuzzy_batch": fuzzy_batch,
+    "pages_search": pages_search,
 }

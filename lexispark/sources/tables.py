@@ -44,6 +44,17 @@ def conversations_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pages_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages``: raw HTML as text (markup kept, long unbroken strings),
+    id = page_id, header_key = the URL's host."""
+    p = table(spark, sf_dir, "pages")
+    return p.select(
+        F.col("page_id").cast("string").alias("id"),
+        F.coalesce(F.regexp_extract(F.col("url"), "://([^/]+)", 1), F.lit("")).alias("header_key"),
+        F.coalesce(F.col("html"), F.lit("")).alias("text"),
+    )
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``benchmark``: every item's whole text is one query."""
     b = table(spark, sf_dir, "benchmark")
