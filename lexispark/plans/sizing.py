@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, known_rows: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+def broadcast_if_small(df: DataFrame, known_rows: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows (default
+    ``MAX_BROADCAST_ROWS``, read at call time), else ``df``.
 
     ``known_rows`` is an upper bound the caller can prove without running a
     job; otherwise the rows are counted (one small job on the query side)."""
+    if max_rows is None:
+        max_rows = MAX_BROADCAST_ROWS
     n = known_rows
     if n is None:
         n = df.count()
