@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.tokenize import WS_CLASS, tokens
-from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small, query_token_bound
+from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
 from .indexing import CorpusStats, Index, term_bucket
 from .scoring import idf, order_key, tf_norm
 

@@ -26,7 +26,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokenize import tokens
 from ..operators.fuzzy import fuzzy_hits
 from ..operators.indexing import Index
 from ..operators.scoring import idf, tf_norm

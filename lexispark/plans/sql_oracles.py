@@ -6,7 +6,6 @@ from ..functions.tokenize import CJK_CLASS, WS_CLASS
 from . import workloads as W
 from .oracle import (
     composed_sql,
-    tfnorm_sql,
     SEGMENT_SQL_RE,
     bm25_topk_sql,
     docs_cte,
