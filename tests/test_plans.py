@@ -58,3 +58,11 @@ def test_no_token_filter_pushed_into_the_scan(spark):
     p = plan(S.search_hits(idx, "of the"))
     scans = [ln for ln in p.splitlines() if "DataFilters" in ln or ln.startswith("PushedFilters")]
     assert not any("size(" in ln for ln in scans)
+
+
+def test_text_range_is_pushed_to_the_postings_scan(stored):
+    from lexispark.plans import query as Q
+
+    p = plan(Q.run(stored, Q.Range("text", "thea", "then"), k=None))
+    pushed = [ln for ln in p.splitlines() if ln.startswith("PushedFilters")]
+    assert any("GreaterThanOrEqual(term,thea)" in ln and "LessThanOrEqual(term,then)" in ln for ln in pushed)
