@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +49,7 @@ def chunks(batch: pa.RecordBatch, text_at: int, most_chars: int) -> Iterator[pa.
     """Slices of ``batch`` of about ``most_chars`` characters (a longer
     text stands alone): bounds the memory of what follows."""
     start = held = 0
-    for i, n in enumerate(pa.compute.fill_null(pa.compute.utf8_length(batch.column(text_at)), 0).to_pylist()):
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(batch.column(text_at)), 0).to_pylist()):
         if held and held + n > most_chars:
             yield batch.slice(start, i - start)
             start, held = i, 0
