@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, sharding
+from . import chat, langid, quality, sharding
 from .common import table
 
 
@@ -24,6 +24,12 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(given.unionByName(hostile)))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = quality.classify(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "perplexity", "threshold", "keep")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs.select("doc_id", "text"), langid.train(langid.training_rows(docs)))
@@ -33,6 +39,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_quality_classifier": op4_quality_classifier,
     "op9_language_id": op9_language_id,
 }
 
