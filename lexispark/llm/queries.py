@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, quality, sharding
+from . import chat, langid, neighbours, quality, sharding
 from .common import table
 
 
@@ -36,11 +36,17 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "langs")
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_classifier": op4_quality_classifier,
     "op9_language_id": op9_language_id,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 #: op3: one row for each conversation, read back from the source's own rows.
