@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, neighbours, quality, sharding
+from . import chat, decontaminate, langid, neighbours, quality, sharding
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lang", "perplexity", "threshold", "keep")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs.select("doc_id", "text"), langid.train(langid.training_rows(docs)))
@@ -45,6 +49,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_language_id": op9_language_id,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
@@ -69,4 +74,28 @@ select conv_id, count(*) as n_turns,
 from shown group by conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_chat_formatting": _OP3}
+#: op6: windows as word lists, compared as a whole.
+_OP6 = r"""
+with docs as (
+  select doc_id, row_number() over () as r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+items as (
+  select coalesce(item_id::varchar, '') as item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+  select distinct item_id, least(10, len(w)) as n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as k
+  from items, unnest(range(1, len(w) - least(10, len(w)) + 2)) as u(i) where len(w) > 0),
+grams as (
+  select r, i, n, array_to_string(w[i : i + n - 1], ' ') as k
+  from docs, (select distinct n from windows), unnest(range(1, len(w) - n + 2)) as u(i)),
+hits as (select r, i, g.n, item_id from grams g join windows using (n, k)),
+places as (select r, count(distinct i + d) as n_hit from hits, unnest(range(0, n)) as u(d) group by r),
+found as (select r, count(distinct item_id) as n_items, string_agg(distinct item_id, ',' order by item_id) as ids from hits group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join places using (r) left join found using (r)
+"""
+
+ORACLES: dict[str, str] = {"op3_chat_formatting": _OP3, "op6_benchmark_decontamination": _OP6}
