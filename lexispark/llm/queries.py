@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, neighbours, quality, sharding
+from . import chat, decontaminate, langid, neardup, neighbours, quality, sharding
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lang", "perplexity", "threshold", "keep")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.document_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
@@ -49,6 +53,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_language_id": op9_language_id,
     "op10_nearest_neighbours": op10_nearest_neighbours,
