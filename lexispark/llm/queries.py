@@ -108,4 +108,17 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from docs left join places using (r) left join found using (r)
 """
 
-ORACLES: dict[str, str] = {"op3_chat_formatting": _OP3, "op6_benchmark_decontamination": _OP6}
+#: op8: the blocks of each page's article, as the given pages mark it up.
+_OP8 = r"""
+with parts as (
+  select page_id, url, list_filter(list_transform(
+    regexp_split_to_array(regexp_replace(regexp_extract(coalesce(html, ''), '<article>((?s:.*))</article>', 1), '<br>|</?b>', '', 'g'), '<[^>]*>'),
+    lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') as b
+  from pages),
+shown as (
+  select page_id, url, regexp_replace(replace(replace(replace(replace(array_to_string(b, chr(10)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g') as text
+  from parts)
+select page_id, url, text, length(text)::bigint as n_chars from shown
+"""
+
+ORACLES: dict[str, str] = {"op3_chat_formatting": _OP3, "op6_benchmark_decontamination": _OP6, "op8_html_extraction": _OP8}
