@@ -162,8 +162,9 @@ def log_probabilities(types: DataFrame, tables: list[tuple[DataFrame, DataFrame]
 
 
 def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` labelled good and not toxic."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    """Rows of ``docs`` labelled good and not toxic. The labels grow with the
+    documents, so the join is a merge join at every size."""
+    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct().hint("merge")
     return docs.where(F.col("text").isNotNull()).join(good, "doc_id", "left_semi")
 
 
