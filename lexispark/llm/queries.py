@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, langid, neardup, neighbours, quality, sharding
+from . import chat, decontaminate, html, langid, neardup, neighbours, quality, sharding, tokenshards
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "bucket")
 
 
+def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = tokenshards.records(tokenshards.shards(table(spark, sf_dir, "documents")))
+    return read.select("slot", "shard", "byte_offset", "n_tokens", F.crc32("tokens").alias("tokens_crc32"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = spark.createDataFrame([(-1, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
@@ -55,6 +60,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_token_binary": op2_token_binary,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
