@@ -215,6 +215,14 @@ def report(docs: DataFrame, items: DataFrame, window: int = 10, block_bytes: int
     )
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """The rows of ``docs``, all columns, without any hit."""
+    bad = matches(docs, items, window).where("n_hit > 0").select(*KEY).distinct().alias("b")
+    held = docs.withColumn("_lx_h", F.xxhash64("text")).alias("a")
+    hit = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a._lx_h") == F.col("b.h"))
+    return held.join(bad, hit, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
 def near_matches(docs: DataFrame, phrase: str, span: int) -> DataFrame:
     """(doc_id, h, lo): where ``span`` consecutive words, the first of them
     of the phrase, hold all its words in any order."""

@@ -227,10 +227,10 @@ def shares(texts: list[str | None], model: Model, classes: np.ndarray) -> np.nda
     return out
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred, score and langs."""
+def predict(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
+    """``docs`` with lang_pred, score and langs (after ``prefix``)."""
     send = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("langs", T.ArrayType(T.StringType()))]
+    fields = [T.StructField(f"{prefix}lang_pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}langs", T.ArrayType(T.StringType()))]
     state: dict[str, np.ndarray] = {}
 
     def fn(texts: list[str | None]):
@@ -255,3 +255,10 @@ def held_out(doc_id: Column) -> Column:
 
 def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+
+
+def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose main language is known and
+    has at least the proportion ``least``; trained on ``training_rows``."""
+    found = predict(docs, train(training_rows(docs)), "_lx_")
+    return found.where((F.col("_lx_lang_pred") != UNKNOWN) & (F.col("_lx_score") >= least)).select(*[f"`{c}`" for c in docs.columns])

@@ -364,7 +364,7 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, **how) -> DataFrame:
     the smallest doc_id (rows without come last; then the smallest text
     hash). Rows with null text all stay."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")
-    first = _classes(docs, threshold, **how).groupBy("comp").agg(F.min(rank).alias("r")).select(F.col("r.doc_id").alias("_keep_id"), F.col("r.tid").alias("_keep_tid"))
-    held = docs.where(F.col("text").isNotNull()).withColumn("_tid", text_key(F.col("text")))
-    held = held.join(first, (F.col("_tid") == F.col("_keep_tid")) & F.col("doc_id").eqNullSafe(F.col("_keep_id")))
-    return held.dropDuplicates(["_tid"]).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(F.col("text").isNull()))
+    first = _classes(docs, threshold, **how).groupBy("comp").agg(F.min(rank).alias("r")).select(F.col("r.doc_id").alias("_lx_id"), F.col("r.tid").alias("_lx_keep"))
+    held = docs.where(F.col("text").isNotNull()).withColumn("_lx_tid", text_key(F.col("text")))
+    held = held.join(first, (F.col("_lx_tid") == F.col("_lx_keep")) & F.col("doc_id").eqNullSafe(F.col("_lx_id")))
+    return held.dropDuplicates(["_lx_tid"]).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(F.col("text").isNull()))

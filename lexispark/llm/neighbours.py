@@ -2,8 +2,8 @@
 random-projection trees, searched through one priority queue for all trees,
 then an exact rerank of the leaf candidates in double precision.
 
-Fit: hyperplanes come from a bounded sample (``sample`` distinct vectors
-with the smallest hashes), each the widest of three differences of two
+Fit: hyperplanes come from a bounded sample (about ``sample`` vectors, by a
+hash of their ids; equal ones count once), each the widest of three differences of two
 sampled points, cut at the sample's median. Vectors get one more component,
 sqrt(M^2 - |x|^2) with M the largest norm (queries: 0), so that the largest
 inner product is the nearest point.
@@ -145,12 +145,15 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 20, trees: int =
     found for each of ``queries`` (both vec_id, embedding)."""
     points, asked = valid_vectors(embeddings), valid_vectors(queries)
     spark = points.sparkSession
-    some = points.groupBy("v").agg(F.min("vec_id").alias("vec_id")).orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(sample).collect()
+    n = points.count()
+    part = F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1_000_000)) < max(1, min(1_000_000, 1_000_000 * sample // max(n, 1)))
+    some = points.where(part | F.lit(n <= sample)).select("v").collect()  # about ``sample`` rows
     if not some:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    some = np.unique(np.array([r.v for r in some], dtype=np.float64), axis=0)
     depth = min(depth, max(0, (len(some) // LEAF).bit_length() - 1))
     most = points.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    forest = Forest(_lift(np.array([r.v for r in some], dtype=np.float64), most), trees, depth, seed)
+    forest = Forest(_lift(some, most), trees, depth, seed)
     send = spark.sparkContext.broadcast(forest)
 
     copies = Window.partitionBy("v").orderBy("vec_id")

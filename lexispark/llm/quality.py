@@ -195,8 +195,8 @@ def perplexities(texts: list[str | None], table: np.ndarray, logp: np.ndarray) -
     return np.exp(-lost / np.where(n, n, np.nan))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``perplexity`` (null without text)."""
+def score(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
+    """``docs`` with ``perplexity`` (null without text; after ``prefix``)."""
     send = docs.sparkSession.sparkContext.broadcast(model)
     state: dict[str, np.ndarray] = {}
 
@@ -209,7 +209,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         found = perplexities(texts, state["table"], state["logp"]) if texts else np.zeros(0)
         return [pa.array(found, pa.float64(), mask=np.isnan(found))], None
 
-    return add_columns(docs, "text", [T.StructField("perplexity", T.DoubleType())], fn)
+    return add_columns(docs, "text", [T.StructField(f"{prefix}perplexity", T.DoubleType())], fn)
 
 
 def thresholds(scored: DataFrame, quantile: float, slack: float) -> dict[str | None, float]:
@@ -224,17 +224,21 @@ def thresholds(scored: DataFrame, quantile: float, slack: float) -> dict[str | N
     return {r.lang: 2.0 ** (r.bin / 1000) * slack for r in cut.collect()}
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.98, slack: float = 1.4) -> DataFrame:
-    """``docs`` (doc_id, text, lang, ...) with perplexity, threshold and keep."""
-    base = without(docs, ["perplexity", "threshold", "keep"])
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.98, slack: float = 1.4, prefix: str = "") -> DataFrame:
+    """``docs`` (doc_id, text, lang, ...) with perplexity, threshold and keep
+    (after ``prefix``)."""
+    names = [f"{prefix}{n}" for n in ("perplexity", "threshold", "keep")]
+    base = without(docs, names)
     trusted = stored(trusted_rows(base.select("doc_id", "text", "lang"), labels), "trusted")
     model = train(base, trusted)
     cuts = thresholds(score(trusted.select("text", "lang"), model), quantile, slack) if model.alphabet else {}
     rest = F.lit(cuts.get(None, float(CLASSES)))
-    if any(k is not None for k in cuts):
-        pairs = [F.lit(x) for k, v in sorted((k, v) for k, v in cuts.items() if k is not None) for x in (k, v)]
-        cut = F.coalesce(F.element_at(F.create_map(*pairs), F.coalesce(F.col("lang"), F.lit(""))), rest)
-    else:
-        cut = rest
-    out = score(base, model).withColumn("threshold", cut)
-    return out.withColumn("keep", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
+    own = {k: v for k, v in cuts.items() if k is not None}
+    cut = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in sorted(own.items()) for x in pair]), F.coalesce(F.col("lang"), F.lit(""))), rest) if own else rest
+    out = score(base, model, prefix).withColumn(names[1], cut)
+    return out.withColumn(names[2], F.coalesce(F.col(names[0]) <= F.col(names[1]), F.lit(False)))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The kept rows of ``docs``, all columns."""
+    return classify(docs, labels, prefix="_lx_", **how).where("_lx_keep").select(*[f"`{c}`" for c in docs.columns])

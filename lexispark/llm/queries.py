@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, langid, neardup, neighbours, quality, sharding, tokenshards
+from . import chat, decontaminate, html, langid, neardup, neighbours, pieces, quality, sharding, tokenshards
 from .common import table
 
 
@@ -43,6 +43,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op7_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.sample_segmentations(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "sample", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "logp", "log_inclusion", "decoded")
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -65,6 +70,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_sentencepiece_sampling": op7_sentencepiece_sampling,
     "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_nearest_neighbours": op10_nearest_neighbours,
