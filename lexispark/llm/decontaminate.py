@@ -228,7 +228,8 @@ def near_matches(docs: DataFrame, phrase: str, span: int) -> DataFrame:
     of the phrase, hold all its words in any order."""
     wanted = {w: i for i, w in enumerate(dict.fromkeys(words(phrase)))}
     index = postings(docs, wanted)
-    last = [F.array_min(F.transform(F.filter("all", lambda x, i=i: (x["word"] == i) & (x["pos"] >= F.col("p.pos"))), lambda x: x["pos"])) for i in range(len(wanted))]
+    here = lambda i: F.filter("all", lambda x: (x["word"] == i) & (x["pos"] >= F.col("p.pos")))
+    last = [F.array_min(F.transform(here(i), lambda x: x["pos"])) for i in range(len(wanted))]
     at = index.select(*KEY, F.arrays_zip("word", "pos").alias("all")).select("*", F.explode("all").alias("p"))
     inside = [F.coalesce(x < F.col("p.pos") + span, F.lit(False)) for x in last]
     return at.where(F.array_min(F.array(*inside))).select(*KEY, F.col("p.pos").alias("lo"))

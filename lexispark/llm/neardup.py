@@ -237,9 +237,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = [np.unique(h).tobytes() for h in np.split(hashes, np.cumsum(sizes)[:-1])]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["tid", "sh"])
 
-    texts = docs.where(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("tid"), "text")
-    sets = texts.join(wanted, "tid", "left_semi").mapInArrow(run, "tid binary, sh binary")
-    return sets.groupBy("tid").agg(F.first("sh").alias("sh"))
+    texts = docs.where(F.col("text").isNotNull()).groupBy(text_key(F.col("text")).alias("tid")).agg(F.first("text").alias("text"))
+    return texts.join(wanted, "tid", "left_semi").mapInArrow(run, "tid binary, sh binary")
 
 
 def common_counts(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ bits, times ``slack``. Languages without trusted text take the threshold of all.
 Null or empty texts have no perplexity and are not kept. Copies get equal
 results. Rows that ``labels`` names twice train once. Without any trusted
 text every document with text is kept (perplexity 64, as of a uniform
-guess). An empty table gives no rows; input columns named like a result
+guess, threshold infinite). An empty table gives no rows; input columns named like a result
 column go, others stay.
 """
 
@@ -232,7 +232,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.98, slack:
     trusted = stored(trusted_rows(base.select("doc_id", "text", "lang"), labels), "trusted")
     model = train(base, trusted)
     cuts = thresholds(score(trusted.select("text", "lang"), model), quantile, slack) if model.alphabet else {}
-    rest = F.lit(cuts.get(None, float(CLASSES)))
+    rest = F.lit(cuts.get(None, float("inf")))
     own = {k: v for k, v in cuts.items() if k is not None}
     cut = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in sorted(own.items()) for x in pair]), F.coalesce(F.col("lang"), F.lit(""))), rest) if own else rest
     out = score(base, model, prefix).withColumn(names[1], cut)
