@@ -1,4 +1,4 @@
-"""Tokeniser as Spark column expressions (no Python UDF).
+"""Tokeniser as Spark column expressions.
 
 Rules (the reference's analyzer):
 
@@ -11,15 +11,22 @@ Rules (the reference's analyzer):
 * A token's position is its running number over the whole text (unigrams and
   bigrams alike), starting at 0.
 
-Everything is a JVM-side expression: ``regexp_extract_all`` finds the matches
+Tokens are a JVM-side expression: ``regexp_extract_all`` finds the matches
 and, only for texts that contain CJK at all, a single ``zip_with`` pairs each
-CJK character with the CJK character following it.
+CJK character with the CJK character following it. The token table with byte
+offsets is an Arrow-batched function.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Iterator
+from itertools import accumulate
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values (must equal the reference's analyzer) ---------------------
 # CJK code point ranges treated as CJK:
@@ -48,12 +55,7 @@ RUN_PATTERN = f"([{CJK_CLASS}]+|[^{CJK_CLASS}{WS_CLASS}]+)"
 #: one CJK character (group 1) with the following CJK character, if any, in
 #: group 2 -- or a whole non-CJK word in group 1
 TOKEN_PATTERN = f"([{CJK_CLASS}](?=([{CJK_CLASS}])?)|[^{CJK_CLASS}{WS_CLASS}]+)"
-#: the same, plus white-space runs, so that matches tile the whole text
-SEGMENT_PATTERN = (
-    f"([{CJK_CLASS}](?=([{CJK_CLASS}])?)|[^{CJK_CLASS}{WS_CLASS}]+|[{WS_CLASS}]+)"
-)
 HAS_CJK = f"[{CJK_CLASS}]"
-IS_WS = f"^[{WS_CLASS}]"
 
 
 def _c(col: Column | str) -> Column:
@@ -101,77 +103,58 @@ def cjk_letter_map(text: Column | str) -> Column:
     return F.translate(F.lower(_c(text)), "abcdefghijkl", "北京天気今日한국上海学校")
 
 
-def token_table(df: DataFrame, key_cols: list[str], text_col: str = "text") -> DataFrame:
-    """One row per token: ``key_cols..., pos INT, term STRING``.
+def _python_class(cls: str) -> str:
+    """The class in the notation of Python's ``re``."""
+    return re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\U{int(m[1], 16):08X}", cls)
 
-    ``posexplode`` keeps zero-token texts out (they have no tokens)."""
-    return df.select(*key_cols, F.posexplode_outer(tokens(text_col)).alias("pos", "term")).filter(
-        F.col("term").isNotNull()
-    )
 
+_SEGMENT = re.compile(
+    f"(?P<cjk>[{_python_class(CJK_CLASS)}]+)|(?P<word>[^{_python_class(CJK_CLASS)}{_python_class(WS_CLASS)}]+)|[{_python_class(WS_CLASS)}]+"
+)
 
-def token_table_with_offsets(
-    df: DataFrame, key_cols: list[str], text_col: str = "text"
-) -> DataFrame:
-    """C5 + C6: ``key_cols..., pos, term, pos_len, off_from, off_to``.
 
-    Offsets are UTF-8 byte offsets into the text. The text is cut into
-    segments that tile it (tokens and white-space runs); a running sum over
-    each document's segments gives byte offset and first token position of
-    every segment. Exact copies (same key and text) are collapsed first --
-    partial aggregation, so a hot group of copies never lands in one task --
-    and the window runs per distinct document (bounded by its length);
-    copies are expanded again at the end, one token row per stored row.
-    """
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    distinct_docs = (
-        df.select(*key_cols, t.alias("_t"))
-        .groupBy(*key_cols, "_t")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_h", F.xxhash64("_t"))
-    )
-    doc_key = [*key_cols, "_h"]
-    seg = distinct_docs.select(
-        *doc_key,
-        "_copies",
-        F.arrays_zip(
-            F.regexp_extract_all("_t", F.lit(SEGMENT_PATTERN), 1).alias("s"),
-            F.regexp_extract_all("_t", F.lit(SEGMENT_PATTERN), 2).alias("n"),
-        ).alias("segs"),
-    ).select(*doc_key, "_copies", F.posexplode("segs").alias("idx", "sg"))
-    is_ws = F.col("sg.s").rlike(IS_WS)
-    is_cjk_ch = F.col("sg.s").rlike(f"^[{CJK_CLASS}]$")
-    seg = seg.select(
-        *doc_key,
-        "_copies",
-        "idx",
-        F.col("sg.s").alias("s"),
-        F.col("sg.n").alias("n"),
-        F.octet_length("sg.s").alias("nbytes"),
-        F.when(is_ws, 0).when(is_cjk_ch & (F.col("sg.n") != ""), 2).otherwise(1).alias("ntok"),
-    )
-    w = Window.partitionBy(*doc_key).orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("byte0", F.coalesce(F.sum("nbytes").over(w), F.lit(0))).withColumn(
-        "pos0", F.coalesce(F.sum("ntok").over(w), F.lit(0))
-    )
-    seg = seg.filter(F.col("ntok") > 0)
-    uni = seg.select(
-        *key_cols,
-        "_copies",
-        F.col("pos0").cast("int").alias("pos"),
-        F.col("s").alias("term"),
-        F.lit(1).alias("pos_len"),
-        F.col("byte0").cast("int").alias("off_from"),
-        (F.col("byte0") + F.col("nbytes")).cast("int").alias("off_to"),
-    )
-    bi = seg.filter(F.col("ntok") == 2).select(
-        *key_cols,
-        "_copies",
-        (F.col("pos0") + 1).cast("int").alias("pos"),
-        F.concat("s", "n").alias("term"),
-        F.lit(2).alias("pos_len"),
-        F.col("byte0").cast("int").alias("off_from"),
-        (F.col("byte0") + F.col("nbytes") + F.octet_length("n")).cast("int").alias("off_to"),
-    )
-    out = uni.unionByName(bi)
-    return out.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_c", "_copies")
+def _offsets(text: str) -> list[tuple[int, str, int, int, int]]:
+    """(pos, term, pos_len, off_from, off_to) of one text's tokens, in one
+    pass over the runs that tile it."""
+    out: list[tuple[int, str, int, int, int]] = []
+    at = 0
+    for m in _SEGMENT.finditer(text):
+        run = m[0]
+        size = len(run.encode("utf-8", "surrogatepass"))
+        if m.lastgroup == "word":
+            out.append((len(out), run, 1, at, at + size))
+        elif m.lastgroup == "cjk":
+            ends = list(accumulate((len(c.encode()) for c in run), initial=at))
+            for i, c in enumerate(run):
+                out.append((len(out), c, 1, ends[i], ends[i + 1]))
+                if i + 1 < len(run):
+                    out.append((len(out), run[i : i + 2], 2, ends[i], ends[i + 2]))
+        at += size
+    return out
+
+
+def token_table_with_offsets(df: DataFrame, key_cols: list[str], text_col: str = "text") -> DataFrame:
+    """C5 + C6: ``key_cols..., pos, term, pos_len, off_from, off_to``, one row
+    per token of every row of ``df``; a text without tokens has none.
+
+    Offsets are UTF-8 byte offsets into the text. A row's tokens follow from
+    its own text alone, so there is no shuffle: an Arrow-batched function
+    walks each text once, linear in its length (an SQL expression has no
+    running sum over an array that is)."""
+    n = len(key_cols)
+    kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32())
+    names = ["pos", "term", "pos_len", "off_from", "off_to"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                found = [_offsets(t) for t in part.column(n).to_pylist()]
+                row = pa.array([i for i, f in enumerate(found) for _ in f], pa.int32())
+                keys = [part.column(i).take(row) for i in range(n)]
+                rest = [pa.array([t[c] for f in found for t in f], k) for c, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*keys, *rest], names=[*key_cols, *names])
+
+    src = df.select(*key_cols, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    schema = T.StructType([*src.schema.fields[:n], *[T.StructField(c, T.StringType() if c == "term" else T.IntegerType()) for c in names]])
+    return src.mapInArrow(run, schema)

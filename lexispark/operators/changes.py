@@ -23,8 +23,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_if_small
-
 DOC_COLS = ["id", "header_key", "text"]
 
 
@@ -36,10 +34,8 @@ def latest_per_id(upserts: DataFrame) -> DataFrame:
 
 
 def upsert(existing: DataFrame, new_docs: DataFrame) -> DataFrame:
-    """B1: ``new_docs(id, header_key, text[, seq])``: delete every stored
-    row with one of the ids, add the latest new row per id."""
-    if "seq" not in new_docs.columns:
-        new_docs = new_docs.withColumn("seq", F.lit(0).cast("long"))
+    """B1: ``new_docs(seq, id, header_key, text)``: delete every stored row
+    with one of the ids, add the latest new row per id."""
     latest = latest_per_id(new_docs.select("seq", *DOC_COLS))
     kept = existing.select(*DOC_COLS).join(latest.select("id"), "id", "left_anti")
     return kept.unionByName(latest.select(*DOC_COLS))
@@ -47,12 +43,12 @@ def upsert(existing: DataFrame, new_docs: DataFrame) -> DataFrame:
 
 def delete_by_header(existing: DataFrame, header_keys: list[str] | DataFrame) -> DataFrame:
     """B2: drop every row whose header_key is one of the keys (no match is
-    fine). A list filters directly (pushed to the scan); a DataFrame of keys
-    anti-joins (broadcast when counted small)."""
+    fine; a row without a key stays). A list filters directly (pushed to the
+    scan); a DataFrame of keys anti-joins."""
     if isinstance(header_keys, DataFrame):
         keys = header_keys.select("header_key").distinct()
-        return existing.join(broadcast_if_small(keys), "header_key", "left_anti").select(*existing.columns)
-    return existing.filter(~F.col("header_key").isin(list(header_keys)))
+        return existing.join(keys, "header_key", "left_anti").select(*existing.columns)
+    return existing.filter(~F.coalesce(F.col("header_key").isin(list(header_keys)), F.lit(False)))
 
 
 def split_changes(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,15 +57,15 @@ def split_changes(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     last_del = (
         changes.filter(F.col("op") == "delete_header").groupBy("header_key").agg(F.max("seq").alias("_k"))
     )
-    return latest_per_id(ups), broadcast_if_small(last_del)
+    return latest_per_id(ups), last_del
 
 
 def survivors(stored: DataFrame, latest: DataFrame, last_del: DataFrame) -> DataFrame:
     """Stored rows (any table carrying ``id`` and ``header_key``: documents,
     document statistics, postings) that no change removes: their id is not
-    upserted and their header_key not deleted. Two anti joins; the deleted
-    keys are broadcast when counted small."""
-    return stored.join(broadcast_if_small(latest.select("id")), "id", "left_anti").join(
+    upserted and their header_key not deleted. Two anti joins; a change set
+    is broadcast where Spark finds it small."""
+    return stored.join(latest.select("id"), "id", "left_anti").join(
         last_del.select("header_key"), "header_key", "left_anti"
     )
 

@@ -1,10 +1,8 @@
-"""Search with facet counts by header_key.
+"""Search with facet counts by header_key.
 
 The scored hits are computed once and feed both consumers: the top-k and
 the facet count (``groupBy(header_key)``, partial aggregation map-side).
-``facet_limit=None`` counts every match (documented behaviour); a number
-counts only the best ``facet_limit`` hits, as the reference does with 1000.
-Only non-zero counts appear.
+Every match counts. Only non-zero counts appear.
 """
 
 from __future__ import annotations
@@ -30,18 +28,12 @@ class SearchResult(NamedTuple):
             self.hits.unpersist()
 
 
-def facet_counts(hits: DataFrame, facet_limit: int | None = None) -> DataFrame:
-    """``query_id, header_key, count`` over all hits or the best ``facet_limit``."""
-    if facet_limit is not None:
-        _check_k(facet_limit)
-        best = top_k(hits, facet_limit)
-        return best.groupBy("query_id", "header_key").agg(F.count(F.lit(1)).alias("count"))
+def facet_counts(hits: DataFrame) -> DataFrame:
+    """``query_id, header_key, count`` over all hits."""
     return hits.groupBy("query_id", "header_key").agg(F.sum("copies").cast("long").alias("count"))
 
 
-def search_with_facets(
-    index: Index, query: str, k: int = 5, facet_limit: int | None = None, persist: bool = True
-) -> SearchResult:
+def search_with_facets(index: Index, query: str, k: int = 5, persist: bool = True) -> SearchResult:
     """E5: top-k results and facet counts of one query from one scoring.
 
     With ``persist`` the hits are kept (memory, spilling to disk) so the two
@@ -50,6 +42,6 @@ def search_with_facets(
     hits = search_hits(index, query)
     if persist:
         hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
-    res = top_k(hits, k).select("rank", "id", "score")
-    fac = facet_counts(hits, facet_limit).select("header_key", "count")
+    res = top_k(hits, k, one_query=True).select("rank", "id", "score")
+    fac = facet_counts(hits).select("header_key", "count")
     return SearchResult(res, fac, hits if persist else None)

@@ -5,36 +5,35 @@ Every query token is a clause matching vocabulary terms within edit distance
 clause (constant-score clauses, summed), so the score counts the query
 tokens it matches.
 
-Plan, all joins equi-joins:
-
-1. query tokens x ``(2d+1)`` candidate lengths  -> equi-join ``term_stats`` on
-   ``term_len`` (the query side is broadcast: its size is bounded by the query
-   text, or counted for a batch).
+Plan, all joins equi-joins, each distinct query token matched once:
+
+1. transposition distance d implies Levenshtein distance 2d or less. Of
+   ``2d + 1`` segments of a vocabulary term one is then untouched and stands
+   in the query token, at most 2d places off. Both sides give their
+   (term length, segment number, segment) keys: 2d + 1 rows a term, a number
+   that depends only on d a query token. Terms shorter than 2d + 1 characters
+   join on their length.
 2. prefilter ``levenshtein(term, qterm, 2d) >= 0`` (JVM builtin with early
    exit), then the exact transposition distance on survivors only.
-3. matched (clause, term) pairs join postings on ``(bucket, term)``;
-   broadcast only below a counted size, else a shuffle join.
+3. the matched (token, term) pairs are written to the shared folder, so that
+   Spark knows their size when it joins them with the postings (and prunes
+   buckets where it broadcasts them).
 4. distinct (query, clause, document), counted per document.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import chars, osa_distance
 from ..functions.tokenize import tokens
-from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small, query_token_bound
 from ..schema import MAX_FUZZY_DISTANCE
-from .indexing import Index
+from ..session import fresh_path
+from .indexing import Index, term_bucket
 from .search import HIT_COLS, _check_k, single_query, top_k
 
 
-#: sub-keys of the length join when the query side is too big to broadcast
-SALTS = 64
-
-
 def _check_distance(d: int) -> None:
     if not isinstance(d, int) or d < 0 or d > MAX_FUZZY_DISTANCE:
         raise ValueError(f"distance must be an integer in 0..{MAX_FUZZY_DISTANCE}, got {d!r}")
@@ -48,78 +47,58 @@ def fuzzy_clauses(queries: DataFrame, tokenizer=tokens) -> DataFrame:
     )
 
 
-def candidate_terms(index: Index, clauses: DataFrame, distance: int, clause_rows: int | None = None) -> DataFrame:
-    """Stage 1: vocabulary terms that can be within ``distance`` of a clause
-    token -- equal length bucket and ``levenshtein(term, qterm, 2d) >= 0``
-    (transposition distance <= d implies Levenshtein <= 2d): a superset of
-    the matches. ``query_id, clause_id, qterm, bucket, term``."""
+def _segment(length, i, n: int):
+    """(start from 0, size) of segment ``i`` when ``length`` characters are
+    cut into ``n``: the last ones are longer where it doesn't divide."""
+    base, long_from = F.floor(length / n), n - length % n
+    return i * base + F.greatest(F.lit(0), i - long_from), base + F.when(i >= long_from, 1).otherwise(0)
+
+
+def candidate_terms(index: Index, qterms: DataFrame, distance: int) -> DataFrame:
+    """Stage 1: a superset of the vocabulary terms within ``distance`` of the
+    distinct tokens ``qterms(qterm)``: ``qterm, bucket, term``."""
     _check_distance(distance)
-    d = distance
-    q = clauses.select(
-        "query_id",
-        "clause_id",
-        "qterm",
-        F.char_length("qterm").alias("qlen"),
-    ).select(
-        "*",
-        F.explode(F.sequence(F.greatest(F.col("qlen") - d, F.lit(1)), F.col("qlen") + d)).alias("term_len"),
-    )
-    n_q = clause_rows * (2 * d + 1) if clause_rows is not None else q.count()
     vocab = index.term_stats.select("bucket", "term", "term_len")
-    if n_q <= MAX_BROADCAST_ROWS:
-        cand = vocab.join(F.broadcast(q), "term_len")
-    else:
-        # a huge query table: term_len has few distinct values, so salt the
-        # join -- the vocabulary spreads over SALTS sub-keys, the query side
-        # is replicated to each
-        vocab = vocab.withColumn("_salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)))
-        q = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        cand = vocab.join(q, ["term_len", "_salt"]).drop("_salt")
-    if d == 0:
-        cand = cand.filter(F.col("term") == F.col("qterm"))
-    else:
-        cand = cand.filter(F.levenshtein("term", "qterm", 2 * d) >= 0)
-    return cand.select("query_id", "clause_id", "qterm", "bucket", "term")
-
-
-def matched_terms(index: Index, clauses: DataFrame, distance: int, clause_rows: int | None = None) -> DataFrame:
-    """Stage 2: the exact transposition distance on the candidates only.
-    ``query_id, clause_id, bucket, term``."""
-    cand = candidate_terms(index, clauses, distance, clause_rows)
+    if distance == 0:
+        return qterms.select("qterm", F.col("qterm").alias("term"), term_bucket(F.col("qterm"), index.n_buckets).alias("bucket")).join(
+            vocab.select("bucket", "term"), ["bucket", "term"]
+        )
+    n, off = 2 * distance + 1, 2 * distance
+    q = qterms.select("qterm", F.char_length("qterm").alias("qlen"))
+    q = q.select("*", F.explode(F.sequence(F.greatest(F.col("qlen") - distance, F.lit(1)), F.col("qlen") + distance)).alias("term_len"))
+    short = vocab.where(F.col("term_len") < n).join(q.where(F.col("term_len") < n).select("qterm", "term_len"), "term_len")
+
+    number = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i")
+    start, size = _segment(F.col("term_len"), F.col("i"), n)
+    v = vocab.where(F.col("term_len") >= n).select("*", number)
+    v = v.select("bucket", "term", "term_len", "i", F.substring("term", (start + 1).cast("int"), size.cast("int")).alias("seg"))
+    q = q.where(F.col("term_len") >= n).select("*", number).select("*", start.alias("from"), size.alias("size"))
+    q = q.select("*", F.explode(F.sequence(F.greatest(F.lit(0), F.col("from") - off), F.col("from") + off)).alias("at"))
+    q = q.where(F.col("at") + F.col("size") <= F.col("qlen"))
+    q = q.select("qterm", "term_len", "i", F.substring("qterm", (F.col("at") + 1).cast("int"), F.col("size").cast("int")).alias("seg")).distinct()
+    both = v.join(q, ["term_len", "i", "seg"]).select("qterm", "bucket", "term").unionByName(short.select("qterm", "bucket", "term"))
+    return both.distinct().filter(F.levenshtein("term", "qterm", off) >= 0)
+
+
+def matched_terms(index: Index, qterms: DataFrame, distance: int) -> DataFrame:
+    """Stage 2: the exact transposition distance on the candidates only,
+    once for each pair: ``qterm, bucket, term``."""
+    cand = candidate_terms(index, qterms, distance)
     if distance > 0:
         cand = cand.withColumn("_ca", chars(F.col("term"))).withColumn("_cb", chars(F.col("qterm")))
         cand = cand.filter(osa_distance("_ca", "_cb") <= distance)
-    return cand.select("query_id", "clause_id", "bucket", "term")
-
-
-#: matched vocabulary terms pushed into the postings scan as literals
-MAX_LITERAL_TERMS = 20_000
+    return cand.select("qterm", "bucket", "term")
 
 
-def fuzzy_hits(index: Index, queries: DataFrame, distance: int, clause_rows: int | None = None) -> DataFrame:
-    """``HIT_COLS, score``: number of matching clauses per document.
-
-    The matched (clause, term) pairs are computed once (persisted, one scan
-    of the vocabulary) and counted: up to ``MAX_LITERAL_TERMS`` distinct terms
-    they become ``bucket IN / term IN`` literals on the postings scan
-    (partition pruning + Parquet pushdown) and a broadcast; beyond, a
-    broadcast when counted small, else a shuffle join."""
+def fuzzy_hits(index: Index, queries: DataFrame, distance: int) -> DataFrame:
+    """``HIT_COLS, score``: number of matching clauses per document."""
     index.check_open()
-    m = matched_terms(index, fuzzy_clauses(queries, index.tokenizer), distance, clause_rows)
-    m = m.persist(StorageLevel.MEMORY_AND_DISK)
-    n = m.count()
+    clauses = fuzzy_clauses(queries, index.tokenizer)
+    path = fresh_path(index.spark, "matched")
+    matched_terms(index, clauses.select("qterm").distinct(), distance).write.parquet(path)
+    m = index.spark.read.schema("qterm string, bucket int, term string").parquet(path).join(clauses, "qterm")
     post = index.postings.select("bucket", "term", "doc_key", "id", "header_key", "copies")
-    if n <= MAX_LITERAL_TERMS:
-        pairs = m.select("bucket", "term").distinct().collect()  # bounded just above
-        post = post.filter(
-            F.col("bucket").isin(sorted({int(r.bucket) for r in pairs}))
-            & F.col("term").isin(sorted({r.term for r in pairs}))
-        )
-        m = F.broadcast(m)
-    else:
-        m = broadcast_if_small(m, n)
-    hit = post.join(m, ["bucket", "term"])
-    per_clause = hit.select(*HIT_COLS, "clause_id").distinct()
+    per_clause = post.join(m, ["bucket", "term"]).select(*HIT_COLS, "clause_id").distinct()
     return per_clause.groupBy(*HIT_COLS).agg(F.count(F.lit(1)).cast("double").alias("score"))
 
 
@@ -127,9 +106,8 @@ def search_fuzzy(index: Index, query: str, distance: int = 1, k: int = 5) -> Dat
     """E4 for one query string -> ``rank, id, score``."""
     _check_k(k)
     _check_distance(distance)
-    q = single_query(index.spark, query)
-    hits = fuzzy_hits(index, q, distance, clause_rows=query_token_bound(query))
-    return top_k(hits, k).select("rank", "id", "score")
+    hits = fuzzy_hits(index, single_query(index.spark, query), distance)
+    return top_k(hits, k, one_query=True).select("rank", "id", "score")
 
 
 def search_fuzzy_batch(index: Index, queries: DataFrame, distance: int = 1, k: int = 5) -> DataFrame:

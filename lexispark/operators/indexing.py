@@ -73,31 +73,11 @@ TERM_STATS_SCHEMA = T.StructType(
         T.StructField("bucket", T.IntegerType()),
     ]
 )
-CORPUS_STATS_SCHEMA = T.StructType(
-    [
-        T.StructField("n_docs", T.LongType()),
-        T.StructField("total_tokens", T.LongType()),
-        T.StructField("avgdl", T.DoubleType()),
-    ]
-)
-
-
 def term_bucket(term, n_buckets: int):
     """Bucket of a term: ``pmod(xxhash64(term), n_buckets)`` (INT)."""
     return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than cores (a single-row-group
-    file) over all cores. A real corpus has many splits; then this is a no-op
-    and no shuffle is added."""
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
-
-
 def with_doc_key(docs: DataFrame) -> DataFrame:
     """``docs(id, header_key, text)`` -> adds ``doc_key``."""
     return docs.select(
@@ -118,6 +98,15 @@ def doc_stats_of(docs_keyed: DataFrame, tokenizer: Tokenizer = tokens) -> DataFr
     )
 
 
+def keyword_rows(index: Index) -> DataFrame:
+    """``doc_key, id, header_key, copies`` for queries on the keyword fields
+    and for match-all: from the stored statistics, or, where these are lazy,
+    from the documents without tokenising them."""
+    if index.lazy:
+        return index.docs.groupBy(*DOC_KEY_COLS).agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    return index.doc_stats
+
+
 def per_document_postings(docs_keyed: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
     """``doc_key, id, header_key, dl, term, positions`` computed inside each
     document row, without a shuffle: the (term, position) pairs are sorted,
@@ -264,7 +253,10 @@ class Index:
     term_stats: DataFrame
     n_buckets: int = DEFAULT_BUCKETS
     stats_row: CorpusStats | None = None
-    closed: bool = field(default=False)
+    #: the tables are plans over the documents, not stored
+    lazy: bool = False
+    #: set by the corpus that made this snapshot: is it closed?
+    closed: Callable[[], bool] = field(default=lambda: False)
     #: the analyzer of this corpus; queries are tokenised with the same one
     tokenizer: Tokenizer = field(default=tokens)
 
@@ -281,13 +273,13 @@ class Index:
         return self.stats_row
 
     def check_open(self) -> None:
-        if self.closed:
+        if self.closed():
             raise RuntimeError("the corpus is closed")
 
 
 def build_index(docs: DataFrame, n_buckets: int = DEFAULT_BUCKETS, tokenizer: Tokenizer = tokens) -> Index:
     """Ephemeral index (A2): lazy plans over ``docs(id, header_key, text)``."""
-    keyed = with_doc_key(ensure_parallelism(docs.select("id", "header_key", "text")))
+    keyed = with_doc_key(docs.select("id", "header_key", "text"))
     postings = postings_by_token_rows(keyed, n_buckets, tokenizer)
     return Index(
         docs=keyed,
@@ -296,20 +288,5 @@ def build_index(docs: DataFrame, n_buckets: int = DEFAULT_BUCKETS, tokenizer: To
         term_stats=term_stats_of(postings),
         n_buckets=n_buckets,
         tokenizer=tokenizer,
-    )
-
-
-def read_index(
-    spark: SparkSession, path: str, n_buckets: int = DEFAULT_BUCKETS, tokenizer: Tokenizer = tokens
-) -> Index:
-    """Open a materialised index (snapshot read)."""
-    cs = spark.read.schema(CORPUS_STATS_SCHEMA).parquet(f"{path}/corpus_stats").first()  # one row of metadata
-    return Index(
-        docs=spark.read.schema(DOCS_SCHEMA).parquet(f"{path}/docs"),
-        doc_stats=spark.read.schema(DOC_STATS_SCHEMA).parquet(f"{path}/doc_stats"),
-        postings=spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings"),
-        term_stats=spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats"),
-        n_buckets=n_buckets,
-        stats_row=CorpusStats(int(cs.n_docs), int(cs.total_tokens), float(cs.avgdl)),
-        tokenizer=tokenizer,
+        lazy=True,
     )

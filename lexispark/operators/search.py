@@ -10,12 +10,15 @@ single query and a table of a million queries run the same plan:
   tokens sit at ``start + off``; score ``boost * sum(idf) * tfnorm(#starts)``.
 
 Plan: postings (pruned to the query terms' buckets) join the clause table
-(broadcast when its size is proven small) and the terms' document
-frequencies; term clauses score per posting row, phrase clauses group the at
-most ``n_tok`` postings of one (clause, document) and intersect shifted
-position arrays; the clause scores of a document are summed (one shuffle of
-hits by document), and the best k per query are kept with a window whose
-partial group limit runs before the shuffle.
+and the terms' document frequencies -- broadcast for a query string of
+bounded length, left to Spark's own size rule for a table of queries; term
+clauses score per posting row, phrase clauses group the at most ``n_tok``
+postings of one (clause, document) and intersect shifted position arrays;
+the clause scores of a document are summed (one shuffle of hits by
+document), and the best k per query are kept with a window whose partial
+group limit runs before the shuffle. A table of term-only queries first
+finds a score that the k-th result surely has, and then leaves out the
+pairs that common words alone can't lift to it (``pruned_hits``).
 """
 
 from __future__ import annotations
@@ -24,12 +27,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.tokenize import WS_CLASS, tokens
-from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
+from ..schema import BM25_K1
 from .indexing import CorpusStats, Index, term_bucket
 from .scoring import idf, order_key, tf_norm
 
 HIT_COLS = ["query_id", "doc_key", "id", "header_key", "copies"]
 LITERAL_PATTERN = f"[^{WS_CLASS}]+"
+#: a query string up to this many characters becomes literals of the plan; a
+#: longer one goes the way of a table of queries
+LONGEST_LITERAL = 10_000
+#: Spark limits groups before the shuffle up to this k (its default of
+#: spark.sql.window.group.limit.threshold); beyond, groups are split by SALTS
+WINDOW_LIMIT = 1000
+SALTS = 256
 
 
 def _check_k(k: int) -> None:
@@ -148,43 +158,32 @@ def clause_scores(
     clauses: DataFrame,
     stats: CorpusStats | None = None,
     terms: list[tuple[str, int]] | None = None,
-    clause_rows: int | None = None,
     kinds: set[str] | None = None,
     terms_merged: bool = False,
 ) -> DataFrame:
     """Score every (clause, document) match: ``HIT_COLS + clause_id, score``.
 
-    ``terms`` (driver-side, bounded by the query text) prunes postings to
-    the query's buckets and terms; ``clause_rows`` is a proven bound on the
-    clause table for broadcasting; ``kinds`` (when known) skips the branch
-    a query doesn't use."""
+    ``terms`` (of a query string, at most ``LONGEST_LITERAL`` characters)
+    prunes postings to the query's buckets and terms and bounds what is
+    broadcast; ``kinds`` (when known) skips the branch a query doesn't use."""
     stats = stats or index.stats()
     c = clauses.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
-    if clause_rows is None or kinds is None:
-        # one small job on the query side: its size (for the broadcast
-        # decision) and which clause kinds occur (to plan only those)
-        counts = {r.kind: int(r.n) for r in c.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-        clause_rows = sum(counts.values())
-        kinds = set(counts) or {"term"}
-    small = clause_rows <= MAX_BROADCAST_ROWS
+    kinds = kinds or {"term", "phrase"}
     post, ts = prune_postings(index, terms)
+    send = F.broadcast if terms is not None else (lambda df: df)
     if terms is None:
-        qterms = c.select("bucket", "term").distinct()
-        ts = ts.join(F.broadcast(qterms) if small else qterms, ["bucket", "term"], "left_semi")
-    # term stats of the query terms: at most one row per distinct query term
-    ts = F.broadcast(ts) if small else ts
+        ts = ts.join(c.select("bucket", "term").distinct(), ["bucket", "term"], "left_semi")
     w = idf(F.col("df"), stats)
 
     out = []
     if "term" in kinds:
-        # a term written k times in one query is one clause of boost k
-        # (same score, k times fewer joined posting rows)
         ct = c.filter(F.col("kind") == "term")
         if not terms_merged:
-            ct = ct.groupBy("query_id", "bucket", "term").agg(
-                F.sum("boost").alias("boost"), F.min("clause_id").alias("clause_id")
-            )
-        jt = post.join(F.broadcast(ct) if small else ct, ["bucket", "term"]).join(ts, ["bucket", "term"])
+            ct = merged_terms(ct)
+        # the query side first: its rows get their df, then meet the postings
+        ct = ct.join(send(ts), ["bucket", "term"]) if terms is None else ct
+        jt = post.join(send(ct), ["bucket", "term"])
+        jt = jt if terms is None else jt.join(send(ts), ["bucket", "term"])
         out.append(
             jt.select(
                 *HIT_COLS,
@@ -195,7 +194,7 @@ def clause_scores(
         )
     if "phrase" in kinds:
         cp = c.filter(F.col("kind") == "phrase")
-        jp = post.join(F.broadcast(cp) if small else cp, ["bucket", "term"]).join(ts, ["bucket", "term"])
+        jp = post.join(send(cp), ["bucket", "term"]).join(send(ts), ["bucket", "term"])
         ph = (
             jp.withColumn("w", w)
             .groupBy(*HIT_COLS, "clause_id", "n_tok", "boost", "dl")
@@ -218,6 +217,46 @@ def clause_scores(
     return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
+def merged_terms(term_clauses: DataFrame) -> DataFrame:
+    """A term written k times in one query is one clause of boost k (same
+    score, k times fewer joined posting rows)."""
+    return term_clauses.groupBy("query_id", "bucket", "term").agg(
+        F.sum("boost").alias("boost"), F.min("clause_id").alias("clause_id")
+    )
+
+
+def pruned_hits(index: Index, clauses: DataFrame, k: int) -> DataFrame:
+    """The hits of a table of term clauses, less pairs that can't be among
+    the best ``k`` of their query: exact, by score bounds.
+
+    A clause adds at most ``boost * idf * (k1 + 1)``. 1. Each query's leading
+    terms (by that bound, until their documents number k) are scored alone;
+    the k-th best of these partial scores is a floor of the final k-th score.
+    2. Going up from the smallest bound, terms whose bounds together stay
+    below the floor can't make a result by themselves. 3. Documents with any
+    other term are the candidates; they meet the terms of step 2 by (term,
+    document), so a common word is looked up, not expanded."""
+    stats = index.stats()
+    c = merged_terms(clauses.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets)))
+    ts = index.term_stats.select("bucket", "term", "df")
+    c = c.join(ts, ["bucket", "term"]).withColumn("bound", F.col("boost") * idf(F.col("df"), stats) * (BM25_K1 + 1))
+    post = index.postings.select("bucket", "term", "doc_key", "id", "header_key", "copies", "tf", "dl")
+    add = F.col("boost") * idf(F.col("df"), stats) * tf_norm(F.col("tf"), F.col("dl"), stats)
+    down = Window.partitionBy("query_id").orderBy(F.desc("bound"), "term").rowsBetween(Window.unboundedPreceding, -1)
+    up = Window.partitionBy("query_id").orderBy("bound", F.desc("term")).rowsBetween(Window.unboundedPreceding, 0)
+    c = c.withColumn("lead", F.coalesce(F.sum("df").over(down), F.lit(0)) < k).withColumn("below", F.sum("bound").over(up))
+
+    first = post.join(c.where("lead"), ["bucket", "term"]).groupBy("query_id", "doc_key", "id").agg(F.sum(add).alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    floor = first.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("query_id", F.col("score").alias("floor"))
+    c = c.join(floor, "query_id", "left").withColumn("weak", F.coalesce(F.col("below") + 1e-6 < F.col("floor"), F.lit(False)))
+
+    strong = post.join(c.where("not weak").select("query_id", "bucket", "term", "boost", "df"), ["bucket", "term"]).select(*HIT_COLS, add.alias("score"))
+    cand = strong.select(*HIT_COLS).distinct().join(c.where("weak").select("query_id", "bucket", "term", "boost", "df"), "query_id")
+    rest = post.drop("header_key", "copies").join(cand, ["bucket", "term", "doc_key", "id"]).select(*HIT_COLS, add.alias("score"))
+    return strong.unionByName(rest)
+
+
 _QUERY_EXPR_CACHE: dict[tuple, Column] = {}
 
 
@@ -245,6 +284,9 @@ def single_clause_scores(index: Index, text: str, whole_phrase: bool = False, bo
     One small job tokenises the query (the documents' expression, bounded by
     the query length) and computes the terms' buckets."""
     spark = index.spark
+    if len(text) > LONGEST_LITERAL:
+        make = phrase_clauses if whole_phrase else literal_clauses
+        return clause_scores(index, make(single_query(spark, text), boost, index.tokenizer))
     expr = _query_token_expr(spark, whole_phrase, index.n_buckets, index.tokenizer)
     row = spark.range(1).select(F.lit(text).alias("q")).select(expr).first()
     all_toks = [[e.t for e in cl] for cl in row.c if cl]
@@ -262,12 +304,10 @@ def single_clause_scores(index: Index, text: str, whole_phrase: bool = False, bo
         ctoks.append(t)
         boosts.append(boost)
     kinds = {"term" if len(t) == 1 else "phrase" for t in ctoks} or {"term"}
-    n_rows = sum(len(t) for t in ctoks)
     return clause_scores(
         index,
         clauses_literal(spark, ctoks, boosts),
         terms=terms,
-        clause_rows=n_rows,
         kinds=kinds,
         terms_merged=True,
     )
@@ -292,14 +332,21 @@ def sum_by_doc(clause_hits: DataFrame, with_header: bool = True) -> DataFrame:
     return clause_hits.groupBy(*keys).agg(F.sum("score").alias("score"))
 
 
-def top_k(hits: DataFrame, k: int) -> DataFrame:
+def top_k(hits: DataFrame, k: int, one_query: bool = False) -> DataFrame:
     """Best ``k`` per query by ``score desc, id, doc_key``; exact copies
     count as separate results. ``row_number() <= k`` is planned with a
-    partial group limit before the shuffle, so no task ever holds more than
-    k rows per query from one input partition."""
+    partial group limit before the shuffle. For a larger k than Spark does
+    that for, one query's hits are a sorted limit, and those of many queries
+    are first ranked in SALTS parts each: no task gets all hits of a query."""
     _check_k(k)
     ex = hits.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k)))))
-    w = Window.partitionBy("query_id").orderBy(*order_key(), F.col("copy"))
+    order = [*order_key(), F.col("copy")]
+    if k > WINDOW_LIMIT and one_query:
+        ex = ex.orderBy(*order).limit(k)
+    elif k > WINDOW_LIMIT:
+        part = Window.partitionBy("query_id", F.pmod(F.xxhash64("doc_key", "id", "copy"), F.lit(SALTS))).orderBy(*order)
+        ex = ex.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= k).drop("_r")
+    w = Window.partitionBy("query_id").orderBy(*order)
     return ex.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("copy")
 
 
@@ -312,8 +359,12 @@ def search_batch(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
     """``queries(query_id, query)`` -> ``query_id, rank, id, score``."""
     index.check_open()
     _check_k(k)
-    hits = sum_by_doc(clause_scores(index, literal_clauses(queries, tokenizer=index.tokenizer)), with_header=False)
-    return top_k(hits, k).select("query_id", "rank", "id", "score")
+    clauses = literal_clauses(queries, tokenizer=index.tokenizer)
+    if clauses.filter(F.col("kind") == "phrase").limit(1).count():
+        rows = clause_scores(index, clauses)
+    else:
+        rows = pruned_hits(index, clauses, k)
+    return top_k(sum_by_doc(rows, with_header=False), k).select("query_id", "rank", "id", "score")
 
 
 def search_hits(index: Index, query: str) -> DataFrame:
@@ -327,7 +378,7 @@ def search(index: Index, query: str, k: int = 5) -> DataFrame:
 
     A blank query gives an empty result with the full schema."""
     _check_k(k)
-    return top_k(search_hits(index, query), k).select("rank", "id", "score")
+    return top_k(search_hits(index, query), k, one_query=True).select("rank", "id", "score")
 
 
 def phrase_hits(index: Index, phrase: str) -> DataFrame:
@@ -342,7 +393,7 @@ def phrase_hits(index: Index, phrase: str) -> DataFrame:
 def search_phrase(index: Index, phrase: str, k: int = 5) -> DataFrame:
     """Exact phrase, top-k -> ``rank, id, score``."""
     _check_k(k)
-    return top_k(phrase_hits(index, phrase), k).select("rank", "id", "score")
+    return top_k(phrase_hits(index, phrase), k, one_query=True).select("rank", "id", "score")
 
 
 def phrase_search_batch(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -363,6 +414,5 @@ def as_map(results: DataFrame) -> DataFrame:
 
 def restrict(hits: DataFrame, allowed: DataFrame, on: str = "id") -> DataFrame:
     """Keep hits whose ``on`` value appears in ``allowed`` (e.g. a label
-    table): a left-semi join, the allowed side broadcast when counted small."""
-    keys = allowed.select(on).distinct()
-    return hits.join(broadcast_if_small(keys), on, "left_semi")
+    table): a left-semi join."""
+    return hits.join(allowed.select(on).distinct(), on, "left_semi")

@@ -9,8 +9,11 @@ rounded to 6 digits and ties broken by ``round(score, 9) desc, id``.
 
 from __future__ import annotations
 
-from ..functions.tokenize import CJK_CLASS, RUN_PATTERN, WS_CLASS
-from ..schema import BM25_B, BM25_K1
+# Spelled out here, not shared with the library: fixed values of the rules.
+CJK_CLASS = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x1100, 0x11FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7AF), (0xF900, 0xFAFF), (0x20000, 0x2A6DF)))
+WS_CLASS = "\\t\\n\\x0B\\f\\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "\u2000-\u200a"
+RUN_PATTERN = f"([{CJK_CLASS}]+|[^{CJK_CLASS}{WS_CLASS}]+)"
+BM25_K1, BM25_B = 1.2, 0.75
 
 LITERAL_RE = f"[^{WS_CLASS}]+"
 #: maximal CJK runs, non-CJK words and white-space runs: they tile a text
@@ -118,9 +121,9 @@ def match_cte(name: str, text: str, whole_phrase: bool = False) -> str:
     )
 
 
-def bm25_topk_sql(corpus: str, queries_sql: str, k: int) -> str:
+def bm25_topk_sql(corpus: str, queries_sql: str, k: int, whole_phrase: bool = False) -> str:
     return f"""
-    WITH {docs_cte(corpus)}, {stats_cte()}, {scored_clauses_cte(queries_sql)},
+    WITH {docs_cte(corpus)}, {stats_cte()}, {scored_clauses_cte(queries_sql, whole_phrase)},
     s AS (SELECT query_id, id, sum(score) AS score FROM cs GROUP BY query_id, id),
     r AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM s)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, id, round(score, 6) AS score FROM r WHERE rank <= {k}
@@ -161,19 +164,23 @@ def composed_ctes(query, name: str) -> list[str]:
                               CASE WHEN c.m = 1 THEN 1.0::DOUBLE ELSE w.w * {tfnorm_sql('c.tf', 'len(d.toks)')} END AS score
                        FROM {name}_cnt c JOIN d USING (id), {name}_w w, st)"""
         ]
-    if isinstance(query, Q.Phrase):  # sloppy, two tokens
+    if isinstance(query, Q.Phrase):  # sloppy: each next token at its nearest later place
+        words = query.text.split()  # tokens of a text without CJK
+        ctes = [f"{name}_c0 AS (SELECT id, pos AS p, pos AS e FROM pos WHERE term = {q(words[0])})"]
+        for i, word in enumerate(words[1:], start=1):
+            ctes.append(
+                f"""{name}_c{i} AS (SELECT a.id, a.p, min(b.pos) AS e FROM {name}_c{i - 1} a JOIN pos b
+                    ON a.id = b.id AND b.pos > a.e AND b.term = {q(word)} GROUP BY a.id, a.p)"""
+            )
+        terms = ", ".join(f"({q(w)})" for w in words)
         return [
-            f"""{name}_q AS (SELECT {tok(q(query.text))} AS qt),
-            {name}_p1 AS (SELECT p.id, p.pos FROM pos p, {name}_q WHERE len(qt) = 2 AND p.term = qt[1]),
-            {name}_p2 AS (SELECT p.id, p.pos FROM pos p, {name}_q WHERE len(qt) = 2 AND p.term = qt[2]),
-            {name}_ch AS (SELECT a.id, a.pos AS p, min(b.pos) AS e FROM {name}_p1 a JOIN {name}_p2 b
-                          ON a.id = b.id AND b.pos > a.pos GROUP BY a.id, a.pos),
-            {name}_cnt AS (SELECT id, count(*) AS tf FROM {name}_ch WHERE e - p - 1 <= {int(query.slop)} GROUP BY id),
+            *ctes,
+            f"""{name}_cnt AS (SELECT id, count(*) AS tf FROM {name}_c{len(words) - 1} WHERE e - p - {len(words) - 1} <= {int(query.slop)} GROUP BY id),
             {name}_w AS (SELECT sum({idf_sql('x.df')}) AS w
                          FROM (SELECT u.term, (SELECT count(DISTINCT p.id) FROM pos p WHERE p.term = u.term) AS df
-                               FROM {name}_q, unnest(qt) AS u(term)) x, st),
+                               FROM (VALUES {terms}) AS u(term)) x, st),
             {name} AS (SELECT c.id, d.header_key, w.w * {tfnorm_sql('c.tf', 'len(d.toks)')} AS score
-                       FROM {name}_cnt c JOIN d USING (id), {name}_w w, st)"""
+                       FROM {name}_cnt c JOIN d USING (id), {name}_w w, st)""",
         ]
     if isinstance(query, Q.Field):
         f, v = query.field, q(query.value)

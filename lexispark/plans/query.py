@@ -27,11 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.fuzzy import fuzzy_hits
-from ..operators.indexing import Index
+from ..operators.indexing import Index, keyword_rows
 from ..operators.scoring import idf, tf_norm
 from ..operators.search import (
     HIT_COLS,
     phrase_starts,
+    prune_postings,
     search_hits,
     single_clause_scores,
     single_query,
@@ -39,7 +40,6 @@ from ..operators.search import (
     top_k,
     terms_with_buckets,
 )
-from .sizing import broadcast_if_small, query_token_bound
 
 KEYWORD_FIELDS = ("id", "header_key")
 QID = "q"
@@ -81,7 +81,7 @@ class Fuzzy(Query):
 
     def hits(self, index: Index) -> DataFrame:
         q = single_query(index.spark, self.text, QID)
-        return fuzzy_hits(index, q, self.distance, clause_rows=query_token_bound(self.text))
+        return fuzzy_hits(index, q, self.distance)
 
 
 @dataclass(frozen=True)
@@ -95,7 +95,7 @@ class Field(Query):
         if self.field == "text":
             return Match(self.value).hits(index)
         _check_field(self.field)
-        m = index.doc_stats.filter(F.col(self.field) == self.value)
+        m = keyword_rows(index).filter(F.col(self.field) == self.value)
         # one row: the field value's document frequency
         dfv = m.groupBy(self.field).agg(F.sum("copies").alias("df"))
         st = index.stats()
@@ -134,7 +134,7 @@ class Range(Query):
                 .distinct()
             )
         _check_field(self.field)
-        return _constant(index.doc_stats.filter(self._cond(F.col(self.field))))
+        return _constant(keyword_rows(index).filter(self._cond(F.col(self.field))))
 
 
 @dataclass(frozen=True)
@@ -152,13 +152,13 @@ class InSet(Query):
             )
             return _constant(post.select("doc_key", "id", "header_key", "copies").distinct())
         _check_field(self.field)
-        return _constant(index.doc_stats.filter(F.col(self.field).isin(vals)))
+        return _constant(keyword_rows(index).filter(F.col(self.field).isin(vals)))
 
 
 @dataclass(frozen=True)
 class MatchAll(Query):
     def hits(self, index: Index) -> DataFrame:
-        return _constant(index.doc_stats)
+        return _constant(keyword_rows(index))
 
 
 @dataclass(frozen=True)
@@ -208,7 +208,7 @@ def run(index: Index, query: Query, k: int | None = 10) -> DataFrame:
         return h.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
             "id", "header_key", "score"
         )
-    return top_k(h, k).select("rank", "id", "score")
+    return top_k(h, k, one_query=True).select("rank", "id", "score")
 
 
 # --------------------------------------------------------------------------
@@ -223,53 +223,46 @@ def _constant(doc_rows: DataFrame) -> DataFrame:
     return doc_rows.withColumn("query_id", F.lit(QID)).select(*HIT_COLS, F.lit(1.0).alias("score"))
 
 
-def _phrase_token_rows(index: Index, text: str) -> tuple[DataFrame, int]:
-    """``off, term, bucket`` rows of a phrase's tokens (bounded by the text)."""
-    from ..operators.indexing import term_bucket
+def _phrase_tokens(index: Index, text: str) -> list[str]:
+    """A phrase's tokens (bounded by the text), by the corpus's analyzer."""
+    q = single_query(index.spark, text, QID)
+    return list(q.select(index.tokenizer(F.col("query")).alias("t")).first().t)
 
-    q = single_query(index.spark, text, QID).select(
-        F.posexplode(index.tokenizer(F.col("query"))).alias("off", "term")
-    )
-    q = q.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
-    return q, query_token_bound(text)
 
+def _positions(index: Index, toks: list[str]) -> DataFrame:
+    """``doc, off, positions`` of the tokens: postings pruned to their buckets
+    and terms, joined with their offsets."""
+    tb = dict(terms_with_buckets(index.spark, [toks], index.n_buckets)) if toks else {}
+    post, _ = prune_postings(index, sorted(tb.items()))
+    rows = index.spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(i).alias("off"), F.lit(t).alias("term"), F.lit(tb[t]).alias("bucket")) for i, t in enumerate(toks)]))) if toks else None
+    if rows is None:
+        return post.select(*DOC, F.lit(0).alias("off"), "positions").limit(0)
+    return post.join(F.broadcast(rows), ["bucket", "term"]).select(*DOC, "off", "positions")
 
-def _positions_by_offset(index: Index, qrows: DataFrame, bound: int) -> DataFrame:
-    """Per document and offset, the positions of the term(s) at that offset."""
-    post = index.postings.join(broadcast_if_small(qrows, bound), ["bucket", "term"])
-    return post.groupBy("doc_key", "id", "header_key", "copies", "dl", "off").agg(
-        F.flatten(F.collect_list("positions")).alias("positions")
-    )
 
+DOC = ["doc_key", "id", "header_key", "copies", "dl"]
 
-def _idf_sum(index: Index, qrows: DataFrame, st) -> float:
-    """Sum of idf over the phrase token rows (repeats included): a scalar
-    looked up in the term dictionary, at most one row per query token."""
-    r = (
-        qrows.join(index.term_stats.select("bucket", "term", "df"), ["bucket", "term"])
-        .agg(F.sum(idf(F.col("df"), st)).alias("w"))
-        .first()
-    )
-    return float(r.w or 0.0)
+
+def _idf_sum(index: Index, toks: list[str], st) -> float:
+    """Sum of idf over the phrase's tokens (repeats included): looked up in
+    the term dictionary, at most one row per token."""
+    tb = terms_with_buckets(index.spark, [toks], index.n_buckets)
+    _, ts = prune_postings(index, tb)
+    by = {r.term: float(r.w) for r in ts.select("term", idf(F.col("df"), st).alias("w")).collect()}
+    return sum(by.get(t, 0.0) for t in toks)
 
 
 def _prefix_phrase_hits(index: Index, text: str) -> DataFrame:
     """F8: all tokens fixed but the last, which matches any term starting
     with it. Weight: sum of the fixed tokens' idf (1.0 when only the prefix
     is given), times tfnorm of the number of matching starts."""
-    qrows, bound = _phrase_token_rows(index, text)
-    toks = [r.term for r in qrows.orderBy("off").collect()]  # bounded by the text
+    toks = _phrase_tokens(index, text)
     if not toks:
         return _constant(index.doc_stats.limit(0))
-    n = len(toks)
-    fixed = qrows.filter(F.col("off") < n - 1)
-    expansions = (
-        index.term_stats.filter(F.col("term").startswith(toks[-1]))
-        .select("bucket", "term")
-        .withColumn("off", F.lit(n - 1))
-    )
-    rows = fixed.select("off", "term", "bucket").unionByName(expansions.select("off", "term", "bucket"))
-    per_off = _positions_by_offset(index, rows, None)
+    n, fixed = len(toks), toks[:-1]
+    # the expansions of the last token: a range of terms, pushed to the scan
+    last = index.postings.filter(F.col("term").startswith(toks[-1])).groupBy(*DOC).agg(F.flatten(F.collect_list("positions")).alias("positions"))
+    per_off = _positions(index, fixed).unionByName(last.select(*DOC, F.lit(n - 1).alias("off"), "positions"))
     st = index.stats()
     per_doc = per_off.groupBy("doc_key", "id", "header_key", "copies", "dl").agg(
         F.collect_list(F.struct("off", "positions")).alias("pl")
@@ -290,15 +283,12 @@ def _sloppy_phrase_hits(index: Index, text: str, slop: int) -> DataFrame:
     the first token the chain takes the nearest next position of each
     following token (the greedy chain minimises the end). Frequency = number
     of first positions that start a match; weight = sum of idf."""
-    qrows, bound = _phrase_token_rows(index, text)
-    n = qrows.count()  # bounded by the text
+    toks = _phrase_tokens(index, text)
+    n = len(toks)
     if n == 0:
         return _constant(index.doc_stats.limit(0))
     st = index.stats()
-    per_off = _positions_by_offset(index, qrows, bound)
-    per_doc = per_off.groupBy("doc_key", "id", "header_key", "copies", "dl").agg(
-        F.collect_list(F.struct("off", "positions")).alias("pl")
-    )
+    per_doc = _positions(index, toks).groupBy(*DOC).agg(F.collect_list(F.struct("off", "positions")).alias("pl"))
     per_doc = per_doc.filter(F.size("pl") == n)
     arrs = F.transform(F.array_sort("pl"), lambda x: x["positions"])
     first = arrs[0]
@@ -316,7 +306,7 @@ def _sloppy_phrase_hits(index: Index, text: str, slop: int) -> DataFrame:
     ok = F.zip_with(first, ends, lambda p, e: (e >= 0) & (e - p - F.lit(n - 1) <= F.lit(slop)))
     per_doc = per_doc.withColumn("ptf", F.size(F.filter(ok, lambda b: b)))
     per_doc = per_doc.filter(F.col("ptf") > 0)
-    w = _idf_sum(index, qrows, st)
+    w = _idf_sum(index, toks, st)
     return per_doc.withColumn("query_id", F.lit(QID)).select(
         *HIT_COLS, (F.lit(w) * tf_norm(F.col("ptf"), F.col("dl"), st)).alias("score")
     )

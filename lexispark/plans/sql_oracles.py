@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from ..functions.tokenize import CJK_CLASS, WS_CLASS
 from . import workloads as W
 from .oracle import (
+    CJK_CLASS,
+    RUN_PATTERN,
+    WS_CLASS,
     composed_sql,
     SEGMENT_SQL_RE,
     bm25_topk_sql,
     docs_cte,
+    idf_sql,
     one_query,
     q,
     scored_clauses_cte,
     stats_cte,
+    tfnorm_sql,
     tok,
 )
 
@@ -34,9 +38,8 @@ _reg(
 
 # token table with UTF-8 byte offsets: runs (and white-space runs) tile the
 # text; running sums give each run's byte offset and first position
-_reg(
-    "token_table",
-    f"""WITH d AS ({_DOCS}),
+def _offsets_sql(source: str) -> str:
+    return f"""WITH d AS ({source}),
     runs AS (SELECT id, regexp_extract_all(text, {q(SEGMENT_SQL_RE)}, 1) AS rs FROM d),
     r1 AS (SELECT id, unnest(rs) AS r, generate_subscripts(rs, 1) AS idx FROM runs),
     r2 AS (SELECT id, idx, r,
@@ -54,8 +57,14 @@ _reg(
     bi AS (SELECT id, CAST(p0 + 2 * (j - 1) + 1 AS INTEGER) AS pos, substr(r, j, 2) AS term, 2 AS pos_len,
                   CAST(b0 + strlen(substr(r, 1, j - 1)) AS INTEGER) AS off_from,
                   CAST(b0 + strlen(substr(r, 1, j + 1)) AS INTEGER) AS off_to FROM chars WHERE j < length(r))
-    SELECT * FROM words UNION ALL SELECT * FROM uni UNION ALL SELECT * FROM bi""",
+    SELECT * FROM words UNION ALL SELECT * FROM uni UNION ALL SELECT * FROM bi"""
+
+
+_CJK_DOCS = (
+    "SELECT CAST(doc_id AS VARCHAR) AS id, translate(lower(coalesce(text, '')), 'abcdefghijkl', '北京天気今日한국上海学校') AS text FROM documents"
 )
+_reg("token_table", _offsets_sql(_DOCS))
+_reg("token_table_cjk", _offsets_sql(_CJK_DOCS))
 
 _reg(
     "cjk_tokens",
@@ -127,16 +136,6 @@ _reg(
     f"""{_hits_sql('documents', W.BM25_QUERY)}
     SELECT header_key, CAST(count(*) AS BIGINT) AS count FROM r GROUP BY header_key""",
 )
-_reg(
-    "facets_capped",
-    f"""{_hits_sql('documents_source', W.BM25_QUERY)}
-    SELECT header_key, CAST(count(*) AS BIGINT) AS count FROM r WHERE rn <= {W.FACET_LIMIT_REF} GROUP BY header_key""",
-)
-_reg(
-    "facets_top100",
-    f"""{_hits_sql('documents_source', W.BM25_QUERY)}
-    SELECT header_key, CAST(count(*) AS BIGINT) AS count FROM r WHERE rn <= {W.FACET_LIMIT_SMALL} GROUP BY header_key""",
-)
 _reg(
     "result_map",
     f"""{_hits_sql('documents', W.BM25_QUERY)}
@@ -272,3 +271,51 @@ _PAGES = (
     "coalesce(html, '') AS text FROM pages"
 )
 _reg("pages_search", f"SELECT rank, id, score FROM ({bm25_topk_sql(_PAGES, one_query(W.PAGES_QUERY), W.TOP_K)})")
+
+# ---- more operators --------------------------------------------------------------
+_reg(
+    "cjk_characters",
+    f"""WITH d AS ({_CJK_DOCS}), c AS (SELECT unnest(string_split(text, '')) AS ch FROM d)
+    SELECT ch, count(*) AS n, regexp_matches(ch, {q(f'^[{CJK_CLASS}]$')}) AS cjk FROM c WHERE ch <> '' GROUP BY ch""",
+)
+_reg(
+    "text_runs",
+    f"""WITH d AS ({_CJK_DOCS}), r AS (SELECT id, regexp_extract_all(text, {q(RUN_PATTERN)}, 1) AS rs FROM d)
+    SELECT id, CAST(len(rs) AS BIGINT) AS n_runs, md5(coalesce(array_to_string(rs, '|'), '')) AS runs_md5 FROM r""",
+)
+ORACLES["stored_postings"] = ORACLES["postings"]
+_reg("blank_search", f"SELECT * FROM ({ORACLES['bm25_search']}) WHERE false")
+_LOWER = (
+    "SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(lang, '') AS header_key, lower(coalesce(text, '')) AS text FROM documents"
+)
+_reg("analyzer_search", f"SELECT rank, id, score FROM ({bm25_topk_sql(_LOWER, one_query(W.LOWERCASE_QUERY.lower()), W.TOP_K)})")
+ORACLES["ephemeral_search"] = ORACLES["bm25_search"]
+_reg("truncated", "SELECT 1 AS version, count(*) AS n_docs FROM documents UNION ALL SELECT 2, 0")
+_reg(
+    "search_facets",
+    f"""SELECT 'result' AS kind, rank, id AS name, score, CAST(NULL AS BIGINT) AS count FROM ({ORACLES['bm25_search']})
+    UNION ALL SELECT 'facet', NULL, header_key, NULL, count FROM ({ORACLES['facets']})""",
+)
+_reg(
+    "phrase_top10",
+    f"SELECT rank, id, score FROM ({bm25_topk_sql('documents', one_query(W.PHRASE_QUERY), W.TOP_K, whole_phrase=True)})",
+)
+_reg(
+    "phrase_batch",
+    bm25_topk_sql(
+        "documents", "SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark", W.TOP_K, whole_phrase=True
+    ),
+)
+# every row a document, whatever its id; the query's terms are single words
+_reg(
+    "repeated_ids",
+    f"""WITH d AS (SELECT row_number() OVER () AS r, CAST(conv_id AS VARCHAR) AS id, {tok('text')} AS toks FROM conversations),
+    {stats_cte()},
+    t AS (SELECT r, any_value(id) AS id, any_value(dl) AS dl, term, count(*) AS tf
+          FROM (SELECT r, id, len(toks) AS dl, unnest(toks) AS term FROM d) WHERE term IN ({', '.join(map(q, W.REPEATED_QUERY.split()))}) GROUP BY r, term),
+    f AS (SELECT term, count(*) AS df FROM t GROUP BY term)
+    SELECT any_value(id) AS id, round(sum({idf_sql('df')} * {tfnorm_sql('tf', 'dl')}), 6) AS score
+    FROM t JOIN f USING (term), st GROUP BY r""",
+)
+_CHANGED = ORACLES["change_feed"].replace("SELECT id, header_key, md5(text) AS text_md5 FROM res", "SELECT id, header_key, text FROM res")
+_reg("search_after_changes", f"SELECT rank, id, score FROM ({bm25_topk_sql(_CHANGED, one_query(W.BM25_QUERY), W.TOP_K)})")

@@ -11,19 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tokenize import token_table_with_offsets, tokens
+from ..functions.tokenize import is_cjk, lowercase_tokens, runs, token_table_with_offsets, tokens
 from ..operators import changes as C
 from ..operators import facets as FC
 from ..operators import fuzzy as FZ
 from ..operators import search as S
-from ..operators.indexing import build_index, corpus_stats_df
+from ..operators.indexing import Index, build_index, corpus_stats_df
 from ..sources.tables import (
     benchmark_queries,
     cjk_documents_corpus,
     documents_corpus,
     table,
 )
-from ..session import fresh_path
+from ..session import fresh_path, path_exists
 from ..sources.corpus import Corpus
 from ..sources.tables import conversations_corpus, pages_corpus, user_turn_queries
 from ..streaming.maintain import change_stream, maintain
@@ -34,13 +34,31 @@ BM25_QUERY = "the and anble"
 PHRASE_QUERY = "of the"
 CJK_QUERY = "北京 天気 学校"
 TOP_K = 10
-FACET_LIMIT_REF = 1000  # the reference's facet cap
-FACET_LIMIT_SMALL = 100
 FUZZY_D1_QUERY = "thtion anble"
 FUZZY_D2_QUERY = "thtion"
 DELETED_HEADER = "en"
 
 
+#: the corpora that registered queries search, by name
+CORPORA = {
+    "documents": documents_corpus,
+    "cjk": cjk_documents_corpus,
+    "conversations": conversations_corpus,
+    "pages": pages_corpus,
+}
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str = "documents") -> Index:
+    """The stored index of a corpus: built once a session, then read."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED or not path_exists(spark, _STORED[key]):
+        path = fresh_path(spark, f"corpus-{name}")
+        Corpus(spark, path, create=True).rebuild(CORPORA[name](spark, sf_dir))
+        _STORED[key] = path
+    return Corpus(spark, _STORED[key]).index()
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumn("score", F.round("score", 6))
 
@@ -84,19 +102,19 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return idx.term_stats.select("term", F.col("df").cast("long").alias("df"), F.col("cf").cast("long").alias("cf"))
 
 
 def doc_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return S.all_hits(idx.doc_stats.withColumn("query_id", F.lit("q"))).select(
         "id", "header_key", F.col("dl").cast("long").alias("dl")
     )
 
 
 def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return corpus_stats_df(idx.doc_stats).select(
         "n_docs", "total_tokens", F.round("avgdl", 6).alias("avgdl")
     )
@@ -106,23 +124,23 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return _rounded(S.search(idx, BM25_QUERY, TOP_K))
 
 
 def bm25_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return _rounded(S.search_batch(idx, benchmark_queries(spark, sf_dir), TOP_K))
 
 
 def cjk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(cjk_documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir, "cjk")
     return _rounded(S.search(idx, CJK_QUERY, TOP_K))
 
 
 def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document holding the phrase, with its occurrences and score."""
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     hits = S.phrase_hits(idx, PHRASE_QUERY)
     return _rounded(S.all_hits(hits).select("id", "occurrences", "score"))
 
@@ -133,22 +151,12 @@ def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return FC.facet_counts(S.search_hits(idx, BM25_QUERY)).select("header_key", "count")
 
 
-def facets_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir, header="source"))
-    return FC.facet_counts(S.search_hits(idx, BM25_QUERY), FACET_LIMIT_REF).select("header_key", "count")
-
-
-def facets_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir, header="source"))
-    return FC.facet_counts(S.search_hits(idx, BM25_QUERY), FACET_LIMIT_SMALL).select("header_key", "count")
-
-
 def result_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     top = S.search(idx, BM25_QUERY, TOP_K).withColumn("query_id", F.lit("q"))
     m = S.as_map(top)
     return _rounded(m.select(F.explode("results").alias("id", "score")))
@@ -158,7 +166,7 @@ def result_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fuzzy_all(spark: SparkSession, sf_dir: str, text: str, d: int) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     hits = FZ.fuzzy_hits(idx, S.single_query(spark, text), d)
     return S.all_hits(hits).select("id", "score")
 
@@ -172,7 +180,7 @@ def fuzzy_search_d2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fuzzy_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return FZ.search_fuzzy(idx, FUZZY_D1_QUERY, 1, TOP_K)
 
 
@@ -228,7 +236,7 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all(spark: SparkSession, sf_dir: str, query: Q.Query) -> DataFrame:
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return _rounded(Q.run(idx, query, k=None))
 
 
@@ -248,6 +256,8 @@ COMPOSED = {
     "match_all": Q.MatchAll(),
     "phrase_prefix": Q.Phrase("of th", prefix=True),
     "phrase_slop": Q.Phrase("of in", slop=3),
+    "phrase_slop_three": Q.Phrase("the of and", slop=8),
+    "in_set_text": Q.InSet("text", ("anble", "thtion")),
 }
 
 
@@ -267,25 +277,23 @@ STREAM_BATCHES = 3
 def corpus_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A3 + A5: build a durable corpus version from ``documents`` and
     search the committed snapshot."""
-    c = Corpus(spark, fresh_path(spark, "corpus"))
+    c = Corpus(spark, fresh_path(spark, "corpus"), create=True)
     c.rebuild(documents_corpus(spark, sf_dir))
     return _rounded(c.search(BM25_QUERY, TOP_K))
 
 
 def open_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3: create, fill with ``conversations``, open again from the path."""
+    """A3: create, fill with ``conversations``, open again from the path and
+    read the statistics there."""
     path = fresh_path(spark, "corpus")
-    Corpus(spark, path).rebuild(conversations_corpus(spark, sf_dir))
-    st = Corpus(spark, path).stats()
-    return spark.createDataFrame(
-        [(st.n_docs, st.total_tokens, round(st.avgdl, 6))], "n_docs long, total_tokens long, avgdl double"
-    )
+    Corpus(spark, path, create=True).rebuild(conversations_corpus(spark, sf_dir))
+    return corpus_stats_df(Corpus(spark, path).index().doc_stats).withColumn("avgdl", F.round("avgdl", 6))
 
 
 def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: version 1 (``documents``) stays readable after version 2 (the
     conversation change feed) commits; documents per header_key in both."""
-    c = Corpus(spark, fresh_path(spark, "corpus"))
+    c = Corpus(spark, fresh_path(spark, "corpus"), create=True)
     c.rebuild(documents_corpus(spark, sf_dir))
     v1 = c.current_version()
     c.apply_changes(conversation_changes(spark, sf_dir))
@@ -309,7 +317,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     cuts = changes.approxQuantile("seq", [i / STREAM_BATCHES for i in range(1, STREAM_BATCHES)], 0.01)
     bounds = [None, *cuts, None]
     base = fresh_path(spark, "stream")
-    c = Corpus(spark, f"{base}/corpus")
+    c = Corpus(spark, f"{base}/corpus", create=True)
     c.rebuild(documents_corpus(spark, sf_dir))
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         part = changes
@@ -331,14 +339,14 @@ CONVERSATION_K = 5
 def conversation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E11 on the second corpus: every user turn of ``conversations`` is a
     query against all turns; top 5 each."""
-    idx = build_index(conversations_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir, "conversations")
     return _rounded(S.search_batch(idx, user_turn_queries(spark, sf_dir), CONVERSATION_K))
 
 
 def filtered_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BM25 restricted to documents labelled good quality (``labels`` as the
     join target), top 10."""
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(
         F.col("doc_id").cast("string").alias("id")
     )
@@ -348,7 +356,7 @@ def filtered_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fuzzy_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E4 + E11: every ``benchmark`` text as a fuzzy query (distance 1)."""
-    idx = build_index(documents_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir)
     return FZ.search_fuzzy_batch(idx, benchmark_queries(spark, sf_dir), 1, TOP_K)
 
 
@@ -357,11 +365,120 @@ PAGES_QUERY = "the and"
 
 def pages_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 on the markup corpus: whole raw pages as documents, top 10."""
-    idx = build_index(pages_corpus(spark, sf_dir))
+    idx = stored(spark, sf_dir, "pages")
     return _rounded(S.search(idx, PAGES_QUERY, TOP_K))
 
 
+# ---- more operators ------------------------------------------------------------
+
+
+def cjk_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every character of the CJK corpus with its class."""
+    d = cjk_documents_corpus(spark, sf_dir)
+    ch = d.select(F.explode(F.split("text", "")).alias("ch")).where("ch <> ''").groupBy("ch").agg(F.count(F.lit(1)).alias("n"))
+    return ch.select("ch", "n", is_cjk("ch").alias("cjk"))
+
+
+def text_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every text of the CJK corpus."""
+    d = cjk_documents_corpus(spark, sf_dir).select("id", runs("text").alias("r"))
+    return d.select("id", F.size("r").cast("long").alias("n_runs"), F.md5(F.array_join("r", "|")).alias("runs_md5"))
+
+
+def token_table_cjk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 on CJK text: bigrams, multi-byte offsets."""
+    return token_table_with_offsets(cjk_documents_corpus(spark, sf_dir), ["id"])
+
+
+def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 as stored: one row per (term, document) of the committed version."""
+    return stored(spark, sf_dir).postings.select(
+        "term", "id", F.col("tf").cast("long").alias("tf"), F.array_join(F.transform("positions", lambda p: p.cast("string")), ",").alias("positions")
+    )
+
+
+def blank_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A blank query finds nothing."""
+    return _rounded(S.search(stored(spark, sf_dir), "  ", TOP_K))
+
+
+LOWERCASE_QUERY = "THE And anble"
+
+
+def analyzer_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus with another analyzer (lower case)."""
+    c = Corpus(spark, fresh_path(spark, "corpus"), tokenizer=lowercase_tokens, create=True)
+    c.rebuild(documents_corpus(spark, sf_dir))
+    return _rounded(c.search(LOWERCASE_QUERY, TOP_K))
+
+
+def ephemeral_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the ephemeral corpus."""
+    c = Corpus(spark)
+    c.rebuild(documents_corpus(spark, sf_dir))
+    return _rounded(c.search(BM25_QUERY, TOP_K))
+
+
+def truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: documents before and after the corpus is emptied."""
+    c = Corpus(spark, fresh_path(spark, "corpus"), create=True)
+    c.rebuild(documents_corpus(spark, sf_dir))
+    before = c.index().docs.agg(F.count(F.lit(1)).alias("n_docs")).withColumn("version", F.lit(1))
+    c.truncate()
+    return before.unionByName(c.index().docs.agg(F.count(F.lit(1)).alias("n_docs")).withColumn("version", F.lit(2)))
+
+
+def search_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: results and facets of one scoring."""
+    r = FC.search_with_facets(stored(spark, sf_dir), BM25_QUERY, TOP_K, persist=False)
+    res = _rounded(r.results).select(F.lit("result").alias("kind"), "rank", F.col("id").alias("name"), "score", F.lit(None).cast("long").alias("count"))
+    return res.unionByName(r.facets.select(F.lit("facet").alias("kind"), F.lit(None).cast("int").alias("rank"), F.col("header_key").alias("name"), F.lit(None).cast("double").alias("score"), "count"))
+
+
+def phrase_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3, best k."""
+    return _rounded(S.search_phrase(stored(spark, sf_dir), PHRASE_QUERY, TOP_K))
+
+
+def phrase_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + E11: every benchmark text as one phrase."""
+    return _rounded(S.phrase_search_batch(stored(spark, sf_dir), benchmark_queries(spark, sf_dir), TOP_K))
+
+
+REPEATED_QUERY = "the and"
+
+
+def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: ids may repeat (``conv_id``: one for all its turns); every row is
+    a document of its own."""
+    turns = conversations_corpus(spark, sf_dir).withColumn("id", F.regexp_replace("id", "-[0-9]+$", ""))
+    c = Corpus(spark, fresh_path(spark, "corpus"), create=True)
+    c.rebuild(turns)
+    return _rounded(S.all_hits(S.search_hits(c.index(), REPEATED_QUERY)).select("id", "score"))
+
+
+def search_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 + E1: the change feed on a durable corpus, then a search."""
+    c = Corpus(spark, fresh_path(spark, "corpus"), create=True)
+    c.rebuild(documents_corpus(spark, sf_dir))
+    c.apply_changes(conversation_changes(spark, sf_dir))
+    return _rounded(c.search(BM25_QUERY, TOP_K))
+
+
 REGISTRY = {
+    "cjk_characters": cjk_characters,
+    "text_runs": text_runs,
+    "token_table_cjk": token_table_cjk,
+    "stored_postings": stored_postings,
+    "blank_search": blank_search,
+    "analyzer_search": analyzer_search,
+    "ephemeral_search": ephemeral_search,
+    "truncated": truncated,
+    "search_facets": search_facets,
+    "phrase_top10": phrase_top10,
+    "phrase_batch": phrase_batch,
+    "repeated_ids": repeated_ids,
+    "search_after_changes": search_after_changes,
     "token_counts": token_counts,
     "token_table": token_table,
     "cjk_tokens": cjk_tokens,
@@ -374,8 +491,6 @@ REGISTRY = {
     "cjk_search": cjk_search,
     "phrase_search": phrase_search,
     "facets": facets,
-    "facets_capped": facets_capped,
-    "facets_top100": facets_top100,
     "result_map": result_map,
     "fuzzy_search_d1": fuzzy_search_d1,
     "fuzzy_search_d2": fuzzy_search_d2,

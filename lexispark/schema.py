@@ -24,10 +24,6 @@ CHANGE_SCHEMA = T.StructType(
     ]
 )
 
-QUERY_SCHEMA = T.StructType(
-    [T.StructField("query_id", T.StringType(), False), T.StructField("query", T.StringType(), True)]
-)
-
 # --- fixed values: BM25 parameters of the scoring the reference relies on ---
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -37,8 +33,5 @@ BM25_B = 0.75
 #: disk; a query reads only the buckets of its terms
 DEFAULT_BUCKETS = 64
 
-#: facet cap of the reference's faceted search (counted over the best hits)
-REFERENCE_FACET_LIMIT = 1000
-
 #: largest edit distance a fuzzy clause accepts
 MAX_FUZZY_DISTANCE = 2

@@ -4,7 +4,6 @@ streaming state."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -30,15 +29,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One process: every task sees the driver's folders."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system folder and is read
-    from the session. Only where it is unset (local runs, tests) a fresh
-    folder is created and set, so later calls agree.
+    from the session; without it this raises, as a machine's own folder is
+    not seen by the others. Only a local session gets a fresh folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="lexispark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -52,58 +59,54 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs(spark, path)
     return bool(fs.exists(hpath))
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Sub-directories of ``path`` through Hadoop FS (empty if missing)."""
-    if not path_exists(spark, path):
-        return []
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [str(st.getPath()) for st in fs.listStatus(hpath) if st.isDirectory()]
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path`` (empty if it is missing)."""
+    fs, hpath = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
 
 
-def read_text_file(spark: SparkSession, path: str) -> str | None:
-    """Read a small marker file (a version number) through Hadoop FS."""
-    if not path_exists(spark, path):
-        return None
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def read_text_file(spark: SparkSession, path: str) -> str:
+    """Read a small file through Hadoop FS."""
+    fs, hpath = _fs(spark, path)
     stream = fs.open(hpath)
     try:
-        data = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return str(data)
 
 
-def write_text_file(spark: SparkSession, path: str, content: str) -> None:
-    """Atomically replace a small marker file: write a sibling, then rename."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
-    out = fs.create(tmp, True)
+def create_text_file(spark: SparkSession, path: str, content: str) -> bool:
+    """Write a small file that must not exist yet; False if it does."""
+    fs, hpath = _fs(spark, path)
+    try:
+        out = fs.create(hpath, False)
+    except Exception as e:  # Hadoop raises FileAlreadyExistsException, or its own kind by store
+        if fs.exists(hpath):
+            return False
+        raise e
     out.write(bytearray(content.encode("utf-8")))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(tmp, target):
-        raise RuntimeError(f"could not publish marker {path}")
+    return True
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def publish(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a finished file to a name that its writer alone may use."""
+    fs, hsrc = _fs(spark, src)
+    if not fs.rename(hsrc, _fs(spark, dst)[1]):
+        raise RuntimeError(f"could not publish {dst}")
 
 
-def env_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)

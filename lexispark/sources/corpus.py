@@ -1,55 +1,73 @@
 """Corpus life cycle -- the reference's API as a Spark object.
 
-``Corpus(spark)`` is ephemeral (A2): the document DataFrame and its derived
-tables are persisted in executor memory/disk, lineage is cut with a
-reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir``.
-
-``Corpus(spark, path)`` is durable (A3): versions ``path/v=N/`` each hold the
-documents and the derived tables (see ``operators.indexing``); a small marker
-``path/_CURRENT`` names the committed version (A5). A writer builds
-``v=N+1`` next to the version being read -- never overwriting it -- and then
-replaces the marker, so a reader sees either the old or the new version
-whole. A second concurrent writer fails on ``mode("error")`` of the version
-directory. A search pins the version current when it starts (snapshot read).
-
-Changes (B1-B3) are incremental: only the incoming documents are tokenised;
-every stored table carries ``id`` and ``header_key``, so the rows that go
-are removed from documents, statistics and postings by the same two anti
-joins, and term statistics are re-aggregated from the new postings.
+``Corpus(spark, path)`` opens a durable corpus, ``create=True`` also makes an
+empty one; ``Corpus(spark)`` is ephemeral (A2): the same tables in a scratch
+folder under the shared ``spark.checkpoint.dir``, deleted on ``close()``.
+
+A commit (A5) is a small immutable file ``_commits/N``: its parent, the parts
+it consists of, the bucket count and analyzer, the corpus statistics and the
+last batch of each stream. The highest N is current; commits are only ever
+added. A writer claims N = parent + 1 by creating ``_commits/N.claim``, which
+fails if another writer has, so of two writers with one parent the second
+raises and no update is lost. A claim without a commit (its writer died)
+stops later writers until ``recover()`` removes it. Parts without any commit
+raise on opening. A search reads the commit that was current when it began.
+
+A part holds the rows of one change: ``docs``, ``doc_stats``, ``postings``
+(by bucket), ``term_stats`` and ``gone`` (ids and categories that the change
+removed from earlier parts), each under ``<table>/part=<name>``; names sort in
+commit order. A change writes rows in proportion to itself: stored rows that
+it removes are left out on reading (a row stays unless a later part lists
+its id or category), and ``term_stats`` holds the removed documents' counts
+as negative rows, so frequencies are sums. ``compact()`` folds all parts into
+one, ``vacuum()`` deletes parts that no kept commit uses.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.tokenize import tokens
 from ..operators import changes as C
 from ..operators import facets as FC
 from ..operators import fuzzy as FZ
 from ..operators import search as S
-from ..functions.tokenize import tokens
 from ..operators.indexing import (
-    Tokenizer,
-    build_index,
     DOC_STATS_SCHEMA,
     DOCS_SCHEMA,
     POSTINGS_SCHEMA,
+    TERM_STATS_SCHEMA,
     CorpusStats,
     Index,
+    Tokenizer,
     corpus_stats_df,
     doc_stats_of,
-    ensure_parallelism,
     postings_of,
-    read_index,
     term_stats_of,
     with_doc_key,
 )
 from ..plans import query as Q
 from ..schema import CHANGE_SCHEMA, DEFAULT_BUCKETS, DOC_SCHEMA
-from ..session import list_dirs, read_text_file, shared_dir, write_text_file
+from ..session import create_text_file, delete_path, fresh_path, list_names, path_exists, publish, read_text_file, shared_dir
+
+COMMITS = "_commits"
+GONE_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("header_key", T.StringType())])
+SCHEMAS = {
+    "docs": DOCS_SCHEMA,
+    "doc_stats": DOC_STATS_SCHEMA,
+    "postings": POSTINGS_SCHEMA,
+    "term_stats": TERM_STATS_SCHEMA,
+    "gone": GONE_SCHEMA,
+}
 
-MARKER = "_CURRENT"
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has claimed the next commit."""
 
 
 def _empty_docs(spark: SparkSession) -> DataFrame:
@@ -57,12 +75,11 @@ def _empty_docs(spark: SparkSession) -> DataFrame:
 
 
 def _as_docs(spark: SparkSession, docs) -> DataFrame:
-    """Accept a DataFrame ``(id, header_key, text)`` or a list of triples."""
+    """Accept a DataFrame ``(id, header_key, text)`` or a list of triples;
+    nulls become empty strings (the schema is non-null)."""
     if isinstance(docs, DataFrame):
-        return docs.select(
-            F.col("id").cast("string"), F.col("header_key").cast("string"), F.col("text").cast("string")
-        )
-    return spark.createDataFrame([tuple(map(str, d)) for d in docs], DOC_SCHEMA)
+        return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("id", "header_key", "text")])
+    return spark.createDataFrame([tuple("" if x is None else str(x) for x in d) for d in docs], DOC_SCHEMA)
 
 
 class Corpus:
@@ -70,206 +87,233 @@ class Corpus:
         self,
         spark: SparkSession,
         path: str | None = None,
-        n_buckets: int = DEFAULT_BUCKETS,
+        n_buckets: int | None = None,
         tokenizer: Tokenizer = tokens,
+        create: bool = False,
     ):
         """``tokenizer`` (C10): the analyzer, a ``Column -> ARRAY<STRING>``
-        expression; documents and queries both use it. A durable corpus must
-        be reopened with the same tokenizer it was built with."""
+        expression for documents and queries; its name is stored, and opening
+        with another one raises, as does another bucket count."""
         self.spark = spark
         self.tokenizer = tokenizer
-        self.path = path.rstrip("/") if path else None
-        self.n_buckets = n_buckets
+        self.ephemeral = path is None
+        self.path = (path or fresh_path(spark, "ephemeral")).rstrip("/")
         self._closed = False
-        self._mem: Index | None = None
-        self._cached: list[DataFrame] = []
-        if self.path is None:
-            self._set_memory(_empty_docs(spark))
-        # a durable corpus without a committed version reads as empty; the
-        # first rebuild or change commits version 0 (nothing is written before)
-
-    # ---- versions (durable) ------------------------------------------------
-
-    def _marker(self) -> tuple[int, int] | None:
-        txt = read_text_file(self.spark, f"{self.path}/{MARKER}")
-        if not txt:
-            return None
-        v, b = txt.strip().split(",")
-        return int(v), int(b)
-
-    def current_version(self) -> int | None:
-        if self.path is None:
-            return None
-        m = self._marker()
-        return None if m is None else m[0]
-
-    def last_batch_id(self) -> int:
-        """Last streaming batch applied (G1 idempotence); -1 if none."""
-        if self.path is None:
-            return getattr(self, "_mem_batch", -1)
-        m = self._marker()
-        return -1 if m is None else m[1]
-
-    def _vpath(self, v: int) -> str:
-        return f"{self.path}/v={v}"
-
-    def _commit(self, v: int, batch_id: int) -> None:
-        write_text_file(self.spark, f"{self.path}/{MARKER}", f"{v},{batch_id}")
-
-    def _write_tables(
-        self, v: int, docs: DataFrame | None, doc_stats: DataFrame | None, postings: DataFrame
-    ) -> None:
-        """Write one version from (lazy) documents, statistics and postings;
-        ``None`` for a table already written under ``v=N/``."""
-        out = self._vpath(v)
-        if docs is not None:
-            docs.write.mode("error").parquet(f"{out}/docs")
-        if doc_stats is not None:
-            doc_stats.write.mode("error").parquet(f"{out}/doc_stats")
-        (
-            postings.hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "term", "doc_key")
-            .write.mode("error")
-            .partitionBy("bucket")
-            .parquet(f"{out}/postings")
-        )
-        post = self.spark.read.schema(POSTINGS_SCHEMA).parquet(f"{out}/postings")
-        (
-            term_stats_of(post)
-            .hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "term")
-            .write.mode("error")
-            .partitionBy("bucket")
-            .parquet(f"{out}/term_stats")
-        )
-        corpus_stats_df(self.spark.read.schema(DOC_STATS_SCHEMA).parquet(f"{out}/doc_stats")).write.mode(
-            "error"
-        ).parquet(f"{out}/corpus_stats")
-
-    def _write_full(self, v: int, docs: DataFrame) -> None:
-        keyed = with_doc_key(ensure_parallelism(docs.select("id", "header_key", "text")))
-        out = self._vpath(v)
-        keyed.write.mode("error").parquet(f"{out}/docs")
-        stored = self.spark.read.schema(DOCS_SCHEMA).parquet(f"{out}/docs")
-        doc_stats_of(stored, self.tokenizer).write.mode("error").parquet(f"{out}/doc_stats")
-        # one small aggregate over the written statistics: are there copies?
-        max_copies = (
-            self.spark.read.schema(DOC_STATS_SCHEMA).parquet(f"{out}/doc_stats").agg(F.max("copies")).first()[0]
-        )
-        post = postings_of(
-            stored, self.n_buckets, copies_possible=(max_copies or 0) > 1, tokenizer=self.tokenizer
-        )
-        self._write_tables(v, None, None, post)
+        self.n_buckets = n_buckets or DEFAULT_BUCKETS
+        number = self._last()
+        if number is None:
+            if path_exists(spark, f"{self.path}/docs"):
+                raise RuntimeError(f"{self.path} holds parts but no commit")
+            if not (create or self.ephemeral):
+                raise FileNotFoundError(f"no corpus at {self.path}; create=True makes one")
+            self._commit(None, [], CorpusStats(0, 0, 0.0), {})
+        else:
+            known = self._read(number)
+            if known["analyzer"] != self._analyzer():
+                raise ValueError(f"the corpus was built with analyzer {known['analyzer']!r}, not {self._analyzer()!r}")
+            if n_buckets not in (None, known["n_buckets"]):
+                raise ValueError(f"the corpus has {known['n_buckets']} buckets, not {n_buckets}")
+            self.n_buckets = known["n_buckets"]
+
+    # ---- commits -------------------------------------------------------------
+
+    def _analyzer(self) -> str:
+        return getattr(self.tokenizer, "__name__", str(self.tokenizer))
+
+    def _numbers(self) -> list[int]:
+        return sorted(int(n) for n in list_names(self.spark, f"{self.path}/{COMMITS}") if n.isdigit())
+
+    def _last(self) -> int | None:
+        return max(self._numbers(), default=None)
+
+    def _read(self, number: int) -> dict:
+        return json.loads(read_text_file(self.spark, f"{self.path}/{COMMITS}/{number}"))
+
+    def _commit(self, parent: int | None, parts: list[str], stats: CorpusStats, streams: dict[str, int]) -> None:
+        number, base = 0 if parent is None else parent + 1, f"{self.path}/{COMMITS}"
+        body = {
+            "parent": parent,
+            "parts": parts,
+            "n_buckets": self.n_buckets,
+            "analyzer": self._analyzer(),
+            "n_docs": stats.n_docs,
+            "total_tokens": stats.total_tokens,
+            "streams": streams,
+        }
+        if not create_text_file(self.spark, f"{base}/{number}.claim", ""):
+            raise ConcurrentWrite(f"commit {number} of {self.path} is claimed by another writer")
+        ready = f"{base}/.{number}-{uuid.uuid4().hex[:8]}"
+        create_text_file(self.spark, ready, json.dumps(body))
+        publish(self.spark, ready, f"{base}/{number}")
+
+    def recover(self) -> None:
+        """Remove claims whose writers died before committing. Call it only
+        when no writer is at work."""
+        done = set(self._numbers())
+        for name in list_names(self.spark, f"{self.path}/{COMMITS}"):
+            if name.endswith(".claim") and int(name[:-6]) not in done:
+                delete_path(self.spark, f"{self.path}/{COMMITS}/{name}")
+
+    def current_version(self) -> int:
+        return self._last()
+
+    def last_batch_id(self, stream: str) -> int:
+        """Last batch of a stream that was applied (G1); -1 if none."""
+        return self._read(self._last())["streams"].get(stream, -1)
+
+    # ---- parts ---------------------------------------------------------------
+
+    def _new_part(self, parent: int) -> str:
+        return f"{parent + 1:08d}-{uuid.uuid4().hex[:8]}"
+
+    def _table(self, name: str, parts: list[str]) -> DataFrame:
+        """All rows of a table in the given parts, with their ``part``."""
+        schema = T.StructType([*SCHEMAS[name].fields, T.StructField("part", T.StringType())])
+        base = f"{self.path}/{name}"
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/part={p}" for p in parts])
+
+    def _alive(self, name: str, parts: list[str]) -> DataFrame:
+        """Rows that no later part removes."""
+        rows = self._table(name, parts)
+        if len(parts) > 1:
+            gone = self._table("gone", parts[1:])
+            for key in ("id", "header_key"):
+                last = gone.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("part").alias("_last"))
+                rows = rows.join(last, key, "left").where(F.col("_last").isNull() | (F.col("_last") <= F.col("part"))).drop("_last")
+        return rows.select(*SCHEMAS[name].fieldNames())
+
+    def _frequencies(self, parts: list[str]) -> DataFrame:
+        rows = self._table("term_stats", parts)
+        if len(parts) > 1:
+            sums = rows.groupBy("bucket", "term", "term_len").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+            rows = sums.where("df > 0")
+        return rows.select(*TERM_STATS_SCHEMA.fieldNames())
+
+    def _write(self, name: str, part: str, df: DataFrame) -> None:
+        out = df.select(*SCHEMAS[name].fieldNames())
+        if name in ("postings", "term_stats"):
+            order = ("bucket", "term", "doc_key") if name == "postings" else ("bucket", "term")
+            out = out.hint("rebalance", "bucket").sortWithinPartitions(*order)
+            out.write.mode("error").partitionBy("bucket").parquet(f"{self.path}/{name}/part={part}")
+        else:
+            out.write.mode("error").parquet(f"{self.path}/{name}/part={part}")
+
+    def _write_part(self, part: str, docs: DataFrame, removed: DataFrame | None, gone: DataFrame | None) -> CorpusStats:
+        """Write one part from its documents; ``removed``: stored documents
+        that go. The statistics of the part, less those of the removed."""
+        self._write("docs", part, with_doc_key(docs))
+        stored = self._table("docs", [part]).drop("part")
+        self._write("doc_stats", part, doc_stats_of(stored, self.tokenizer))
+        stats = self._table("doc_stats", [part])
+        copies = stats.agg(F.max("copies")).first()[0] or 0  # one row
+        self._write("postings", part, postings_of(stored, self.n_buckets, copies > 1, self.tokenizer))
+        terms = term_stats_of(self._table("postings", [part]))
+        total = corpus_stats_df(stats).first()
+        n_docs, n_tokens = int(total.n_docs), int(total.total_tokens)
+        if removed is not None:
+            less = corpus_stats_df(doc_stats_of(removed, self.tokenizer)).first()
+            n_docs, n_tokens = n_docs - int(less.n_docs), n_tokens - int(less.total_tokens)
+            minus = term_stats_of(postings_of(removed, self.n_buckets, tokenizer=self.tokenizer))
+            terms = terms.unionByName(minus.withColumns({"df": -F.col("df"), "cf": -F.col("cf")}))
+        self._write("term_stats", part, terms)
+        self._write("gone", part, gone if gone is not None else self.spark.createDataFrame([], GONE_SCHEMA))
+        return CorpusStats(n_docs, n_tokens, 0.0)
 
     def index(self, version: int | None = None) -> Index:
-        """Snapshot of a version (default: the committed one)."""
+        """Snapshot of a commit (default: the current one)."""
         self._check_open()
-        if self.path is None:
-            return self._mem
-        v = self.current_version() if version is None else version
-        if v is None:
-            return self._empty_index()
-        return read_index(self.spark, self._vpath(v), self.n_buckets, self.tokenizer)
-
-    def _empty_index(self) -> Index:
-        idx = build_index(_empty_docs(self.spark), self.n_buckets, self.tokenizer)
-        idx.stats_row = CorpusStats(0, 0, 0.0)
-        return idx
-
-    def _next_version(self) -> int:
-        """One past both the committed version and any version directory
-        left by a writer that died before committing: an orphan is skipped,
-        never overwritten or read."""
-        v = self.current_version()
-        top = -1 if v is None else v
-        for d in list_dirs(self.spark, self.path):
-            name = d.rsplit("/", 1)[-1]
-            if name.startswith("v=") and name[2:].isdigit():
-                top = max(top, int(name[2:]))
-        return top + 1
-
-    # ---- memory corpus -----------------------------------------------------
-
-    def _release(self) -> None:
-        for df in self._cached:
-            df.unpersist()
-        self._cached = []
-
-    def _set_memory(self, docs: DataFrame) -> None:
-        self._release()
-        keyed = with_doc_key(ensure_parallelism(docs.select("id", "header_key", "text")))
-        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-        ds = doc_stats_of(keyed, self.tokenizer).persist(StorageLevel.MEMORY_AND_DISK)
-        post = postings_of(keyed, self.n_buckets, tokenizer=self.tokenizer).persist(StorageLevel.MEMORY_AND_DISK)
-        ts = term_stats_of(post).persist(StorageLevel.MEMORY_AND_DISK)
-        self._cached = [keyed, ds, post, ts]
-        self._mem = Index(keyed, ds, post, ts, self.n_buckets, tokenizer=self.tokenizer)
-
-    # ---- A1 / A4 / B1-B3 ---------------------------------------------------
+        known = self._read(self._last() if version is None else version)
+        parts, n = known["parts"], known["n_docs"]
+        return Index(
+            docs=self._alive("docs", parts),
+            doc_stats=self._alive("doc_stats", parts),
+            postings=self._alive("postings", parts),
+            term_stats=self._frequencies(parts),
+            n_buckets=known["n_buckets"],
+            stats_row=CorpusStats(n, known["total_tokens"], known["total_tokens"] / n if n else 0.0),
+            closed=lambda: self._closed,
+            tokenizer=self.tokenizer,
+        )
+
+    # ---- A1 / A4 / B1-B3 -----------------------------------------------------
 
     def rebuild(self, docs) -> None:
         """A1: replace every document (duplicate ids kept), commit once."""
         self._check_open()
-        docs = _as_docs(self.spark, docs)
-        if self.path is None:
-            shared_dir(self.spark)
-            self._set_memory(docs.checkpoint())
-            return
-        v = self._next_version()
-        self._write_full(v, docs)
-        self._commit(v, self.last_batch_id())
+        parent = self._last()
+        part = self._new_part(parent)
+        stats = self._write_part(part, _as_docs(self.spark, docs), None, None)
+        self._commit(parent, [part], stats, self._read(parent)["streams"])
+
+    def compact(self) -> None:
+        """The same documents in a single part."""
+        self.rebuild(self.documents())
 
     def truncate(self) -> None:
         """A4: remove everything."""
-        self.rebuild(_empty_docs(self.spark))
+        self._check_open()
+        parent = self._last()
+        self._commit(parent, [], CorpusStats(0, 0, 0.0), self._read(parent)["streams"])
 
-    def apply_changes(self, changes: DataFrame, batch_id: int | None = None) -> None:
-        """Apply ``changes(seq, op, id, header_key, text)`` as one commit."""
+    def vacuum(self, keep: int = 1) -> None:
+        """Delete the parts that none of the last ``keep`` commits uses."""
         self._check_open()
-        ch = changes.select(*[F.col(f.name).cast(f.dataType) for f in CHANGE_SCHEMA.fields])
-        latest, last_del = C.split_changes(ch)
-        if self.path is None:
-            shared_dir(self.spark)
-            new_docs = C.apply_changes(self._mem.docs.select("id", "header_key", "text"), ch).checkpoint()
-            self._set_memory(new_docs)
-            if batch_id is not None:
-                self._mem_batch = batch_id
-            return
-        # materialise the change summary once (it feeds four tables); a
-        # reliable checkpoint in the shared folder, never executor-local
+        used = {p for n in self._numbers()[-keep:] for p in self._read(n)["parts"]}
+        for name in SCHEMAS:
+            for folder in list_names(self.spark, f"{self.path}/{name}"):
+                if folder.startswith("part=") and folder[5:] not in used:
+                    delete_path(self.spark, f"{self.path}/{name}/{folder}")
+
+    def apply_changes(self, changes: DataFrame, stream: tuple[str, int] | None = None) -> None:
+        """Apply ``changes(seq, op, id, header_key, text)`` as one commit;
+        ``stream``: the (name, batch id) that they came with."""
+        self._check_open()
+        parent = self._last()
+        known = self._read(parent)
+        # the change set feeds several tables: written once, in the shared
+        # folder; keys of a change set are non-null on entry (DOC_SCHEMA)
         shared_dir(self.spark)
-        latest = latest.checkpoint()
-        old = self.index()
-        v = self._next_version()
-        new_keyed = with_doc_key(C.incoming(latest, last_del))
-        out = self._vpath(v)
-        new_keyed.write.mode("error").parquet(f"{out}/docs.new")
-        new_stored = self.spark.read.schema(DOCS_SCHEMA).parquet(f"{out}/docs.new")
-        docs = C.survivors(old.docs, latest, last_del).select(*new_stored.columns).unionByName(new_stored)
-        ds = C.survivors(old.doc_stats, latest, last_del).select(
-            "doc_key", "id", "header_key", "dl", "copies"
-        ).unionByName(doc_stats_of(new_stored, self.tokenizer))
-        post_old = C.survivors(old.postings, latest, last_del)
-        post_new = postings_of(new_stored, self.n_buckets, tokenizer=self.tokenizer)
-        post = post_old.select(*post_new.columns).unionByName(post_new)
-        self._write_tables(v, docs, ds, post)
-        self._commit(v, self.last_batch_id() if batch_id is None else batch_id)
+        ch = changes.select(*[F.col(f.name).cast(f.dataType) for f in CHANGE_SCHEMA.fields]).checkpoint()
+        latest, last_del = C.split_changes(ch)
+        new = C.incoming(latest, last_del).select(*[F.coalesce(c, F.lit("")).alias(c) for c in C.DOC_COLS])
+        gone = (
+            latest.select("id", F.lit(None).cast("string").alias("header_key"))
+            .unionByName(last_del.select(F.lit(None).cast("string").alias("id"), "header_key"))
+            .where(F.coalesce("id", "header_key").isNotNull())
+        )
+        docs = self._alive("docs", known["parts"])
+        by_id = docs.join(latest.select("id"), "id", "left_semi").select(*docs.columns)
+        by_key = docs.join(last_del.select("header_key"), "header_key", "left_semi").join(latest.select("id"), "id", "left_anti")
+        removed = by_id.unionByName(by_key.select(*docs.columns))
+        part = self._new_part(parent)
+        delta = self._write_part(part, new, removed, gone)
+        stats = CorpusStats(known["n_docs"] + delta.n_docs, known["total_tokens"] + delta.total_tokens, 0.0)
+        streams = {**known["streams"], **({stream[0]: stream[1]} if stream else {})}
+        self._commit(parent, [*known["parts"], part], stats, streams)
 
     def add_or_update(self, docs) -> None:
-        """B1: upsert by id (a list of triples or a DataFrame, optionally with
-        ``seq``); all stored rows with the id go, the latest new row comes."""
-        d = _as_docs(self.spark, docs) if not isinstance(docs, DataFrame) or "seq" not in docs.columns else docs
-        if "seq" not in d.columns:
-            d = d.withColumn("seq", F.lit(0).cast("long"))
-        ch = d.select("seq", F.lit("upsert").alias("op"), "id", "header_key", "text")
-        self.apply_changes(ch)
+        """B1: upsert by id; all stored rows with the id go, the latest new
+        row comes. A list of triples is in call order. A DataFrame with
+        repeated ids needs ``seq`` to tell which is the latest."""
+        if isinstance(docs, DataFrame):
+            if "seq" not in docs.columns:
+                if docs.groupBy("id").count().where("count > 1").limit(1).count():
+                    raise ValueError("repeated ids need a seq column that orders them")
+                docs = docs.withColumn("seq", F.lit(0).cast("long"))
+            rows = docs.select("seq", "id", "header_key", "text")
+        else:
+            numbered = [(i, *("" if x is None else str(x) for x in d)) for i, d in enumerate(docs)]
+            rows = self.spark.createDataFrame(numbered, "seq long, id string, header_key string, text string")
+        self.apply_changes(rows.select("seq", F.lit("upsert").alias("op"), "id", "header_key", "text"))
 
     def remove_by_header(self, header_key: str) -> None:
         """B2: delete every document of a category (exact, case-sensitive)."""
         ch = self.spark.createDataFrame([(0, "delete_header", None, header_key, None)], CHANGE_SCHEMA)
         self.apply_changes(ch)
 
-    # ---- E: searches on the current snapshot -------------------------------
+    # ---- E: searches on the current snapshot ---------------------------------
 
     def stats(self) -> CorpusStats:
         return self.index().stats()
@@ -283,8 +327,8 @@ class Corpus:
     def search_fuzzy(self, query: str, distance: int = 1, top_k: int = 5) -> DataFrame:
         return FZ.search_fuzzy(self.index(), query, distance, top_k)
 
-    def search_with_facets(self, query: str, top_k: int = 5, facet_limit: int | None = None) -> FC.SearchResult:
-        return FC.search_with_facets(self.index(), query, top_k, facet_limit)
+    def search_with_facets(self, query: str, top_k: int = 5) -> FC.SearchResult:
+        return FC.search_with_facets(self.index(), query, top_k)
 
     def search_batch(self, queries: DataFrame, top_k: int = 5) -> DataFrame:
         return S.search_batch(self.index(), queries, top_k)
@@ -296,13 +340,15 @@ class Corpus:
         """Stored fields of the current snapshot."""
         return self.index().docs.select("id", "header_key", "text")
 
-    # ---- A6 -----------------------------------------------------------------
+    # ---- A6 ------------------------------------------------------------------
 
     def close(self) -> None:
-        """Release cached data; later use raises. Closing twice is fine."""
+        """Later use raises, of this object and of its snapshots. An
+        ephemeral corpus is deleted. Closing twice is fine."""
         if not self._closed:
-            self._release()
             self._closed = True
+            if self.ephemeral:
+                delete_path(self.spark, self.path)
 
     def _check_open(self) -> None:
         if self._closed:

@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tokenize import cjk_letter_map
-from ..operators.indexing import ensure_parallelism
+#: session setting for callers whose tables are single-row-group files (the
+#: bench): deal the rows out to so many partitions. Unset, a table is read in
+#: the splits of its files.
+PARTITIONS = "lexispark.table.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; a scan with fewer splits than cores (a one-row-group
-    file) is spread over the cores, a many-split table is left as it is."""
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A given table, read in the splits of its files (or see PARTITIONS)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get(PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def documents_corpus(spark: SparkSession, sf_dir: str, header: str = "lang") -> DataFrame:
