@@ -134,7 +134,7 @@ def slotted(packed: DataFrame, seed: int) -> tuple[DataFrame, int]:
 def shards(docs: DataFrame, length: int = 2048, per_shard: int = 1024, seed: int = 11, vocabulary: str = VOCABULARY) -> DataFrame:
     """(shard, first_slot, n_sequences, n_tokens, sizes, data): the shards of
     ``docs`` in training order. ``sizes`` are the records' real tokens."""
-    slots, total = slotted(stored(sequences(docs, length, vocabulary), "sequences"), seed)
+    slots, total = slotted(stored(sequences(docs, length, vocabulary), "sequences", "zstd"), seed)
     dealt = slots.withColumn("shard", (F.col("slot") / per_shard).cast("int"))
     dealt = dealt.repartitionById(max(1, -(-total // per_shard)), "shard").sortWithinPartitions("slot")
 
