@@ -40,6 +40,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END = 50256
 ROUNDS = 4
+#: offsets of more input partitions than this (some MB) are not broadcast
+MOST_PARTS = 200_000
 
 _ENCODERS: dict[bytes, tiktoken.Encoding] = {}
 
@@ -120,9 +122,11 @@ def permute(numbers: np.ndarray, n: int, seed: int, inverse: bool = False) -> np
 def slotted(packed: DataFrame, seed: int) -> tuple[DataFrame, int]:
     """(slot, n_tokens, tokens) of stored sequences, and their number."""
     parts = packed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    total = parts.agg(F.sum("n")).first()[0] or 0
+    size = parts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("parts")).first()
+    total = size.total or 0
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = packed.join(parts.select("part", before.alias("before")), "part")  # a row for each input partition
+    offsets = parts.select("part", before.alias("before"))  # a row for each input partition
+    numbered = packed.join(F.broadcast(offsets) if size.parts <= MOST_PARTS else offsets, "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -131,7 +135,7 @@ def slotted(packed: DataFrame, seed: int) -> tuple[DataFrame, int]:
     return numbered.select((F.col("before") + F.col("place")).alias("number"), "n_tokens", "tokens").mapInArrow(run, "slot long, n_tokens int, tokens binary"), total
 
 
-def shards(docs: DataFrame, length: int = 2048, per_shard: int = 1024, seed: int = 11, vocabulary: str = VOCABULARY) -> DataFrame:
+def shards(docs: DataFrame, length: int = 2048, per_shard: int = 256, seed: int = 11, vocabulary: str = VOCABULARY) -> DataFrame:
     """(shard, first_slot, n_sequences, n_tokens, sizes, data): the shards of
     ``docs`` in training order. ``sizes`` are the records' real tokens."""
     slots, total = slotted(stored(sequences(docs, length, vocabulary), "sequences", "zstd"), seed)
