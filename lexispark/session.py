@@ -42,12 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
     from the session; without it this raises, as a machine's own folder is
     not seen by the others. Only a local session gets a fresh folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="lexispark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

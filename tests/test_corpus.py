@@ -1,141 +1,220 @@
-"""Corpus life cycle, changes and the maintenance stream."""
-
-import random
+"""Life cycle, commits, incremental parts, streams."""
 
 import pytest
 from pyspark.sql import functions as F
 
+from lexispark.functions.tokenize import lowercase_tokens
 from lexispark.operators import changes as C
-from lexispark.schema import CHANGE_SCHEMA
-from lexispark.session import fresh_path
-from lexispark.sources.corpus import Corpus
+from lexispark.operators import search as S
+from lexispark.operators.indexing import build_index
+from lexispark.session import delete_path, fresh_path, list_names, shared_dir
+from lexispark.sources.corpus import ConcurrentWrite, Corpus
 from lexispark.streaming.maintain import change_stream, maintain
 
-from .conftest import ids, rows
-
-
-def test_empty_and_rebuild(spark):
-    c = Corpus(spark, fresh_path(spark, "t"))
-    assert ids(c.search("anything", 5)) == []
-    c.rebuild([("1", "a", "old text")])
-    c.rebuild([("2", "b", "new text")])
-    assert ids(c.search("old", 5)) == [] and ids(c.search("new", 5)) == ["2"]
-
-
-def test_upsert_delete_reopen(spark):
-    path = fresh_path(spark, "t")
-    c = Corpus(spark, path)
-    c.rebuild([("1", "a", "original text")])
-    c.add_or_update([("2", "b", "second document")])
-    c.add_or_update([("1", "a", "replacement content")])
-    assert ids(c.search("second", 5)) == ["2"]
-    assert ids(c.search("replacement", 5)) == ["1"]
-    assert "1" not in ids(c.search("original", 5))
-    c2 = Corpus(spark, path)  # durable: reopen
-    assert ids(c2.search("replacement", 5)) == ["1"]
-    c2.rebuild([("1", "user", "Alice in Wonderland"), ("2", "project", "Rust project"), ("3", "user", "Bob the Builder")])
-    c2.remove_by_header("user")
-    assert ids(c2.search("Alice", 5)) == [] and ids(c2.search("Bob", 5)) == []
-    assert ids(c2.search("Rust", 5)) == ["2"]
-    c2.remove_by_header("no-such-key")
-    assert ids(c2.search("Rust", 5)) == ["2"]
-
-
-def test_snapshot_pinned(spark):
-    c = Corpus(spark, fresh_path(spark, "t"))
-    c.rebuild([("1", "a", "keep this"), ("2", "remove", "remove this")])
-    v = c.current_version()
-    c.remove_by_header("remove")
-    assert ids(c.search("remove", 5)) == []
-    from lexispark.operators import search as S
-
-    assert ids(S.search(c.index(v), "remove", 5)) == ["2"]
-
-
-def test_memory_corpus_and_close(spark):
-    m = Corpus(spark)
-    m.add_or_update([("1", "user", "hello world")])
-    assert ids(m.search("hello", 3)) == ["1"]
-    m.add_or_update([("1", "user", "goodbye world")])
-    assert ids(m.search("goodbye", 3)) == ["1"] and ids(m.search("hello", 3)) == []
-    m.close()
-    m.close()
-    with pytest.raises(RuntimeError):
-        m.search("x", 1)
-    with pytest.raises(RuntimeError):
-        m.add_or_update([("1", "a", "b")])
-
-
-def _replay(existing, changes):
-    """One-by-one replay of the reference's calls."""
-    docs = list(existing)
-    for seq, op, id_, hk, text in sorted(changes):
+from .conftest import ids
+
+BOOKS = [("b1", "sea", "whale ship storm"), ("b2", "sea", "island ship"), ("b3", "moor", "storm heath house")]
+
+
+@pytest.fixture()
+def books(spark):
+    c = Corpus(spark, fresh_path(spark, "corpus"), create=True)
+    c.rebuild(BOOKS)
+    return c
+
+
+def stored(c):
+    return sorted(tuple(r) for r in c.documents().collect())
+
+
+def same_as_fresh(spark, c, queries=("ship", "storm house", "whale")):
+    """The corpus answers as one built from its documents does."""
+    fresh = build_index(c.documents())
+    assert c.stats().n_docs == fresh.stats().n_docs and c.stats().total_tokens == fresh.stats().total_tokens
+    for q in queries:
+        got = [(r.id, pytest.approx(r.score, abs=1e-9)) for r in c.search(q, 10).collect()]
+        assert got == [(r.id, r.score) for r in S.search(fresh, q, 10).collect()]
+    key = lambda r: (r.term, r.df, r.cf)
+    assert sorted(map(key, c.index().term_stats.collect())) == sorted(map(key, fresh.term_stats.collect()))
+
+
+def test_rebuild_and_reopen(spark, books):
+    again = Corpus(spark, books.path)
+    assert stored(again) == sorted(BOOKS) and ids(again.search("whale", 5)) == ["b1"]
+    again.rebuild([("n", "x", "nothing else")])
+    assert ids(books.search("whale", 5)) == [] and ids(books.search("nothing", 5)) == ["n"]
+    books.truncate()
+    assert books.stats().n_docs == 0 and ids(books.search("nothing", 5)) == []
+
+
+def test_opening_needs_a_corpus_or_create(spark, books):
+    with pytest.raises(FileNotFoundError):
+        Corpus(spark, fresh_path(spark, "missing"))
+    delete_path(spark, f"{books.path}/_commits")
+    with pytest.raises(RuntimeError):  # parts without a commit are no empty corpus
+        Corpus(spark, books.path, create=True)
+
+
+def test_bucket_count_and_analyzer_are_stored(spark):
+    path = fresh_path(spark, "corpus")
+    Corpus(spark, path, n_buckets=5, tokenizer=lowercase_tokens, create=True).rebuild([("1", "k", "Quiet HARBOUR")])
+    c = Corpus(spark, path, tokenizer=lowercase_tokens)
+    assert c.n_buckets == 5 and ids(c.search("harbour", 5)) == ["1"]
+    with pytest.raises(ValueError):
+        Corpus(spark, path)
+    with pytest.raises(ValueError):
+        Corpus(spark, path, n_buckets=6, tokenizer=lowercase_tokens)
+
+
+def test_second_writer_raises(spark, books, monkeypatch):
+    other = Corpus(spark, books.path)
+    parent = other.current_version()
+    books.add_or_update([("b4", "sea", "reef")])
+    monkeypatch.setattr(other, "_last", lambda: parent)  # it began before the commit
+    with pytest.raises(ConcurrentWrite):
+        other.add_or_update([("b5", "sea", "cove")])
+    assert ids(Corpus(spark, books.path).search("reef cove", 5)) == ["b4"]
+
+
+def test_writer_that_died_before_its_commit(spark, books, monkeypatch):
+    def die(*a):
+        raise OSError("lost")
+
+    monkeypatch.setattr("lexispark.sources.corpus.publish", die)
+    with pytest.raises(OSError):
+        books.add_or_update([("b4", "sea", "reef")])
+    monkeypatch.undo()
+    assert stored(books) == sorted(BOOKS)  # readers see the last commit
+    with pytest.raises(ConcurrentWrite):
+        books.add_or_update([("b4", "sea", "reef")])
+    books.recover()
+    books.add_or_update([("b4", "sea", "reef")])
+    assert ids(books.search("reef", 5)) == ["b4"]
+
+
+def test_upsert_keeps_the_last_call(spark, books):
+    books.add_or_update([("b2", "sea", "zebra first"), ("b9", "new", "comet"), ("b2", "sea", "aloe last")])
+    assert ids(books.search("aloe", 5)) == ["b2"] and ids(books.search("zebra island", 5)) == []
+    same_as_fresh(spark, books, ("ship", "aloe comet"))
+    twice = spark.createDataFrame([("x", "k", "a"), ("x", "k", "b")], "id string, header_key string, text string")
+    with pytest.raises(ValueError):
+        books.add_or_update(twice)
+    books.add_or_update(twice.withColumn("seq", F.when(F.col("text") == "a", 2).otherwise(1).cast("long")))
+    assert ids(books.search("a", 5)) == ["x"]
+
+
+def test_delete_by_category(spark, books):
+    books.remove_by_header("sea")
+    assert [d[0] for d in stored(books)] == ["b3"]
+    books.remove_by_header("none such")
+    books.add_or_update([("b7", "sea", "ship again")])  # a later part may use the category again
+    assert ids(books.search("ship", 5)) == ["b7"]
+    same_as_fresh(spark, books)
+    rows = spark.createDataFrame([("1", "a", "x"), ("2", None, "y")], "id string, header_key string, text string")
+    assert [r.id for r in C.delete_by_header(rows, ["a"]).collect()] == ["2"]  # no category, not deleted
+
+
+def test_changes_write_rows_in_proportion(spark, books):
+    books.add_or_update([("b2", "sea", "tiny")])
+    parts = sorted(n for n in list_names(spark, f"{books.path}/docs") if n.startswith("part="))
+    assert spark.read.parquet(f"{books.path}/docs/{parts[-1]}").count() == 1
+    assert spark.read.parquet(f"{books.path}/postings/{parts[-1]}").count() == 1
+
+
+def test_snapshots_compaction_and_vacuum(spark, books):
+    first = books.current_version()
+    books.add_or_update([("b1", "sea", "calm")])
+    books.remove_by_header("moor")
+    before = stored(books)
+    assert ids(S.search(books.index(first), "whale", 5)) == ["b1"]
+    books.compact()
+    assert stored(books) == before
+    same_as_fresh(spark, books, ("calm ship",))
+    books.vacuum()
+    assert len([n for n in list_names(spark, f"{books.path}/docs") if n.startswith("part=")]) == 1
+    assert stored(books) == before
+
+
+def test_ephemeral_corpus_and_close(spark):
+    c = Corpus(spark)
+    assert c.stats().n_docs == 0 and ids(c.search("x", 5)) == []
+    c.rebuild(BOOKS)
+    c.add_or_update([("b1", "sea", "gull")])
+    assert ids(c.search("gull", 5)) == ["b1"]
+    held = c.index()
+    c.close()
+    c.close()
+    for call in (lambda: c.search("gull", 5), lambda: c.rebuild([]), lambda: S.search(held, "gull", 5)):
+        with pytest.raises(RuntimeError):
+            call()
+
+
+def test_repeated_ids_and_copies_are_documents(spark):
+    c = Corpus(spark)
+    c.rebuild([("d", "k", "moss fern"), ("d", "k", "moss fern"), ("d", "k", "moss"), ("e", "k", "fern")])
+    assert c.stats().n_docs == 4
+    same_as_fresh(spark, c, ("moss", "fern moss"))
+    c.add_or_update([("d", "k", "lichen")])
+    assert stored(c) == [("d", "k", "lichen"), ("e", "k", "fern")]
+    same_as_fresh(spark, c, ("moss", "fern lichen"))
+
+
+CHANGE = "seq long, op string, id string, header_key string, text string"
+
+
+def replay(docs, changes):
+    docs = list(docs)
+    for _, op, i, h, t in sorted(changes):
+        docs = [d for d in docs if (d[0] != i if op == "upsert" else d[1] != h)]
         if op == "upsert":
-            docs = [d for d in docs if d[0] != id_] + [(id_, hk, text)]
-        else:
-            docs = [d for d in docs if d[1] != hk]
+            docs.append((i, h, t))
     return sorted(docs)
 
 
-def test_change_feed_equals_replay(spark):
-    rnd = random.Random(3)
-    for trial in range(3):
-        existing = [(str(rnd.randint(0, 6)), rnd.choice("xyz"), f"t{i}") for i in range(8)]
-        changes = []
-        for s in range(12):
-            if rnd.random() < 0.7:
-                changes.append((s, "upsert", str(rnd.randint(0, 8)), rnd.choice("xyz"), f"u{s}"))
-            else:
-                changes.append((s, "delete_header", None, rnd.choice("xyz"), None))
-        ex = spark.createDataFrame(existing, "id string, header_key string, text string")
-        ch = spark.createDataFrame(changes, CHANGE_SCHEMA)
-        got = sorted(rows(C.apply_changes(ex, ch)))
-        assert got == _replay(existing, changes), trial
-
-
-def test_stream_maintenance_idempotent(spark):
-    base = fresh_path(spark, "s")
-    c = Corpus(spark, f"{base}/corpus")
-    c.rebuild([("1", "a", "first"), ("2", "b", "second")])
-    b1 = spark.createDataFrame([(1, "upsert", "1", "a", "first again"), (2, "delete_header", None, "b", None)], CHANGE_SCHEMA)
-    b1.write.parquet(f"{base}/changes/b1")
-    q = maintain(c, change_stream(spark, f"{base}/changes/*"), f"{base}/ckpt")
-    q.awaitTermination()
-    assert sorted(rows(c.documents())) == [("1", "a", "first again")]
-    v = c.current_version()
-    # rerun with nothing new: no new version
-    maintain(c, change_stream(spark, f"{base}/changes/*"), f"{base}/ckpt").awaitTermination()
-    assert c.current_version() == v
-    b2 = spark.createDataFrame([(3, "upsert", "3", "c", "third")], CHANGE_SCHEMA)
-    b2.write.parquet(f"{base}/changes/b2")
-    maintain(c, change_stream(spark, f"{base}/changes/*"), f"{base}/ckpt").awaitTermination()
-    assert sorted(r.id for r in c.documents().collect()) == ["1", "3"]
-    assert c.last_batch_id() >= 1
-
-
-def test_tokenizer_plugin_and_truncate(spark):
-    from lexispark.functions.tokenize import lowercase_tokens
-
-    c = Corpus(spark, tokenizer=lowercase_tokens)
-    c.rebuild([("1", "a", "The Quick Brown Fox"), ("2", "a", "lazy dog")])
-    assert ids(c.search("fox", 5)) == ["1"]  # default analyzer is case-sensitive
-    assert ids(c.search_phrase("QUICK brown", 5)) == ["1"]
-    assert ids(c.search_fuzzy("foxx", 1, 5)) == ["1"]
-    d = Corpus(spark, fresh_path(spark, "t"), tokenizer=lowercase_tokens)
-    d.rebuild([("1", "a", "Hello World")])
-    assert ids(d.search("HELLO", 5)) == ["1"]
-    d.truncate()
-    assert ids(d.search("hello", 5)) == [] and d.documents().count() == 0
-
-
-def test_orphan_version_is_skipped(spark):
-    path = fresh_path(spark, "t")
-    c = Corpus(spark, path)
-    c.rebuild([("1", "a", "first")])
-    v = c.current_version()
-    # a writer died after writing the next version's files, before committing
-    spark.createDataFrame([("x",)], "a string").write.parquet(f"{path}/v={v + 1}/docs")
-    assert ids(c.search("first", 5)) == ["1"]  # readers ignore it
-    c.add_or_update([("2", "b", "second")])
-    assert c.current_version() == v + 2
-    assert sorted(ids(c.search("first second", 5))) == ["1", "2"]
+def test_change_feed_is_the_replay(spark, books):
+    feed = [
+        (1, "upsert", "b1", "moor", "heather"),
+        (2, "delete_header", None, "moor", None),
+        (3, "upsert", "b6", "moor", "peat"),
+        (4, "upsert", "b2", "fen", "reed"),
+        (5, "upsert", "b2", "fen", "sedge"),
+    ]
+    books.apply_changes(spark.createDataFrame(feed[:3], CHANGE))
+    books.apply_changes(spark.createDataFrame(feed[3:], CHANGE))
+    assert stored(books) == replay(BOOKS, [(s, o, i or "", h, t or "") for s, o, i, h, t in feed])
+    same_as_fresh(spark, books, ("peat sedge", "ship"))
+
+
+def test_streams_are_applied_once_each(spark, books):
+    base = fresh_path(spark, "stream")
+
+    def arrive(name, seq, doc):
+        spark.createDataFrame([(seq, "upsert", doc, "s", f"word{doc}")], CHANGE).write.mode("append").parquet(f"{base}/{name}")
+        maintain(books, change_stream(spark, f"{base}/{name}"), f"{base}/ck-{name}").awaitTermination()
+
+    arrive("one", 1, "x1")
+    arrive("one", 2, "x2")
+    n = books.current_version()
+    arrive("two", 1, "y1")  # another stream: its batch 0 is new
+    assert books.current_version() == n + 1
+    assert sorted(d[0] for d in stored(books)) == ["b1", "b2", "b3", "x1", "x2", "y1"]
+    assert books.last_batch_id(f"{base}/ck-one") == 1 and books.last_batch_id(f"{base}/ck-two") == 0
+    batch = spark.createDataFrame([(9, "upsert", "z", "s", "t")], CHANGE)
+    books.apply_changes(batch, stream=("s", 4))
+    assert books.last_batch_id("s") == 4
+
+
+def test_shared_folder_is_needed_off_local_masters(spark):
+    from types import SimpleNamespace
+
+    def session(master, setting):
+        made = []
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *a: setting), sparkContext=sc)
+
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(RuntimeError):
+            shared_dir(session(master, None))
+        assert shared_dir(session(master, "hdfs:///scratch")) == "hdfs:///scratch"
+    own = session("local[2]", None)
+    assert shared_dir(own) == shared_dir(own)

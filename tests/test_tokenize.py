@@ -1,108 +1,68 @@
-"""Tokeniser golden outputs and a randomised comparison with a plain
-Python statement of the same rules."""
+"""Tokens as properties of the runs of a text."""
 
-import random
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lexispark.functions.tokenize import is_cjk, runs, token_table_with_offsets, tokens
-
-GOLDEN = {
-    "北京天气": ["北", "北京", "京", "京天", "天", "天气", "气"],
-    "I love 北京 and 上海": ["I", "love", "北", "北京", "京", "and", "上", "上海", "海"],
-    "北": ["北"],
-    "": [],
-    "한국": ["한", "한국", "국"],
-    "a　b c​d": ["a", "b", "c​d"],
-    "\U00020000\U00020001x": ["\U00020000", "\U00020000\U00020001", "\U00020001", "x"],
-    "éー々〇ｱ": ["é", "ー", "々〇ｱ"],
-    "fox. Fox": ["fox.", "Fox"],
+from lexispark.functions.tokenize import _offsets, is_cjk, runs, token_table_with_offsets, tokens
+
+SAMPLES = {
+    "山川草木": ["山", "山川", "川", "川草", "草", "草木", "木"],
+    "see 海辺 now": ["see", "海", "海辺", "辺", "now"],
+    "雨": ["雨"],
+    " \t ": [],
+    "나무": ["나", "나무", "무"],
+    "x　y zw": ["x", "y", "zw"],
+    "\U00020003\U00020007z": ["\U00020003", "\U00020003\U00020007", "\U00020007", "z"],
+    "naïve, Naïve": ["naïve,", "Naïve"],
 }
 
-CJK_RANGES = [
-    (0x4E00, 0x9FFF), (0x3400, 0x4DBF), (0x20000, 0x2A6DF), (0xF900, 0xFAFF),
-    (0x3040, 0x309F), (0x30A0, 0x30FF), (0xAC00, 0xD7AF), (0x1100, 0x11FF),
-]
-
-
-def py_is_cjk(ch):
-    return any(a <= ord(ch) <= b for a, b in CJK_RANGES)
-
-
-def py_tokens(text):
-    """Plain statement of the rules, for the randomised check."""
-    out, i, n = [], 0, len(text)
-    while i < n:
-        if py_is_cjk(text[i]):
-            j = i
-            while j < n and py_is_cjk(text[j]):
-                j += 1
-            for k in range(i, j):
-                out.append(text[k])
-                if k + 1 < j:
-                    out.append(text[k] + text[k + 1])
-            i = j
-        elif text[i].isspace() and text[i] not in "\x1c\x1d\x1e\x1f":
-            i += 1
-        else:
-            j = i
-            while j < n and not py_is_cjk(text[j]) and not (text[j].isspace() and text[j] not in "\x1c\x1d\x1e\x1f"):
-                j += 1
-            out.append(text[i:j])
-            i = j
-    return out
-
-
-def test_golden(spark):
-    df = spark.createDataFrame([(k,) for k in GOLDEN], "text string")
-    got = {r.text: list(r.t) for r in df.select("text", tokens("text").alias("t")).collect()}
-    assert got == GOLDEN
+
+def test_samples(spark):
+    df = spark.createDataFrame([(k,) for k in SAMPLES], "text string")
+    assert {r.text: list(r.t) for r in df.select("text", tokens("text").alias("t")).collect()} == SAMPLES
 
 
 def test_runs_and_is_cjk(spark):
-    df = spark.createDataFrame([("I love 北京 and 上海",)], "text string")
-    assert df.select(runs("text")).first()[0] == ["I", "love", "北京", "and", "上海"]
-    chars = spark.createDataFrame([("北",), ("a",), ("한",), ("々",)], "c string")
-    assert [r[0] for r in chars.select(is_cjk(F.col("c"))).collect()] == [True, False, True, False]
-
-
-def test_offsets_and_positions(spark):
-    df = spark.createDataFrame([("1", "I love 北京")], "id string, text string")
-    got = sorted(tuple(r)[1:] for r in token_table_with_offsets(df, ["id"]).collect())
-    assert got == [
-        (0, "I", 1, 0, 1),
-        (1, "love", 1, 2, 6),
-        (2, "北", 1, 7, 10),
-        (3, "北京", 2, 7, 13),
-        (4, "京", 1, 10, 13),
-    ]
-
-
-ALPHABET = "ab 北京한　 ​.é\U00020000\n"
-
-
-@settings(max_examples=1, deadline=None)
-@given(st.just(0))
-def test_random_against_python(spark, _):
-    rnd = random.Random(7)
-    texts = ["".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
-    got = {r.i: list(r.t) for r in df.select("i", tokens("text").alias("t")).collect()}
-    for i, t in enumerate(texts):
-        assert got[i] == py_tokens(t), repr(t)
-
-
-def test_offsets_with_repeated_ids_and_copies(spark):
-    df = spark.createDataFrame(
-        [("1", "ab cd"), ("1", "北京 x"), ("1", "ab cd")], "id string, text string"
-    )
-    got = sorted(tuple(r) for r in token_table_with_offsets(df, ["id"]).collect())
-    assert got == sorted(
-        [
-            ("1", 0, "ab", 1, 0, 2), ("1", 1, "cd", 1, 3, 5),
-            ("1", 0, "ab", 1, 0, 2), ("1", 1, "cd", 1, 3, 5),
-            ("1", 0, "北", 1, 0, 3), ("1", 1, "北京", 2, 0, 6), ("1", 2, "京", 1, 3, 6), ("1", 3, "x", 1, 7, 8),
-        ]
-    )
+    df = spark.createDataFrame([("see 海辺 now",)], "text string")
+    assert df.select(runs("text")).first()[0] == ["see", "海辺", "now"]
+    chars = spark.createDataFrame([("雨",), ("z",), ("나",), ("々",), ("ー",)], "c string")
+    assert [r[0] for r in chars.select(is_cjk(F.col("c"))).collect()] == [True, False, True, False, True]
+
+
+TEXTS = st.lists(st.sampled_from(["山", "川", "나", "ー", "々", "é", "q", "\U00020003", " ", "　", "\n", "​"]), max_size=14).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS)
+def test_tokens_tile_the_text(text):
+    """Words and single characters, in order, are the text without white
+    space; a run of n CJK characters has n - 1 pairs; offsets cut the text's
+    bytes into the terms."""
+    got = _offsets(text)
+    raw = text.encode()
+    assert [g[0] for g in got] == list(range(len(got)))
+    assert all(raw[lo:hi].decode() == term for _, term, _, lo, hi in got)
+    single = [g for g in got if g[2] == 1]
+    assert "".join(g[1] for g in single) == re.sub(r"[ 　\n]+", "", text)
+    pairs = [g[1] for g in got if g[2] == 2]
+    glued = [a[1] + b[1] for a, b in zip(single, single[1:], strict=False) if a[4] == b[3] and len(a[1]) == len(b[1]) == 1 and not set(a[1] + b[1]) & set("々éq​")]
+    assert pairs == glued
+
+
+def test_sql_and_arrow_forms_agree(spark):
+    texts = [*SAMPLES, "", "é 山 川x나무", "a" * 3000 + "山川" * 500]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, text string")
+    table = token_table_with_offsets(df, ["id"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("l"))
+    got = {r.id: [x.term for x in r.l] for r in table.collect()}
+    want = {r.id: list(r.t) for r in df.select("id", tokens("text").alias("t")).collect()}
+    assert got == {k: v for k, v in want.items() if v}
+
+
+def test_repeated_rows_each_have_tokens_and_nothing_is_shuffled(spark):
+    df = spark.createDataFrame([("1", "v w"), ("1", "v w"), ("2", None)], "id string, text string")
+    out = token_table_with_offsets(df, ["id"])
+    assert out.count() == 4
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
