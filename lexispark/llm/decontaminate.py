@@ -166,7 +166,7 @@ def verify(docs: DataFrame, found: DataFrame, block: list[tuple[str, list[bytes]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))], names=[*KEY, "spans", "items"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    both = _keyed(docs).dropDuplicates(KEY).alias("d").join(found.alias("f"), _same("d", "f")).select("d.doc_id", "d.h", "text", "cands")
+    both = _keyed(docs).alias("d").join(found.alias("f"), _same("d", "f")).select("d.doc_id", "d.h", "text", "cands")
     return both.mapInArrow(run, f"doc_id {kind}, h long, spans array<struct<lo:int,hi:int>>, items array<string>").where(F.size("items") > 0)
 
 
@@ -196,7 +196,8 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 10, block_bytes: in
     if hits is None:
         empty = "array<struct<lo:int,hi:int>>"
         return sizes.select(*KEY, "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast(empty).alias("spans"))
-    by_doc = hits.groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    # sets: repeated rows have equal spans and add nothing
+    by_doc = hits.groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     out = sizes.alias("d").join(by_doc.alias("f"), _same("d", "f"), "left")
     return out.select("d.doc_id", "d.h", "n_words", F.coalesce(covered(F.col("spans")), F.lit(0).cast("long")).alias("n_hit"), "items", "spans")
 

@@ -42,7 +42,7 @@ CLASSES = 64
 EM_STEPS = 12
 UNKNOWN = "und"
 #: A model of more languages than this is refused: it is sent to every task.
-MOST_LANGUAGES = 512
+MOST_LANGUAGES = 128
 FLOOR = 1e-30
 
 
