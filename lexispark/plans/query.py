@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.fuzzy import fuzzy_hits
-from ..operators.indexing import Index, keyword_rows
+from ..operators.indexing import Index, keyword_rows, term_bucket
 from ..operators.scoring import idf, tf_norm
 from ..operators.search import (
     HIT_COLS,
@@ -43,6 +43,8 @@ from ..operators.search import (
 
 KEYWORD_FIELDS = ("id", "header_key")
 QID = "q"
+#: a set of more values is joined, not written into the plan
+MOST_LITERALS = 1000
 
 
 class Query:
@@ -146,13 +148,20 @@ class InSet(Query):
         vals = list(self.values)
         if self.field == "text":
             # the values are driver-side literals: prune buckets, push term IN
+            if len(vals) > MOST_LITERALS:
+                terms = index.spark.createDataFrame([(v,) for v in set(vals)], "term string").withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
+                post = index.postings.join(terms, ["bucket", "term"], "left_semi")
+                return _constant(post.select("doc_key", "id", "header_key", "copies").distinct())
             tb = terms_with_buckets(index.spark, [[v] for v in vals], index.n_buckets)
             post = index.postings.filter(
                 F.col("bucket").isin(sorted({b for _, b in tb})) & F.col("term").isin(sorted({t for t, _ in tb}))
             )
             return _constant(post.select("doc_key", "id", "header_key", "copies").distinct())
         _check_field(self.field)
-        return _constant(keyword_rows(index).filter(F.col(self.field).isin(vals)))
+        rows = keyword_rows(index)
+        if len(vals) > MOST_LITERALS:
+            return _constant(rows.join(index.spark.createDataFrame([(v,) for v in set(vals)], f"{self.field} string"), self.field, "left_semi"))
+        return _constant(rows.filter(F.col(self.field).isin(vals)))
 
 
 @dataclass(frozen=True)

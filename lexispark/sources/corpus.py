@@ -207,7 +207,10 @@ class Corpus:
         stored = self._table("docs", [part]).drop("part")
         self._write("doc_stats", part, doc_stats_of(stored, self.tokenizer))
         stats = self._table("doc_stats", [part])
-        copies = stats.agg(F.max("copies")).first()[0] or 0  # one row
+        known = stats.agg(F.max("copies").alias("copies"), F.count(F.lit(1)).alias("n")).first()  # one row
+        if known.n < stored.select("id", "header_key", F.md5("text")).distinct().count():
+            raise RuntimeError("two different documents of one id have the same doc_key; nothing was committed")
+        copies = known.copies or 0
         self._write("postings", part, postings_of(stored, self.n_buckets, copies > 1, self.tokenizer))
         terms = term_stats_of(self._table("postings", [part]))
         total = corpus_stats_df(stats).first()
