@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tokenize import WS_CLASS, tokens
 from ..schema import BM25_K1
+from ..session import fresh_path
 from .indexing import CorpusStats, Index, term_bucket
 from .scoring import idf, order_key, tf_norm
 
@@ -250,9 +251,13 @@ def pruned_hits(index: Index, clauses: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"))
     floor = first.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("query_id", F.col("score").alias("floor"))
     c = c.join(floor, "query_id", "left").withColumn("weak", F.coalesce(F.col("below") + 1e-6 < F.col("floor"), F.lit(False)))
+    # query-sized, used three times: written once, and then of a known size
+    path = fresh_path(index.spark, "clauses")
+    c.select("query_id", "bucket", "term", "boost", "df", "weak").write.parquet(path)
+    c = index.spark.read.schema("query_id string, bucket int, term string, boost double, df long, weak boolean").parquet(path)
 
-    strong = post.join(c.where("not weak").select("query_id", "bucket", "term", "boost", "df"), ["bucket", "term"]).select(*HIT_COLS, add.alias("score"))
-    cand = strong.select(*HIT_COLS).distinct().join(c.where("weak").select("query_id", "bucket", "term", "boost", "df"), "query_id")
+    strong = post.join(c.where("not weak").drop("weak"), ["bucket", "term"]).select(*HIT_COLS, add.alias("score"))
+    cand = strong.select(*HIT_COLS).distinct().join(c.where("weak").drop("weak"), "query_id")
     rest = post.drop("header_key", "copies").join(cand, ["bucket", "term", "doc_key", "id"]).select(*HIT_COLS, add.alias("score"))
     return strong.unionByName(rest)
 
