@@ -21,7 +21,8 @@ Counting and scoring are joins of count tables, sharded by n-gram:
 A document is kept if its perplexity does not exceed its language's
 threshold: ``quantile`` of the trusted documents' perplexities in that
 language (``lang``), read from an exact count of values rounded to 0.001
-bits, times ``slack``. Languages without trusted text take the threshold of all.
+bits, times ``slack`` (op4 cuts at the quantile itself, 1.0; the pipeline's
+stage takes the default, 1.4). Languages without trusted text take the threshold of all.
 
 Null or empty texts have no perplexity and are not kept. Copies get equal
 results. Rows that ``labels`` names twice train once. Without any trusted

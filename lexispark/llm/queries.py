@@ -31,7 +31,7 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    found = quality.classify(docs, table(spark, sf_dir, "labels"))
+    found = quality.classify(docs, table(spark, sf_dir, "labels"), slack=1.0)
     return found.select("doc_id", "lang", "perplexity", "threshold", "keep")
 
 

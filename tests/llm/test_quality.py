@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lexispark.llm import quality
+from lexispark.llm import quality, queries
 
 from .helpers import awkward, frame, prose, with_clashes
 
@@ -85,3 +85,15 @@ def test_awkward_rows(spark):
     assert quality.classify(frame(spark, []), lab).count() == 0
     free = quality.classify(frame(spark), labels(spark, [])).collect()
     assert all(r.keep == bool(r.text) for r in free)
+
+
+def test_the_query_cuts_at_the_exact_quantile_of_each_language(spark):
+    sf = "/root/testdata/sf0.001"
+    out = queries.op4_quality_classifier(spark, sf).collect()
+    good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 and coalesce(toxic, 0) = 0").collect()}
+    for lang in {r.lang for r in out}:
+        own = sorted(r.perplexity for r in out if r.lang == lang and r.doc_id in good and r.perplexity is not None)
+        cuts = {r.threshold for r in out if r.lang == lang}
+        assert len(cuts) == 1
+        if own:
+            assert cuts.pop() == pytest.approx(own[int(np.ceil(0.98 * len(own))) - 1], rel=2e-3)
