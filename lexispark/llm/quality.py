@@ -1,9 +1,10 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of character
 n-grams (order 4), trained on trusted text.
 
-Characters fall into 64 classes: the 62 most frequent of the trusted text,
-one for all others, one for the start of a text; an n-gram is then a number
-below 64 ** 4, which bounds every table by the alphabet, not the corpus.
+Every character of the trusted text is a class of its own, as many as there
+are; characters that trusted text never has share one class (no n-gram
+tells them apart), and one more marks the start of a text. An n-gram is a
+string of its characters, so the tables grow with the corpus.
 
 Counting and scoring are joins of count tables, sharded by n-gram:
 
@@ -12,11 +13,15 @@ Counting and scoring are joins of count tables, sharded by n-gram:
    counts of the lower orders;
 2. every order's discounts come from its counts of counts, every history's
    total and reserved mass from a sum over its n-grams;
-3. the 4-grams of all documents, reduced to their types in each partition
-   first, are joined with the counts and histories of each order, which
-   gives each type's interpolated log probability;
+3. the 4-grams of all documents, reduced to their types, are joined with the
+   counts and histories of each order, which gives each type's interpolated
+   log probability; this table is stored and counted;
 4. a document's perplexity is the exponential of its mean negative log
-   probability, looked up in that table (at most 64 ** 4 entries).
+   probability. A table of at most ``MOST_SENT`` types is sent to the tasks.
+   A larger one is never gathered: documents are dealt by hash into slices
+   of about ``SLICE`` bytes, the types of each slice are joined with the
+   table, and each slice meets its own types' probabilities in one task.
+   Both ways give the same values.
 
 A document is kept if its perplexity does not exceed its language's
 threshold: ``quantile`` of the trusted documents' perplexities in that
@@ -26,7 +31,7 @@ stage takes the default, 1.4). Languages without trusted text take the threshold
 
 Null or empty texts have no perplexity and are not kept. Copies get equal
 results. Rows that ``labels`` names twice train once. Without any trusted
-text every document with text is kept (perplexity 64, as of a uniform
+text every document with text is kept (perplexity ``CLASSES``, as of a uniform
 guess, threshold infinite). An empty table gives no rows; input columns named like a result
 column go, others stay.
 """
@@ -37,18 +42,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, chunks, stored, without
+from .common import add_columns, chunks, stored, text_bytes, without
 
 ORDER = 4
-BITS = 6
-CLASSES = 1 << BITS
+#: Code points: the lowest order's uniform guess.
+CLASSES = 0x110000
+#: All characters that trusted text never has; the last code point names no character.
 OTHER = CLASSES - 1
 N_CODES = CLASSES**ORDER
 PAD = "\0" * (ORDER - 1)
+#: Types of a table that is sent to every task (16 bytes a key and 4 a value).
+MOST_SENT = 2_000_000
+#: Bytes of text in a slice, where the table is not sent.
+SLICE = 16_000_000
+#: Rows of count tables that a task holds before it passes them on.
+HELD = 500_000
 
 
 def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,23 +73,49 @@ def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def class_table(alphabet: list[int]) -> np.ndarray:
-    table = np.full(0x110000, OTHER, dtype=np.uint8)
+    table = np.full(CLASSES, OTHER, dtype=np.uint32)
     table[0] = 0
-    for i, c in enumerate(alphabet):
-        table[c] = i + 1
+    table[alphabet] = alphabet
     return table
 
 
 def _codes(points: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram that ends at each place, and whether it ends in a
-    character (not a start mark)."""
-    c = table[points].astype(np.int32)
-    code = c.copy()
-    for back in range(1, ORDER):
-        code[back:] |= c[:-back] << (BITS * back)
+    """A number for the 4-gram that ends at each place, exact within
+    ``points``, and whether it ends in a character (not a start mark)."""
+    c = table[points]
+    seen = np.zeros(CLASSES, dtype=bool)
+    seen[c] = True
+    n = int(seen.sum())
+    if n <= 1 << 16:
+        own = (np.cumsum(seen) - 1).astype(np.uint16 if n > 256 else np.uint8)[c]
+        kind, bits = (np.uint32, 8) if n <= 256 else (np.uint64, 16)
+        code = own.astype(kind)
+        for back in range(1, ORDER):
+            code[back:] |= own[:-back].astype(kind) << kind(bits * back)
+        return code, c > 0
+    pair = c.astype(np.uint64)
+    pair[1:] |= c[:-1].astype(np.uint64) << np.uint64(32)
+    own = np.unique(pair, return_inverse=True)[1].astype(np.uint64)
+    code = own.copy()
+    code[2:] |= own[:-2] << np.uint64(32)
     return code, c > 0
 
 
+def _types(points: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct 4-grams of ``points`` as strings, the counts of each, the
+    number of its own at each place, and whether that ends in a character."""
+    code, real = _codes(points, table)
+    kinds, n = np.unique(code[real], return_counts=True)
+    if not len(kinds):
+        return np.zeros(0, "<U4"), n, np.zeros(len(points), dtype=np.int64), real
+    at = np.minimum(np.searchsorted(kinds, code), len(kinds) - 1)
+    last = np.zeros(len(kinds), dtype=np.int64)
+    ends = np.flatnonzero(real)
+    last[at[ends]] = ends
+    grams = table[points[last[:, None] + np.arange(1 - ORDER, 1)]].astype("<u4")
+    return np.ascontiguousarray(grams).view(f"<U{ORDER}")[:, 0], n, at, real
+
+
 def alphabet_of(texts: DataFrame) -> list[int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0x110000, dtype=np.int64)
@@ -88,36 +127,45 @@ def alphabet_of(texts: DataFrame) -> list[int]:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["point", "n"])
 
     counts = texts.select("text").mapInArrow(run, "point int, n long").where("point > 0").groupBy("point").agg(F.sum("n").alias("n"))
-    return [r.point for r in counts.orderBy(F.desc("n"), "point").limit(CLASSES - 2).collect()]
+    return [r.point for r in counts.orderBy(F.desc("n"), "point").collect()]  # at most all of Unicode
 
 
-def ngram_counts(texts: DataFrame, alphabet: list[int], types_only: bool = False) -> DataFrame:
-    """(code, n) of the 4-grams, added up in each partition first; with
-    ``types_only`` n is the number of partitions that have it."""
+def _folded(held: list[pa.Table], keys: list[str]) -> pa.Table:
+    return pa.concat_tables(held).group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+
+def ngram_counts(texts: DataFrame, alphabet: list[int], by: str | None = None) -> DataFrame:
+    """(gram, n) of the 4-grams, added up in each partition first; with
+    ``by`` (by, gram, n), for each value of that integer column."""
+    keys = ["gram"] if by is None else [by, "gram"]
+    send = texts.sparkSession.sparkContext.broadcast(alphabet)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = class_table(alphabet)
-        total = np.zeros(N_CODES, dtype=np.bool_ if types_only else np.int32)
+        table, held = class_table(send.value), []
         for batch in batches:
-            for part in chunks(batch, 0, 2_000_000):
-                code, real = _codes(_points(part.column(0).to_pylist())[0], table)
-                if types_only:
-                    total[code[real]] = True
-                else:
-                    at, n = np.unique(code[real], return_counts=True)
-                    total[at] += n.astype(np.int32)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64), pa.int64())], names=["code", "n"])
+            own = [(None, batch)] if by is None else [(v, batch.filter(pc.equal(batch.column(1), v))) for v in pc.unique(batch.column(1))]
+            for value, rows in own:
+                for part in chunks(rows, 0, 2_000_000):
+                    grams, n, _, _ = _types(_points(part.column(0).to_pylist())[0], table)
+                    columns = {"gram": pa.array(grams.tolist(), pa.string()), "n": pa.array(n, pa.int64())}
+                    held.append(pa.table(columns if by is None else {by: pa.array([value.as_py()] * len(n), pa.int64()), **columns}))
+            if sum(map(len, held)) > HELD:
+                held = [_folded(held, keys)]
+                if len(held[0]) > HELD // 2:
+                    yield from held.pop().to_batches(max_chunksize=100_000)
+        if held:
+            yield from _folded(held, keys).to_batches(max_chunksize=100_000)
 
-    return texts.select("text").mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    schema = ("" if by is None else f"{by} long, ") + "gram string, n long"
+    return texts.select("text", *([] if by is None else [F.col(by).cast("long").alias(by)])).mapInArrow(run, schema).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
-def _suffix(code: Column, order: int) -> Column:
-    return code.bitwiseAND(F.lit((1 << BITS * order) - 1))
+def _suffix(gram: Column, order: int) -> Column:
+    return F.substring(gram, -order, order)
 
 
-def _history(code: Column) -> Column:
-    return F.shiftright(code, BITS)
+def _history(gram: Column, order: int) -> Column:
+    return F.substring(gram, 1, order - 1)
 
 
 def order_tables(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
@@ -125,14 +173,14 @@ def order_tables(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     total, reserved), modified Kneser-Ney."""
     levels = [counts]
     for order in range(ORDER - 1, 0, -1):  # distinct left neighbours
-        levels.insert(0, levels[0].groupBy(_suffix(F.col("code"), order).alias("code")).agg(F.count(F.lit(1)).alias("n")))
+        levels.insert(0, levels[0].groupBy(_suffix(F.col("gram"), order).alias("gram")).agg(F.count(F.lit(1)).alias("n")))
     out = []
     for order, level in enumerate(levels, start=1):
         level = stored(level, f"kn{order}")
         d = discounts({r.n: r["count"] for r in level.where("n <= 4").groupBy("n").count().collect()})
         by = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        grams = level.select("code", (F.col("n") - by).alias("held"))
-        hist = level.groupBy(_history(F.col("code")).alias("code")).agg(F.sum("n").alias("total"), F.sum(by).alias("reserved"))
+        grams = level.select("gram", (F.col("n") - by).alias("held"))
+        hist = level.groupBy(_history(F.col("gram"), order).alias("gram")).agg(F.sum("n").alias("total"), F.sum(by).alias("reserved"))
         out.append((grams, hist))
     return out
 
@@ -149,17 +197,18 @@ def discounts(n: dict[int, int]) -> tuple[float, float, float]:
 
 
 def log_probabilities(types: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """(code, logp) for each 4-gram of ``types``: joins with each order's
+    """(gram, logp) for each 4-gram of ``types``: joins with each order's
     counts and histories, lowest order first."""
-    out, p = types.select("code"), F.lit(1.0 / CLASSES)
+    out, p = types.select("gram"), F.lit(1.0 / CLASSES)
     for order, (grams, hist) in enumerate(tables, start=1):
-        own = _suffix(F.col("code"), order)
-        out = out.select("*", own.alias("_g"), _history(own).alias("_h"))
-        out = out.join(grams.withColumnRenamed("code", "_g"), "_g", "left").join(hist.withColumnRenamed("code", "_h"), "_h", "left")
+        own = _suffix(F.col("gram"), order)
+        out = out.select("*", own.alias("_g"), _history(own, order).alias("_h"))
+        hist = F.broadcast(hist) if order == 1 else hist  # one row
+        out = out.join(grams.withColumnRenamed("gram", "_g"), "_g", "left").join(hist.withColumnRenamed("gram", "_h"), "_h", "left")
         p = F.when(F.col("total").isNull(), p).otherwise((F.coalesce(F.col("held"), F.lit(0.0)) + F.col("reserved") * p) / F.col("total"))
-        out = out.select("code", p.alias("_p"))
+        out = out.select("gram", p.alias("_p"))
         p = F.col("_p")
-    return out.select("code", F.log(p).alias("logp"))
+    return out.select("gram", F.log(p).alias("logp"))
 
 
 def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -170,49 +219,81 @@ def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 class Model:
-    """The alphabet and the log probability of each 4-gram type of the
-    documents to be scored; at most N_CODES entries."""
+    """The alphabet, the stored table (gram, logp) of the 4-gram types of the
+    documents to be scored, and the table's rows if they are few enough to
+    be sent: sorted grams and their log probabilities."""
+
+    def __init__(self, alphabet: list[int], table: DataFrame | None, sent: tuple[np.ndarray, np.ndarray] | None):
+        self.alphabet, self.table, self.sent = alphabet, table, sent
+
 
-    def __init__(self, alphabet: list[int], code: np.ndarray, logp: np.ndarray):
-        self.alphabet, self.code, self.logp = alphabet, code, logp
+def _lookup(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    grams = np.array(rows["gram"].to_pylist(), dtype=f"<U{ORDER}")
+    order = np.argsort(grams)
+    return grams[order], rows["logp"].to_numpy().astype(np.float32)[order]
 
 
-def train(docs: DataFrame, trusted: DataFrame) -> Model:
+def train(docs: DataFrame, trusted: DataFrame, most_sent: int = MOST_SENT) -> Model:
     """Fit on ``trusted`` (text), for scoring ``docs`` (text)."""
     alphabet = alphabet_of(trusted)
     if not alphabet:
-        return Model([], np.zeros(0, np.int32), np.zeros(0, np.float32))
+        return Model([], None, (np.zeros(0, f"<U{ORDER}"), np.zeros(0, np.float32)))
     tables = order_tables(ngram_counts(trusted, alphabet))
-    found = log_probabilities(ngram_counts(docs, alphabet, types_only=True), tables).toArrow()
-    return Model(alphabet, found["code"].to_numpy().astype(np.int32), found["logp"].to_numpy().astype(np.float32))
+    found = stored(log_probabilities(ngram_counts(docs, alphabet), tables), "logp")
+    return Model(alphabet, found, _lookup(found.toArrow()) if found.count() <= most_sent else None)
 
 
-def perplexities(texts: list[str | None], table: np.ndarray, logp: np.ndarray) -> np.ndarray:
+def perplexities(texts: list[str | None], table: np.ndarray, grams: np.ndarray, logp: np.ndarray) -> np.ndarray:
     """Perplexity of each text; NaN where there is none."""
     points, starts = _points(texts)
-    code, real = _codes(points, table)
+    kinds, _, at, real = _types(points, table)
+    own = np.full(max(1, len(kinds)), -np.log(CLASSES), dtype=np.float32)
+    if len(grams) and len(kinds):
+        found = np.minimum(np.searchsorted(grams, kinds), len(grams) - 1)
+        own = np.where(grams[found] == kinds, logp[found], own)
     n = np.add.reduceat(real, starts, dtype=np.int64)
-    lost = np.add.reduceat(np.where(real, logp[code], np.float32(0)), starts, dtype=np.float64)
+    lost = np.add.reduceat(np.where(real, own[at], np.float32(0)), starts, dtype=np.float64)
     return np.exp(-lost / np.where(n, n, np.nan))
 
 
 def score(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
     """``docs`` with ``perplexity`` (null without text; after ``prefix``)."""
-    send = docs.sparkSession.sparkContext.broadcast(model)
+    if model.sent is None:
+        return score_slices(docs, model, prefix)
+    send = docs.sparkSession.sparkContext.broadcast((model.alphabet, *model.sent))
     state: dict[str, np.ndarray] = {}
 
     def fn(texts: list[str | None]):
         if not state:
-            m = send.value
-            state["table"] = class_table(m.alphabet)
-            state["logp"] = np.full(N_CODES, -np.log(CLASSES), dtype=np.float32)
-            state["logp"][m.code] = m.logp
-        found = perplexities(texts, state["table"], state["logp"]) if texts else np.zeros(0)
+            state["table"] = class_table(send.value[0])
+        found = perplexities(texts, state["table"], *send.value[1:]) if texts else np.zeros(0)
         return [pa.array(found, pa.float64(), mask=np.isnan(found))], None
 
     return add_columns(docs, "text", [T.StructField(f"{prefix}perplexity", T.DoubleType())], fn)
 
 
+def score_slices(docs: DataFrame, model: Model, prefix: str = "", size: int = SLICE) -> DataFrame:
+    """``score`` without gathering the table: each slice of documents meets
+    the log probabilities of its own types."""
+    name = f"{prefix}perplexity"
+    base = without(docs, [name])
+    total = base.agg(F.sum(text_bytes(F.col("text")))).first()[0] or 0
+    key = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in base.schema.fields if isinstance(f.dataType, T.AtomicType)]), F.lit(total // size + 1))
+    dealt = base.select(key.alias("_slice"), *[F.col(f"`{c}`") for c in base.columns])
+    types = ngram_counts(dealt, model.alphabet, by="_slice").join(model.table, "gram").select("_slice", "gram", "logp")
+    send = docs.sparkSession.sparkContext.broadcast(model.alphabet)
+    at = base.columns.index("text")
+
+    def run(rows: pa.Table, own: pa.Table) -> pa.Table:
+        rows, table, lookup = rows.drop_columns(["_slice"]), class_table(send.value), _lookup(own)
+        found = [perplexities(part.column(at).to_pylist(), table, *lookup) for batch in rows.to_batches() for part in chunks(batch, at, 2_000_000)]
+        found = np.concatenate(found) if found else np.zeros(0)
+        return rows.append_column(name, pa.array(found, pa.float64(), mask=np.isnan(found)))
+
+    schema = T.StructType([*base.schema.fields, T.StructField(name, T.DoubleType())])
+    return dealt.groupBy("_slice").cogroup(types.groupBy("_slice")).applyInArrow(run, schema)
+
+
 def thresholds(scored: DataFrame, quantile: float, slack: float) -> dict[str | None, float]:
     """Per language, and under None for all: the ``quantile`` of the
     perplexities in ``scored`` (lang, perplexity), times ``slack``."""

@@ -97,3 +97,44 @@ def test_the_query_cuts_at_the_exact_quantile_of_each_language(spark):
         assert len(cuts) == 1
         if own:
             assert cuts.pop() == pytest.approx(own[int(np.ceil(0.98 * len(own))) - 1], rel=2e-3)
+
+
+def test_every_character_of_trusted_text_is_its_own_class(spark):
+    """Far more than 64 characters: text of a rare script beats its shuffle."""
+    import random
+
+    rng = random.Random(5)
+    han = [chr(0x4E00 + i) for i in range(300)]
+    words = ["".join(rng.choices(han, k=3)) for _ in range(60)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    good = [prose(i, 200) for i in range(10)] + [text(100) for _ in range(10)]
+    real = text(100)
+    junk = "".join(rng.sample(real, len(real)))
+    docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate([*good, real, junk])])
+    out = {r.doc_id: r for r in quality.classify(docs, labels(spark, [(i, 1, 0) for i in range(20)])).collect()}
+    assert len(quality.alphabet_of(docs.where("doc_id < 20"))) > 100
+    assert out[21].perplexity > 5 * out[20].perplexity
+    want = brute_model(good, quality.alphabet_of(docs.where("doc_id < 20")))
+    assert out[20].perplexity == pytest.approx(want(real), rel=1e-4) and out[21].perplexity == pytest.approx(want(junk), rel=1e-4)
+
+
+def test_more_classes_than_two_bytes_hold():
+    import random
+
+    text = "".join(chr(c) for c in random.Random(1).sample([*range(1, 0xD800), *range(0xE000, 0x10FFFF)], 70_000)) + "abcabc" * 3
+    table = quality.class_table([ord(c) for c in set(text)])
+    kinds, n, at, real = quality._types(quality._points([text])[0], table)
+    want = Counter(("\0\0\0" + text)[i : i + 4] for i in range(len(text)))
+    assert dict(zip(kinds.tolist(), n.tolist(), strict=True)) == want
+    assert kinds[at[real]].tolist() == [("\0\0\0" + text)[i : i + 4] for i in range(len(text))]
+
+
+def test_a_table_too_large_to_send_gives_the_same_values(spark):
+    docs = with_clashes(frame(spark))
+    good = docs.where("doc_id < 24").select("text")
+    sent, kept = quality.train(docs, good), quality.train(docs, good, most_sent=10)
+    assert sent.sent is not None and kept.sent is None
+    value = lambda df: sorted((tuple(r) for r in df.select("doc_id", "text", "score", "perplexity").collect()), key=str)
+    want = value(quality.score(docs, sent))
+    assert value(quality.score(docs, kept)) == want
+    assert value(quality.score_slices(docs, kept, size=10_000)) == want
