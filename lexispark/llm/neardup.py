@@ -1,12 +1,14 @@
-"""N-gram Jaccard self join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard self join by MinHash banding with exact verification.
 
 A text's shingles are the hashes of its runs of five words (of all its
 words, if it has fewer). Equal texts are one entry, known by the MD5 of the
-text. Each entry has ``trees`` sorted lists of ``MAX_DEPTH`` MinHash values;
-entries that agree on a prefix of a list meet in a bucket. The prefix is
-shortened, from MAX_DEPTH on, until the chance that two texts at exactly
-``threshold`` meet in some tree reaches ``recall``: with 20 trees, 0.8 and
-0.9999 that leaves 4 values (0.99997).
+text. Fixed banding stands in for the LSH forest: each entry has ``trees``
+bands of as many MinHash values as ``prefix_length`` works out beforehand
+from ``trees``, ``threshold`` and ``recall`` (20, 0.8 and 0.9999 give 4
+values, recall 0.99997); entries that agree on a band meet in a bucket.
+There are no sorted lists or tries, and nothing adapts to the data: a
+self join needs every pair at one threshold, not an entry's nearest few, so
+one length serves all entries. A band is called a tree below.
 
 A pair is looked at in the first tree whose prefix it shares, in no other,
 so nothing has to be de-duplicated. Buckets of more than ``block`` entries
@@ -87,8 +89,8 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_length(trees: int, threshold: float, recall: float) -> int:
-    """The longest prefix at which pairs at the threshold still meet with
-    the given chance: shortened value by value from the full depth."""
+    """The most values, MAX_DEPTH at most, that a band can have while pairs
+    at the threshold still meet with the given chance."""
     depth = MAX_DEPTH
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
         depth -= 1
