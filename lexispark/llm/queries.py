@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
 from . import chat, decontaminate, html, langid, neardup, neighbours, pieces, quality, sharding, tokenshards
 from .common import table
 
@@ -19,7 +20,9 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = tokenshards.records(tokenshards.shards(table(spark, sf_dir, "documents")))
+    path = fresh_path(spark, "shards")
+    tokenshards.write_shards(table(spark, sf_dir, "documents"), path)
+    read = tokenshards.read_slots(spark, path, 0)
     return read.select("slot", "shard", "byte_offset", "n_tokens", F.crc32("tokens").alias("tokens_crc32"))
 
 

@@ -1,10 +1,10 @@
 import numpy as np
 import pytest
 
-from lexispark.llm import tokenshards
+from lexispark.llm import queries, tokenshards
 from lexispark.session import fresh_path
 
-from .helpers import awkward, frame, with_clashes
+from .helpers import SF, awkward, frame, with_clashes
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 255, 4097])
@@ -51,3 +51,11 @@ def test_reading_goes_on_from_any_slot(spark):
 
 def test_empty_table(spark):
     assert tokenshards.shards(frame(spark, [])).count() == 0
+
+
+def test_the_query_reads_the_shards_it_wrote(spark):
+    out = queries.op2_token_binary(spark, SF)
+    files = [f for f in out.inputFiles() if "/shards-" in f]
+    assert files
+    written = spark.read.parquet(files[0].rsplit("/", 1)[0])
+    assert written.selectExpr("sum(n_sequences)").first()[0] == out.count() and out.selectExpr("min(slot)").first()[0] == 0
