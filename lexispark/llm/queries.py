@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chat, decontaminate, html, langid, neardup, neighbours, pieces, quality, sharding, tokenshards
+from . import chat, decontaminate, html, langid, merkle, multihash, neardup, neighbours, pieces, quality, sharding, tokenshards, whiten
 from .common import table
 
 
@@ -66,6 +66,18 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multihash.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_binary": op2_token_binary,
@@ -77,6 +89,9 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_document_fingerprints": op11_document_fingerprints,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 #: op3: one row for each conversation, read back from the source's own rows.
@@ -136,4 +151,53 @@ shown as (
 select page_id, url, text, length(text)::bigint as n_chars from shown
 """
 
-ORACLES: dict[str, str] = {"op3_chat_formatting": _OP3, "op6_benchmark_decontamination": _OP6, "op8_html_extraction": _OP8}
+#: op12: trees by recursion, proofs as the siblings of each leaf's ancestors,
+#: and the fold of a (tampered) leaf up to the root.
+_OP12 = r"""
+with recursive fields as (
+  select row_number() over () as r, doc_id, lang, n_chars,
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as head,
+    coalesce(strlen(text) || ':' || text, '-') as tail,
+    list_reduce(
+      list_prepend(4294967295::bigint, flatten(list_transform(string_split(coalesce(doc_id::varchar, ''), ''), lambda c: list_transform(range(8), lambda k: (ascii(c) >> k) & 1)))),
+      lambda crc, bit: xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1))) as crc
+  from documents),
+hashed as (
+  select r, doc_id, lang, sha256(head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || tail) as leaf,
+    sha256(head || case when n_chars is null then '-' when doc_id is not null and xor(crc, 4294967295) % 7 = 0
+      then strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1) else strlen(n_chars::varchar) || ':' || n_chars end || tail) as given
+  from fields),
+leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by lang) as m,
+    dense_rank() over (order by lang nulls first) as g from hashed),
+tree(g, lvl, i, h, m) as (
+  select g, 0, i, leaf, m from leaves
+  union all
+  select g, lvl + 1, i // 2, sha256(string_agg(h, '' order by i)), (max(m) + 1) // 2 from tree where m > 1 group by g, lvl, i // 2),
+ends as (select g, lvl, h, row_number() over (order by g) - 1 as j, count(*) over () as n from tree where m = 1),
+top(lvl, i, h, m) as (
+  select 0, j, h, n from ends
+  union all
+  select lvl + 1, i // 2, sha256(string_agg(h, '' order by i)), (max(m) + 1) // 2 from top where m > 1 group by lvl, i // 2),
+steps as (
+  select l.r, t.lvl, (l.i >> t.lvl) & 1 as slot, s.h as sib
+  from leaves l join (select distinct g, lvl from tree where m > 1) t using (g)
+  left join tree s on s.g = l.g and s.lvl = t.lvl and s.i = xor(l.i >> t.lvl, 1)
+  union all
+  select l.r, 1000 + t.lvl, (e.j >> t.lvl) & 1, s.h
+  from leaves l join ends e using (g) cross join (select distinct lvl from top where m > 1) t
+  left join top s on s.lvl = t.lvl and s.i = xor(e.j >> t.lvl, 1)),
+ordered as (select *, row_number() over (partition by r order by lvl) as k from steps),
+fold(r, k, acc) as (
+  select r, 0::bigint, given from leaves
+  union all
+  select f.r, o.k, sha256(case when o.slot = 1 then o.sib || f.acc else f.acc || coalesce(o.sib, '') end)
+  from fold f join ordered o on o.r = f.r and o.k = f.k + 1),
+folded as (select r, arg_max(acc, k) as folded_root from fold group by r),
+proofs as (select r, string_agg(sib, '' order by k) as p from ordered group by r)
+select l.doc_id, l.leaf, e.h as subroot, (select h from top where m = 1) as root, sha256(coalesce(p.p, '')) as proof_sha256,
+  f.folded_root, f.folded_root = (select h from top where m = 1) as verified
+from leaves l join ends e using (g) join folded f using (r) left join proofs p using (r)
+"""
+
+ORACLES: dict[str, str] = {"op12_merkle_manifest": _OP12, "op3_chat_formatting": _OP3, "op6_benchmark_decontamination": _OP6, "op8_html_extraction": _OP8}
