@@ -7,18 +7,22 @@ tokens it matches.
 
 Plan, all joins equi-joins, each distinct query token matched once:
 
-1. transposition distance d implies Levenshtein distance 2d or less. Of
-   ``2d + 1`` segments of a vocabulary term one is then untouched and stands
-   in the query token, at most 2d places off. Both sides give their
-   (term length, segment number, segment) keys: 2d + 1 rows a term, a number
-   that depends only on d a query token. Terms shorter than 2d + 1 characters
-   join on their length.
-2. prefilter ``levenshtein(term, qterm, 2d) >= 0`` (JVM builtin with early
-   exit), then the exact transposition distance on survivors only.
+1. of two strings within distance d both keep their matched characters when
+   at most d are deleted from each, and the same holds for their first
+   ``PREFIX`` characters (where the alignment leaves the one prefix, it has
+   used up as many characters of the other). So each distinct prefix with 0,
+   1 and 2 characters deleted, at most 29 strings however long the terms, is
+   stored by its hash (``variants``), and joined by equality with those of
+   the query tokens' prefixes, in their buckets only; then the vocabulary is
+   joined by prefix.
+2. lengths at most d apart and ``levenshtein(term, qterm, 2d) >= 0`` (JVM
+   builtin with early exit). A Levenshtein distance within d is a match;
+   only pairs above it need the exact transposition distance.
 3. the matched (token, term) pairs are written to the shared folder, so that
    Spark knows their size when it joins them with the postings (and prunes
    buckets where it broadcasts them).
-4. distinct (query, clause, document), counted per document.
+4. a document counts once for each token, times the clauses of that token,
+   summed per query.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from ..functions.distance import chars, osa_distance
 from ..functions.tokenize import tokens
 from ..schema import MAX_FUZZY_DISTANCE
 from ..session import fresh_path
-from .indexing import Index, term_bucket
+from .indexing import Index, prefix_of, term_bucket, variant_rows
 from .search import HIT_COLS, _check_k, single_query, top_k
 
 
@@ -47,59 +51,45 @@ def fuzzy_clauses(queries: DataFrame, tokenizer=tokens) -> DataFrame:
     )
 
 
-def _segment(length, i, n: int):
-    """(start from 0, size) of segment ``i`` when ``length`` characters are
-    cut into ``n``: the last ones are longer where it doesn't divide."""
-    base, long_from = F.floor(length / n), n - length % n
-    return i * base + F.greatest(F.lit(0), i - long_from), base + F.when(i >= long_from, 1).otherwise(0)
-
-
 def candidate_terms(index: Index, qterms: DataFrame, distance: int) -> DataFrame:
     """Stage 1: a superset of the vocabulary terms within ``distance`` of the
     distinct tokens ``qterms(qterm)``: ``qterm, bucket, term``."""
     _check_distance(distance)
-    vocab = index.term_stats.select("bucket", "term", "term_len")
     if distance == 0:
         return qterms.select("qterm", F.col("qterm").alias("term"), term_bucket(F.col("qterm"), index.n_buckets).alias("bucket")).join(
-            vocab.select("bucket", "term"), ["bucket", "term"]
+            index.term_stats.select("bucket", "term"), ["bucket", "term"]
         )
-    n, off = 2 * distance + 1, 2 * distance
-    q = qterms.select("qterm", F.char_length("qterm").alias("qlen"))
-    q = q.select("*", F.explode(F.sequence(F.greatest(F.col("qlen") - distance, F.lit(1)), F.col("qlen") + distance)).alias("term_len"))
-    short = vocab.where(F.col("term_len") < n).join(q.where(F.col("term_len") < n).select("qterm", "term_len"), "term_len")
-
-    number = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i")
-    start, size = _segment(F.col("term_len"), F.col("i"), n)
-    v = vocab.where(F.col("term_len") >= n).select("*", number)
-    v = v.select("bucket", "term", "term_len", "i", F.substring("term", (start + 1).cast("int"), size.cast("int")).alias("seg"))
-    q = q.where(F.col("term_len") >= n).select("*", number).select("*", start.alias("from"), size.alias("size"))
-    q = q.select("*", F.explode(F.sequence(F.greatest(F.lit(0), F.col("from") - off), F.col("from") + off)).alias("at"))
-    q = q.where(F.col("at") + F.col("size") <= F.col("qlen"))
-    q = q.select("qterm", "term_len", "i", F.substring("qterm", (F.col("at") + 1).cast("int"), F.col("size").cast("int")).alias("seg")).distinct()
-    both = v.join(q, ["term_len", "i", "seg"]).select("qterm", "bucket", "term").unionByName(short.select("qterm", "bucket", "term"))
-    return both.distinct().filter(F.levenshtein("term", "qterm", off) >= 0)
+    asked = variant_rows(qterms, "qterm", distance, index.n_buckets)
+    buckets = [r[0] for r in asked.select("bucket").distinct().collect()]  # n_buckets numbers at most
+    known = index.table("variants", buckets).where(F.col("deleted") <= distance).select("bucket", "variant", "prefix")
+    near = known.join(asked.select("bucket", "variant", F.col("prefix").alias("qprefix")), ["bucket", "variant"]).select("prefix", "qprefix").distinct()
+    near = near.join(qterms.select("qterm", prefix_of(F.col("qterm")).alias("qprefix")), "qprefix").select("prefix", "qterm")
+    vocab = index.term_stats.select("bucket", "term", prefix_of(F.col("term")).alias("prefix"))
+    both = vocab.join(near, "prefix").select("qterm", "bucket", "term")
+    return both.where(F.abs(F.char_length("term") - F.char_length("qterm")) <= distance)
 
 
 def matched_terms(index: Index, qterms: DataFrame, distance: int) -> DataFrame:
-    """Stage 2: the exact transposition distance on the candidates only,
-    once for each pair: ``qterm, bucket, term``."""
+    """Stage 2: the transposition distance of the candidates, once for each
+    pair: ``qterm, bucket, term``."""
     cand = candidate_terms(index, qterms, distance)
     if distance > 0:
+        cand = cand.withColumn("_l", F.levenshtein("term", "qterm", 2 * distance)).where("_l >= 0")
         cand = cand.withColumn("_ca", chars(F.col("term"))).withColumn("_cb", chars(F.col("qterm")))
-        cand = cand.filter(osa_distance("_ca", "_cb") <= distance)
+        cand = cand.filter(F.when(F.col("_l") <= distance, F.lit(True)).otherwise(osa_distance("_ca", "_cb") <= distance))
     return cand.select("qterm", "bucket", "term")
 
 
 def fuzzy_hits(index: Index, queries: DataFrame, distance: int) -> DataFrame:
     """``HIT_COLS, score``: number of matching clauses per document."""
     index.check_open()
-    clauses = fuzzy_clauses(queries, index.tokenizer)
+    clauses = fuzzy_clauses(queries, index.tokenizer).groupBy("query_id", "qterm").agg(F.count(F.lit(1)).alias("n"))
     path = fresh_path(index.spark, "matched")
     matched_terms(index, clauses.select("qterm").distinct(), distance).write.parquet(path)
-    m = index.spark.read.schema("qterm string, bucket int, term string").parquet(path).join(clauses, "qterm")
+    matched = index.spark.read.schema("qterm string, bucket int, term string").parquet(path)
     post = index.postings.select("bucket", "term", "doc_key", "id", "header_key", "copies")
-    per_clause = post.join(m, ["bucket", "term"]).select(*HIT_COLS, "clause_id").distinct()
-    return per_clause.groupBy(*HIT_COLS).agg(F.count(F.lit(1)).cast("double").alias("score"))
+    once = post.join(matched, ["bucket", "term"]).select("qterm", "doc_key", "id", "header_key", "copies").distinct()
+    return once.join(clauses, "qterm").groupBy(*HIT_COLS).agg(F.sum("n").cast("double").alias("score"))
 
 
 def search_fuzzy(index: Index, query: str, distance: int = 1, k: int = 5) -> DataFrame:

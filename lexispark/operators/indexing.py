@@ -22,45 +22,48 @@ large, never lands in one task -- partial aggregation collapses it map-side.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.tokenize import tokens
-from ..schema import DEFAULT_BUCKETS
+from ..schema import DEFAULT_BUCKETS, MAX_FUZZY_DISTANCE
 
 DOC_KEY_COLS = ["doc_key", "id", "header_key"]
 
+#: when a row came: the ``seq`` of its change, and a count of the calls made
+#: at that point of the feed
+ORDER = ["seq", "sub"]
+_ORDER_FIELDS = [T.StructField("seq", T.LongType()), T.StructField("sub", T.LongType())]
+_KEY_FIELDS = [T.StructField("doc_key", T.LongType()), T.StructField("id", T.StringType()), T.StructField("header_key", T.StringType())]
+TERMS_TYPE = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("positions", T.ArrayType(T.IntegerType()))]))
+
 # stored schemas (explicit, so that an empty version reads back)
 DOCS_SCHEMA = T.StructType(
     [
-        T.StructField("doc_key", T.LongType()),
-        T.StructField("id", T.StringType()),
-        T.StructField("header_key", T.StringType()),
+        *_KEY_FIELDS,
         T.StructField("text", T.StringType()),
+        T.StructField("dl", T.IntegerType()),
+        *_ORDER_FIELDS,
+        T.StructField("check", T.LongType()),
+        T.StructField("terms", TERMS_TYPE),
+        T.StructField("bucket", T.IntegerType()),
     ]
 )
 DOC_STATS_SCHEMA = T.StructType(
-    [
-        T.StructField("doc_key", T.LongType()),
-        T.StructField("id", T.StringType()),
-        T.StructField("header_key", T.StringType()),
-        T.StructField("dl", T.IntegerType()),
-        T.StructField("copies", T.IntegerType()),
-    ]
+    [*_KEY_FIELDS, T.StructField("dl", T.IntegerType()), T.StructField("copies", T.IntegerType()), *_ORDER_FIELDS]
 )
 POSTINGS_SCHEMA = T.StructType(
     [
         T.StructField("term", T.StringType()),
-        T.StructField("doc_key", T.LongType()),
-        T.StructField("id", T.StringType()),
-        T.StructField("header_key", T.StringType()),
+        *_KEY_FIELDS,
         T.StructField("dl", T.IntegerType()),
         T.StructField("tf", T.IntegerType()),
         T.StructField("copies", T.IntegerType()),
         T.StructField("positions", T.ArrayType(T.IntegerType())),
+        *_ORDER_FIELDS,
         T.StructField("bucket", T.IntegerType()),
     ]
 )
@@ -73,6 +76,20 @@ TERM_STATS_SCHEMA = T.StructType(
         T.StructField("bucket", T.IntegerType()),
     ]
 )
+
+VARIANTS_SCHEMA = T.StructType(
+    [
+        T.StructField("variant", T.LongType()),
+        T.StructField("deleted", T.IntegerType()),
+        T.StructField("prefix", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+#: characters of a term whose deletions are stored, and how many of them are
+PREFIX = 7
+MOST_DELETED = MAX_FUZZY_DISTANCE
+
+
 def term_bucket(term, n_buckets: int):
     """Bucket of a term: ``pmod(xxhash64(term), n_buckets)`` (INT)."""
     return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
@@ -107,30 +124,31 @@ def keyword_rows(index: Index) -> DataFrame:
     return index.doc_stats
 
 
-def per_document_postings(docs_keyed: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
-    """``doc_key, id, header_key, dl, term, positions`` computed inside each
-    document row, without a shuffle: the (term, position) pairs are sorted,
-    cut where the term changes, and each run becomes one posting."""
-    t = docs_keyed.select(*DOC_KEY_COLS, tokenizer(F.col("text")).alias("toks"))
+def with_terms(docs: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
+    """``docs`` with ``dl`` and ``terms``, the document's postings computed
+    inside its own row, without a shuffle: the (term, position) pairs are
+    sorted, cut where the term changes, and each run becomes one posting."""
+    kept = docs.columns
+    t = docs.select(*kept, tokenizer(F.col("text")).alias("_toks"))
     t = t.select(
-        *DOC_KEY_COLS,
-        F.size("toks").cast("int").alias("dl"),
-        F.array_sort(F.transform("toks", lambda x, i: F.struct(x.alias("term"), i.alias("pos")))).alias("s"),
+        *kept,
+        F.size("_toks").cast("int").alias("dl"),
+        F.array_sort(F.transform("_toks", lambda x, i: F.struct(x.alias("term"), i.alias("pos")))).alias("_s"),
     )
-    s = F.col("s")
+    s = F.col("_s")
     t = t.select(
-        *DOC_KEY_COLS,
+        *kept,
         "dl",
-        "s",
+        "_s",
         F.filter(
             F.transform(
                 s,
                 lambda x, i: F.when(i == 0, i).when(x["term"] != s[i - 1]["term"], i).otherwise(F.lit(-1)),
             ),
             lambda i: i >= 0,
-        ).alias("st"),
+        ).alias("_st"),
     )
-    st = F.col("st")
+    st = F.col("_st")
     runs = F.transform(
         st,
         lambda b, k: F.struct(
@@ -141,13 +159,16 @@ def per_document_postings(docs_keyed: DataFrame, tokenizer: Tokenizer = tokens)
             ).alias("positions"),
         ),
     )
-    # explode_outer + an explicit filter: a plain explode lets Catalyst infer
-    # ``size(...) > 0`` and push it below the repartition into the scan
-    return (
-        t.select(*DOC_KEY_COLS, "dl", F.explode_outer(runs).alias("p"))
-        .filter(F.col("p").isNotNull())
-        .select(*DOC_KEY_COLS, "dl", F.col("p.term").alias("term"), F.col("p.positions").alias("positions"))
-    )
+    return t.select(*kept, "dl", runs.alias("terms"))
+
+
+def term_rows(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, term, positions``: one row for each entry of ``terms``.
+
+    explode_outer + an explicit filter: a plain explode lets Catalyst infer
+    ``size(...) > 0`` and push it down to where the terms are made."""
+    t = docs.select(*keys, F.explode_outer("terms").alias("p")).filter(F.col("p").isNotNull())
+    return t.select(*keys, F.col("p.term").alias("term"), F.col("p.positions").alias("positions"))
 
 
 def postings_by_token_rows(
@@ -180,31 +201,30 @@ def postings_by_token_rows(
 
 
 def postings_of(
-    docs_keyed: DataFrame,
+    docs: DataFrame,
     n_buckets: int = DEFAULT_BUCKETS,
     copies_possible: bool = True,
-    tokenizer: Tokenizer = tokens,
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """(term, document) postings with tf and sorted positions.
-
-    Postings are built inside each document row. Exact copies of a document
-    (same id, header_key, text) give identical rows; with
-    ``copies_possible`` they are folded into one row with their count by a
-    hash aggregation keyed by the whole posting (partial map-side, so a hot
-    group of copies never reaches one task whole). Without copies -- known
-    from ``doc_stats`` -- there is no shuffle here at all."""
-    rows = per_document_postings(docs_keyed, tokenizer)
+    """(term, document) postings with tf and sorted positions, from
+    documents ``with_terms``.
+
+    Exact copies of a document (same id, header_key, text) give identical
+    rows; with ``copies_possible`` they are folded into one row with their
+    count by a hash aggregation keyed by the whole posting (partial map-side,
+    so a hot group of copies never reaches one task whole). Without copies --
+    known from ``doc_stats`` -- there is no shuffle here at all. ``order``:
+    more columns of the documents to carry."""
+    carried = [*DOC_KEY_COLS, "dl", *(order or [])]
+    rows = term_rows(docs, carried)
     if copies_possible:
-        rows = rows.groupBy("term", *DOC_KEY_COLS, "dl", "positions").agg(
-            F.count(F.lit(1)).cast("int").alias("copies")
-        )
+        rows = rows.groupBy("term", *carried, "positions").agg(F.count(F.lit(1)).cast("int").alias("copies"))
     else:
         rows = rows.withColumn("copies", F.lit(1))
     return rows.select(
         term_bucket(F.col("term"), n_buckets).alias("bucket"),
         "term",
-        *DOC_KEY_COLS,
-        "dl",
+        *carried,
         F.size("positions").cast("int").alias("tf"),
         "copies",
         "positions",
@@ -219,6 +239,45 @@ def term_stats_of(postings: DataFrame) -> DataFrame:
     ).withColumn("term_len", F.char_length("term").cast("int"))
 
 
+def prefix_of(term: Column) -> Column:
+    return F.substring(term, 1, PREFIX)
+
+
+def prefix_variants(p: Column, deletions: int) -> Column:
+    """A prefix with up to ``deletions`` of its characters deleted, as an
+    array of (deleted, variant): each variant once, by its hash."""
+    n = F.char_length(p)
+
+    def less(s: Column, i: Column) -> Column:
+        return F.concat(F.substring(s, F.lit(1), i), F.substring(s, i + 2, F.lit(PREFIX)))
+
+    def every(from_: Column, size: Column, fn) -> Column:
+        return F.when(size > from_, F.transform(F.sequence(from_, size - 1), fn)).otherwise(F.array().cast("array<string>"))
+
+    found = [F.array(p)]
+    if deletions >= 1:
+        found.append(every(F.lit(0), n, lambda i: less(p, i)))
+    if deletions >= 2:
+        pairs = F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: every(i, n - 1, lambda j: less(less(p, i), j)))
+        found.append(F.when(n >= 2, F.flatten(pairs)).otherwise(F.array().cast("array<string>")))
+
+    def marked(k: int, variants: Column) -> Column:
+        return F.transform(F.array_distinct(variants), lambda v: F.struct(F.lit(k).alias("deleted"), F.xxhash64(v).alias("variant")))
+
+    return F.concat(*[marked(k, f) for k, f in enumerate(found)])
+
+
+def variant_rows(terms: DataFrame, term: str, deletions: int, n_buckets: int) -> DataFrame:
+    """``bucket, variant, deleted, prefix``: the variants of the terms'
+    distinct prefixes, which fuzzy search joins by equality."""
+    # so many partitions, not as few as the prefixes' bytes would make: the
+    # work is in what comes of them
+    n = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = terms.select(prefix_of(F.col(term)).alias("prefix")).repartition(n, "prefix").distinct()
+    rows = rows.select("prefix", F.explode(prefix_variants(F.col("prefix"), deletions)).alias("v"))
+    return rows.select(F.pmod("v.variant", F.lit(n_buckets)).cast("int").alias("bucket"), F.col("v.variant").alias("variant"), F.col("v.deleted").alias("deleted"), "prefix")
+
+
 def corpus_stats_df(doc_stats: DataFrame) -> DataFrame:
     """One row ``n_docs, total_tokens, avgdl``."""
     return doc_stats.agg(
@@ -240,29 +299,57 @@ class CorpusStats:
     avgdl: float
 
 
-@dataclass
 class Index:
     """The derived tables of one corpus snapshot.
 
-    ``postings`` / ``term_stats`` may be lazy plans (ephemeral corpus) or
-    Parquet scans partitioned by ``bucket`` (durable corpus)."""
-
-    docs: DataFrame
-    doc_stats: DataFrame
-    postings: DataFrame
-    term_stats: DataFrame
-    n_buckets: int = DEFAULT_BUCKETS
-    stats_row: CorpusStats | None = None
-    #: the tables are plans over the documents, not stored
-    lazy: bool = False
-    #: set by the corpus that made this snapshot: is it closed?
-    closed: Callable[[], bool] = field(default=lambda: False)
-    #: the analyzer of this corpus; queries are tokenised with the same one
-    tokenizer: Tokenizer = field(default=tokens)
+    ``read(name, buckets)`` gives a table, or only its rows of some term
+    buckets: a plan over the documents (ephemeral) or a scan of the files of
+    these buckets (stored). A table is opened when it is first used."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        read: Callable[[str, list[int] | None], DataFrame],
+        n_buckets: int = DEFAULT_BUCKETS,
+        stats_row: CorpusStats | None = None,
+        lazy: bool = False,
+        closed: Callable[[], bool] = lambda: False,
+        tokenizer: Tokenizer = tokens,
+    ):
+        self.spark = spark
+        self._read = read
+        self._tables: dict[str, DataFrame] = {}
+        self.n_buckets = n_buckets
+        self.stats_row = stats_row
+        #: the tables are plans over the documents, not stored
+        self.lazy = lazy
+        #: set by the corpus that made this snapshot: is it closed?
+        self.closed = closed
+        #: the analyzer of this corpus; queries are tokenised with the same one
+        self.tokenizer = tokenizer
+
+    def table(self, name: str, buckets: list[int] | None = None) -> DataFrame:
+        if buckets is not None:
+            return self._read(name, buckets)
+        if name not in self._tables:
+            self._tables[name] = self._read(name, None)
+        return self._tables[name]
+
+    @property
+    def docs(self) -> DataFrame:
+        return self.table("docs")
+
+    @property
+    def doc_stats(self) -> DataFrame:
+        return self.table("doc_stats")
 
     @property
-    def spark(self) -> SparkSession:
-        return self.docs.sparkSession
+    def postings(self) -> DataFrame:
+        return self.table("postings")
+
+    @property
+    def term_stats(self) -> DataFrame:
+        return self.table("term_stats")
 
     def stats(self) -> CorpusStats:
         """Corpus statistics as driver-side scalars (index metadata; one
@@ -281,12 +368,10 @@ def build_index(docs: DataFrame, n_buckets: int = DEFAULT_BUCKETS, tokenizer: To
     """Ephemeral index (A2): lazy plans over ``docs(id, header_key, text)``."""
     keyed = with_doc_key(docs.select("id", "header_key", "text"))
     postings = postings_by_token_rows(keyed, n_buckets, tokenizer)
-    return Index(
-        docs=keyed,
-        doc_stats=doc_stats_of(keyed, tokenizer),
-        postings=postings,
-        term_stats=term_stats_of(postings),
-        n_buckets=n_buckets,
-        tokenizer=tokenizer,
-        lazy=True,
-    )
+    tables = {"docs": keyed, "doc_stats": doc_stats_of(keyed, tokenizer), "postings": postings, "term_stats": term_stats_of(postings)}
+    tables["variants"] = variant_rows(tables["term_stats"], "term", MOST_DELETED, n_buckets)
+
+    def read(name: str, buckets: list[int] | None) -> DataFrame:
+        return tables[name] if buckets is None else tables[name].where(F.col("bucket").isin(buckets))
+
+    return Index(docs.sparkSession, read, n_buckets, lazy=True, tokenizer=tokenizer)

@@ -16,9 +16,9 @@ clauses score per posting row, phrase clauses group the at most ``n_tok``
 postings of one (clause, document) and intersect shifted position arrays;
 the clause scores of a document are summed (one shuffle of hits by
 document), and the best k per query are kept with a window whose partial
-group limit runs before the shuffle. A table of term-only queries first
-finds a score that the k-th result surely has, and then leaves out the
-pairs that common words alone can't lift to it (``pruned_hits``).
+group limit runs before the shuffle. A table of queries first finds, for
+each, a score that the k-th result surely has, and then leaves out the pairs
+that common words and phrases alone can't lift to it (``pruned_hits``).
 """
 
 from __future__ import annotations
@@ -145,13 +145,12 @@ def terms_with_buckets(spark: SparkSession, clause_tokens: list[list[str]], n_bu
 
 def prune_postings(index: Index, terms: list[tuple[str, int]] | None) -> tuple[DataFrame, DataFrame]:
     """Postings and term statistics restricted to the given (term, bucket)s."""
-    post, ts = index.postings, index.term_stats.select("bucket", "term", "df")
-    if terms is not None:
-        bks = sorted({b for _, b in terms})
-        tms = sorted({t for t, _ in terms})
-        cond = F.col("bucket").isin(bks) & F.col("term").isin(tms)
-        post, ts = post.filter(cond), ts.filter(cond)
-    return post, ts
+    if terms is None:
+        return index.postings, index.term_stats.select("bucket", "term", "df")
+    bks = sorted({b for _, b in terms})
+    cond = F.col("bucket").isin(bks) & F.col("term").isin(sorted({t for t, _ in terms}))
+    post, ts = index.table("postings", bks), index.table("term_stats", bks)
+    return post.filter(cond), ts.select("bucket", "term", "df").filter(cond)
 
 
 def clause_scores(
@@ -196,25 +195,7 @@ def clause_scores(
     if "phrase" in kinds:
         cp = c.filter(F.col("kind") == "phrase")
         jp = post.join(send(cp), ["bucket", "term"]).join(send(ts), ["bucket", "term"])
-        ph = (
-            jp.withColumn("w", w)
-            .groupBy(*HIT_COLS, "clause_id", "n_tok", "boost", "dl")
-            .agg(
-                F.collect_list(F.struct("off", "positions")).alias("pl"),
-                F.sum("w").alias("w"),
-            )
-            .filter(F.size("pl") == F.col("n_tok"))
-            .withColumn("ptf", F.size(phrase_starts(F.col("pl"))))
-            .filter(F.col("ptf") > 0)
-        )
-        out.append(
-            ph.select(
-                *HIT_COLS,
-                "clause_id",
-                F.col("ptf").alias("occurrences"),
-                (F.col("boost") * F.col("w") * tf_norm(F.col("ptf"), F.col("dl"), stats)).alias("score"),
-            )
-        )
+        out.append(phrase_scores(jp.withColumn("w", w), stats))
     return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
@@ -226,40 +207,91 @@ def merged_terms(term_clauses: DataFrame) -> DataFrame:
     )
 
 
-def pruned_hits(index: Index, clauses: DataFrame, k: int) -> DataFrame:
-    """The hits of a table of term clauses, less pairs that can't be among
-    the best ``k`` of their query: exact, by score bounds.
-
-    A clause adds at most ``boost * idf * (k1 + 1)``. 1. Each query's leading
-    terms (by that bound, until their documents number k) are scored alone;
-    the k-th best of these partial scores is a floor of the final k-th score.
-    2. Going up from the smallest bound, terms whose bounds together stay
-    below the floor can't make a result by themselves. 3. Documents with any
-    other term are the candidates; they meet the terms of step 2 by (term,
-    document), so a common word is looked up, not expanded."""
+def phrase_scores(tokens_of: DataFrame, stats: CorpusStats) -> DataFrame:
+    """Matches of phrase clauses, from the postings of their tokens (with the
+    clause's n_tok and boost, the token's off and its idf ``w``), scored where
+    the shifted positions meet: ``HIT_COLS, clause_id, occurrences, score``."""
+    ph = (
+        tokens_of.groupBy(*HIT_COLS, "clause_id", "n_tok", "boost", "dl")
+        .agg(F.collect_list(F.struct("off", "positions")).alias("pl"), F.sum("w").alias("w"))
+        .filter(F.size("pl") == F.col("n_tok"))
+        .withColumn("ptf", F.size(phrase_starts(F.col("pl"))))
+        .filter(F.col("ptf") > 0)
+    )
+    score = F.col("boost") * F.col("w") * tf_norm(F.col("ptf"), F.col("dl"), stats)
+    return ph.select(*HIT_COLS, "clause_id", F.col("ptf").alias("occurrences"), score.alias("score"))
+
+
+def pruned_hits(index: Index, clauses: DataFrame, k: int, kinds: set[str]) -> DataFrame:
+    """The hits of a table of clauses, less pairs that can't be among the
+    best ``k`` of their query: exact, by score bounds, query by query.
+
+    A clause adds at most ``boost * w * (k1 + 1)``, w being the term's idf or
+    the sum of the phrase's. 1. Each query's leading terms (by that bound,
+    until their documents number k) are scored alone; the k best documents by
+    these partial scores are scored by all terms, and the least of the k is a
+    floor of the final k-th score. 2. Going up from the
+    smallest bound, clauses whose bounds together stay below the floor can't
+    make a result by themselves. 3. Documents with any other clause are the
+    candidates; they meet the clauses of step 2 by (term, document), so a
+    common word is looked up, not expanded. A query without terms of its own
+    has no floor, and its phrases are all matched; ``kinds``: those that
+    occur in the table at all."""
     stats = index.stats()
-    c = merged_terms(clauses.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets)))
+    all_c = clauses.withColumn("bucket", term_bucket(F.col("term"), index.n_buckets))
     ts = index.term_stats.select("bucket", "term", "df")
-    c = c.join(ts, ["bucket", "term"]).withColumn("bound", F.col("boost") * idf(F.col("df"), stats) * (BM25_K1 + 1))
+    c = merged_terms(all_c.where("kind = 'term'")).join(ts, ["bucket", "term"]).withColumn("w", idf(F.col("df"), stats))
     post = index.postings.select("bucket", "term", "doc_key", "id", "header_key", "copies", "tf", "dl")
-    add = F.col("boost") * idf(F.col("df"), stats) * tf_norm(F.col("tf"), F.col("dl"), stats)
+    add = F.col("boost") * F.col("w") * tf_norm(F.col("tf"), F.col("dl"), stats)
     down = Window.partitionBy("query_id").orderBy(F.desc("bound"), "term").rowsBetween(Window.unboundedPreceding, -1)
-    up = Window.partitionBy("query_id").orderBy("bound", F.desc("term")).rowsBetween(Window.unboundedPreceding, 0)
-    c = c.withColumn("lead", F.coalesce(F.sum("df").over(down), F.lit(0)) < k).withColumn("below", F.sum("bound").over(up))
+    up = Window.partitionBy("query_id").orderBy("bound", F.desc("clause_id")).rowsBetween(Window.unboundedPreceding, 0)
+    c = c.withColumn("bound", F.col("boost") * F.col("w") * (BM25_K1 + 1))
+    c = c.withColumn("lead", F.coalesce(F.sum("df").over(down), F.lit(0)) < k)
+    keys = ["query_id", "clause_id", "bound", "kind"]
+    bounds = c.withColumn("kind", F.lit("term")).select(*keys)
+    if "phrase" in kinds:
+        ct = all_c.where("kind = 'phrase'").join(ts, ["bucket", "term"]).withColumn("w", idf(F.col("df"), stats))
+        whole = ct.groupBy("query_id", "clause_id", "n_tok", "boost").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"))
+        whole = whole.where("n = n_tok").withColumn("bound", F.col("boost") * F.col("w") * (BM25_K1 + 1))
+        bounds = bounds.unionByName(whole.withColumn("kind", F.lit("phrase")).select(*keys))
 
     first = post.join(c.where("lead"), ["bucket", "term"]).groupBy("query_id", "doc_key", "id").agg(F.sum(add).alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"))
-    floor = first.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("query_id", F.col("score").alias("floor"))
-    c = c.join(floor, "query_id", "left").withColumn("weak", F.coalesce(F.col("below") + 1e-6 < F.col("floor"), F.lit(False)))
-    # query-sized, used three times: written once, and then of a known size
-    path = fresh_path(index.spark, "clauses")
-    c.select("query_id", "bucket", "term", "boost", "df", "weak").write.parquet(path)
-    c = index.spark.read.schema("query_id string, bucket int, term string, boost double, df long, weak boolean").parquet(path)
-
+    some = first.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).select("query_id", "doc_key", "id")
+    some = some.join(c.select("query_id", "bucket", "term", "boost", "w"), "query_id")
+    full = post.join(some, ["bucket", "term", "doc_key", "id"]).groupBy("query_id", "doc_key", "id").agg(F.sum(add).alias("score"))
+    floor = full.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    weak = bounds.withColumn("below", F.sum("bound").over(up)).join(floor, "query_id", "left")
+    weak = weak.select("query_id", "clause_id", "kind", F.coalesce(F.col("below") + 1e-6 < F.col("floor"), F.lit(False)).alias("weak"))
+
+    def known(df: DataFrame, schema: str) -> DataFrame:
+        """Query-sized, used several times: written once, then of known size."""
+        path = fresh_path(index.spark, "clauses")
+        df.write.parquet(path)
+        return index.spark.read.schema(schema).parquet(path)
+
+    weak = known(weak, "query_id string, clause_id int, kind string, weak boolean")
+    c = known(
+        c.join(weak.where("kind = 'term'"), ["query_id", "clause_id"]).select("query_id", "bucket", "term", "boost", "w", "weak"),
+        "query_id string, bucket int, term string, boost double, w double, weak boolean",
+    )
     strong = post.join(c.where("not weak").drop("weak"), ["bucket", "term"]).select(*HIT_COLS, add.alias("score"))
-    cand = strong.select(*HIT_COLS).distinct().join(c.where("weak").drop("weak"), "query_id")
-    rest = post.drop("header_key", "copies").join(cand, ["bucket", "term", "doc_key", "id"]).select(*HIT_COLS, add.alias("score"))
-    return strong.unionByName(rest)
+    if "phrase" in kinds:
+        ct = known(
+            ct.join(weak.where("kind = 'phrase'"), ["query_id", "clause_id"]).select("query_id", "clause_id", "bucket", "term", "n_tok", "off", "boost", "w", "weak"),
+            "query_id string, clause_id int, bucket int, term string, n_tok int, off int, boost double, w double, weak boolean",
+        )
+        placed = index.postings.select("bucket", "term", "doc_key", "id", "header_key", "copies", "dl", "positions")
+        found = phrase_scores(placed.join(ct.where("not weak").drop("weak"), ["bucket", "term"]), stats)
+        strong = strong.unionByName(found.select(*HIT_COLS, "score"))
+    seen = strong.select(*HIT_COLS).distinct()
+    at = ["bucket", "term", "doc_key", "id"]
+    rest = post.drop("header_key", "copies").join(seen.join(c.where("weak").drop("weak"), "query_id"), at).select(*HIT_COLS, add.alias("score"))
+    out = strong.unionByName(rest)
+    if "phrase" in kinds:
+        looked = placed.drop("header_key", "copies").join(seen.join(ct.where("weak").drop("weak"), "query_id"), at)
+        out = out.unionByName(phrase_scores(looked, stats).select(*HIT_COLS, "score"))
+    return out
 
 
 _QUERY_EXPR_CACHE: dict[tuple, Column] = {}
@@ -365,10 +397,8 @@ def search_batch(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
     index.check_open()
     _check_k(k)
     clauses = literal_clauses(queries, tokenizer=index.tokenizer)
-    if clauses.filter(F.col("kind") == "phrase").limit(1).count():
-        rows = clause_scores(index, clauses)
-    else:
-        rows = pruned_hits(index, clauses, k)
+    kinds = {r.kind for r in clauses.select("kind").distinct().collect()}  # two at most
+    rows = pruned_hits(index, clauses, k, kinds)
     return top_k(sum_by_doc(rows, with_header=False), k).select("query_id", "rank", "id", "score")
 
 

@@ -153,9 +153,7 @@ class InSet(Query):
                 post = index.postings.join(terms, ["bucket", "term"], "left_semi")
                 return _constant(post.select("doc_key", "id", "header_key", "copies").distinct())
             tb = terms_with_buckets(index.spark, [[v] for v in vals], index.n_buckets)
-            post = index.postings.filter(
-                F.col("bucket").isin(sorted({b for _, b in tb})) & F.col("term").isin(sorted({t for t, _ in tb}))
-            )
+            post, _ = prune_postings(index, tb)
             return _constant(post.select("doc_key", "id", "header_key", "copies").distinct())
         _check_field(self.field)
         rows = keyword_rows(index)

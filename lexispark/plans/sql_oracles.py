@@ -224,6 +224,13 @@ _reg(
     UNION ALL SELECT 2, header_key, CAST(count(*) AS BIGINT) FROM v2 GROUP BY 2""",
 )
 ORACLES["stream_upsert"] = ORACLES["change_feed"]
+ORACLES["shuffled_feed"] = ORACLES["change_feed"]
+_reg(
+    "refused_calls",
+    """SELECT call, error, (SELECT count(*) FROM documents) AS n_docs FROM (VALUES
+    ('top_k of 0', 'ValueError'), ('distance of 3', 'ValueError'), ('distance of -1', 'ValueError'), ('only must_not', 'ValueError'),
+    ('search after close', 'RuntimeError'), ('change after close', 'RuntimeError'), ('snapshot after close', 'RuntimeError')) AS t(call, error)""",
+)
 
 # ---- more corpora / query tables ------------------------------------------------
 _reg(
@@ -285,6 +292,12 @@ _reg(
 )
 ORACLES["stored_postings"] = ORACLES["postings"]
 _reg("blank_search", f"SELECT * FROM ({ORACLES['bm25_search']}) WHERE false")
+_reg(
+    "blank_in_batch",
+    f"""WITH found AS (SELECT query_id, count(*) AS n FROM ({ORACLES['bm25_batch']}) GROUP BY query_id),
+    qs AS (SELECT CAST(item_id AS VARCHAR) AS query_id FROM benchmark UNION SELECT 'blank-' || CAST(item_id AS VARCHAR) FROM benchmark)
+    SELECT query_id, CAST(coalesce(n, 0) AS BIGINT) AS n_results FROM qs LEFT JOIN found USING (query_id)""",
+)
 _LOWER = (
     "SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(lang, '') AS header_key, lower(coalesce(text, '')) AS text FROM documents"
 )

@@ -331,6 +331,51 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _corpus_digest(c.documents())
 
 
+SHUFFLED_BATCHES = 4
+
+
+def shuffled_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 out of order: the feed's changes are dealt to batches by a hash, so
+    each commit holds changes older than those of earlier commits. Equal to
+    the one-by-one replay; the parts are folded between two of them, and one
+    batch comes twice."""
+    changes = conversation_changes(spark, sf_dir)
+    c = Corpus(spark, fresh_path(spark, "corpus"), create=True)
+    c.rebuild(documents_corpus(spark, sf_dir))
+    for i in range(SHUFFLED_BATCHES):
+        batch = changes.where(F.pmod(F.xxhash64("seq"), F.lit(SHUFFLED_BATCHES)) == i)
+        c.apply_changes(batch)
+        if i == 1:
+            c.compact()
+            c.apply_changes(batch)
+    return _corpus_digest(c.documents())
+
+
+def refused_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + E10: calls that must raise, as rows (call, error, n_docs)."""
+    c = Corpus(spark)
+    c.rebuild(documents_corpus(spark, sf_dir))
+    held = c.index()
+    n_docs = c.stats().n_docs
+    calls = {
+        "top_k of 0": lambda: c.search(BM25_QUERY, 0),
+        "distance of 3": lambda: c.search_fuzzy(BM25_QUERY, 3, TOP_K),
+        "distance of -1": lambda: c.search_fuzzy(BM25_QUERY, -1, TOP_K),
+        "only must_not": lambda: c.query(Q.Bool(must_not=(Q.Match("the"),))),
+        "search after close": lambda: (c.close(), c.close(), c.search(BM25_QUERY, TOP_K)),
+        "change after close": lambda: c.remove_by_header(DELETED_HEADER),
+        "snapshot after close": lambda: S.search(held, BM25_QUERY, TOP_K),
+    }
+    rows = []
+    for name, call in calls.items():
+        try:
+            call()
+            rows.append((name, "none", n_docs))
+        except (ValueError, RuntimeError) as e:
+            rows.append((name, type(e).__name__, n_docs))
+    return spark.createDataFrame(rows, "call string, error string, n_docs long")
+
+
 # ---- more corpora / query tables ---------------------------------------------
 
 CONVERSATION_K = 5
@@ -402,6 +447,15 @@ def blank_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(S.search(stored(spark, sf_dir), "  ", TOP_K))
 
 
+def blank_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 among others: results per query of a table that holds blank ones."""
+    asked = benchmark_queries(spark, sf_dir)
+    blank = asked.select(F.concat(F.lit("blank-"), "query_id").alias("query_id"), F.lit(" \u3000 ").alias("query"))
+    found = S.search_batch(stored(spark, sf_dir), asked.unionByName(blank), TOP_K).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    both = asked.unionByName(blank).select("query_id").distinct()
+    return both.join(found, "query_id", "left").select("query_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_results"))
+
+
 LOWERCASE_QUERY = "THE And anble"
 
 
@@ -471,6 +525,9 @@ REGISTRY = {
     "token_table_cjk": token_table_cjk,
     "stored_postings": stored_postings,
     "blank_search": blank_search,
+    "blank_in_batch": blank_in_batch,
+    "refused_calls": refused_calls,
+    "shuffled_feed": shuffled_feed,
     "analyzer_search": analyzer_search,
     "ephemeral_search": ephemeral_search,
     "truncated": truncated,

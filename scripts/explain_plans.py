@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lexispark.operators import fuzzy as FZ  # noqa: E402
 from lexispark.operators import search as S  # noqa: E402
-from lexispark.operators.indexing import postings_of, with_doc_key  # noqa: E402
+from lexispark.operators.indexing import postings_of, with_doc_key, with_terms  # noqa: E402
 from lexispark.plans import query as Q  # noqa: E402
 from lexispark.session import fresh_path, local_session  # noqa: E402
 from lexispark.sources.corpus import Corpus  # noqa: E402
@@ -58,7 +58,7 @@ def main() -> None:
                               must_not=(Q.Field("header_key", "de"),)), 10),
         ),
         ("Index build: postings of a document table (no copies)",
-         postings_of(with_doc_key(documents_corpus(spark, sf_dir)), 64, copies_possible=False)),
+         postings_of(with_terms(with_doc_key(documents_corpus(spark, sf_dir))), 64, copies_possible=False)),
     ]
     out = ["# Physical plans", "", f"Generated by `scripts/explain_plans.py` on `{sf_dir}` (local[8]).", ""]
     for title, df in items:

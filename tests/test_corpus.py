@@ -1,5 +1,8 @@
 """Life cycle, commits, incremental parts, streams."""
 
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +11,7 @@ from lexispark.operators import changes as C
 from lexispark.operators import search as S
 from lexispark.operators.indexing import build_index
 from lexispark.session import delete_path, fresh_path, list_names, shared_dir
-from lexispark.sources.corpus import ConcurrentWrite, Corpus
+from lexispark.sources.corpus import ConcurrentWrite, Corpus, analyzer_fingerprint
 from lexispark.streaming.maintain import change_stream, maintain
 
 from .conftest import ids
@@ -185,6 +188,99 @@ def test_change_feed_is_the_replay(spark, books):
     same_as_fresh(spark, books, ("peat sedge", "ship"))
 
 
+def random_feed(rng, n):
+    out = []
+    for seq in range(n):
+        if rng.random() < 0.2:
+            out.append((seq, "delete_header", None, rng.choice(["sea", "moor", "fen"]), None))
+        else:
+            out.append((seq, "upsert", f"b{rng.randint(1, 6)}", rng.choice(["sea", "moor", "fen"]), f"ship word{seq}"))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_feed_in_any_order_is_the_replay(spark, seed):
+    rng = random.Random(seed)
+    c = Corpus(spark, fresh_path(spark, "corpus"), create=True, doc_bucket_bytes=16)
+    c.rebuild(BOOKS)
+    feed = random_feed(rng, 24)
+    late = feed[:]
+    rng.shuffle(late)
+    for i in range(0, len(late), 6):
+        c.apply_changes(spark.createDataFrame(late[i : i + 6], CHANGE))
+        if i == 6:
+            c.compact()
+        if i == 12:
+            c.apply_changes(spark.createDataFrame(late[6:12], CHANGE))  # redelivered
+    want = replay(BOOKS, [(s, o, i or "", h, t or "") for s, o, i, h, t in feed])
+    assert stored(c) == want
+    same_as_fresh(spark, c, ("ship",))
+
+
+def test_late_change_loses_and_calls_happen_now(spark, books):
+    books.apply_changes(spark.createDataFrame([(10, "upsert", "b1", "sea", "ten")], CHANGE))
+    books.apply_changes(spark.createDataFrame([(5, "upsert", "b1", "sea", "five"), (4, "upsert", "b8", "sea", "four")], CHANGE))
+    assert ids(books.search("five", 5)) == [] and ids(books.search("ten", 5)) == ["b1"]
+    books.add_or_update([("b1", "sea", "called")])  # after seq 10, before seq 11
+    books.apply_changes(spark.createDataFrame([(9, "upsert", "b1", "sea", "nine")], CHANGE))
+    assert ids(books.search("called", 5)) == ["b1"] and ids(books.search("nine ten", 5)) == []
+    books.remove_by_header("sea")
+    books.apply_changes(spark.createDataFrame([(8, "upsert", "b7", "sea", "eight"), (11, "upsert", "b1", "sea", "eleven")], CHANGE))
+    assert [d[0] for d in stored(books)] == ["b1", "b3"] and ids(books.search("eleven", 5)) == ["b1"]
+    books.rebuild(BOOKS)  # a new history
+    books.apply_changes(spark.createDataFrame([(0, "upsert", "b1", "sea", "zero")], CHANGE))
+    assert ids(books.search("zero", 5)) == ["b1"]
+    same_as_fresh(spark, books)
+
+
+def test_change_opens_the_files_of_its_own_documents(spark):
+    """Ten rows read as many document bytes of a corpus ten times as large."""
+    read = {}
+    for n in (300, 3000):
+        c = Corpus(spark, fresh_path(spark, "corpus"), create=True, doc_bucket_bytes=1024)
+        c.rebuild(spark.range(n).selectExpr("cast(id as string) id", "concat('k', id % 100) header_key", "repeat(concat('word', id, ' '), 8) text"))
+        parts = c._read(c._last())["parts"]
+        ups = spark.createDataFrame([(str(i),) for i in range(0, 30, 3)], "id string")
+        none = spark.createDataFrame([], "header_key string")
+        files = c._touched(parts, ups, none).inputFiles()
+        assert len(files) <= 10 < len(c._paths("docs", parts[0]))
+        read[n] = sum(os.path.getsize(f.removeprefix("file://")) for f in files)
+        by_key = c._touched(parts, ups.limit(0), spark.createDataFrame([("no such",)], "header_key string"))
+        assert by_key.count() == 0 and not by_key.inputFiles()
+        c.add_or_update([(str(i), "new", "fresh text") for i in range(0, 30, 3)])
+        assert c.stats().n_docs == n and c.documents().where("header_key = 'new'").count() == 10
+    assert read[3000] < 1.5 * read[300]
+
+
+def test_search_opens_the_files_of_its_own_buckets(spark):
+    c = Corpus(spark, fresh_path(spark, "corpus"), n_buckets=128, create=True)
+    c.rebuild(spark.range(400).selectExpr("cast(id as string) id", "'k' header_key", "concat_ws(' ', 'ship', concat('w', id), concat('v', id % 7)) text"))
+    for i in range(3):
+        c.add_or_update([(f"n{i}", "k", f"ship extra{i}")])
+    index = c.index()
+    opened = []
+    c._open = lambda name, paths, f=c._open: opened.extend(paths) or f(name, paths)
+    assert ids(S.search(index, "extra1 w7", 5)) == ["n1", "7"]
+    mine = [p for p in opened if "/gone/" not in p]
+    assert mine and all(p.endswith(".parquet") and "/bucket=" in p for p in mine)
+    assert len({p.split("/bucket=")[1].split("/")[0] for p in mine}) == 2
+    for name in ("postings", "term_stats", "docs"):
+        assert sorted(os.path.basename(p) for part in c._read(c._last())["parts"] for p in c._paths(name, part)) == sorted(
+            os.path.basename(f) for f in c._table(name, c._read(c._last())["parts"]).inputFiles()
+        )
+
+
+def test_another_analyzer_of_the_same_name_raises(spark):
+    path = fresh_path(spark, "corpus")
+    Corpus(spark, path, tokenizer=lambda c: F.split(c, " "), create=True).rebuild([("1", "k", "Calm Sea")])
+    assert ids(Corpus(spark, path, tokenizer=lambda c: F.split(c, " ")).search("Calm", 5)) == ["1"]
+    for other in (lambda c: F.split(F.lower(c), " "), lambda c: F.split(c, "-"), lowercase_tokens):
+        with pytest.raises(ValueError):
+            Corpus(spark, path, tokenizer=other)
+    steps = lambda c: F.transform(F.split(c, " "), lambda x: F.upper(x))
+    assert analyzer_fingerprint(spark, steps) == analyzer_fingerprint(spark, lambda c: F.transform(F.split(c, " "), lambda x: F.upper(x)))
+
+
 def test_streams_are_applied_once_each(spark, books):
     base = fresh_path(spark, "stream")
 

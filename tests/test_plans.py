@@ -6,7 +6,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from lexispark.operators import search as S
-from lexispark.operators.indexing import build_index, postings_of, with_doc_key
+from lexispark.operators.indexing import build_index, postings_of, with_doc_key, with_terms
 from lexispark.session import fresh_path
 from lexispark.sources.corpus import Corpus
 from lexispark.sources.tables import benchmark_queries, documents_corpus
@@ -48,7 +48,7 @@ def test_batch_prunes_pairs_and_limits_before_the_shuffle(spark, stored):
 
 
 def test_postings_build_has_no_token_shuffle(spark):
-    p = plan(postings_of(with_doc_key(documents_corpus(spark, SF)), 64, copies_possible=False))
+    p = plan(postings_of(with_terms(with_doc_key(documents_corpus(spark, SF))), 64, copies_possible=False))
     tree = p.split("\n\n")[0]
     assert "Exchange" not in tree and "HashAggregate" not in tree
 
