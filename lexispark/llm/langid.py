@@ -1,22 +1,28 @@
-"""Language identification by multilingual mixture inference.
-
-Training counts character trigrams for each language label (all training
-rows; a partition adds up dense count arrays before anything is shuffled).
-The alphabet is the ``LETTERS`` most frequent letters of the training text,
-lower-cased, one class for other letters and one for word boundaries, so a
-language's table has a fixed size whatever the corpus. Trigram
-probabilities are interpolated with bigrams and single letters.
-
-Prediction: a document is a mixture of languages, each word drawn from one.
-A word's likelihood under a language is the product of its trigram
-probabilities; expectation-maximisation estimates the document's language
-proportions, and the language set is the one with the highest penalised
-likelihood (BIC): all languages against the best single one, else backward
-elimination of the smallest proportion. Expectation-maximisation runs over
-all documents of a slice at once.
-
-Result: ``lang_pred``, the language with the largest proportion of the
-selected set, and ``score``, that proportion; ``langs``, the set.
+"""Language ID by multilingual mixture inference.
+
+A language's model gives the probability of a letter after the two before it
+(letters of any script, lower-cased; all else bounds words), each order
+interpolated with the next lower one. Its counts are kept by language and
+hashed n-gram, of each order and of each history, so no alphabet is chosen
+and a rare script has its own n-grams beside a frequent one. Labels may be
+any number: the table (n-gram, language, count) is counted, and the hash is
+as wide as keeps it below ``MOST_ENTRIES`` rows (2^18 slots an order for a
+hundred languages and more), so what is sent to the tasks has a proven size.
+
+For a document, the likelihood of each word under each language is the
+product of its letters' probabilities; expectation-maximisation estimates the
+proportions of languages among its words. The language set is chosen by
+penalised likelihood: from all languages, the weakest is dropped as long as
+log likelihood less 0.5 ln(words + 1) + 3 for each further language does not
+fall. ``lang_pred`` is the language with the largest proportion, ``score``
+that proportion, ``langs`` the chosen set.
+
+``fit`` is the mean natural logarithm of the probability of a letter under
+the best language of its word. ``keep_identified`` rejects what is not
+identified: rows without a letter, and those whose letters fit worse than a
+uniform guess among the letters that training saw. How many languages a text
+mixes, and in what shares, is no ground to reject it.
+
 ``und`` and 0 where the text is null or has no letter, or where training saw
 no labelled text. Ties go to the label that sorts first. Copies get equal
 results; an empty table gives no rows; input columns named like a result
@@ -34,16 +40,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, chunks
+from .common import add_columns, chunks, stored
 
-LETTERS = 62
-OTHER = 63  # class of other letters; 0 is the word boundary
-CLASSES = 64
 EM_STEPS = 12
 UNKNOWN = "und"
-#: A model of more languages than this is refused: it is sent to every task.
-MOST_LANGUAGES = 128
+#: n-gram counts (16 bytes each) that a model sent to every task may have
+MOST_ENTRIES = 16_000_000
+#: slots of a hashed order, as a power of two: at most, and at least
+WIDEST, NARROWEST = 18, 8
+#: dense counts of so many languages are held by a task at once
+HELD = 12
 FLOOR = 1e-30
+#: a language with a smaller proportion is out of a document's set at once
+LEAST = 1e-3
+#: the counts of a model: letters and histories of one letter, pairs and
+#: histories of two, triples
+UNI, AFTER_1, PAIR, AFTER_2, TRIPLE = range(5)
+_U = np.uint64
 
 
 def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -64,105 +77,134 @@ def _is_letter(points: np.ndarray) -> np.ndarray:
     return _LETTER_TABLE[points]
 
 
-def letter_counts(docs: DataFrame) -> DataFrame:
-    """(point, n) over all texts, added up in each partition first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0x110000, dtype=np.int64)
-        for batch in batches:
-            for part in chunks(batch, 0, 2_000_000):
-                points, _ = _points(part.column(0).to_pylist())
-                seen = np.bincount(points[_is_letter(points)])
-                total[: len(seen)] += seen
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["point", "n"])
-
-    return docs.select("text").mapInArrow(run, "point int, n long").groupBy("point").agg(F.sum("n").alias("n"))
-
-
-def class_table(alphabet: list[int]) -> np.ndarray:
-    """Class of each code point: 0 boundary, 1.. alphabet, OTHER."""
-    table = np.zeros(0x110000, dtype=np.uint8)
-    table[np.flatnonzero(_is_letter(np.arange(0x110000, dtype=np.uint32)))] = OTHER
-    for i, c in enumerate(alphabet):
-        table[c] = i + 1
-    return table
-
-
-def _trigrams(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram code ending at each place that belongs to a word (its letters
-    and the boundary after it), and that place."""
-    before = np.concatenate(([0], classes[:-1]))
-    third = np.concatenate(([0, 0], classes[:-2]))
-    third = np.where(before == 0, 0, third)
-    at = np.flatnonzero((classes > 0) | (before > 0))
-    return (third[at].astype(np.int32) << 12) | (before[at].astype(np.int32) << 6) | classes[at], at
+def _triples(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letter triples that end at each place of a word (its letters and
+    the boundary after it) as numbers, these places, and the texts' ends."""
+    points, ends = _points(texts)
+    letters = np.where(_is_letter(points), points, 0).astype(np.int64)
+    before = np.concatenate(([0], letters[:-1]))
+    third = np.where(before == 0, 0, np.concatenate(([0, 0], letters[:-2])))
+    at = np.flatnonzero((letters > 0) | (before > 0))
+    return (third[at] << 42) | (before[at] << 21) | letters[at], at, ends
+
+
+def _types(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct triples, and which one each is."""
+    found = pa.array(codes).dictionary_encode()
+    return found.dictionary.to_numpy(zero_copy_only=False), found.indices.to_numpy(zero_copy_only=False)
+
+
+def _slots(codes: np.ndarray, width: int) -> list[np.ndarray]:
+    """The slot of each triple in each of the five counts, one behind the
+    other."""
+    third, before, cur = codes >> 42, codes >> 21 & 0x1FFFFF, codes & 0x1FFFFF
+    out = []
+    for kind, parts in ((UNI, (cur,)), (AFTER_1, (before,)), (PAIR, (before, cur)), (AFTER_2, (third, before)), (TRIPLE, (third, before, cur))):
+        h = np.full(len(codes), kind + 1, dtype=_U)
+        with np.errstate(over="ignore"):
+            for p in parts:
+                h = (h ^ (p.astype(_U) + _U(0x9E3779B97F4A7C15))) * _U(0xBF58476D1CE4E5B9)
+                h ^= h >> _U(29)
+        out.append((kind << width) + (h >> _U(64 - width)).astype(np.int64))
+    return out
 
 
-def trigram_counts(docs: DataFrame, alphabet: list[int]) -> DataFrame:
-    """(lang, code, n): trigram counts of each language, added up in each
-    partition first."""
+def ngram_counts(docs: DataFrame, width: int = WIDEST) -> DataFrame:
+    """(lang, slot, n) of ``docs`` (text, lang), added up in each partition
+    first."""
+    size = 5 << width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, totals = class_table(alphabet), {}
+        totals: dict[str, np.ndarray] = {}
 
         def rows():
             for lang, total in totals.items():
                 at = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["lang", "code", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["lang", "slot", "n"])
 
         for batch in batches:
             for part in chunks(batch, 1, 2_000_000):
-                langs, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
                 by: dict[str, list[str]] = {}
-                for lang, text in zip(langs, texts, strict=True):
+                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     by.setdefault(lang, []).append(text)
                 for lang, own in by.items():
-                    codes, _ = _trigrams(table[_points(own)[0]])
-                    if lang not in totals and len(totals) >= 64:
+                    types, which = _types(_triples(own)[0])
+                    if lang not in totals and len(totals) >= HELD:
                         yield from rows()
                         totals.clear()
-                    total = totals.setdefault(lang, np.zeros(CLASSES**3, dtype=np.int64))
-                    total += np.bincount(codes, minlength=CLASSES**3)
+                    total = totals.setdefault(lang, np.zeros(size, dtype=np.int64))
+                    n = np.bincount(which, minlength=len(types))
+                    for slots in _slots(types, width):
+                        np.add.at(total, slots, n)
         yield from rows()
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counted = docs.select("lang", "text").mapInArrow(run, "lang string, slot int, n long")
+    return counted.groupBy("lang", "slot").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Model:
-    langs: list[str]
-    alphabet: list[int]
-    logp: np.ndarray  # (CLASSES ** 3, languages), float32
+    """Counts by slot: those of ``slots[i]`` are ``lang`` and ``n`` from
+    ``first[i]`` to ``first[i + 1]``."""
 
+    langs: list[str]
+    width: int
+    slots: np.ndarray
+    first: np.ndarray
+    lang: np.ndarray
+    n: np.ndarray
+
+    @property
+    def letters(self) -> int:
+        """Distinct letters (slots of them) that training saw."""
+        return max(2, int((self.slots < 1 << self.width).sum()))
+
+    def counts(self, slots: np.ndarray) -> np.ndarray:
+        """(slots, languages)"""
+        out = np.zeros((len(slots), len(self.langs)))
+        if not len(self.slots):
+            return out
+        at = np.minimum(np.searchsorted(self.slots, slots), len(self.slots) - 1)
+        known = np.flatnonzero(self.slots[at] == slots)
+        sizes = self.first[at[known] + 1] - self.first[at[known]]
+        entry = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.first[at[known]], sizes)
+        out[np.repeat(known, sizes), self.lang[entry]] = self.n[entry]
+        return out
 
-def smoothed(counts: np.ndarray, k: float = 8.0) -> np.ndarray:
-    """log p(third | first, second) of one language's dense counts, each
-    order interpolated with the next lower one."""
-    c3 = counts.reshape(CLASSES, CLASSES, CLASSES).astype(np.float64)
-    c2 = c3.sum(axis=0)
-    c1 = c2.sum(axis=0)
-    p1 = (c1 + 0.5) / (c1.sum() + 0.5 * CLASSES)
-    p2 = (c2 + k * p1) / (c2.sum(axis=1, keepdims=True) + k)
-    p3 = (c3 + k * p2[None]) / (c3.sum(axis=2, keepdims=True) + k)
-    return np.log(p3).reshape(-1).astype(np.float32)
+    def log_probabilities(self, types: np.ndarray, k: float = 8.0) -> np.ndarray:
+        """log p(letter | the two before it) of triples, by language."""
+        uni, after_1, pair, after_2, triple = (self.counts(s) for s in _slots(types, self.width))
+        total = np.zeros(len(self.langs))
+        own = slice(0, self.first[np.searchsorted(self.slots, 1 << self.width)])
+        np.add.at(total, self.lang[own], self.n[own])
+        p = (uni + 0.5) / (total + 0.5 * self.letters)
+        p = (pair + k * p) / (after_1 + k)
+        p = (triple + k * p) / (after_2 + k)
+        return np.log(p).astype(np.float32)
 
 
-def train(docs: DataFrame) -> Model:
+def train(docs: DataFrame, most_entries: int = MOST_ENTRIES) -> Model:
     """Fit on the rows of ``docs`` (text, lang) with neither null."""
     labelled = docs.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    top = letter_counts(labelled).orderBy(F.desc("n"), "point").limit(LETTERS)
-    alphabet = [r.point for r in top.collect()]
-    counts = trigram_counts(labelled, alphabet)
-    langs = sorted(r.lang for r in labelled.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages; the model would have no proven size")
-    dense = np.zeros((len(langs), CLASSES**3), dtype=np.int64)
-    at = {lang: i for i, lang in enumerate(langs)}
-    for r in counts.toLocalIterator():  # at most CLASSES ** 3 rows a language
-        dense[at[r.lang], r.code] = r.n
-    logp = np.stack([smoothed(c) for c in dense], axis=1) if langs else np.zeros((CLASSES**3, 0), np.float32)
-    return Model(langs, alphabet, logp)
+    counted = stored(ngram_counts(labelled), "ngrams")
+    width, one = WIDEST, 1 << WIDEST
+    narrow = counted
+    while width > NARROWEST and narrow.count() > most_entries:  # fold neighbouring slots
+        width -= 1
+        slot = F.shiftright(F.pmod("slot", F.lit(one)), WIDEST - width) + F.shiftleft(F.floor(F.col("slot") / one).cast("int"), width)
+        narrow = counted.groupBy("lang", slot.alias("slot")).agg(F.sum("n").alias("n"))
+    # at most most_entries rows, or 5 << NARROWEST of each language
+    rows = narrow.toArrow()
+    names = rows["lang"].combine_chunks().dictionary_encode() if rows.num_rows else None
+    langs = sorted(names.dictionary.to_pylist()) if names is not None else []
+    if not langs:
+        return Model([], width, np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    place = {lang: i for i, lang in enumerate(langs)}
+    lang = np.array([place[x] for x in names.dictionary.to_pylist()])[names.indices.to_numpy()]
+    slot = rows["slot"].to_numpy().astype(np.int64)
+    order = np.lexsort((lang, slot))
+    slots, first = np.unique(slot[order], return_index=True)
+    return Model(langs, width, slots, np.append(first, len(order)), lang[order].astype(np.int32), rows["n"].to_numpy()[order].astype(np.float32))
 
 
 def _em(like: np.ndarray, starts: np.ndarray, sizes: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,56 +238,63 @@ def _pick(like: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     rows = np.repeat(np.isin(np.arange(n), left), sizes)
     like, sizes, share, price = like[rows], sizes[left], share[left], price[left]
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    allowed, held = np.ones((len(left), k)), full[left] - price * (k - 1)
-    chosen, open_ = share.copy(), np.ones(len(left), dtype=bool)
-    for size in range(k - 1, 0, -1):
+    allowed = ((share > LEAST) | (share == share.max(axis=1, keepdims=True))).astype(float)  # the others add nothing
+    count = allowed.sum(axis=1)
+    share, ll = _em(like, starts, sizes, allowed)
+    held, chosen, open_ = ll - price * (count - 1), share.copy(), np.ones(len(left), dtype=bool)
+    for _ in range(int(count.max()) - 1):
+        go = np.flatnonzero(count > 1)
         weakest = np.where(allowed > 0, share, np.inf).argmin(axis=1)
-        allowed[np.arange(len(left)), weakest] = 0
+        allowed[go, weakest[go]] = 0
+        count[go] -= 1
         share, ll = _em(like, starts, sizes, allowed)
-        value = ll - price * (size - 1)
+        value = ll - price * (count - 1)
         better = open_ & (value >= held)
+        better[count < 1] = False
         chosen[better], held[better] = share[better], value[better]
-        open_ = better if size > 1 else open_
+        open_ &= better
     lone = single[left, best[left]] >= held
     out[left[~lone]] = chosen[~lone]
     return out
 
 
-def shares(texts: list[str | None], model: Model, classes: np.ndarray) -> np.ndarray:
-    """Language proportions of each text; rows of zeros without a letter."""
-    out = np.zeros((len(texts), len(model.langs)))
-    points, ends = _points(texts)
-    codes, at = _trigrams(classes[points])
+def shares(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Language proportions of each text (rows of zeros without a letter),
+    and the mean log probability of its letters."""
+    out, fit = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts))
+    codes, at, ends = _triples(texts)
     if not len(at) or not model.langs:
-        return out
-    first = np.flatnonzero(np.concatenate(([True], (codes >> 6 & 63)[1:] == 0)))  # of each word
-    word_like = np.add.reduceat(model.logp[codes], first, axis=0)
+        return out, fit
+    types, which = _types(codes)
+    first = np.flatnonzero(np.concatenate(([True], (codes >> 21 & 0x1FFFFF)[1:] == 0)))  # of each word
+    word_like = np.add.reduceat(model.log_probabilities(types)[which], first, axis=0)
     word_doc = np.searchsorted(ends, at[first], side="right")
-    like = np.exp(word_like - word_like.max(axis=1, keepdims=True)).astype(np.float64)
-    docs, sizes = np.unique(word_doc, return_counts=True)
+    best = word_like.max(axis=1)
+    like = np.exp(word_like - best[:, None]).astype(np.float64)
+    docs, starts, sizes = np.unique(word_doc, return_index=True, return_counts=True)
     out[docs] = _pick(like, sizes)
-    return out
+    fit[docs] = np.add.reduceat(best, starts, dtype=np.float64) / np.add.reduceat(np.diff(np.append(first, len(codes))), starts)
+    return out, fit
 
 
 def predict(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
-    """``docs`` with lang_pred, score and langs (after ``prefix``)."""
+    """``docs`` with lang_pred, score, langs and fit (after ``prefix``)."""
     send = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [T.StructField(f"{prefix}lang_pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}langs", T.ArrayType(T.StringType()))]
-    state: dict[str, np.ndarray] = {}
+    kinds = {"lang_pred": T.StringType(), "score": T.DoubleType(), "langs": T.ArrayType(T.StringType()), "fit": T.DoubleType()}
 
     def fn(texts: list[str | None]):
         m = send.value
-        if "classes" not in state:
-            state["classes"] = class_table(m.alphabet)
-        found = shares(texts, m, state["classes"])
+        found, fit = shares(texts, m)
         known = found.any(axis=1) if m.langs else np.zeros(len(texts), dtype=bool)
         best = found.argmax(axis=1) if m.langs else np.zeros(len(texts), dtype=int)
         top = [m.langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
         score = np.minimum(found.max(axis=1), 1.0) if m.langs else np.zeros(len(texts))
         sets = [[m.langs[i] for i in np.flatnonzero(row > 0.005)] for row in found]
-        return [pa.array(top, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pa.list_(pa.string()))], None
+        return [pa.array(top, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pa.list_(pa.string())), pa.array(fit, pa.float64(), mask=~known)], None
 
-    return add_columns(docs, "text", fields, fn, most_chars=1_000_000)
+    # a slice's tables have a column for each language
+    most = max(2_000, 4_000_000 // max(4, len(model.langs)))
+    return add_columns(docs, "text", [T.StructField(f"{prefix}{n}", k) for n, k in kinds.items()], fn, most_chars=most)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -257,8 +306,9 @@ def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose main language is known and
-    has at least the proportion ``least``; trained on ``training_rows``."""
-    found = predict(docs, train(training_rows(docs)), "_lx_")
-    return found.where((F.col("_lx_lang_pred") != UNKNOWN) & (F.col("_lx_score") >= least)).select(*[f"`{c}`" for c in docs.columns])
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose languages are identified
+    (see above); trained on ``training_rows``."""
+    model = train(training_rows(docs))
+    found = predict(docs, model, "_lx_")
+    return found.where((F.col("_lx_lang_pred") != UNKNOWN) & (F.col("_lx_fit") >= -float(np.log(model.letters)))).select(*[f"`{c}`" for c in docs.columns])
