@@ -24,10 +24,14 @@ Counting and scoring are joins of count tables, sharded by n-gram:
    Both ways give the same values.
 
 A document is kept if its perplexity does not exceed its language's
-threshold: ``quantile`` of the trusted documents' perplexities in that
-language (``lang``), read from an exact count of values rounded to 0.001
-bits, times ``slack`` (op4 cuts at the quantile itself, 1.0; the pipeline's
-stage takes the default, 1.4). Languages without trusted text take the threshold of all.
+threshold: ``quantile`` of trusted documents' perplexities in that language
+(``lang``), read from an exact count of values rounded to 0.001 bits. The
+model hasn't seen these documents: of the trusted texts one in ``folds``, by
+a hash of the text (so copies stay together), is left out of the counts and
+sets the thresholds; perplexities of texts that were counted are lower, and
+a threshold read from them would cost clean documents. Languages without
+such text take the threshold of all; if there is none at all, the counted
+texts set it.
 
 Null or empty texts have no perplexity and are not kept. Copies get equal
 results. Rows that ``labels`` names twice train once. Without any trusted
@@ -60,6 +64,8 @@ PAD = "\0" * (ORDER - 1)
 MOST_SENT = 2_000_000
 #: Bytes of text in a slice, where the table is not sent.
 SLICE = 16_000_000
+#: Share of clean documents, of those the model hasn't seen, below the threshold.
+QUANTILE = 0.98
 #: Rows of count tables that a task holds before it passes them on.
 HELD = 500_000
 
@@ -294,26 +300,37 @@ def score_slices(docs: DataFrame, model: Model, prefix: str = "", size: int = SL
     return dealt.groupBy("_slice").cogroup(types.groupBy("_slice")).applyInArrow(run, schema)
 
 
-def thresholds(scored: DataFrame, quantile: float, slack: float) -> dict[str | None, float]:
+def thresholds(scored: DataFrame, quantile: float) -> dict[str | None, float]:
     """Per language, and under None for all: the ``quantile`` of the
-    perplexities in ``scored`` (lang, perplexity), times ``slack``."""
+    perplexities in ``scored`` (lang, perplexity)."""
     bins = scored.where("perplexity is not null").select(F.coalesce("lang", F.lit("")).alias("lang"), F.ceil(F.log2("perplexity") * 1000).alias("bin"))
     bins = bins.groupBy("lang", "bin").count()
     both = bins.unionByName(bins.groupBy("bin").agg(F.sum("count").alias("count")).select(F.lit(None).cast("string").alias("lang"), "bin", "count"))
     own = Window.partitionBy("lang")
     ranked = both.select("lang", "bin", F.sum("count").over(own.orderBy("bin")).alias("upto"), F.sum("count").over(own).alias("all"))
     cut = ranked.where(F.col("upto") >= quantile * F.col("all")).groupBy("lang").agg(F.min("bin").alias("bin"))
-    return {r.lang: 2.0 ** (r.bin / 1000) * slack for r in cut.collect()}
+    return {r.lang: 2.0 ** (r.bin / 1000) for r in cut.collect()}
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.98, slack: float = 1.4, prefix: str = "") -> DataFrame:
+def left_out(text: Column, folds: int) -> Column:
+    """Is a trusted text kept out of the counts, to set the thresholds?"""
+    return F.pmod(F.xxhash64(text), F.lit(folds)) == 0
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, folds: int = 3, prefix: str = "") -> DataFrame:
     """``docs`` (doc_id, text, lang, ...) with perplexity, threshold and keep
     (after ``prefix``)."""
     names = [f"{prefix}{n}" for n in ("perplexity", "threshold", "keep")]
     base = without(docs, names)
-    trusted = stored(trusted_rows(base.select("doc_id", "text", "lang"), labels), "trusted")
-    model = train(base, trusted)
-    cuts = thresholds(score(trusted.select("text", "lang"), model), quantile, slack) if model.alphabet else {}
+    trusted = stored(trusted_rows(base.select("doc_id", "text", "lang"), labels).withColumn("apart", left_out(F.col("text"), folds)), "trusted")
+    counted, apart = trusted.where("not apart"), trusted.where("apart")
+    kinds = {r.apart for r in trusted.where("text <> ''").select("apart").distinct().collect()}
+    if kinds == {True}:
+        counted = apart
+    elif kinds == {False}:
+        apart = counted
+    model = train(base, counted)
+    cuts = thresholds(score(apart.select("text", "lang"), model), quantile) if model.alphabet else {}
     rest = F.lit(cuts.get(None, float("inf")))
     own = {k: v for k, v in cuts.items() if k is not None}
     cut = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in sorted(own.items()) for x in pair]), F.coalesce(F.col("lang"), F.lit(""))), rest) if own else rest

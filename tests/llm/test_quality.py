@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexispark.llm import quality, queries
 
@@ -40,18 +41,25 @@ def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 
+def split(spark, texts, folds=3):
+    """(counted, apart) of trusted texts, as the operator deals them."""
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", quality.left_out(F.col("text"), folds).alias("apart")).collect()
+    apart = {r.i for r in rows if r.apart}
+    assert 0 < len(apart) < len(texts)
+    return [t for i, t in enumerate(texts) if i not in apart], [t for i, t in enumerate(texts) if i in apart]
+
+
 def test_perplexity_against_brute_force(spark):
     good = [prose(i, 40, lang) for i in range(6) for lang in ("en", "de")]
     docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(good)] + [(50, prose(77, 30, "es") + " #### QQ", "en", "s", 1), (51, "z", None, "s", 1)])
     out = {r.doc_id: r for r in quality.classify(docs, labels(spark, [(i, 1, 0) for i in range(12)] + [(0, 1, 0)])).collect()}
-    alphabet = quality.alphabet_of(frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(good)]))
-    want = brute_model(good, alphabet)
+    counted, apart = split(spark, good)
+    alphabet = quality.alphabet_of(frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(counted)]))
+    want = brute_model(counted, alphabet)
     for doc, text in [*enumerate(good), (50, prose(77, 30, "es") + " #### QQ"), (51, "z")]:
         assert out[doc].perplexity == pytest.approx(want(text), rel=1e-4)
-    assert all(out[i].keep for i in range(12)) and not out[50].keep
-    scores = sorted(out[i].perplexity for i in range(12))
-    cut = scores[int(np.ceil(0.98 * 12)) - 1]
-    assert out[50].threshold == pytest.approx(cut * 1.4, rel=2e-3)
+    assert all(out[i].keep for i, t in enumerate(good) if t in apart) and not out[50].keep
+    assert out[50].threshold == pytest.approx(max(map(want, apart)), rel=2e-3)
 
 
 def test_probabilities_sum_to_one():
@@ -68,8 +76,8 @@ def test_junk_goes_and_good_stays_on_the_given_documents(spark):
     out = quality.classify(spark.read.parquet(f"{sf}/documents.parquet"), lab).join(lab, "doc_id")
     rate = {r.quality: r.k for r in out.groupBy("quality").agg({"keep": "max"}).selectExpr("quality", "1 k").collect()}
     assert rate.keys() == {0, 1}
-    r = out.selectExpr("avg(if(quality = 1, cast(keep as int), null)) good", "avg(if(quality = 0, cast(keep as int), null)) bad").first()
-    assert r.good > 0.99 and r.bad < 0.2
+    r = out.selectExpr("avg(if(quality = 1 and coalesce(toxic, 0) = 0, cast(keep as int), null)) good", "avg(if(quality = 0, cast(keep as int), null)) bad").first()
+    assert r.good > 0.94 and r.bad < 0.1
 
 
 def test_awkward_rows(spark):
@@ -90,13 +98,15 @@ def test_awkward_rows(spark):
 def test_the_query_cuts_at_the_exact_quantile_of_each_language(spark):
     sf = "/root/testdata/sf0.001"
     out = queries.op4_quality_classifier(spark, sf).collect()
-    good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 and coalesce(toxic, 0) = 0").collect()}
+    trusted = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where(quality.left_out(F.col("text"), 3))
+    good = {r.doc_id for r in docs.join(trusted, "doc_id").select("doc_id").collect()}
     for lang in {r.lang for r in out}:
         own = sorted(r.perplexity for r in out if r.lang == lang and r.doc_id in good and r.perplexity is not None)
         cuts = {r.threshold for r in out if r.lang == lang}
         assert len(cuts) == 1
         if own:
-            assert cuts.pop() == pytest.approx(own[int(np.ceil(0.98 * len(own))) - 1], rel=2e-3)
+            assert cuts.pop() == pytest.approx(own[int(np.ceil(quality.QUANTILE * len(own))) - 1], rel=2e-3)
 
 
 def test_every_character_of_trusted_text_is_its_own_class(spark):
@@ -112,12 +122,25 @@ def test_every_character_of_trusted_text_is_its_own_class(spark):
     junk = "".join(rng.sample(real, len(real)))
     docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate([*good, real, junk])])
     out = {r.doc_id: r for r in quality.classify(docs, labels(spark, [(i, 1, 0) for i in range(20)])).collect()}
-    assert len(quality.alphabet_of(docs.where("doc_id < 20"))) > 100
-    assert out[21].perplexity > 5 * out[20].perplexity
-    want = brute_model(good, quality.alphabet_of(docs.where("doc_id < 20")))
+    counted, _ = split(spark, good)
+    alphabet = quality.alphabet_of(docs.where(F.col("text").isin(counted)))
+    assert len(alphabet) > 100 and out[21].perplexity > 5 * out[20].perplexity
+    want = brute_model(counted, alphabet)
     assert out[20].perplexity == pytest.approx(want(real), rel=1e-4) and out[21].perplexity == pytest.approx(want(junk), rel=1e-4)
 
 
+def test_unseen_clean_text_is_kept_at_the_quantile(spark):
+    """The threshold holds for texts that neither the counts nor it have
+    seen: half of the trusted labels are taken away."""
+    sf = "/root/testdata/sf0.1"
+    lab = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id", "quality", "toxic").distinct()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(lab.select("doc_id"), "doc_id")
+    hidden = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(2)) == 0
+    known = lab.join(docs.where(~hidden).select("doc_id"), "doc_id")
+    r = quality.classify(docs, known).where(hidden).selectExpr("avg(cast(keep as int)) k", "count(*) n").first()
+    assert r.n > 1000 and abs(r.k - quality.QUANTILE) < 0.01
+
+
 def test_more_classes_than_two_bytes_hold():
     import random
 
