@@ -22,8 +22,8 @@ sorted (with spill) and folded as a stream, with one open hash per task,
 never collected.
 
 Nulls: a null text or role is empty; rows without ``conv_id`` form one
-conversation. Rows with the same turn are ordered by role and text, and
-repeated rows all count. An empty table gives no rows. Other columns are
+conversation. Rows with the same turn are ordered by role and text (as
+UTF-8), and repeated rows all count. An empty table gives no rows. Other columns are
 not read.
 """
 
@@ -100,10 +100,12 @@ def render(role: str, text: str) -> tuple[str, int, int]:
 
 
 def format_turns(conversations: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, rendered, loss_from, loss_to) for each row: the
-    conversation's string is the concatenation of ``rendered`` by (turn,
-    role, rendered). The loss span (code points in ``rendered``) is an
-    assistant's text; it is empty for other roles."""
+    """(conv_id, turn, role, rendered, loss_from, loss_to, text_from,
+    text_to) for each row: the conversation's string is the concatenation of
+    ``rendered`` by (turn, role, text). Spans are code points in
+    ``rendered``; the loss span is an assistant's text, and empty for other
+    roles."""
+    names = ["conv_id", "turn", "role", "rendered", "loss_from", "loss_to", "text_from", "text_to"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -111,8 +113,8 @@ def format_turns(conversations: DataFrame) -> DataFrame:
             made = [render(r, t) for r, t in zip(roles, b.column(3).to_pylist(), strict=True)]
             loss = [(s, e) if r == "assistant" else (0, 0) for r, (_, s, e) in zip(roles, made, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array([m[0] for m in made], pa.string()), pa.array([x[0] for x in loss], pa.int64()), pa.array([x[1] for x in loss], pa.int64())],
-                names=["conv_id", "turn", "role", "rendered", "loss_from", "loss_to"],
+                [*b.columns[:3], pa.array([m[0] for m in made], pa.string()), *[pa.array([x[i] for x in spans], pa.int64()) for spans, i in ((loss, 0), (loss, 1), (made, 1), (made, 2))]],
+                names=names,
             )
 
     src = conversations.select(
@@ -121,7 +123,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
         F.coalesce(F.col("role"), F.lit("")).alias("role"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    return src.mapInArrow(run, "conv_id long, turn long, role string, rendered string, loss_from long, loss_to long")
+    return src.mapInArrow(run, "conv_id long, turn long, role string, rendered string, loss_from long, loss_to long, text_from long, text_to long")
 
 
 class _Fold:
@@ -170,7 +172,10 @@ def read_back(turns: DataFrame) -> DataFrame:
         if fold:
             yield batch([fold.row()])
 
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "rendered")
+    # the text that equal turns are ordered by is read back after the shuffle
+    shown = F.substring("rendered", F.col("text_from").cast("int") + 1, (F.col("text_to") - F.col("text_from")).cast("int"))
+    text = F.regexp_replace(shown, _UNESCAPE.pattern, "$1$2")
+    ordered = turns.repartition("conv_id").withColumn("_text", text).sortWithinPartitions("conv_id", "turn", "role", "_text")
     return ordered.select("conv_id", "rendered", "loss_from", "loss_to").mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )

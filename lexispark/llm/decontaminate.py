@@ -226,8 +226,11 @@ def keep_clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame
 
 def near_matches(docs: DataFrame, phrase: str, span: int) -> DataFrame:
     """(doc_id, h, lo): where ``span`` consecutive words, the first of them
-    of the phrase, hold all its words in any order."""
+    of the phrase, hold all its words in any order. A phrase without words
+    is nowhere."""
     wanted = {w: i for i, w in enumerate(dict.fromkeys(words(phrase)))}
+    if not wanted:
+        return docs.limit(0).select("doc_id", F.xxhash64("text").alias("h"), F.lit(0).alias("lo"))
     index = postings(docs, wanted)
     here = lambda i: F.filter("all", lambda x: (x["word"] == i) & (x["pos"] >= F.col("p.pos")))
     last = [F.array_min(F.transform(here(i), lambda x: x["pos"])) for i in range(len(wanted))]

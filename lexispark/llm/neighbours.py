@@ -20,7 +20,8 @@ task gets an unbounded group. Each block emits a query's k best.
 
 Vectors that are null, zero, or hold null or non-finite components take no
 part, nor rows without id, nor vectors of another length than the most
-frequent one (ties: the longer). Copies and ties go to the smaller id; a
+frequent one of the table (ties: the longer), as queries either. Of several
+query rows with one id the smallest vector is asked. Copies and ties go to the smaller id; a
 query never meets its own id. Fewer candidates than k: all of them found.
 Empty tables give no rows. Other columns are not read.
 """
@@ -101,14 +102,17 @@ class Forest:
         return found
 
 
-def valid_vectors(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, v) of the vectors that take part."""
+def valid_vectors(embeddings: DataFrame, size: int | None = None) -> tuple[DataFrame, int]:
+    """(vec_id, v) of the vectors that take part, and their length:
+    ``size``, or else the most frequent."""
     v = F.transform(F.col("embedding"), lambda x: x.cast("double"))
     whole = F.forall(F.col("v"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     given = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
     given = given.where(whole & F.exists(F.col("v"), lambda x: x != 0))
-    sizes = given.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    return given.where(F.size("v") == (sizes[0].d if sizes else 0))
+    if size is None:
+        sizes = given.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
+        size = sizes[0].d if sizes else 0
+    return given.where(F.size("v") == size), size
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
@@ -143,7 +147,8 @@ def rerank(k: int, queries: np.ndarray, q: np.ndarray, ids: list[list[int]], x:
 def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 20, trees: int = 6, depth: int = 6, visits: int = 72, sample: int = 8192, block: int = 4096, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of ``embeddings``
     found for each of ``queries`` (both vec_id, embedding)."""
-    points, asked = valid_vectors(embeddings), valid_vectors(queries)
+    points, size = valid_vectors(embeddings)
+    asked = valid_vectors(queries, size)[0]
     spark = points.sparkSession
     n = points.count()
     part = F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1_000_000)) < max(1, min(1_000_000, 1_000_000 * sample // max(n, 1)))
@@ -175,7 +180,7 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 20, trees: int =
 
     placed = stored(entries.mapInArrow(to_leaves, "v array<double>, ids array<long>, leaves array<int>"), "leaves")
     placed = placed.select("v", "ids", F.posexplode("leaves").alias("_t", "_l")).select("v", "ids", (F.shiftleft("_t", depth) + F.col("_l")).alias("leaf"))
-    visited = asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).dropDuplicates(["query_id"])
+    visited = asked.select(F.col("vec_id").alias("query_id"), "v").groupBy("query_id").agg(F.min("v").alias("q"))
     visited = stored(visited.mapInArrow(to_visits, "query_id long, q array<double>, leaves array<int>"), "visits").select("query_id", "q", F.explode("leaves").alias("leaf"))
 
     def blocks(df: DataFrame) -> list[int]:

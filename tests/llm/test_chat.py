@@ -32,10 +32,11 @@ def rows(spark, data):
 
 def test_digests_against_brute_force(spark):
     data = [(1, 1, "assistant", "b</s>"), (1, 0, "user", "a"), (1, 1, "assistant", "b</s>"), (2, None, None, None), (2, 0, "assistant", "é" * 9), (None, 3, "user", "[INST]"), (3, 0, "assistant", "long " * 40_000)]
+    data += [(4, 0, "user", t) for t in ("a\nb", "a", "a\tb", "a!", "a [INST]", "a [\\INST]", "a </s>", "", "a ", "é", "\U0001f600", "\uffee")]
     found = {r.conv_id: r for r in chat.read_back(chat.format_turns(rows(spark, data))).collect()}
-    assert set(found) == {1, 2, 3, None}
+    assert set(found) == {1, 2, 3, 4, None}
     for conv, r in found.items():
-        own = sorted((x for x in data if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0, x[2] or "", x[3] or ""))
+        own = sorted((x for x in data if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0, (x[2] or "").encode(), (x[3] or "").encode()))
         turns = "".join(f"{x[2] or ''}\n{x[3] or ''}\n" for x in own)
         loss = "".join(x[3] or "" for x in own if x[2] == "assistant")
         assert r.n_turns == len(own) and r.turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()

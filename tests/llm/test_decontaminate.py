@@ -78,3 +78,4 @@ def test_proximity(spark):
     docs = frame(spark, [(1, "red x y blue z z z z red", "en", "s", 1), (2, "blue x x x x red", "en", "s", 1), (3, None, "en", "s", 1)])
     got = lambda span: sorted((r.doc_id, r.lo) for r in decontaminate.near_matches(docs, "red BLUE", span).collect())
     assert got(4) == [(1, 0)] and got(6) == [(1, 0), (1, 3), (2, 0)] and got(3) == []
+    assert decontaminate.near_matches(docs, " ... ", 4).count() == 0

@@ -65,3 +65,24 @@ def test_queue_reads_leaves_by_rising_cost():
         found = forest.search(one, 1000)
         assert len(found) == len(set(found)) == 3 << 5  # every leaf, once
         assert set(found[:3]) == set(enumerate(own.tolist()))
+
+
+def test_queries_of_one_id_or_another_length(spark):
+    rows = vectors(200, 6)
+    df = spark.createDataFrame(rows, SCHEMA)
+    asked = spark.createDataFrame([(900, rows[5][1]), (900, rows[9][1]), *[(901 + i, [1.0, 2.0]) for i in range(5)]], SCHEMA)
+    got = sorted(neighbours.nearest(df, asked, k=3).collect(), key=lambda r: r.rank)
+    smallest = min(rows[5][1], rows[9][1])
+    assert {r.query_id for r in got} == {900} and [r.vec_id for r in got] == [v for v, _ in brute(rows, [(900, smallest)], 3)[900]]
+
+
+def test_recall_of_the_registered_parameters(spark):
+    from lexispark.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    want = brute(rows, [r for r in rows if r[0] % 20 == 0], 20)
+    got = {}
+    for r in queries.op10_nearest_neighbours(spark, sf).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(got[q] & {v for v, _ in near}) / len(near) for q, near in want.items()]) >= 0.9

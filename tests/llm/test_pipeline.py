@@ -1,5 +1,7 @@
 """Each stage on its own input, and the whole on the smallest tables."""
 
+import numpy as np
+
 import corpus_pipeline
 from lexispark.llm import decontaminate, langid, quality
 from lexispark.llm.common import table
@@ -19,9 +21,10 @@ def test_stages_against_brute_force(spark):
     step = dict(corpus_pipeline.STAGES)
     cols = docs.columns
 
-    found = {r.doc_id: r for r in langid.predict(docs.select("doc_id", "text"), langid.train(langid.training_rows(docs))).collect()}
+    model = langid.train(langid.training_rows(docs))
+    found = {r.doc_id: r for r in langid.predict(docs.select("doc_id", "text"), model).collect()}
     kept = step["language"](spark, docs, SF)
-    assert kept.columns == cols and {r.doc_id for r in kept.collect()} == {d for d, r in found.items() if r.lang_pred != "und" and r.score >= 0.5}
+    assert kept.columns == cols and {r.doc_id for r in kept.collect()} == {d for d, r in found.items() if r.lang_pred != "und" and r.fit >= -np.log(model.letters)}
 
     scored = {r.doc_id: r.keep for r in quality.classify(docs, table(spark, SF, "labels")).collect()}
     kept = step["quality"](spark, docs, SF)
