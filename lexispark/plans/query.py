@@ -284,6 +284,29 @@ def _prefix_phrase_hits(index: Index, text: str) -> DataFrame:
     )
 
 
+def sloppy_starts(pl: Column, n: int, slop: int) -> Column:
+    """How many positions of the first of ``n`` tokens start a match.
+    ``pl``: (off, positions) of each token.
+
+    One walk over all positions from the last to the first: ``ends[j]`` is
+    where the chain from the nearest position of token j ends, that is the
+    chain of the nearest next position of token j + 1. At one position (a
+    token that the phrase repeats) lower tokens go first, as the next token's
+    position must be larger. Work grows with the number of positions."""
+    events = F.array_sort(F.flatten(F.transform(pl, lambda x: F.transform(x["positions"], lambda p: F.struct((-p).alias("back"), x["off"].alias("off"))))))
+    none = F.lit(-1)
+
+    def step(held: Column, e: Column) -> Column:
+        at = -e["back"]
+        end = F.when(e["off"] == n - 1, at).otherwise(F.get(held["ends"], e["off"] + 1))
+        ends = F.transform(held["ends"], lambda x, j: F.when(j == e["off"], end).otherwise(x))
+        fits = (e["off"] == 0) & (end >= 0) & (end - at - F.lit(n - 1) <= slop)
+        return F.struct(ends.alias("ends"), (held["n"] + F.when(fits, 1).otherwise(0)).alias("n"))
+
+    start = F.struct(F.array_repeat(none, n).alias("ends"), F.lit(0).alias("n"))
+    return F.aggregate(events, start, step, lambda held: held["n"])
+
+
 def _sloppy_phrase_hits(index: Index, text: str, slop: int) -> DataFrame:
     """tokens in order at increasing positions whose total gap
     ``p_last - p_first - (n - 1)`` is at most ``slop``. For each position of
@@ -296,22 +319,7 @@ def _sloppy_phrase_hits(index: Index, text: str, slop: int) -> DataFrame:
         return _constant(index.doc_stats.limit(0))
     st = index.stats()
     per_doc = _positions(index, toks).groupBy(*DOC).agg(F.collect_list(F.struct("off", "positions")).alias("pl"))
-    per_doc = per_doc.filter(F.size("pl") == n)
-    arrs = F.transform(F.array_sort("pl"), lambda x: x["positions"])
-    first = arrs[0]
-    rest = F.slice(arrs, 2, F.greatest(F.size(arrs) - 1, F.lit(0)))
-    ends = F.transform(
-        first,
-        lambda p: F.aggregate(
-            rest,
-            p,
-            lambda cur, a: F.when(cur < 0, F.lit(-1)).otherwise(
-                F.coalesce(F.array_min(F.filter(a, lambda x: x > cur)), F.lit(-1))
-            ),
-        ),
-    )
-    ok = F.zip_with(first, ends, lambda p, e: (e >= 0) & (e - p - F.lit(n - 1) <= F.lit(slop)))
-    per_doc = per_doc.withColumn("ptf", F.size(F.filter(ok, lambda b: b)))
+    per_doc = per_doc.filter(F.size("pl") == n).withColumn("ptf", sloppy_starts(F.col("pl"), n, slop))
     per_doc = per_doc.filter(F.col("ptf") > 0)
     w = _idf_sum(index, toks, st)
     return per_doc.withColumn("query_id", F.lit(QID)).select(

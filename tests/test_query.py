@@ -87,3 +87,44 @@ def test_phrase_variants(idx):
     # slop: "gamma beta" in order within 2 extra positions -> doc 4, doc 3 (gamma alpha beta)
     assert set(got(idx, Q.Phrase("gamma beta", slop=2))) == {"3", "4"}
     assert set(got(idx, Q.Phrase("gamma beta", slop=1))) == {"3"}
+
+
+def sloppy(positions, slop):
+    """The definition: from each first position the nearest next ones."""
+    n, found = len(positions), 0
+    for p in positions[0]:
+        at = p
+        for own in positions[1:]:
+            at = min((x for x in own if x > at), default=None) if at is not None else None
+        found += at is not None and at - p - (n - 1) <= slop
+    return found
+
+
+def test_sloppy_starts_against_the_definition(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    for n in (1, 2, 3, 4):
+        rows = []
+        for _ in range(60):
+            own = [sorted(rng.sample(range(40), rng.randint(1, 12))) for _ in range(n)]
+            if n > 2 and rng.random() < 0.5:
+                own[-1] = own[0]  # a token that the phrase repeats
+            rows.append(own)
+        df = spark.createDataFrame([(i, [(j, p) for j, p in enumerate(r)]) for i, r in enumerate(rows)], "i int, pl array<struct<off:int,positions:array<int>>>")
+        for slop in (0, 2, 7):
+            out = {r.i: r.n for r in df.select("i", Q.sloppy_starts(F.col("pl"), n, slop).alias("n")).collect()}
+            assert out == {i: sloppy(r, slop) for i, r in enumerate(rows)}
+
+
+def test_sloppy_starts_are_linear_in_the_positions(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    pl = F.array(*[F.struct(F.lit(j).alias("off"), F.sequence(F.lit(j), F.lit(60_000), F.lit(3)).alias("positions")) for j in range(3)])
+    t = time.time()
+    assert spark.range(1).select(Q.sloppy_starts(pl, 3, 5).alias("n")).first().n == 20_000
+    assert time.time() - t < 20
