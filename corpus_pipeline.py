@@ -5,8 +5,8 @@ one operator of ``lexispark.llm``; its result is written as Parquet and read
 again as the next one's docs. All but the last return the columns of
 ``documents`` (and any extra ones) of the rows they keep:
 
-1. language: rows without a main language (no letters, or none with half of
-   the words) go;
+1. language: rows whose languages can't be identified (no letters, or a worse
+   fit than a uniform guess among the known letters) go;
 2. quality: rows above their language's perplexity threshold go;
 3. near_duplicates: one row of each class of near copies stays;
 4. decontamination: rows that hold a benchmark window go;

@@ -29,19 +29,23 @@ class SearchResult(NamedTuple):
 
 
 def facet_counts(hits: DataFrame) -> DataFrame:
-    """``query_id, header_key, count`` over all hits."""
-    return hits.groupBy("query_id", "header_key").agg(F.sum("copies").cast("long").alias("count"))
+    """``query_id, header_key, count`` over all hits. The score is asked for
+    too, so that the hits are the same plan as those of the top-k, and Spark
+    makes them once where both are read by one query."""
+    return hits.where(F.col("score").isNotNull()).groupBy("query_id", "header_key").agg(F.sum("copies").cast("long").alias("count"))
 
 
 def search_with_facets(index: Index, query: str, k: int = 5, persist: bool = True) -> SearchResult:
     """E5: top-k results and facet counts of one query from one scoring.
 
     With ``persist`` the hits are kept (memory, spilling to disk) so the two
-    outputs don't score twice; ``result.release()`` drops them when done."""
+    outputs don't score twice when they are read one after the other;
+    ``result.release()`` drops them when done. One query that reads both (a
+    union) shares the hits' exchange without it."""
     _check_k(k)
     hits = search_hits(index, query)
     if persist:
         hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
-    res = top_k(hits, k, one_query=True).select("rank", "id", "score")
+    res = top_k(hits.where(F.col("score").isNotNull()), k, one_query=True).select("rank", "id", "score")
     fac = facet_counts(hits).select("header_key", "count")
     return SearchResult(res, fac, hits if persist else None)

@@ -128,13 +128,8 @@ class Range(Query):
 
     def hits(self, index: Index) -> DataFrame:
         if self.field == "text":
-            # a term range is a filter on the postings themselves: pushed to
-            # Parquet, where files sorted by term skip row groups out of range
-            return _constant(
-                index.postings.filter(self._cond(F.col("term")))
-                .select("doc_key", "id", "header_key", "copies")
-                .distinct()
-            )
+            rows = _postings_where(index, self._cond(F.col("term")))
+            return _constant(rows.select("doc_key", "id", "header_key", "copies").distinct())
         _check_field(self.field)
         return _constant(keyword_rows(index).filter(self._cond(F.col(self.field))))
 
@@ -226,6 +221,17 @@ def _check_field(f: str) -> None:
         raise ValueError(f"unknown field {f!r}; expected one of {KEYWORD_FIELDS + ('text',)}")
 
 
+def _postings_where(index: Index, cond: Column) -> DataFrame:
+    """Postings of the terms that ``cond`` (a range, a prefix) selects. The
+    dictionary, which is narrow, tells their buckets (``n_buckets`` numbers
+    at most); only these are opened, and there the condition is pushed to
+    Parquet, where files sorted by term skip row groups out of range."""
+    if index.lazy:
+        return index.postings.filter(cond)
+    buckets = [r[0] for r in index.term_stats.where(cond).select("bucket").distinct().collect()]
+    return index.table("postings", sorted(buckets)).filter(F.col("bucket").isin(sorted(buckets)) & cond)
+
+
 def _constant(doc_rows: DataFrame) -> DataFrame:
     return doc_rows.withColumn("query_id", F.lit(QID)).select(*HIT_COLS, F.lit(1.0).alias("score"))
 
@@ -268,7 +274,7 @@ def _prefix_phrase_hits(index: Index, text: str) -> DataFrame:
         return _constant(index.doc_stats.limit(0))
     n, fixed = len(toks), toks[:-1]
     # the expansions of the last token: a range of terms, pushed to the scan
-    last = index.postings.filter(F.col("term").startswith(toks[-1])).groupBy(*DOC).agg(F.flatten(F.collect_list("positions")).alias("positions"))
+    last = _postings_where(index, F.col("term").startswith(toks[-1])).groupBy(*DOC).agg(F.flatten(F.collect_list("positions")).alias("positions"))
     per_off = _positions(index, fixed).unionByName(last.select(*DOC, F.lit(n - 1).alias("off"), "positions"))
     st = index.stats()
     per_doc = per_off.groupBy("doc_key", "id", "header_key", "copies", "dl").agg(

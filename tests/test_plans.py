@@ -4,6 +4,7 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexispark.operators import search as S
 from lexispark.operators.indexing import build_index, postings_of, with_doc_key, with_terms
@@ -92,3 +93,47 @@ def test_text_range_is_pushed_to_the_postings_scan(stored):
     p = plan(Q.run(stored, Q.Range("text", "thea", "then"), k=None))
     pushed = [ln for ln in p.splitlines() if ln.startswith("PushedFilters")]
     assert any("GreaterThanOrEqual(term,thea)" in ln and "LessThanOrEqual(term,then)" in ln for ln in pushed)
+
+
+def test_results_and_facets_share_one_scoring(spark, stored):
+    from lexispark.operators import facets as FC
+
+    r = FC.search_with_facets(stored, "the and", 5, persist=False)
+    both = r.results.selectExpr("id", "score", "cast(null as long) n").unionByName(r.facets.selectExpr("header_key id", "cast(null as double) score", "count n"))
+    both.collect()
+    ran = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in ran and ran.count("FileScan") <= 2  # postings and their term statistics, once
+
+
+def test_ranges_and_prefixes_open_the_buckets_of_their_terms(spark, stored):
+    from lexispark.plans import query as Q
+
+    every = len({f.split("/bucket=")[1].split("/")[0] for f in stored.postings.inputFiles()})
+    opened = Q._postings_where(stored, F.col("term").startswith("anble")).inputFiles()
+    few = {f.split("/bucket=")[1].split("/")[0] for f in opened}
+    assert 0 < len(few) < every / 2
+    assert Q._postings_where(stored, F.col("term") > "\U0010ffff").inputFiles() == []
+
+
+def test_batch_prunes_term_queries_beside_a_phrase(spark, stored):
+    asked = spark.createDataFrame([("a", "the and anble thtion"), ("b", "of in there"), ("c", "北京 the")], "query_id string, query string")
+    clauses = S.literal_clauses(asked)
+    kinds = {r.kind for r in clauses.select("kind").distinct().collect()}
+    assert kinds == {"term", "phrase"}
+    p = plan(S.sum_by_doc(S.pruned_hits(stored, clauses, 3, kinds)))
+    assert "weak" in p and "floor" not in p  # the floor is found before, clauses are split by it
+    got = {(r.query_id, r.id): round(r.score, 9) for r in S.search_batch(stored, asked, 3).collect()}
+    want = {(q.query_id, r.id): round(r.score, 9) for q in asked.collect() for r in S.search(stored, q.query, 3).collect()}
+    assert got == want
+
+
+def test_fuzzy_candidates_are_few(stored):
+    from lexispark.operators import fuzzy as FZ
+
+    terms = stored.term_stats
+    asked = terms.where("term_len between 4 and 12").orderBy("term").limit(4000).where(F.xxhash64("term") % 20 == 0).select(F.col("term").alias("qterm"))
+    n, cand = asked.count(), FZ.candidate_terms(stored, asked, 2)
+    assert n > 50 and cand.count() < 0.01 * n * terms.count()
+    found = FZ.matched_terms(stored, asked, 2)
+    every = terms.crossJoin(asked).where(F.levenshtein("term", "qterm", 2) >= 0).select("qterm", "bucket", "term")  # in a test, on few rows
+    assert every.join(found, ["qterm", "term"], "left_anti").count() == 0
