@@ -14,19 +14,13 @@ Rules (the reference's analyzer):
 Tokens are a JVM-side expression: ``regexp_extract_all`` finds the matches
 and, only for texts that contain CJK at all, a single ``zip_with`` pairs each
 CJK character with the CJK character following it. The token table with byte
-offsets is an Arrow-batched function.
+offsets sums the lengths of the text's tiles the same way.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from itertools import accumulate
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- fixed values (must equal the reference's analyzer) ---------------------
 # CJK code point ranges treated as CJK:
@@ -56,6 +50,8 @@ RUN_PATTERN = f"([{CJK_CLASS}]+|[^{CJK_CLASS}{WS_CLASS}]+)"
 #: group 2 -- or a whole non-CJK word in group 1
 TOKEN_PATTERN = f"([{CJK_CLASS}](?=([{CJK_CLASS}])?)|[^{CJK_CLASS}{WS_CLASS}]+)"
 HAS_CJK = f"[{CJK_CLASS}]"
+#: the same with white space as tiles whose groups are empty
+TILE_PATTERN = f"{TOKEN_PATTERN}|[{WS_CLASS}]+"
 
 
 def _c(col: Column | str) -> Column:
@@ -103,58 +99,42 @@ def cjk_letter_map(text: Column | str) -> Column:
     return F.translate(F.lower(_c(text)), "abcdefghijkl", "北京天気今日한국上海学校")
 
 
-def _python_class(cls: str) -> str:
-    """The class in the notation of Python's ``re``."""
-    return re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\U{int(m[1], 16):08X}", cls)
-
-
-_SEGMENT = re.compile(
-    f"(?P<cjk>[{_python_class(CJK_CLASS)}]+)|(?P<word>[^{_python_class(CJK_CLASS)}{_python_class(WS_CLASS)}]+)|[{_python_class(WS_CLASS)}]+"
-)
+def prefix_sums(numbers: Column) -> Column:
+    """Running sums of an array, by doubling: after round k each place holds
+    the sum of the 2^(k + 1) numbers up to it. n log n steps, whole arrays
+    at a time, so no place is summed from the start again."""
+    n = F.size(numbers)
 
+    def double(held: Column, k: Column) -> Column:
+        step = F.least(F.pow(F.lit(2), k).cast("int"), n)
+        before = F.concat(F.array_repeat(F.lit(0), step), F.slice(held, F.lit(1), n - step))
+        return F.zip_with(held, before, lambda x, y: x + y)
 
-def _offsets(text: str) -> list[tuple[int, str, int, int, int]]:
-    """(pos, term, pos_len, off_from, off_to) of one text's tokens, in one
-    pass over the runs that tile it."""
-    out: list[tuple[int, str, int, int, int]] = []
-    at = 0
-    for m in _SEGMENT.finditer(text):
-        run = m[0]
-        size = len(run.encode("utf-8", "surrogatepass"))
-        if m.lastgroup == "word":
-            out.append((len(out), run, 1, at, at + size))
-        elif m.lastgroup == "cjk":
-            ends = list(accumulate((len(c.encode()) for c in run), initial=at))
-            for i, c in enumerate(run):
-                out.append((len(out), c, 1, ends[i], ends[i + 1]))
-                if i + 1 < len(run):
-                    out.append((len(out), run[i : i + 2], 2, ends[i], ends[i + 2]))
-        at += size
-    return out
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(1)))).cast("int"))
+    return F.aggregate(rounds, numbers, double)
 
 
 def token_table_with_offsets(df: DataFrame, key_cols: list[str], text_col: str = "text") -> DataFrame:
     """C5 + C6: ``key_cols..., pos, term, pos_len, off_from, off_to``, one row
     per token of every row of ``df``; a text without tokens has none.
 
-    Offsets are UTF-8 byte offsets into the text. A row's tokens follow from
-    its own text alone, so there is no shuffle: an Arrow-batched function
-    walks each text once, linear in its length (an SQL expression has no
-    running sum over an array that is)."""
-    n = len(key_cols)
-    kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32())
-    names = ["pos", "term", "pos_len", "off_from", "off_to"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                found = [_offsets(t) for t in part.column(n).to_pylist()]
-                row = pa.array([i for i, f in enumerate(found) for _ in f], pa.int32())
-                keys = [part.column(i).take(row) for i in range(n)]
-                rest = [pa.array([t[c] for f in found for t in f], k) for c, k in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([*keys, *rest], names=[*key_cols, *names])
-
-    src = df.select(*key_cols, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = T.StructType([*src.schema.fields[:n], *[T.StructField(c, T.StringType() if c == "term" else T.IntegerType()) for c in names]])
-    return src.mapInArrow(run, schema)
+    Offsets are UTF-8 byte offsets into the text. The text is cut into tiles
+    that cover it (a CJK character, a word, white space); the running sums of
+    their byte lengths are the tiles' ends. A row's tokens follow from its own
+    text alone, so there is no shuffle, and no Python."""
+    t = df.select(*key_cols, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    tile = lambda group: F.regexp_extract_all("_text", F.lit(TILE_PATTERN), group)
+    t = t.select(*key_cols, tile(0).alias("_tile"), tile(1).alias("_term"), tile(2).alias("_next"))
+    t = t.select(*key_cols, "_term", "_next", F.transform("_tile", lambda x: F.octet_length(x)).alias("_size"))
+    t = t.select(*key_cols, "_term", "_next", "_size", prefix_sums(F.col("_size")).alias("_end"))
+    at = F.arrays_zip("_term", "_next", "_size", "_end")
+
+    def of_tile(x: Column) -> Column:
+        row = lambda term, n, end: F.struct(term.alias("term"), n.alias("pos_len"), (x["_end"] - x["_size"]).alias("off_from"), end.alias("off_to"))
+        own = row(x["_term"], F.lit(1), x["_end"])
+        both = row(F.concat(x["_term"], x["_next"]), F.lit(2), x["_end"] + F.octet_length(x["_next"]))
+        return F.when(x["_next"] == "", F.array(own)).otherwise(F.array(own, both))
+
+    found = F.flatten(F.transform(F.filter(at, lambda x: x["_term"] != ""), of_tile))
+    rows = t.select(*key_cols, F.posexplode_outer(found).alias("pos", "t")).where(F.col("t").isNotNull())
+    return rows.select(*key_cols, F.col("pos").cast("int").alias("pos"), *[F.col(f"t.{c}").alias(c) for c in ("term", "pos_len", "off_from", "off_to")])
