@@ -272,7 +272,8 @@ def variant_rows(terms: DataFrame, term: str, deletions: int, n_buckets: int) ->
     distinct prefixes, which fuzzy search joins by equality."""
     # so many partitions, not as few as the prefixes' bytes would make: the
     # work is in what comes of them
-    n = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = terms.sparkSession
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
     rows = terms.select(prefix_of(F.col(term)).alias("prefix")).repartition(n, "prefix").distinct()
     rows = rows.select("prefix", F.explode(prefix_variants(F.col("prefix"), deletions)).alias("v"))
     return rows.select(F.pmod("v.variant", F.lit(n_buckets)).cast("int").alias("bucket"), F.col("v.variant").alias("variant"), F.col("v.deleted").alias("deleted"), "prefix")
