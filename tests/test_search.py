@@ -178,3 +178,26 @@ def test_result_map_and_restriction(corpus, spark):
     assert set(m) == {"t1", "t4"}
     allowed = spark.createDataFrame([("t4",), ("t3",)], "id string")
     assert ids(S.top_k(S.restrict(S.search_hits(idx, "oak"), allowed), 5)) == ["t4"]
+
+
+def test_phrase_batch_like_single_phrases(spark, corpus, monkeypatch):
+    docs = [(str(i), "h", t) for i, t in enumerate(["a b a c d", "a c d a b", "a b a b a c", "b a c d a", "d", "a b a c d"])]
+    idx = corpus([*docs, docs[2]])
+    asked = [("p", "a b a c"), ("q", "b a"), ("r", "a c d a b"), ("s", "d"), ("t", "a z"), ("u", "a a"), ("v", "")]
+    table = spark.createDataFrame(asked, "query_id string, query string")
+    for most in (S.MOST_SENT, 1):  # the look-up sent, and by Spark's own rule
+        monkeypatch.setattr(S, "MOST_SENT", most)
+        got = sorted((r.query_id, r["rank"], r.id, round(r.score, 9)) for r in S.phrase_search_batch(idx, table, 4).collect())
+        assert got == sorted((q, r["rank"], r.id, round(r.score, 9)) for q, t in asked for r in S.search_phrase(idx, t, 4).collect())
+
+
+def test_phrase_batch_joins_only_rare_tokens(spark, corpus, monkeypatch):
+    """Of a phrase's postings, those of the two rarest tokens are grouped by
+    (clause, document); the others are looked up for what these have left."""
+    idx = corpus([(str(i), "h", "the of " + ("rare one" if i < 2 else "x y")) for i in range(50)])
+    seen, real = [], S.known
+    monkeypatch.setattr(S, "known", lambda s, df: seen.append(real(s, df)) or seen[-1])
+    got = S.phrase_search_batch(idx, spark.createDataFrame([("p", "the of rare one")], "query_id string, query string"), 5)
+    assert got.count() == 2
+    found = [df for df in seen if "starts" in df.columns]
+    assert len(found) == 1 and found[0].count() == 2
