@@ -180,6 +180,29 @@ def test_result_map_and_restriction(corpus, spark):
     assert ids(S.top_k(S.restrict(S.search_hits(idx, "oak"), allowed), 5)) == ["t4"]
 
 
+def test_fuzzy_batch_like_single_queries(spark, corpus, monkeypatch):
+    docs = [(str(i), "h", t) for i, t in enumerate(["oak ash oka", "aok elm", "ash ahs oaks", "oak ash oka", "elm", "larch oak oak"])]
+    idx = corpus([*docs, docs[0]])  # an exact copy counts by itself
+    asked = [("a", "oak ash"), ("b", "oak oak elm"), ("c", "zzzzzz"), ("d", ""), ("e", "larhc")]
+    table = spark.createDataFrame(asked, "query_id string, query string")
+    for most in (S.MOST_SENT, 2):  # sent at once, and in slices of the queries
+        monkeypatch.setattr(S, "MOST_SENT", most)
+        for d in (0, 1, 2):
+            got = sorted((r.query_id, r["rank"], r.id, r.score) for r in FZ.search_fuzzy_batch(idx, table, d, 3).collect())
+            assert got == sorted((q, r["rank"], r.id, r.score) for q, t in asked for r in FZ.search_fuzzy(idx, t, d, 3).collect())
+
+
+def test_fuzzy_batch_shuffles_no_matches(spark, corpus):
+    """Only postings (by document) and each task's best are shuffled."""
+    from .test_plans import plan
+
+    idx = corpus([(str(i), "h", "oak ash elm") for i in range(20)])
+    tree = plan(FZ.search_fuzzy_batch(idx, spark.createDataFrame([("a", "oak elm")], "query_id string, query string"), 1, 3)).split("\n\n")[0]
+    lines = tree.splitlines()
+    dealt = next(i for i, ln in enumerate(lines) if "REPARTITION" in ln or "Exchange" in ln and "WindowGroupLimit" not in lines[i + 1])
+    assert "WindowGroupLimit" in "".join(lines[:dealt]) and not any("Exchange" in ln and "Broadcast" not in ln and "WindowGroupLimit" not in lines[i + 1] for i, ln in enumerate(lines[:dealt]))
+
+
 def test_phrase_batch_like_single_phrases(spark, corpus, monkeypatch):
     docs = [(str(i), "h", t) for i, t in enumerate(["a b a c d", "a c d a b", "a b a b a c", "b a c d a", "d", "a b a c d"])]
     idx = corpus([*docs, docs[2]])
