@@ -224,3 +224,14 @@ def test_phrase_batch_joins_only_rare_tokens(spark, corpus, monkeypatch):
     assert got.count() == 2
     found = [df for df in seen if "starts" in df.columns]
     assert len(found) == 1 and found[0].count() == 2
+
+
+def test_batch_of_terms_like_single_queries(spark, corpus, monkeypatch):
+    docs = [*TREES, TREES[0], ("t6", "pine", "fir fir yew oak ash")]
+    idx = corpus(docs)
+    asked = [("a", "oak ash oak"), ("b", "fir"), ("c", "none"), ("d", " "), ("e", "elm yew date fir")]
+    table = spark.createDataFrame(asked, "query_id string, query string")
+    for most in (S.MOST_SENT, 2):
+        monkeypatch.setattr(S, "MOST_SENT", most)
+        got = sorted((r.query_id, r["rank"], r.id, round(r.score, 9)) for r in S.search_batch(idx, table, 3).collect())
+        assert got == sorted((q, r["rank"], r.id, round(r.score, 9)) for q, t in asked for r in S.search(idx, t, 3).collect())
