@@ -137,3 +137,11 @@ def test_fuzzy_candidates_are_few(stored):
     found = FZ.matched_terms(stored, asked, 2)
     every = terms.crossJoin(asked).where(F.levenshtein("term", "qterm", 2) >= 0).select("qterm", "bucket", "term")  # in a test, on few rows
     assert every.join(found, ["qterm", "term"], "left_anti").count() == 0
+
+
+def test_each_piece_of_the_documents_has_a_task_of_its_own(spark):
+    c = Corpus(spark, fresh_path(spark, "pieces"), create=True, doc_bucket_bytes=20_000)
+    c.rebuild(documents_corpus(spark, SF))
+    files = c._part(c._read(c._last())["parts"][0])["files"]["docs"]
+    tasks = [f.split("part-")[1].split("-")[0] for names in files.values() for f in names]
+    assert len(tasks) > 8 and len(set(tasks)) == len(tasks)
