@@ -71,6 +71,20 @@ def test_terms_of_rows_are_the_walk_with_any_analyzer(spark):
         assert got[-1][1] == []
 
 
+def exchanges(df):
+    shown = df._jdf.queryExecution().executedPlan().toString()
+    return [ln for ln in shown.splitlines() if "hashpartitioning" in ln]
+
+
+def test_all_postings_shuffle_texts_only(spark):
+    docs = spark.createDataFrame([("1", "x", "v w v"), ("1", "x", "v w v"), ("2", "x", "w")], "id string, header_key string, text string")
+    own = build_index(docs).postings
+    shuffled = exchanges(own)
+    assert len(shuffled) == 1 and "text#" in shuffled[0] and "term#" not in shuffled[0]
+    got = {(r.term, r.id): (r.tf, r.copies, list(r.positions), r.dl) for r in own.collect()}
+    assert got == {("v", "1"): (2, 2, [0, 2], 3), ("w", "1"): (1, 2, [1], 3), ("w", "2"): (1, 1, [0], 1)}
+
+
 def test_stored_documents_hold_no_second_copy_of_their_terms(spark):
     c = Corpus(spark, fresh_path(spark, "terms"), create=True)
     c.rebuild([("1", "x", "v w v"), ("1", "x", "v w v"), ("2", "y", "w")])
