@@ -85,6 +85,13 @@ def test_all_postings_shuffle_texts_only(spark):
     assert got == {("v", "1"): (2, 2, [0, 2], 3), ("w", "1"): (1, 2, [1], 3), ("w", "2"): (1, 1, [0], 1)}
 
 
+def test_frequencies_of_cjk_texts_shuffle_texts_and_sums(spark):
+    docs = spark.createDataFrame([("1", "x", "山川山川"), ("1", "x", "山川山川"), ("2", "x", "山 川")], "id string, header_key string, text string")
+    own = build_index(docs).term_stats
+    assert not any("term#" in ln and "doc_key#" in ln for ln in exchanges(own))
+    assert {r.term: (r.df, r.cf) for r in own.collect()} == {"山": (3, 5), "山川": (2, 4), "川": (3, 5), "川山": (2, 2)}
+
+
 def test_stored_documents_hold_no_second_copy_of_their_terms(spark):
     c = Corpus(spark, fresh_path(spark, "terms"), create=True)
     c.rebuild([("1", "x", "v w v"), ("1", "x", "v w v"), ("2", "y", "w")])
