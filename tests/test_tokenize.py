@@ -82,3 +82,30 @@ def test_repeated_rows_each_have_tokens_and_nothing_is_shuffled(spark):
     assert out.count() == 4
     p = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in p and "Python" not in p and "Arrow" not in p
+
+
+def test_token_table_sums_up_pieces_not_tiles(spark):
+    """Pieces end anywhere in a run, at white space of one to three bytes, at
+    several in a row; only one pass cuts the text, into pieces."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choices([*PIECES, " ", "\u0085", "  ", "q山", "\t"], k=n)) for n in (15, 16, 17, 31, 32, 33, 200, 900) for _ in range(12)]
+    for i, got in offsets(spark, texts).items():
+        raw, flat = texts[i].encode(), spark_free_tokens(texts[i])
+        assert [(g[0], g[1], g[2]) for g in got] == [(k, t, n) for k, (t, n) in enumerate(flat)]
+        assert all(raw[lo:hi].decode() == term for _, term, _, lo, hi in got)
+        singles = [g for g in got if g[2] == 1]
+        assert all(a[4] <= b[3] for a, b in zip(singles, singles[1:], strict=False))
+    out = token_table_with_offsets(spark.createDataFrame([("1", "v w")], "id string, text string"), ["id"])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+
+
+def spark_free_tokens(text):
+    """(term, number of tiles) by the rules."""
+    out = []
+    for run in re.findall("[山川나ー\U00020003]+|[^山川나ー\U00020003 　\n\t \u0085]+", text):
+        if run[0] in "山川나ー\U00020003":
+            for i, c in enumerate(run):
+                out += [(c, 1)] + ([(run[i : i + 2], 2)] if i + 1 < len(run) else [])
+        else:
+            out.append((run, 1))
+    return out
