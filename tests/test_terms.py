@@ -99,3 +99,21 @@ def test_stored_documents_hold_no_second_copy_of_their_terms(spark):
     assert {(r.term, r.id): (r.tf, r.copies) for r in c.index().postings.collect()} == {("v", "1"): (2, 2), ("w", "1"): (1, 2), ("w", "2"): (1, 1)}
     c.remove_by_header("x")  # the frequencies that go come from the stored texts
     assert [(r.term, r.df, r.cf) for r in c.index().term_stats.collect()] == [("w", 1, 1)]
+
+
+def test_variants_are_spelled_out(spark):
+    """A prefix without any 0, 1 or 2 of its first seven characters, each
+    once, by column expressions that call nothing for each element."""
+    from itertools import combinations
+
+    from lexispark.operators.indexing import PREFIX, variant_rows
+
+    words = ["", "a", "ab", "aab", "aaaaaaa", "abcabca", "abcdefghij", "山é\U00020003q山山x川y", "mississippi"]
+    df = spark.createDataFrame([(w,) for w in [*words, "abcdefgXYZ"]], "term string")
+    out = variant_rows(df, "term", 2, 8)
+    want = {(w[:PREFIX], k, "".join(c for i, c in enumerate(w[:PREFIX]) if i not in gone)) for w in words for k in (0, 1, 2) for gone in combinations(range(len(w[:PREFIX])), k)}
+    said = spark.createDataFrame(sorted(want), "prefix string, deleted int, v string").selectExpr("prefix", "deleted", "xxhash64(v) variant")
+    got = sorted((r.prefix, r.deleted, r.variant) for r in out.collect())
+    assert got == sorted((r.prefix, r.deleted, r.variant) for r in said.collect())
+    assert all(r.bucket == r.variant % 8 for r in out.collect())
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
