@@ -10,7 +10,8 @@ pieces by 1 / (rank + 10) to the power ``alpha``; a path's probability is
 the product of its weights over the sum for all paths.
 
 Units that occur often share one lattice: the distinct units of a slice of
-texts are matched and summed backwards (from the end) together.
+texts are matched and summed backwards (from the end) together. A node holds
+its edges alone, with their probabilities, not a place for every length.
 
 Sampling without replacement is a best-first search over sets of paths. The
 largest of the Gumbel-perturbed log probabilities in a set is itself Gumbel
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,13 @@ from .common import chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_UNIT = 256
-MOST_NODES = 150_000
-#: small enough for a slice's lattices to stay in a core's cache
-SLICE_CHARS = 100_000
+MOST_NODES = 600_000
+#: characters of texts whose units are looked up together
+SLICE_CHARS = 1_000_000
+#: units of texts whose draws are made together: these stay in a core's cache
+DRAWN_UNITS = 15_000
+#: new units that are matched and summed together
+MOST_NEW = 5000
 SPACE = "▁"
 BYTES = -2  # the piece number of a byte edge
 _U = np.uint64
@@ -115,96 +120,131 @@ class Lattice:
         left = np.repeat(self.start + size, size + 1) - np.arange(n)  # characters to the end
         at, h, hits = np.flatnonzero(left > 0), np.zeros(n, dtype=np.uint64), []
         for m in range(1, v.longest + 1):
-            at = at[left[at] >= m]
-            grown = h[at] * _BASE + self.code[at + m - 1]
-            some = v.prefix[grown >> _U(42)]
+            if m > 1:
+                at = at[left[at] >= m]
+            grown = h[at] * _BASE + self.code[at + (m - 1)]
+            some = np.flatnonzero(v.prefix[grown >> _U(42)])
             at, grown = at[some], grown[some]
+            if not len(at):
+                break
             h[at] = grown
-            if m in v.tables and len(at):
+            if m in v.tables:
                 hashes, ids, w = v.tables[m]
-                real = v.maybe[grown >> _U(44)]
+                real = np.flatnonzero(v.maybe[grown >> _U(44)])
                 own, key = at[real], grown[real]
                 to = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
-                hit = hashes[to] == key
-                if hit.any():
+                hit = np.flatnonzero(hashes[to] == key)
+                if len(hit):
                     hits.append((m, own[hit], ids[to[hit]], w[to[hit]]))
         most = hits[-1][0] if hits else 1
         self.piece = np.full((n, most), -1, dtype=np.int32)
-        weight = np.full((n, most), -np.inf)
-        for m, to, ids, w in hits:
-            self.piece[to, m - 1], weight[to, m - 1] = ids, w
+        for m, to, ids, _ in hits:
+            self.piece[to, m - 1] = ids
         bare = np.flatnonzero((self.piece[:, 0] < 0) & (left > 0))
         points = self.code[bare]
         n_bytes = 1 + (points > 0x80).astype(int) + (points > 0x800) + (points > 0x10000)
-        self.piece[bare, 0], weight[bare, 0] = BYTES, n_bytes * v.byte_weight
-        order = np.argsort(left, kind="stable")
-        bound = np.searchsorted(left[order], np.arange(int(left.max(initial=0)) + 2))
-        back = np.zeros(n + most + 1)
-        for d in range(1, len(bound) - 1):
-            own, span = order[bound[d] : bound[d + 1]], np.arange(min(d, most))
-            value = weight[own, : len(span)] + back[own[:, None] + span + 1]
-            top = value.max(axis=1)
-            back[own] = top + np.log(np.exp(value - top[:, None]).sum(axis=1))
-        weight += np.lib.stride_tricks.sliding_window_view(back[1:], most)[:n]
-        weight -= back[:n, None]
-        np.exp(weight, out=weight)
-        weight[left == 0] = 0
-        self.cdf = np.cumsum(weight, axis=1, out=weight)
+        self.piece[bare, 0] = BYTES
+        # the edges: a node's together, by length
+        owns, ways = [own for _, own, _, _ in hits], np.zeros(n + 1, dtype=np.int64)
+        for own in (bare, *owns):
+            ways[own] += 1
+        self.first = np.cumsum(ways) - ways
+        total, free = int(self.first[-1]), self.first.copy()
+        node, self.size, weight = np.empty(total, np.int64), np.empty(total, np.uint16), np.empty(total)
+        for m, own, w in [(1, bare, n_bytes * v.byte_weight), *((m, own, w) for m, own, _, w in hits)]:
+            to = free[own]
+            node[to], self.size[to], weight[to] = own, m, w
+            free[own] += 1
+        # sums from the units' ends backwards: all nodes with so many characters to the end at once
+        end, back = node + self.size, np.zeros(n)
+        order = np.argsort(left.astype(np.uint16), kind="stable")
+        held = ways[order]
+        begin = np.cumsum(held) - held
+        by = np.repeat(self.first[order] - begin, held) + np.arange(total)
+        to, value = end[by], weight[by]
+        level = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
+        begin = np.append(begin, total)
+        for lo, hi in zip(level[:-1].tolist(), level[1:].tolist(), strict=True):
+            if lo < hi:
+                a, b = begin[lo], begin[hi]
+                own, first = value[a:b] + back[to[a:b]], begin[lo:hi] - a
+                top = np.maximum.reduceat(own, first)
+                own -= np.repeat(top, held[lo:hi])
+                back[order[lo:hi]] = top + np.log(np.add.reduceat(np.exp(own, out=own), first))
+        weight += back[end]
+        weight -= back[node]
+        self.p = np.exp(weight, out=weight)
+        self.bound = self.p.copy()
+        self.bound[self.first[1:][ways[:-1] > 0] - 1] = 2.0  # a node's last edge takes what is left
 
     def put(self, nodes: int, units: int, made: Lattice) -> None:
         """The units of ``made`` behind the first ``nodes`` nodes and
         ``units`` units of these arrays, which grow where they are short."""
-        n, most = len(made.code), made.piece.shape[1]
-        room, width = max(nodes + n, len(self.code)), max(most, self.piece.shape[1])
-        if room > len(self.code) or width > self.piece.shape[1]:
-            room += room // 4 if room > len(self.code) else 0
-            for name in ("code", "piece", "cdf"):
-                old = getattr(self, name)
-                grown = np.empty((room, width) if old.ndim > 1 else room, old.dtype)
-                if old.ndim > 1:
-                    grown[:nodes, : old.shape[1]] = old[:nodes]
-                    grown[:nodes, old.shape[1] :] = old[:nodes, -1:] if name == "cdf" else -1
-                else:
-                    grown[:nodes] = old[:nodes]
+        n, most, edges = len(made.code), made.piece.shape[1], int(self.first[nodes])
+        width = max(most, self.piece.shape[1])
+        for name, upto, room in (("code", nodes, n), ("first", nodes, n + 1), ("size", edges, len(made.p)), ("p", edges, len(made.p)), ("bound", edges, len(made.p))):
+            old = getattr(self, name)
+            if upto + room > len(old):
+                grown = np.empty((upto + room) * 5 // 4, old.dtype)
+                grown[:upto] = old[:upto]
                 setattr(self, name, grown)
-        self.code[nodes : nodes + n] = made.code
+            getattr(self, name)[upto : upto + room] = getattr(made, name)
+        self.first[nodes : nodes + n + 1] += edges
+        if len(self.code) > len(self.piece) or width > self.piece.shape[1]:
+            grown = np.full((len(self.code), width), -1, dtype=np.int32)
+            grown[:nodes, : self.piece.shape[1]] = self.piece[:nodes]
+            self.piece = grown
         self.piece[nodes : nodes + n, :most], self.piece[nodes : nodes + n, most:] = made.piece, -1
-        self.cdf[nodes : nodes + n, :most], self.cdf[nodes : nodes + n, most:] = made.cdf, made.cdf[:, -1:]
         self.start = np.concatenate([self.start[:units], made.start + nodes])
 
     def chance(self, node: np.ndarray, edge: np.ndarray) -> np.ndarray:
-        below = np.where(edge > 0, self.cdf[node, np.maximum(edge - 1, 0)], 0.0)
-        return (self.cdf[node, edge] - below) / self.cdf[node, -1]
+        at = self.first[node]
+        off = np.flatnonzero(self.size[at] != edge + 1)
+        while len(off):
+            at[off] += 1
+            off = off[self.size[at[off]] != edge[off] + 1]
+        return self.p[at]
 
     def draw(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A path from each of the nodes to its unit's end, one behind the
         other: (nodes, edges, their chances, number of edges of each)."""
-        cur, active = nodes.copy(), np.flatnonzero(self.code[nodes])
-        steps: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        active = np.flatnonzero(self.code[nodes])
+        at, seeds = nodes[active], seeds[active]
+        steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         count = np.zeros(len(nodes), dtype=np.int64)
         while len(active):
-            at = cur[active]
-            row = self.cdf[at]
-            edge = (row <= (uniform(seeds[active], len(steps)) * row[:, -1])[:, None]).sum(axis=1)
-            here = np.arange(len(at))
-            p = (row[here, edge] - np.where(edge > 0, row[here, edge - 1], 0.0)) / row[:, -1]
-            steps.append((active, at, edge, p))
-            count[active] += 1
-            cur[active] = at + edge + 1
-            active = active[self.code[cur[active]] > 0]
+            way, left = self.first[at], uniform(seeds, len(steps))
+            bound = self.bound[way]
+            on = np.flatnonzero(left >= bound)
+            left, bound = left[on], bound[on]
+            while len(on):  # to the next edge
+                left -= bound
+                way[on] = own = way[on] + 1
+                bound = self.bound[own]
+                still = np.flatnonzero(left >= bound)
+                on, left, bound = on[still], left[still], bound[still]
+            steps.append((active, at, way))
+            to = at + self.size[way]
+            on = self.code[to] > 0
+            count[active[~on]] = len(steps)
+            at, seeds, active = to[on], seeds[on], active[on]
         first = np.cumsum(count) - count
         n = int(count.sum())
-        node, edges, chance = np.empty(n, np.int64), np.empty(n, np.int64), np.empty(n)
-        for i, (who, at, edge, p) in enumerate(steps):
+        node, ways = np.empty(n, np.int64), np.empty(n, np.int64)
+        for i, (who, at, way) in enumerate(steps):
             to = first[who] + i
-            node[to], edges[to], chance[to] = at, edge, p
-        return node, edges, chance, count
+            node[to], ways[to] = at, way
+        return node, self.size[ways].astype(np.int64) - 1, self.p[ways], count
 
-    def redraw(self, node: int, banned: tuple[int, ...], u: float) -> int:
-        """Another edge from ``node`` than the banned ones."""
-        p = np.diff(self.cdf[node], prepend=0.0)
-        p[list(banned)] = 0
-        return int(np.searchsorted(np.cumsum(p), u * p.sum(), side="right"))
+    def redraw(self, node: int, banned: tuple[int, ...], u: float) -> tuple[int, float]:
+        """Another edge from ``node`` than the banned ones, and its chance among all."""
+        own = slice(self.first[node], self.first[node + 1])
+        edges = self.size[own].astype(np.int64) - 1
+        p = self.p[own].copy()
+        for edge in banned:
+            p[edges == edge] = 0.0
+        to = min(np.searchsorted(np.cumsum(p), u * p.sum(), side="right"), np.flatnonzero(p)[-1])
+        return int(edges[to]), float(p[to])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -220,35 +260,50 @@ def uniform(seeds: np.ndarray, step: int | np.ndarray) -> np.ndarray:
 
 
 class _Path:
-    """One found path, and the maxima of the sets that leave it at each edge."""
+    """One found path, and the maxima of the sets that leave it at each edge,
+    as drawn: below the path's value, and in the same order, by ``most``."""
 
-    __slots__ = ("value", "nodes", "edges", "p", "logp", "since", "banned", "maxima")
+    __slots__ = ("value", "nodes", "edges", "logs", "logp", "since", "banned", "maxima")
 
-    def __init__(self, value, nodes, edges, p, logp, since, banned, maxima):
-        self.value, self.nodes, self.edges, self.p, self.logp = value, nodes, edges, p, logp
+    def __init__(self, value, nodes, edges, logs, logp, since, banned, maxima):
+        self.value, self.nodes, self.edges, self.logs, self.logp = value, nodes, edges, logs, logp
         self.since, self.banned, self.maxima = since, banned, maxima
 
+    def most(self) -> float:
+        """The largest of the maxima, drawn below the path's value."""
+        return -float(np.logaddexp(-self.value, -self.maxima.max(initial=-np.inf)))
 
-def _paths(lattice: Lattice, value: np.ndarray, nodes: np.ndarray, edges: np.ndarray, p: np.ndarray, size: np.ndarray, since: np.ndarray, banned: list[tuple[int, ...]], seeds: np.ndarray) -> list[_Path]:
-    """The paths (one behind the other, ``size`` edges each) of many texts,
-    with the draws for the sets that leave them from edge ``since`` on."""
+
+#: of a path that begins anew: nodes, edges and logs of the chances before its own
+_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def _paths(lattice: Lattice, value: np.ndarray, heads: list[tuple], nodes: np.ndarray, edges: np.ndarray, p: np.ndarray, size: np.ndarray, banned: list[tuple[int, ...]], seeds: np.ndarray) -> list[_Path]:
+    """The paths of many texts: what each has of its set (``heads``), then its
+    own edges (one text behind the other, ``size`` each), with the draws for
+    the sets that leave it there."""
     first = np.cumsum(size) - size
     logs = np.log(p)
     total = np.cumsum(logs)
-    place = np.arange(len(p)) - np.repeat(first, size)
-    prefix = total - logs - np.repeat(total[first] - logs[first], size)
+    since = np.array([len(h[0]) for h in heads])
+    before = np.array([h[2].sum() for h in heads])
+    place = np.arange(len(p)) - np.repeat(first - since, size)
+    prefix = total - logs - np.repeat(total[first] - logs[first] - before, size)
     rest = np.where(p == 1.0, 0.0, 1.0 - p)
-    also = [(f + s, e) for f, s, b in zip(first.tolist(), since.tolist(), banned, strict=True) for e in b]
+    also = [(f, e) for f, b in zip(first.tolist(), banned, strict=True) for e in b]
     if also:
         at = np.array([a for a, _ in also])
         np.subtract.at(rest, at, lattice.chance(nodes[at], np.array([e for _, e in also])))
-    open_ = (rest >= 1e-13) & (place >= np.repeat(since, size))  # less is rounding of the sums
+    open_ = np.flatnonzero(rest >= 1e-13)  # less is rounding of the sums
     maxima = np.full(len(p), -np.inf)
-    noise = -np.log(-np.log(uniform(np.repeat(seeds, size)[open_], place[open_])))
-    maxima[open_] = -np.logaddexp(-np.repeat(value, size)[open_], -(prefix[open_] + np.log(rest[open_]) + noise))
-    logp = np.add.reduceat(logs, first)
-    cuts = zip(first.tolist(), (first + size).tolist(), strict=True)
-    return [_Path(v, nodes[a:b], edges[a:b], p[a:b], x, s, g, maxima[a:b]) for (a, b), v, x, s, g in zip(cuts, value.tolist(), logp.tolist(), since.tolist(), banned, strict=True)]
+    noise = np.log(-np.log(uniform(np.repeat(seeds, size)[open_], place[open_])))
+    maxima[open_] = prefix[open_] + np.log(rest[open_]) - noise
+    logp = before + np.add.reduceat(logs, first)
+    out = []
+    for a, b, v, h, x, s, g in zip(first.tolist(), (first + size).tolist(), value.tolist(), heads, logp.tolist(), since.tolist(), banned, strict=True):
+        whole = [np.concatenate((o, t[a:b])) if s else t[a:b] for o, t in zip(h, (nodes, edges, logs), strict=True)]
+        out.append(_Path(v, *whole, x, s, g, maxima[a:b]))
+    return out
 
 
 def top_k(lattice: Lattice, texts: list[np.ndarray], keys: np.ndarray, k: int) -> list[tuple[list[_Path], float]]:
@@ -263,12 +318,12 @@ def top_k(lattice: Lattice, texts: list[np.ndarray], keys: np.ndarray, k: int) -
     unit = np.arange(int(n_units.sum())) - np.repeat(begin, n_units)
     nodes, edges, p, count = lattice.draw(np.concatenate(own), seed_of(np.repeat(base, n_units), unit, 0))
     value = -np.log(-np.log(uniform(base, 0)))
-    new = _paths(lattice, value, nodes, edges, p, np.add.reduceat(count, begin), np.zeros(len(texts), dtype=np.int64), [()] * len(texts), mix(base + _U(7)))
+    new = _paths(lattice, value, [_NONE] * len(texts), nodes, edges, p, np.add.reduceat(count, begin), [()] * len(texts), mix(base + _U(7)))
     found: list[list[_Path]] = [[x] for x in new]
     queues: list[list[tuple[float, int, _Path]]] = [[] for _ in texts]  # ties: the earlier draw
 
     def push(i: int, number: int, path: _Path) -> None:
-        if np.isfinite(top := path.maxima.max(initial=-np.inf)):
+        if np.isfinite(top := path.most()):
             heapq.heappush(queues[i], (-top, number, path))
 
     for i, x in enumerate(new):
@@ -277,30 +332,31 @@ def top_k(lattice: Lattice, texts: list[np.ndarray], keys: np.ndarray, k: int) -
         who = [i for i, q in enumerate(queues) if q]
         if not who:
             break
-        asked, heads, values = [], [], []
+        asked, heads, turns, gone, values = [], [], [], [], []
         u = uniform(mix(base[who] + _U(1000 + sample)), 0).tolist()
         for i, draw in zip(who, u, strict=True):
             low, number, path = heapq.heappop(queues[i])
-            at = int(path.maxima.argmax())
-            path.maxima[at] = -np.inf
+            turn = int(path.maxima.argmax())
+            path.maxima[turn] = -np.inf
             push(i, number, path)
-            gone = (*path.banned, int(path.edges[at])) if at == path.since else (int(path.edges[at]),)
-            edge = lattice.redraw(int(path.nodes[at]), gone, draw)
+            at = path.since + turn
+            gone.append((*(path.banned if turn == 0 else ()), int(path.edges[at])))
+            edge, chance = lattice.redraw(int(path.nodes[at]), gone[-1], draw)
             seen = path.nodes[: at + 1]
             begun = int(((seen == 0) | (lattice.code[seen - 1] == 0)).sum())  # units up to here
             asked.append(np.concatenate(([path.nodes[at] + edge + 1], own[i][begun:])))
-            own_p = lattice.chance(path.nodes[at : at + 1], np.array([edge]))
-            heads.append((path.nodes[: at + 1], np.append(path.edges[:at], edge), np.append(path.p[:at], own_p), at, gone))
+            heads.append((path.nodes[:at], path.edges[:at], path.logs[:at]))
+            turns.append((path.nodes[at], edge, chance))
             values.append(-low)
         n = np.array([len(a) for a in asked])
         begin = np.cumsum(n) - n
         unit = np.arange(int(n.sum())) - np.repeat(begin, n)
         drawn = lattice.draw(np.concatenate(asked), seed_of(np.repeat(base[who], n), unit, sample))
         tail = np.add.reduceat(drawn[3], begin)
-        cut = np.cumsum(tail)[:-1]
-        whole = [np.concatenate([x for h, t in zip(heads, np.split(drawn[c], cut), strict=True) for x in (h[c], t)]) for c in range(3)]
-        since = np.array([h[3] for h in heads])
-        new = _paths(lattice, np.array(values), *whole, tail + since + 1, since, [h[4] for h in heads], mix(base[who] + _U(2000 + sample)))
+        # the edge that turns off stands before those drawn behind it
+        cut = np.cumsum(tail) - tail
+        whole = [np.insert(drawn[c], cut, [t[c] for t in turns]) for c in range(3)]
+        new = _paths(lattice, np.array(values), heads, *whole, tail + 1, gone, mix(base[who] + _U(2000 + sample)))
         for i, x in zip(who, new, strict=True):
             found[i].append(x)
             push(i, sample, x)
@@ -335,47 +391,52 @@ class Segmenter:
         self.kept: Lattice | None = None
         self.nodes = 0
 
-    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
-        """Each text's units by number; new ones get the next."""
-        number = self.number
+    def _coded(self, texts: list[str]) -> tuple[list[np.ndarray], Lattice]:
+        """Each text's units by number, and their lattices."""
         plain = [t.replace(SPACE, " ") if SPACE in t else t for t in texts]
         split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
-        names = split.flatten().dictionary_encode()
-        words = names.dictionary.to_pylist()
-        if max(map(len, words)) >= MOST_UNIT:
-            return [np.array([number.setdefault(u, len(number)) for u in units_of(t)], dtype=np.int64) for t in texts]
-        at = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64)[names.indices.to_numpy()]
-        return np.split(at, split.offsets.to_numpy()[1:-1])
-
-    def _coded(self, texts: list[str]) -> tuple[list[np.ndarray], Lattice]:
-        before = len(self.number)
-        coded = self._numbers(texts)
-        new = list(islice(self.number, before, None))
-        if new:
-            made = Lattice([spelled(u) for u in new], self.v)
+        found = split.flatten().dictionary_encode()
+        names, at, cuts = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy(), split.offsets.to_numpy()[1:-1]
+        if pc.max(pc.utf8_length(found.dictionary)).as_py() >= MOST_UNIT:
+            units = [units_of(t) for t in texts]
+            order: dict[str | tuple[str], int] = {}
+            at = np.array([order.setdefault(u, len(order)) for own in units for u in own], dtype=np.int64)
+            names, cuts = list(order), np.cumsum([len(own) for own in units])[:-1]
+        held = len(self.number)
+        numbers = np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = np.arange(held, held + len(new))
+        fresh = [names[i] for i in new.tolist()]
+        nodes = self.nodes
+        for lo in range(0, len(fresh), MOST_NEW):
+            made = Lattice([spelled(u) for u in fresh[lo : lo + MOST_NEW]], self.v)
             if self.kept is None:
                 self.kept = made
             else:
-                self.kept.put(self.nodes, before, made)
-            if self.nodes + len(made.code) <= MOST_NODES:
-                self.nodes += len(made.code)
-            else:  # the next slice overwrites them
-                for u in new:
-                    del self.number[u]
-        return coded, self.kept
+                self.kept.put(nodes, held + lo, made)
+            nodes += len(made.code)
+        if nodes <= MOST_NODES:  # if not, the next slice overwrites them
+            self.nodes = nodes
+            self.number.update(zip(fresh, range(held, held + len(fresh)), strict=True))
+        return np.split(numbers[at], cuts), self.kept
 
     def segment(self, texts: list[str | None], keys: list[int]) -> Iterator[tuple[int, int, np.ndarray, float, float, bool]]:
         """(text number, sample, ids, logp, log_inclusion, decoded)."""
         real = [i for i, t in enumerate(texts) if t]
-        found = {}
+        found: dict[int, tuple[list[_Path], float]] = {}
         if real:
             coded, lattice = self._coded([texts[i] for i in real])
             seeds = np.array([keys[i] & (2**64 - 1) for i in real], dtype=np.uint64)
-            found = dict(zip(real, top_k(lattice, coded, seeds, self.k), strict=True))
+            part = np.cumsum([len(c) for c in coded]) // DRAWN_UNITS
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(real)]
         for i, text in enumerate(texts):
             if not text:
                 yield i, 0, np.zeros(0, np.int32), 0.0, 0.0, True
                 continue
+            if not found:
+                lo, hi = cuts[:2]
+                del cuts[0]
+                found = dict(zip(real[lo:hi], top_k(lattice, coded[lo:hi], seeds[lo:hi], self.k), strict=True))
             paths, kappa = found.pop(i)
             for s, path in enumerate(paths):
                 ids = path_ids(lattice, self.v, path)

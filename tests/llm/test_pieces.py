@@ -121,3 +121,12 @@ def test_samples_do_not_depend_on_slices_or_on_what_is_kept(spark):
             out += [(lo + r[0], r[1], r[2].tolist(), round(r[3], 6), r[5]) for r in own.segment(texts[lo : lo + step], keys[lo : lo + step])]
         every.append(out)
     assert every[0] == every[1] and all(r[4] for r in every[0])
+
+
+def test_a_lattice_holds_its_edges_alone(vocabulary):
+    lattice = pieces.Lattice(["▁other", "▁x", "▁北"], vocabulary)
+    assert len(lattice.p) == (lattice.piece != -1).sum() == lattice.first[-1]
+    for node in np.flatnonzero(lattice.code):
+        own = slice(lattice.first[node], lattice.first[node + 1])
+        assert lattice.p[own].sum() == pytest.approx(1) and lattice.bound[own][-1] == 2
+        assert (lattice.size[own] - 1).tolist() == np.flatnonzero(lattice.piece[node] != -1).tolist()
