@@ -42,7 +42,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.sample_segmentations(docs)
+    return pieces.sample_segmentations(docs, k=2)
 
 
 STAGES = [

@@ -89,22 +89,20 @@ class Vocabulary:
             rows.sort()
             self.maybe[[r[0] >> 44 for r in rows]] = True
             self.tables[m] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int32), np.array([r[2] for r in rows], np.float32))
-        # what a piece says, with spaces; bytes beyond ASCII only say something together
-        self.wide = np.array([len(r) == 1 and r[0] >= 0x80 for r in self.raw])
-        self.said = np.array(["" if w else r.decode("utf-8").replace(SPACE, " ") for r, w in zip(self.raw, self.wide, strict=True)], dtype=object)
+        # what a piece says, with spaces
+        self.said = pa.array([r.replace(SPACE.encode(), b" ") for r in self.raw], pa.large_binary())
         self.ascii = np.array(self.byte[:0x80], dtype=np.int32)
         self.byte_weight = -alpha * np.log(10.0 + n)
 
-    def decode(self, ids: np.ndarray) -> str:
-        if self.wide[ids].any():
-            text = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass").replace(SPACE, " ")
-        else:
-            text = "".join(self.said[ids].tolist())
+    def decode(self, ids: np.ndarray) -> bytes:
+        """What the ids say, as UTF-8."""
+        text = b"".join(self.said.take(pa.array(ids)).buffers()[2:3] if len(ids) else [])
         return text[1:]
 
-    def says(self, ids: np.ndarray, text: str) -> bool:
+    def says(self, ids: np.ndarray, text: bytes) -> bool:
         """Do the ids give the text back, a U+2581 read as a space?"""
-        return self.decode(ids) == (text.replace(SPACE, " ") if SPACE in text else text)
+        said = self.decode(ids)
+        return said == text or said.replace(SPACE.encode(), b" ") == text
 
 
 class Lattice:
@@ -151,9 +149,10 @@ class Lattice:
         self.first = np.cumsum(ways) - ways
         total, free = int(self.first[-1]), self.first.copy()
         node, self.size, weight = np.empty(total, np.int64), np.empty(total, np.uint16), np.empty(total)
-        for m, own, w in [(1, bare, n_bytes * v.byte_weight), *((m, own, w) for m, own, _, w in hits)]:
+        self.token = np.empty(total, np.int32)
+        for m, own, ids, w in [(1, bare, BYTES, n_bytes * v.byte_weight), *hits]:
             to = free[own]
-            node[to], self.size[to], weight[to] = own, m, w
+            node[to], self.size[to], self.token[to], weight[to] = own, m, ids, w
             free[own] += 1
         # sums from the units' ends backwards: all nodes with so many characters to the end at once
         end, back = node + self.size, np.zeros(n)
@@ -182,7 +181,7 @@ class Lattice:
         ``units`` units of these arrays, which grow where they are short."""
         n, most, edges = len(made.code), made.piece.shape[1], int(self.first[nodes])
         width = max(most, self.piece.shape[1])
-        for name, upto, room in (("code", nodes, n), ("first", nodes, n + 1), ("size", edges, len(made.p)), ("p", edges, len(made.p)), ("bound", edges, len(made.p))):
+        for name, upto, room in (("code", nodes, n), ("first", nodes, n + 1), ("size", edges, len(made.p)), ("p", edges, len(made.p)), ("bound", edges, len(made.p)), ("token", edges, len(made.p))):
             old = getattr(self, name)
             if upto + room > len(old):
                 grown = np.empty((upto + room) * 5 // 4, old.dtype)
@@ -205,9 +204,9 @@ class Lattice:
             off = off[self.size[at[off]] != edge[off] + 1]
         return self.p[at]
 
-    def draw(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def draw(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A path from each of the nodes to its unit's end, one behind the
-        other: (nodes, edges, their chances, number of edges of each)."""
+        other: (nodes, edges, their chances and pieces, number of edges of each)."""
         active = np.flatnonzero(self.code[nodes])
         at, seeds = nodes[active], seeds[active]
         steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -234,17 +233,18 @@ class Lattice:
         for i, (who, at, way) in enumerate(steps):
             to = first[who] + i
             node[to], ways[to] = at, way
-        return node, self.size[ways].astype(np.int64) - 1, self.p[ways], count
+        return node, self.size[ways].astype(np.int64) - 1, self.p[ways], self.token[ways], count
 
-    def redraw(self, node: int, banned: tuple[int, ...], u: float) -> tuple[int, float]:
-        """Another edge from ``node`` than the banned ones, and its chance among all."""
+    def redraw(self, node: int, banned: tuple[int, ...], u: float) -> tuple[int, float, int]:
+        """Another edge from ``node`` than the banned ones, its chance among
+        all and its piece."""
         own = slice(self.first[node], self.first[node + 1])
         edges = self.size[own].astype(np.int64) - 1
         p = self.p[own].copy()
         for edge in banned:
             p[edges == edge] = 0.0
         to = min(np.searchsorted(np.cumsum(p), u * p.sum(), side="right"), np.flatnonzero(p)[-1])
-        return int(edges[to]), float(p[to])
+        return int(edges[to]), float(p[to]), int(self.token[own][to])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -263,10 +263,10 @@ class _Path:
     """One found path, and the maxima of the sets that leave it at each edge,
     as drawn: below the path's value, and in the same order, by ``most``."""
 
-    __slots__ = ("value", "nodes", "edges", "logs", "logp", "since", "banned", "maxima")
+    __slots__ = ("value", "nodes", "edges", "logs", "pieces", "logp", "since", "banned", "maxima")
 
-    def __init__(self, value, nodes, edges, logs, logp, since, banned, maxima):
-        self.value, self.nodes, self.edges, self.logs, self.logp = value, nodes, edges, logs, logp
+    def __init__(self, value, nodes, edges, logs, pieces, logp, since, banned, maxima):
+        self.value, self.nodes, self.edges, self.logs, self.pieces, self.logp = value, nodes, edges, logs, pieces, logp
         self.since, self.banned, self.maxima = since, banned, maxima
 
     def most(self) -> float:
@@ -274,11 +274,11 @@ class _Path:
         return -float(np.logaddexp(-self.value, -self.maxima.max(initial=-np.inf)))
 
 
-#: of a path that begins anew: nodes, edges and logs of the chances before its own
-_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+#: of a path that begins anew: nodes, edges, logs of the chances and pieces before its own
+_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32))
 
 
-def _paths(lattice: Lattice, value: np.ndarray, heads: list[tuple], nodes: np.ndarray, edges: np.ndarray, p: np.ndarray, size: np.ndarray, banned: list[tuple[int, ...]], seeds: np.ndarray) -> list[_Path]:
+def _paths(lattice: Lattice, value: np.ndarray, heads: list[tuple], nodes: np.ndarray, edges: np.ndarray, p: np.ndarray, tokens: np.ndarray, size: np.ndarray, banned: list[tuple[int, ...]], seeds: np.ndarray) -> list[_Path]:
     """The paths of many texts: what each has of its set (``heads``), then its
     own edges (one text behind the other, ``size`` each), with the draws for
     the sets that leave it there."""
@@ -296,12 +296,12 @@ def _paths(lattice: Lattice, value: np.ndarray, heads: list[tuple], nodes: np.nd
         np.subtract.at(rest, at, lattice.chance(nodes[at], np.array([e for _, e in also])))
     open_ = np.flatnonzero(rest >= 1e-13)  # less is rounding of the sums
     maxima = np.full(len(p), -np.inf)
-    noise = np.log(-np.log(uniform(np.repeat(seeds, size)[open_], place[open_])))
-    maxima[open_] = prefix[open_] + np.log(rest[open_]) - noise
+    # a Gumbel draw around the set's log mass
+    maxima[open_] = prefix[open_] + np.log(rest[open_] / -np.log(uniform(np.repeat(seeds, size)[open_], place[open_])))
     logp = before + np.add.reduceat(logs, first)
     out = []
     for a, b, v, h, x, s, g in zip(first.tolist(), (first + size).tolist(), value.tolist(), heads, logp.tolist(), since.tolist(), banned, strict=True):
-        whole = [np.concatenate((o, t[a:b])) if s else t[a:b] for o, t in zip(h, (nodes, edges, logs), strict=True)]
+        whole = [np.concatenate((o, t[a:b])) if s else t[a:b] for o, t in zip(h, (nodes, edges, logs, tokens), strict=True)]
         out.append(_Path(v, *whole, x, s, g, maxima[a:b]))
     return out
 
@@ -316,9 +316,9 @@ def top_k(lattice: Lattice, texts: list[np.ndarray], keys: np.ndarray, k: int) -
     base = mix(keys)
     seed_of = lambda keys, unit, sample: mix(keys + (unit.astype(np.uint64) << _U(20)) + _U(sample + 1))
     unit = np.arange(int(n_units.sum())) - np.repeat(begin, n_units)
-    nodes, edges, p, count = lattice.draw(np.concatenate(own), seed_of(np.repeat(base, n_units), unit, 0))
+    *drawn, count = lattice.draw(np.concatenate(own), seed_of(np.repeat(base, n_units), unit, 0))
     value = -np.log(-np.log(uniform(base, 0)))
-    new = _paths(lattice, value, [_NONE] * len(texts), nodes, edges, p, np.add.reduceat(count, begin), [()] * len(texts), mix(base + _U(7)))
+    new = _paths(lattice, value, [_NONE] * len(texts), *drawn, np.add.reduceat(count, begin), [()] * len(texts), mix(base + _U(7)))
     found: list[list[_Path]] = [[x] for x in new]
     queues: list[list[tuple[float, int, _Path]]] = [[] for _ in texts]  # ties: the earlier draw
 
@@ -341,21 +341,21 @@ def top_k(lattice: Lattice, texts: list[np.ndarray], keys: np.ndarray, k: int) -
             push(i, number, path)
             at = path.since + turn
             gone.append((*(path.banned if turn == 0 else ()), int(path.edges[at])))
-            edge, chance = lattice.redraw(int(path.nodes[at]), gone[-1], draw)
+            edge, chance, piece = lattice.redraw(int(path.nodes[at]), gone[-1], draw)
             seen = path.nodes[: at + 1]
             begun = int(((seen == 0) | (lattice.code[seen - 1] == 0)).sum())  # units up to here
             asked.append(np.concatenate(([path.nodes[at] + edge + 1], own[i][begun:])))
-            heads.append((path.nodes[:at], path.edges[:at], path.logs[:at]))
-            turns.append((path.nodes[at], edge, chance))
+            heads.append((path.nodes[:at], path.edges[:at], path.logs[:at], path.pieces[:at]))
+            turns.append((path.nodes[at], edge, chance, piece))
             values.append(-low)
         n = np.array([len(a) for a in asked])
         begin = np.cumsum(n) - n
         unit = np.arange(int(n.sum())) - np.repeat(begin, n)
-        drawn = lattice.draw(np.concatenate(asked), seed_of(np.repeat(base[who], n), unit, sample))
-        tail = np.add.reduceat(drawn[3], begin)
+        *drawn, count = lattice.draw(np.concatenate(asked), seed_of(np.repeat(base[who], n), unit, sample))
+        tail = np.add.reduceat(count, begin)
         # the edge that turns off stands before those drawn behind it
         cut = np.cumsum(tail) - tail
-        whole = [np.insert(drawn[c], cut, [t[c] for t in turns]) for c in range(3)]
+        whole = [np.insert(drawn[c], cut, [t[c] for t in turns]) for c in range(4)]
         new = _paths(lattice, np.array(values), heads, *whole, tail + 1, gone, mix(base[who] + _U(2000 + sample)))
         for i, x in zip(who, new, strict=True):
             found[i].append(x)
@@ -438,11 +438,12 @@ class Segmenter:
                 del cuts[0]
                 found = dict(zip(real[lo:hi], top_k(lattice, coded[lo:hi], seeds[lo:hi], self.k), strict=True))
             paths, kappa = found.pop(i)
+            said = text.encode("utf-8", "surrogatepass").replace(SPACE.encode(), b" ")
             for s, path in enumerate(paths):
                 ids = path_ids(lattice, self.v, path)
                 x = path.logp - kappa
                 inclusion = 0.0 if x > 30 else x if x < -30 else float(np.log(-np.expm1(-np.exp(x))))
-                yield i, s, ids, path.logp, inclusion, self.v.says(ids, text)
+                yield i, s, ids, path.logp, inclusion, self.v.says(ids, said)
 
 
 #: the segmenter of this process's tasks so far, by its parameters
@@ -459,10 +460,11 @@ def segmenter(model: bytes, alpha: float, k: int) -> Segmenter:
 
 
 def path_ids(lattice: Lattice, v: Vocabulary, path: _Path) -> np.ndarray:
-    got = lattice.piece[path.nodes, path.edges]
+    got = path.pieces
     special = np.flatnonzero(got == BYTES)
     if not len(special):
         return got
+    got = got.copy()
     points = lattice.code[path.nodes[special]].astype(np.int64) - 1
     short = points < 0x80
     got[special[short]] = v.ascii[points[short]]
@@ -474,7 +476,7 @@ def path_ids(lattice: Lattice, v: Vocabulary, path: _Path) -> np.ndarray:
     return np.concatenate([*out, got[last:]]) if out else got
 
 
-def sample_segmentations(docs: DataFrame, key: Column | None = None, k: int = 2, alpha: float = 0.25, seed: int = 23, model: str = MODEL) -> DataFrame:
+def sample_segmentations(docs: DataFrame, key: Column | None = None, k: int = 4, alpha: float = 0.25, seed: int = 23, model: str = MODEL) -> DataFrame:
     """(doc_id, sample, ids, logp, log_inclusion, decoded) for ``docs``
     (doc_id, text); rows are seeded by ``key`` (the doc_id) and ``seed``."""
     with open(model, "rb") as f:  # on the driver; a vocabulary's size is fixed

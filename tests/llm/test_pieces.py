@@ -123,6 +123,12 @@ def test_samples_do_not_depend_on_slices_or_on_what_is_kept(spark):
     assert every[0] == every[1] and all(r[4] for r in every[0])
 
 
+def test_four_distinct_samples_by_default(spark):
+    rows = pieces.sample_segmentations(frame(spark).where("doc_id < 6")).collect()
+    by = Counter(r.doc_id for r in rows if r.ids)
+    assert set(by.values()) == {4} and len({(r.doc_id, tuple(r.ids)) for r in rows if r.ids}) == 4 * len(by)
+
+
 def test_a_lattice_holds_its_edges_alone(vocabulary):
     lattice = pieces.Lattice(["▁other", "▁x", "▁北"], vocabulary)
     assert len(lattice.p) == (lattice.piece != -1).sum() == lattice.first[-1]
