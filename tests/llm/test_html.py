@@ -117,3 +117,18 @@ def test_the_same_html_on_two_hosts_is_judged_on_each(spark):
     rows = [(1, "http://a/1", page(1)), (2, "http://a/2", page(2)), (3, "http://b/1", page(1))]
     out = texts(html.extract(pages(spark, rows)))
     assert out[1].startswith("own1") and out[2].startswith("own2") and out[3].startswith(note)
+
+
+def test_what_stands_outside_a_named_main_part_is_judged_too(spark):
+    """Open blocks of pages with an article: the host's own go, a text of the
+    page stays in its place, as often as the page is copied."""
+    line = "this line stands on every page of the host"
+    page = lambda i: f"<nav>menu</nav><div>{line}</div><p>lead {i} of the story</p><article><p>body {i}</p><p>{line}</p></article><p>after {i}</p><div>{line}</div>"
+    rows = [(i, f"http://h/{i}", page(i)) for i in range(4)] + [(9, "http://h/copy", page(0)), (10, "http://g/10", page(0))]
+    rows += [(11, "http://h/11", "<nav>menu</nav><article>marked</article><footer>all of it</footer>")]
+    out = texts(html.extract(pages(spark, rows)))
+    for i in (0, 1, 2, 3, 9):
+        n = i % 9
+        assert out[i] == f"lead {n} of the story\nbody {n}\n{line}\nafter {n}", out[i]
+    assert out[10] == f"{line}\nlead 0 of the story\nbody 0\n{line}\nafter 0\n{line}"  # no other page of its host
+    assert out[11] == "marked"
